@@ -1,0 +1,63 @@
+"""Equi-joins that stay balanced when one key holds a large share of the rows."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, functions as F
+
+# A heavy key holds at least 1/HEAVY_SHARE of all rows, so there are never more than HEAVY_SHARE
+# heavy keys: their list is small enough to broadcast whatever the data.
+HEAVY_SHARE = 256
+# Below this many rows no single key is worth splitting.
+HEAVY_FLOOR = 1_000_000
+
+
+def heavy_keys(rows: DataFrame, keys: list[str], total: int | None = None, floor: int = HEAVY_FLOOR) -> DataFrame | None:
+    """Keys that hold at least 1/256 of the rows, at most 256 of them; None when no key can be heavy."""
+    total = rows.count() if total is None else total
+    if total < floor:
+        return None
+    least = max(floor // HEAVY_SHARE, total // HEAVY_SHARE, 1)
+    counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    return counts.filter(F.col("_n") >= least).select(*keys)
+
+
+def balanced_join(
+    rows: DataFrame,
+    lookup: DataFrame,
+    keys: list[str],
+    how: str,
+    heavy: DataFrame | None,
+    spread: str,
+) -> DataFrame:
+    """Join many ``rows`` to a ``lookup`` that has one row per key.
+
+    Rows of heavy keys are spread over ``spark.sql.shuffle.partitions`` salts by the values of
+    column ``spread``; only the few lookup rows of heavy keys are repeated, once per salt. All other
+    rows have salt 0. ``how`` is inner, left, left_semi or left_anti.
+    """
+    if heavy is None:
+        return rows.join(lookup, keys, how)
+    salts = max(2, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    marks = F.broadcast(heavy.withColumn("_heavy", F.lit(True)))
+    salted = (
+        rows.join(marks, keys, "left")
+        .withColumn("_salt", F.when(F.col("_heavy"), F.pmod(F.xxhash64(spread), F.lit(salts))).otherwise(0).cast("int"))
+        .drop("_heavy")
+    )
+    repeated = (
+        lookup.join(marks, keys, "left")
+        .withColumn("_salt", F.explode(F.when(F.col("_heavy"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))))
+        .drop("_heavy")
+    )
+    return salted.join(repeated, [*keys, "_salt"], how).drop("_salt")
+
+
+# Largest lookup table that is broadcast; a source row is a few hundred bytes.
+BROADCAST_ROWS = 100_000
+
+
+def lookup_join(rows: DataFrame, lookup: DataFrame, keys: list[str], how: str, spread: str) -> DataFrame:
+    """Join ``rows`` to a stored lookup table: broadcast while its counted size allows, else balanced."""
+    if lookup.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        return rows.join(F.broadcast(lookup), keys, how)
+    return balanced_join(rows, lookup, keys, how, heavy_keys(rows, keys), spread)
