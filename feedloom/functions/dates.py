@@ -2,103 +2,72 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from feedloom.functions.text import collapse_spaces
 
-# Month names and zone names (hours and minutes as +-HHMM) of mail-style dates.
+# Month names and zone names of mail-style dates.
 _MONTHS = (
     "january", "february", "march", "april", "may", "june",
     "july", "august", "september", "october", "november", "december",
 )
 _ZONES = {
-    "UT": 0, "UTC": 0, "GMT": 0, "Z": 0, "AST": -400, "ADT": -300, "EST": -500, "EDT": -400,
-    "CST": -600, "CDT": -500, "MST": -700, "MDT": -600, "PST": -800, "PDT": -700,
+    "UT": "+00:00", "UTC": "+00:00", "GMT": "+00:00", "Z": "+00:00", "AST": "-04:00", "ADT": "-03:00",
+    "EST": "-05:00", "EDT": "-04:00", "CST": "-06:00", "CDT": "-05:00", "MST": "-07:00",
+    "MDT": "-06:00", "PST": "-08:00", "PDT": "-07:00",
 }
 
 _MONTH = "(" + "|".join(f"{m[:3]}(?:{m[3:]})?" if len(m) > 3 else m for m in _MONTHS) + ")"
-_CLOCK = r"(\d{1,2})[:.](\d{1,2})(?:[:.](\d{1,2}))?,?"
-_ZONE = r"(?: ?([a-z]+|[+-]\d{1,4}))?(?: .*)?$"
-_WEEKDAY = r"^(?:[^ ]*,|mon|tue|wed|thu|fri|sat|sun)? ?"
-_DAY_FIRST = rf"(?i){_WEEKDAY}(\d{{1,2}}),?[ -]{_MONTH}[ -](\d{{2,4}}),? {_CLOCK}{_ZONE}"
-_MONTH_FIRST = rf"(?i){_WEEKDAY}{_MONTH},?[ -](\d{{1,2}}),?[ -](\d{{2,4}}),? {_CLOCK}{_ZONE}"
-_MARK = "\x01"
-
-_ISO = (
-    r"^\d{4}-\d{2}-\d{2}"
-    r"([T ]\d{2}(:\d{2}(:\d{2}([.,]\d{1,9})?)?)?([+-]\d{2}:?\d{2}(:\d{2})?)?)?$"
+# Groups: day and month in either order, year, hour, minute, second, zone. Anything else matches the
+# last alternative, which leaves all groups empty.
+_MAIL = (
+    r"(?is)^(?:[^ ]*,|mon|tue|wed|thu|fri|sat|sun)? ?"
+    rf"(?:(\d{{1,2}}),?[ -]{_MONTH}|{_MONTH},?[ -](\d{{1,2}}),?),?[ -](\d{{4}}|\d{{2}}),? "
+    r"(\d{1,2})[:.](\d{1,2})(?:[:.](\d{1,2}))?,?(?: ?([a-z]+|[+-]\d{4}))?(?: .*)?$"
+    r"|^.*$"
 )
-_ISO_COMPACT = r"^(\d{4})(\d{2})(\d{2})(?:[T ](\d{2})(\d{2})(\d{2})?((?:[+-]\d{2}:?\d{2})?))?$"
-
-
-def _int(text: Column) -> Column:
-    return text.try_cast("int")
-
-
-def _zone_seconds(zone: Column) -> Column:
-    """Seconds east of UTC; an unknown zone counts as UTC."""
-    named = F.create_map(*[F.lit(x) for item in _ZONES.items() for x in item])
-    hhmm = F.coalesce(F.try_element_at(named, F.upper(zone)), _int(zone), F.lit(0))
-    size = F.abs(hhmm)
-    return F.signum(hhmm).cast("int") * (F.floor(size / 100) * 3600 + (size % 100) * 60)
-
-
-def _from_parts(day: Column, month: Column, year: Column, parts: Column) -> Column:
-    number = (F.instr(F.lit("".join(m[:3] for m in _MONTHS)), F.lower(F.left(month, F.lit(3)))) + 2) / 3
-    yy = _int(year)
-    full_year = F.when(yy > 99, yy).when(yy > 68, yy + 1900).otherwise(yy + 2000)
-    second = F.coalesce(_int(parts[5]), F.lit(0))
-    local = F.try_make_timestamp(
-        full_year, number.cast("int"), _int(day), _int(parts[3]), _int(parts[4]), second, F.lit("UTC")
-    )
-    offset = _zone_seconds(parts[6])
-    return F.when(
-        (second < 60) & (F.abs(offset) < 86400),
-        F.timestamp_seconds(F.unix_seconds(local) - offset),
-    )
-
+_MARK = "\x01"
+_MAIL_PARTS = _MARK.join(["$1$4", "$2$3", "$5", "$6", "$7", "$8", "$9"])
 
-def mail_date(value: Column) -> Column:
-    """A mail-style date such as ``Wed, 01 May 2024 10:00:00 +0200``; null when it is not one."""
-    text = collapse_spaces(value)
+_ZONE = r"(?:Z|[+-]\d{2}:?\d{2}(?::\d{2})?)"
+_ISO = rf"(?s)^(\d{{4}}-\d{{2}}-\d{{2}})(?:[T ](\d{{2}}:\d{{2}}(?::\d{{2}}(?:\.\d{{1,9}})?)?)({_ZONE})?)?$|^.*$"
 
-    def parts(pattern: str) -> Column:
-        marked = F.regexp_replace(text, pattern, _MARK.join(f"${i}" for i in range(1, 8)))
-        return F.split(marked, _MARK)
 
-    day_first, month_first = parts(_DAY_FIRST), parts(_MONTH_FIRST)
-    return (
-        F.when(F.size(day_first) == 7, _from_parts(day_first[0], day_first[1], day_first[2], day_first))
-        .when(F.size(month_first) == 7, _from_parts(month_first[1], month_first[0], month_first[2], month_first))
-    )
+def _look_up(names: dict[str, str], name: Column) -> Column:
+    return F.try_element_at(F.create_map(*[F.lit(x) for item in names.items() for x in item]), name)
 
 
 def iso_date(value: Column) -> Column:
     """An ISO date or time; no zone means UTC; null when it is not one."""
-    text = F.replace(F.replace(value, F.lit("Z"), F.lit("+00:00")), F.lit(","), F.lit("."))
-    hour_only = F.regexp_replace(text, r"([T ]\d{2})((?:[+-]\d{2}:?\d{2})?)$", "$1:00$2")
-    zoned = F.regexp_replace(hour_only, r"([+-]\d{2})(\d{2})$", "$1:$2")
-    date_only = F.regexp_replace(text, _ISO_COMPACT, "$1-$2-$3T$4:$5:$6$7")
-    compact = F.regexp_replace(F.regexp_replace(date_only, "T::$", ""), r"(T\d{2}:\d{2}):(?=$|[+-])", "$1")
-    compact = F.regexp_replace(compact, r"([+-]\d{2})(\d{2})$", "$1:$2")
-    return (
-        F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}$"), text.try_cast("timestamp"))
-        .when(text.rlike(_ISO), zoned.try_cast("timestamp"))
-        .when(text.rlike(_ISO_COMPACT), compact.try_cast("timestamp"))
-    )
-
-
-def feed_date(value: Column) -> Column:
-    """The date of a feed item: mail style first, then ISO, else null."""
-    return F.coalesce(mail_date(value), iso_date(value))
+    text = F.regexp_replace(F.translate(value, ",", "."), r"^(\d{4})(\d{2})(\d{2})(?=T|$)", "$1-$2-$3")
+    text = F.regexp_replace(text, rf"([T ]\d{{2}})(?={_ZONE}?$)", "$1:00")
+    text = F.regexp_replace(text, rf"T(\d{{2}})(\d{{2}})(?={_ZONE}?$)", "T$1:$2")
+    text = F.regexp_replace(text, rf"T(\d{{2}})(\d{{2}})(\d{{2}})(?=(?:\.\d+)?{_ZONE}?$)", "T$1:$2:$3")
+    return F.regexp_replace(text, _ISO, "$1 $2$3").try_cast("timestamp")
+
+
+def with_feed_date(rows: DataFrame, value: str, name: str) -> DataFrame:
+    """Add the date of a feed item: mail style such as ``Wed, 01 May 2024 10:00:00 +0200``, else ISO,
+    else null. Built in steps, so that the text is matched once per row."""
+    parts = F.col("_parts")
+    year, zone = parts[2], parts[6]
+    century = F.when(F.length(year) == 4, "").when(year > "68", "19").otherwise("20")
+    month = _look_up({m[:3]: f"{i:02d}" for i, m in enumerate(_MONTHS, 1)}, F.lower(F.left(parts[1], F.lit(3))))
+    numeric = F.concat(F.left(zone, F.lit(3)), F.lit(":"), F.right(zone, F.lit(2)))
+    offset = F.when(zone.rlike("^[+-]"), numeric).otherwise(F.coalesce(_look_up(_ZONES, F.upper(zone)), F.lit("+00:00")))
+    second = F.when(parts[5] == "", "0").otherwise(parts[5])
+    day = F.concat(century, year, F.lit("-"), month, F.lit("-"), parts[0])
+    clock = F.concat(parts[3], F.lit(":"), parts[4], F.lit(":"), second)
+    # Put into ISO form and cast: a failed cast of a timestamp is cheap.
+    mail = F.concat(day, F.lit(" "), clock, offset).try_cast("timestamp")
+    matched = F.split(F.regexp_replace(collapse_spaces(F.col(value)), _MAIL, _MAIL_PARTS), _MARK)
+    return rows.withColumn("_parts", matched).withColumn(name, F.coalesce(mail, iso_date(F.col(value)))).drop("_parts")
 
 
 def record_date(value: Column, what: str) -> Column:
     """The date of a stored record: empty gives null, anything unreadable stops the job."""
-    parsed = iso_date(value)
-    given = F.coalesce(value, F.lit("")) != ""
     complaint = F.raise_error(F.concat(F.lit(f"unreadable {what}: "), value)).cast("timestamp")
-    return F.when(given & parsed.isNull(), complaint).when(given, parsed)
+    return F.coalesce(iso_date(value), F.when(F.coalesce(value, F.lit("")) != "", complaint))
 
 
 def iso_text(moment: Column) -> Column:

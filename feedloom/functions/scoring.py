@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
 from functools import reduce
+from operator import add, or_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -19,12 +21,7 @@ def article_text(title: Column, summary: Column, source_name: Column, category:
 
 
 def any_term(text: Column, terms: Iterable[str]) -> Column:
-    return reduce(lambda a, b: a | b, [text.contains(t.lower()) for t in terms])
-
-
-def term_hits(text: Column, terms: Iterable[str]) -> Column:
-    """Number of terms that occur anywhere in the text."""
-    return reduce(lambda a, b: a + b, [F.when(text.contains(t.lower()), 1).otherwise(0) for t in terms])
+    return reduce(or_, [text.contains(t.lower()) for t in terms])
 
 
 def ladder(hits: Column) -> Column:
@@ -33,61 +30,81 @@ def ladder(hits: Column) -> Column:
 
 
 def any_word(text: Column, words: Iterable[str]) -> Column:
-    """Whether one of the words stands alone in the text."""
-    return text.rlike(r"(?U)\b(" + "|".join(words) + r")\b")
+    """Whether one of the words stands alone in the text; the plain search spares most regex runs."""
+    words = tuple(words)
+    alone = text.rlike(r"(?U)\b(" + "|".join(map(re.escape, words)) + r")\b")
+    return F.when(any_term(text, words), alone).otherwise(False)
+
+
+def labels_of(found: dict[str, Column], category: Column, lexicon: Lexicon, limit: int = 5) -> Column:
+    """Labels found, in label order, then the category's label, cut to ``limit``."""
+    listed = [F.when(hit, F.lit(label)) for label, hit in found.items()]
+    listed += [F.when(category == c, F.lit(label)) for c, label in lexicon.category_labels.items()]
+    return F.slice(F.array_distinct(F.array_compact(F.array(*listed))), 1, limit)
 
 
 def label_list(text: Column, category: Column, lexicon: Lexicon, limit: int = 5) -> Column:
-    """Labels whose terms occur, in label order, then the category's label, cut to ``limit``."""
-    found = [F.when(any_term(text, terms), F.lit(label)) for label, terms in lexicon.label_terms.items()]
-    found += [F.when(category == c, F.lit(label)) for c, label in lexicon.category_labels.items()]
-    return F.slice(F.array_distinct(F.array_compact(F.array(*found))), 1, limit)
+    """Labels whose terms occur in ``text``."""
+    found = {label: any_term(text, terms) for label, terms in lexicon.label_terms.items()}
+    return labels_of(found, category, lexicon, limit)
 
 
-def stage_text(title: Column, summary: Column, lexicon: Lexicon = DEFAULT_LEXICON) -> Column:
-    """Growth stages the title or summary speaks of, joined; four standard ones when none does."""
-    text = F.lower(F.concat_ws(" ", title, F.coalesce(summary, F.lit(""))))
-    found = F.array_compact(
-        F.array(*[F.when(any_term(text, terms), F.lit(stage)) for stage, terms in lexicon.stage_terms.items()])
-    )
-    joined = F.array_join(found, "、")
-    return F.when(joined == "", F.lit("、".join(lexicon.default_stages))).otherwise(joined)
+def with_stages(articles: DataFrame, lexicon: Lexicon = DEFAULT_LEXICON, name: str = "stages") -> DataFrame:
+    """Add the growth stages the title or summary speaks of, joined; the standard ones when none does."""
+    text = F.lower(F.concat_ws(" ", "title", F.coalesce("summary", F.lit(""))))
+    hits = [F.when(any_term(F.col("_text"), terms), F.lit(stage)) for stage, terms in lexicon.stage_terms.items()]
+    spoken = articles.withColumn("_text", text).withColumn(name, F.concat_ws("、", *hits)).drop("_text")
+    return spoken.withColumn(name, F.when(F.col(name) == "", "、".join(lexicon.default_stages)).otherwise(F.col(name)))
 
 
 def score_articles(articles: DataFrame, weights: Weights = Weights(), lexicon: Lexicon = DEFAULT_LEXICON) -> DataFrame:
     """Add the five components, ``total`` and ``keywords`` to every article.
 
-    Row-local: no shuffle, and one pass over the text, which is lower-cased once and dropped again.
+    Row-local: no shuffle. The text is lower-cased once, each distinct term is searched once however
+    many lists it is in, and the text is not carried on.
     """
     text, category = F.col("_text"), F.col("category")
-    counted = articles.withColumn(
-        "_text", article_text(F.col("title"), F.col("summary"), F.col("source_name"), category)
-    ).withColumns(
-        {
-            "impact": ladder(term_hits(text, lexicon.score_terms["impact"])),
-            "novelty": ladder(term_hits(text, lexicon.score_terms["novelty"])),
-            "source_quality": F.greatest(F.lit(1), F.least(F.lit(5), F.col("quality"))).cast("int"),
-            "pm_relevance": ladder(term_hits(text, lexicon.score_terms["pm_relevance"])),
-            "actionability": ladder(term_hits(text, lexicon.score_terms["actionability"])),
-            "_frontier_business": any_term(text, lexicon.frontier_terms),
-            "_finance": any_word(text, lexicon.finance_words) & ~any_word(text, lexicon.product_words),
-            "keywords": label_list(text, category, lexicon),
-        }
+    lists = [*lexicon.score_terms.values(), *lexicon.label_terms.values(), lexicon.frontier_terms]
+    terms = {t.lower(): f"_has{i}" for i, t in enumerate(dict.fromkeys(t.lower() for words in lists for t in words))}
+
+    def has(term: str) -> Column:
+        return F.col(terms[term.lower()])
+
+    def points(component: str) -> Column:
+        return ladder(reduce(add, [has(t).cast("int") for t in lexicon.score_terms[component]]))
+
+    def has_any(words: Iterable[str]) -> Column:
+        return reduce(or_, [has(t) for t in words])
+
+    searched = (
+        articles.withColumn("_text", article_text(F.col("title"), F.col("summary"), F.col("source_name"), category))
+        .withColumns(
+            {
+                **{flag: text.contains(term) for term, flag in terms.items()},
+                "_finance": any_word(text, lexicon.finance_words) & ~any_word(text, lexicon.product_words),
+            }
+        )
+        .drop("_text")
     )
-    frontier = category == AI_FRONTIER
-    raised = category.isin(MARKETPLACE, CHINA_RETAIL) | (frontier & F.col("_frontier_business"))
-    finance = F.col("_finance")
-    adjusted = counted.withColumns(
+    labels = {label: has_any(words) for label, words in lexicon.label_terms.items()}
+    frontier, finance = category == AI_FRONTIER, F.col("_finance")
+    raised = category.isin(MARKETPLACE, CHINA_RETAIL) | (frontier & has_any(lexicon.frontier_terms))
+
+    def bonus(component: str, when: Column) -> Column:
+        return F.least(F.lit(5), points(component) + when.cast("int"))
+
+    def malus(component: str, by: int) -> Column:
+        return F.greatest(F.lit(1), points(component) - F.when(finance, by).otherwise(0))
+
+    scored = searched.withColumns(
         {
-            "impact": F.when(finance, F.greatest(F.lit(1), F.col("impact") - 2)).otherwise(F.col("impact")),
-            "novelty": F.when(frontier, F.least(F.lit(5), F.col("novelty") + 1)).otherwise(F.col("novelty")),
-            "pm_relevance": F.when(raised, F.least(F.lit(5), F.col("pm_relevance") + 1)).otherwise(
-                F.col("pm_relevance")
-            ),
-            "actionability": F.when(finance, F.greatest(F.lit(1), F.col("actionability") - 1)).otherwise(
-                F.col("actionability")
-            ),
+            "impact": malus("impact", 2),
+            "novelty": bonus("novelty", frontier),
+            "source_quality": F.greatest(F.lit(1), F.least(F.lit(5), F.col("quality"))).cast("int"),
+            "pm_relevance": bonus("pm_relevance", raised),
+            "actionability": malus("actionability", 1),
+            "keywords": labels_of(labels, category, lexicon),
         }
-    )
-    total = reduce(lambda a, b: a + b, [F.col(c) * F.lit(getattr(weights, c)) for c in COMPONENTS])
-    return adjusted.withColumn("total", F.round(total, 2)).drop("_text", "_frontier_business", "_finance")
+    ).drop("_finance", *terms.values())
+    total = reduce(add, [F.col(c) * F.lit(getattr(weights, c)) for c in COMPONENTS])
+    return scored.withColumn("total", F.round(total, 2))

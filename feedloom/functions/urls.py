@@ -1,8 +1,8 @@
-"""Link keys as column expressions."""
+"""Link keys."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from feedloom.settings import TRACKING_KEYS, TRACKING_PREFIX
 
@@ -54,32 +54,40 @@ def _clean_query(query: Column) -> Column:
     return F.array_join(encoded, "&")
 
 
-def url_key(url: Column) -> Column:
-    """Key under which two links are the same.
+def with_url_key(rows: DataFrame, url: str = "url", name: str = "link_key") -> DataFrame:
+    """Add the key under which two links are the same.
 
     Scheme and host in lower case, no trailing slashes, parameters, fragment or tracking keys,
-    other query pairs kept in order.
+    other query pairs kept in order. Built in steps, so that each part is worked out once per row.
     """
-    text = F.regexp_replace(F.regexp_replace(url, r"^[\x00-\x20]+", ""), r"[\t\r\n]", "")
-    text = F.substring_index(text, "#", 1)
-    head = F.substring_index(text, "?", 1)
-    query = F.substr(text, F.length(head) + 2)
-
-    scheme = F.lower(F.regexp_extract(head, f"^({_SCHEME}):", 1))
-    host = F.lower(F.regexp_extract(head, f"^(?:{_SCHEME}:)?//([^/]*)", 1))
-    path = F.regexp_replace(head, f"^(?:{_SCHEME}:)?(?://[^/]*)?", "")
-    path = F.when(scheme.isin(*_SCHEMES_WITH_PARAMS), F.regexp_replace(path, ";[^/]*$", "")).otherwise(path)
-    path = F.regexp_replace(path, "/+$", "")
-
-    rooted = (
-        F.when(host != "", F.concat(F.lit("//"), host, path))
-        .when(path.startswith("//"), F.concat(F.lit("//"), path))
-        .when(
-            scheme.isin(*_SCHEMES_WITH_HOST) & ((path == "") | path.startswith("/")),
-            F.concat(F.lit("//"), path),
+    text, head, rest = F.col("_text"), F.col("_head"), F.col("_rest")
+    scheme, host, path, query = F.col("_scheme"), F.col("_host"), F.col("_path"), F.col("_query")
+    split = (
+        rows.withColumn("_text", F.regexp_replace(url, r"^[\x00-\x20]+|[\t\r\n]", ""))
+        .withColumn("_text", F.substring_index("_text", "#", 1))
+        .withColumn("_head", F.substring_index(text, "?", 1))
+        .withColumns(
+            {
+                "_query": F.substr(text, F.length(head) + 2),
+                "_scheme": F.lower(F.regexp_extract(head, f"^({_SCHEME}):", 1)),
+                "_rest": F.regexp_replace(head, f"^{_SCHEME}:", ""),
+            }
         )
-        .otherwise(path)
+        .withColumns(
+            {
+                "_host": F.lower(F.regexp_extract(rest, "^//([^/]*)", 1)),
+                "_path": F.regexp_replace(rest, "^//[^/]*", ""),
+            }
+        )
+        .withColumn("_path", F.when(scheme.isin(*_SCHEMES_WITH_PARAMS), F.regexp_replace(path, ";[^/]*$", "")).otherwise(path))
+        .withColumns({"_path": F.regexp_replace(path, "/+$", ""), "_query": F.when(query != "", _clean_query(query)).otherwise("")})
+    )
+    slashes = (
+        F.when((host != "") | path.startswith("//"), "//")
+        .when(scheme.isin(*_SCHEMES_WITH_HOST) & ((path == "") | path.startswith("/")), "//")
+        .otherwise("")
+    )
+    key = F.concat(
+        scheme, F.when(scheme != "", ":").otherwise(""), slashes, host, path, F.when(query != "", "?").otherwise(""), query
     )
-    located = F.concat(F.when(scheme != "", F.concat(scheme, F.lit(":"))).otherwise(F.lit("")), rooted)
-    cleaned = F.when(query == "", F.lit("")).otherwise(_clean_query(query))
-    return F.concat(located, F.when(cleaned == "", F.lit("")).otherwise(F.concat(F.lit("?"), cleaned)))
+    return split.withColumn(name, key).drop("_text", "_head", "_rest", "_scheme", "_host", "_path", "_query")

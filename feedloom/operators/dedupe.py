@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from feedloom.functions.text import title_key
-from feedloom.functions.urls import url_key
+from feedloom.functions.urls import with_url_key
 from feedloom.operators.skew import HEAVY_FLOOR, balanced_join, heavy_keys
 from feedloom.operators.stage import staged
 
@@ -91,7 +91,7 @@ def first_unique(
 
 def with_keys(articles: DataFrame) -> DataFrame:
     """Add ``link_key`` and ``title_key``."""
-    return articles.withColumns({"link_key": url_key(F.col("url")), "title_key": title_key(F.col("title"))})
+    return with_url_key(articles.withColumn("title_key", title_key(F.col("title"))))
 
 
 def dedupe_articles(articles: DataFrame, group: list[str], **options: int) -> DataFrame:

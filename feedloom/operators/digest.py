@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from feedloom import wording as w
 from feedloom.functions import phrases
-from feedloom.functions.scoring import score_articles, stage_text
+from feedloom.functions.scoring import score_articles, with_stages
 from feedloom.operators.segments import top_rows
 from feedloom.settings import DEFAULT_LEXICON, SECTIONS, Lexicon, Section, Weights
 
@@ -20,13 +20,9 @@ def scored_items(articles: DataFrame, weights: Weights = Weights(), lexicon: Lex
     short rows. ``rank_total`` is the total used for ranking.
     """
     return (
-        score_articles(articles, weights, lexicon)
+        with_stages(score_articles(articles, weights, lexicon), lexicon)
         .withColumns(
-            {
-                "summary_short": phrases.short_summary(F.col("summary"), F.col("title")),
-                "stages": stage_text(F.col("title"), F.col("summary"), lexicon),
-                "rank_total": F.col("total"),
-            }
+            {"summary_short": phrases.short_summary(F.col("summary"), F.col("title")), "rank_total": F.col("total")}
         )
         .drop("summary")
     )

@@ -11,9 +11,21 @@ HEAVY_SHARE = 256
 HEAVY_FLOOR = 1_000_000
 
 
+# Tables estimated below this size are never split.
+SMALL_BYTES = 256 * 1024 * 1024
+
+
+def estimated_bytes(df: DataFrame) -> int:
+    """The planner's size estimate, an upper bound for filters and projections; costs no job."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
 def heavy_keys(rows: DataFrame, keys: list[str], total: int | None = None, floor: int = HEAVY_FLOOR) -> DataFrame | None:
     """Keys that hold at least 1/256 of the rows, at most 256 of them; None when no key can be heavy."""
-    total = rows.count() if total is None else total
+    if total is None:
+        if floor == HEAVY_FLOOR and estimated_bytes(rows) < SMALL_BYTES:
+            return None
+        total = rows.count()
     if total < floor:
         return None
     least = max(floor // HEAVY_SHARE, total // HEAVY_SHARE, 1)
@@ -54,10 +66,11 @@ def balanced_join(
 
 # Largest lookup table that is broadcast; a source row is a few hundred bytes.
 BROADCAST_ROWS = 100_000
+BROADCAST_BYTES = 10 * 1024 * 1024
 
 
 def lookup_join(rows: DataFrame, lookup: DataFrame, keys: list[str], how: str, spread: str) -> DataFrame:
     """Join ``rows`` to a stored lookup table: broadcast while its counted size allows, else balanced."""
-    if lookup.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+    if estimated_bytes(lookup) < BROADCAST_BYTES or lookup.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
         return rows.join(F.broadcast(lookup), keys, how)
     return balanced_join(rows, lookup, keys, how, heavy_keys(rows, keys), spread)

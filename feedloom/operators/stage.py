@@ -29,3 +29,15 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     path = fresh_folder(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread_small(df: DataFrame, key: str) -> DataFrame:
+    """Spread a table over all cores when its files give fewer tasks than there are cores.
+
+    For row-local work that is heavy on the processor. A table of any real size is left as it is.
+    """
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores, key)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from feedloom.settings import AI_FRONTIER, AI_VIDEO, CATEGORIES, CHINA_RETAIL, MARKETPLACE, Gate, Quota
@@ -14,8 +16,11 @@ STATUS_SCHEMA = (
 )
 
 
-def count_by_date(rows: DataFrame, name: str) -> DataFrame:
-    return rows.groupBy("brief_date").agg(F.count(F.lit(1)).alias(name))
+def tally(tables: dict[str, DataFrame]) -> DataFrame:
+    """Rows per date of several tables, one count column each, in a single aggregation."""
+    named = [table.select("brief_date", F.lit(name).alias("_of")) for name, table in tables.items()]
+    rows = reduce(DataFrame.unionByName, named)
+    return rows.groupBy("brief_date").agg(*[F.count_if(F.col("_of") == name).alias(name) for name in tables])
 
 
 def section_counts(items: DataFrame) -> DataFrame:
@@ -33,8 +38,8 @@ def failed_sources(failures: DataFrame) -> DataFrame:
 
 
 def by_date(dates: DataFrame, *parts: DataFrame) -> DataFrame:
-    """All per-date results next to each other, counts 0 where a part has no row for a date."""
-    result = dates.select("brief_date").distinct()
+    """Per-date results joined to ``dates``, counts 0 where a part has no row for a date."""
+    result = dates
     for part in parts:
         result = result.join(part, "brief_date", "left")
     counts = [f.name for f in result.schema.fields if f.name.endswith("_count") or f.name.startswith("n_")]

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from feedloom.operators.health import source_key
 from feedloom.operators.ordering import CANDIDATE, LIVE, article_seq
+from feedloom.operators.stage import spread_small
 from feedloom.settings import CATEGORIES, Lexicon
 
 FIRST_DAY = "2024-01-01"
@@ -68,7 +69,7 @@ def _doc_day() -> Column:
 
 def document_articles(spark: SparkSession, folder: str) -> DataFrame:
     """Documents as live articles; the first line is the title, the rest the summary."""
-    docs = table(spark, folder, "documents")
+    docs = spread_small(table(spark, folder, "documents"), "doc_id")
     title = F.substring_index("text", "\n", 1)
     number = _source_number()
     age = F.pmod("doc_id", F.lit(9)).cast("int")

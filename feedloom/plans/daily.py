@@ -3,19 +3,19 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import cached_property
+from functools import cached_property, reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from feedloom import wording
 from feedloom.functions.dates import day_end, minus_days
 from feedloom.functions.phrases import short_summary
-from feedloom.functions.scoring import stage_text
+from feedloom.functions.scoring import with_stages
 from feedloom.operators.asof import prior_report_dates
 from feedloom.operators.dedupe import first_unique, with_keys
 from feedloom.operators.digest import digest_documents, scored_items, section_items
 from feedloom.operators.stage import staged
-from feedloom.operators.status import by_date, count_by_date, failed_sources, section_counts
+from feedloom.operators.status import by_date, failed_sources, section_counts, tally
 from feedloom.settings import RunSettings
 from feedloom.sources.archive import archive_rows, archived_articles
 from feedloom.sources.cache import cached_articles
@@ -48,10 +48,6 @@ def dates_of(rows: DataFrame) -> DataFrame:
     return rows.select("brief_date").distinct()
 
 
-def without(dates: DataFrame, others: DataFrame) -> DataFrame:
-    return dates.join(F.broadcast(others.select("brief_date")), "brief_date", "left_anti")
-
-
 @dataclass(frozen=True)
 class DigestInputs:
     """Tables a run reads. All articles carry the ``brief_date`` of the run they belong to.
@@ -84,7 +80,7 @@ class DigestRun:
 
     @cached_property
     def dates(self) -> DataFrame:
-        return staged(dates_of(self.inputs.dates), "dates")
+        return dates_of(self.inputs.dates)
 
     @cached_property
     def _fresh(self) -> DataFrame:
@@ -92,55 +88,59 @@ class DigestRun:
         return recent_articles(on_dates(own, self.dates), self.settings.lookback_days)
 
     @cached_property
-    def _tiers(self) -> list[tuple[str, DataFrame, DataFrame]]:
-        """(mode, dates, articles) of the tiers that are needed."""
+    def _tiers(self) -> dict[str, tuple[DataFrame, DataFrame]]:
+        """Per mode that is needed: (brief_date, has_content) of the dates asked, and the articles."""
         s, i = self.settings, self.inputs
-        tiers = [("none", staged(dates_of(self._fresh), "dates"), self._fresh)]
-        left = staged(without(self.dates, tiers[0][1]), "dates")
+        tiers: dict[str, tuple[DataFrame, DataFrame]] = {}
+
+        def add(mode: str, asked: DataFrame, articles: DataFrame) -> DataFrame:
+            found = dates_of(articles).withColumn("_has", F.lit(True))
+            marked = asked.join(found, "brief_date", "left").select("brief_date", F.col("_has").isNotNull().alias("has_content"))
+            tiers[mode] = staged(marked, "tier"), articles
+            return tiers[mode][0].filter(~F.col("has_content")).select("brief_date")
+
+        left = add("none", self.dates, self._fresh)
         if not left.isEmpty():
             cached = cached_articles(on_dates(i.cache, left), i.sources, s.cache_retention_days)
             pool = on_dates(i.candidates, left).select(*ARTICLE_COLUMNS).unionByName(cached.select(*ARTICLE_COLUMNS))
-            found = recent_articles(pool, max(s.lookback_days, s.cache_retention_days))
-            tiers.append(("feed_cache", staged(dates_of(found), "dates"), found))
-            left = staged(without(left, tiers[1][1]), "dates")
+            left = add("feed_cache", left, recent_articles(pool, max(s.lookback_days, s.cache_retention_days)))
         if not left.isEmpty():
             days = max(s.lookback_days, s.archive_min_days)
             found = archived_articles(i.archive, i.sources, left, days, s.archive_limit, s.lexicon)
-            tiers.append(("archive", staged(dates_of(found), "dates"), found))
+            add("archive", left, staged(found, "archived"))
         return tiers
 
     @cached_property
     def date_modes(self) -> DataFrame:
         """(brief_date, fallback_mode) before preserving; dates without any content have no row."""
-        parts = [dates.withColumn("fallback_mode", F.lit(mode)) for mode, dates, _ in self._tiers]
-        result = parts[0]
-        for part in parts[1:]:
-            result = result.unionByName(part)
-        return result
+        parts = [
+            marked.filter("has_content").select("brief_date", F.lit(mode).alias("fallback_mode"))
+            for mode, (marked, _) in self._tiers.items()
+        ]
+        return reduce(DataFrame.unionByName, parts)
 
     @cached_property
     def pool(self) -> DataFrame:
         """Articles of the first two tiers, before duplicates are removed."""
-        result = self._tiers[0][2]
-        for mode, _, articles in self._tiers[1:]:
-            if mode == "feed_cache":
-                result = result.unionByName(articles)
-        return result
+        own = [articles for mode, (_, articles) in self._tiers.items() if mode != "archive"]
+        return reduce(DataFrame.unionByName, own)
+
+    @cached_property
+    def _scored_pool(self) -> DataFrame:
+        """The pool, scored and cut to short columns: the only step that reads article texts."""
+        short = scored_items(self.pool, self.settings.weights, self.settings.lexicon)
+        return staged(with_keys(short).select(*SCORED_COLUMNS, "link_key", "title_key"), "scored")
 
     @cached_property
     def scored(self) -> DataFrame:
         """Scored articles of all dates without duplicates; archived ones keep their stored total."""
-        s = self.settings
-        short = scored_items(self.pool, s.weights, s.lexicon)
-        keyed = staged(with_keys(short).select(*SCORED_COLUMNS, "link_key", "title_key"), "scored")
-        kept = first_unique(keyed, ["brief_date"])
-        result = keyed.join(kept, ["brief_date", "seq"], "left_semi").select(*SCORED_COLUMNS)
-        for mode, _, articles in self._tiers:
-            if mode == "archive":
-                old = articles.withColumns(
-                    {"summary_short": short_summary(F.lit(""), F.col("title")), "stages": stage_text(F.col("title"), F.lit(""), s.lexicon), "rank_total": F.lit(0.0)}
-                )
-                result = result.unionByName(old.select(*SCORED_COLUMNS))
+        pool = self._scored_pool
+        result = pool.join(first_unique(pool, ["brief_date"]), ["brief_date", "seq"], "left_semi").select(*SCORED_COLUMNS)
+        if "archive" in self._tiers:
+            old = with_stages(self._tiers["archive"][1], self.settings.lexicon).withColumns(
+                {"summary_short": short_summary(F.col("summary"), F.col("title")), "rank_total": F.lit(0.0)}
+            )
+            result = result.unionByName(old.select(*SCORED_COLUMNS))
         return staged(result, "scored-unique")
 
     @cached_property
@@ -151,9 +151,8 @@ class DigestRun:
     @cached_property
     def outcome(self) -> DataFrame:
         """Per date: counts, ``fallback_mode``, ``preserved_existing`` and ``carried_date``."""
-        pool = count_by_date(self.pool, "n_pool")
-        kept = count_by_date(self.scored, "scored_count")
-        table = by_date(self.dates, self.date_modes, pool, kept, section_counts(self.items))
+        counts = tally({"n_pool": self._scored_pool, "scored_count": self.scored})
+        table = by_date(self.dates, self.date_modes, counts, section_counts(self.items))
         empty = F.col("fallback_mode").isNull()
         weak = (F.col("must_read_count") == 0) & (F.col("ai_watch_count") == 0)
         needs = empty | ((F.col("fallback_mode") != "none") & weak)
@@ -195,14 +194,14 @@ class DigestRun:
         """One status row per date."""
         i = self.inputs
         read, configured = i.sources.count(), i.configured.count()
-        table = by_date(
-            self.dates,
-            self.outcome,
-            count_by_date(on_dates(i.candidates, self.dates), "candidate_article_count"),
-            count_by_date(on_dates(i.live, self.dates), "live_article_count"),
-            count_by_date(on_dates(i.failures, self.dates), "n_failures"),
-            failed_sources(on_dates(i.failures, self.dates)),
+        counts = tally(
+            {
+                "candidate_article_count": on_dates(i.candidates, self.dates),
+                "live_article_count": on_dates(i.live, self.dates),
+                "n_failures": on_dates(i.failures, self.dates),
+            }
         )
+        table = by_date(self.outcome, counts, failed_sources(on_dates(i.failures, self.dates)))
         shown = F.coalesce("carried_date", "brief_date")
         own = F.when(F.col("n_pool") + F.col("scored_count") > 0, shown).otherwise(F.col("brief_date"))
         return table.select(

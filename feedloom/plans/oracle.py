@@ -315,7 +315,7 @@ pool AS MATERIALIZED (SELECT * FROM fresh UNION ALL BY NAME SELECT * FROM second
 {_scored('ps', 'pool', FRAGMENTS)},
 {_dedupe('pk', 'pool')},
 everything AS MATERIALIZED (
-  SELECT ps.brief_date, seq, title, url, source_name, category, published_at, total, total AS rank_total, keywords, doc_id, summary
+  SELECT ps.brief_date, ps.seq, title, url, source_name, category, published_at, total, total AS rank_total, keywords, doc_id, summary
   FROM ps JOIN pk ON ps.brief_date = pk.kd AND ps.seq = pk.seq
   UNION ALL
   SELECT brief_date, seq, title, url, source_name, category, published_at, total, 0 AS rank_total, keywords, doc_id, '' FROM archived

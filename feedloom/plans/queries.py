@@ -8,9 +8,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from feedloom.functions import dates as d
 from feedloom.functions.phrases import short_summary
-from feedloom.functions.scoring import score_articles, stage_text
+from feedloom.functions.scoring import score_articles, with_stages
 from feedloom.functions.text import clean_text, title_key
-from feedloom.functions.urls import url_key
+from feedloom.functions.urls import with_url_key
 from feedloom.operators import digest, health, status
 from feedloom.operators.asof import pending_dates, prior_report_dates, published_dates
 from feedloom.operators.dedupe import dedupe_articles, first_unique, with_keys
@@ -64,7 +64,7 @@ def _joined(name: str) -> Column:
 def url_normalize(spark: SparkSession, folder: str) -> DataFrame:
     pages = a.table(spark, folder, "pages").select(F.concat(F.lit("p"), F.col("page_id").cast("string")).alias("id"), "url")
     docs = a.document_articles(spark, folder).select(F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("id"), "url")
-    return pages.unionByName(docs).select("id", url_key(F.col("url")).alias("link_key"))
+    return with_url_key(pages.unionByName(docs)).select("id", "link_key")
 
 
 @query
@@ -91,7 +91,8 @@ def feed_date_parse(spark: SparkSession, folder: str) -> DataFrame:
         F.date_format(at, "MMMM d, yyyy HH:mm:ss 'PDT'"),
     ]
     text = F.get(F.array(*forms), F.pmod("event_id", F.lit(len(forms))).cast("int"))
-    return a.table(spark, folder, "events").select("event_id", _moment(d.feed_date(text)).alias("parsed"))
+    texts = a.table(spark, folder, "events").select("event_id", text.alias("text"))
+    return d.with_feed_date(texts, "text", "parsed").select("event_id", _moment(F.col("parsed")).alias("parsed"))
 
 
 # Articles to digests.
@@ -145,8 +146,7 @@ def keyword_labels(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def growth_stage(spark: SparkSession, folder: str) -> DataFrame:
-    stages = stage_text(F.col("title"), F.col("summary"), SETTINGS.lexicon)
-    return _articles(spark, folder).select("doc_id", stages.alias("stages"))
+    return with_stages(_articles(spark, folder), SETTINGS.lexicon).select("doc_id", "stages")
 
 
 @query

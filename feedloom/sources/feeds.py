@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from feedloom.functions.dates import feed_date
+from feedloom.functions.dates import with_feed_date
 from feedloom.functions.text import clean_text
 from feedloom.operators.ordering import LIVE, article_seq
 from feedloom.operators.skew import lookup_join
@@ -78,12 +78,12 @@ def feed_articles(feeds: DataFrame, sources: DataFrame) -> DataFrame:
     """
     items = feeds.select("brief_date", "source_key", "is_rss", F.posexplode("items").alias("item_pos", "item"))
     link = F.col("item.url")
-    cleaned = items.select(
+    cleaned = with_feed_date(items.withColumn("_date", F.col("item.date")), "_date", "published_at").select(
         "brief_date", "source_key", "item_pos",
         clean_text(F.col("item.title")).alias("title"),
         F.when(F.col("is_rss"), clean_text(link)).otherwise(link).alias("url"),
         clean_text(F.col("item.summary")).alias("summary"),
-        feed_date(F.col("item.date")).alias("published_at"),
+        "published_at",
     )
     valid = cleaned.filter((F.col("title") != "") & (F.col("url") != ""))
     joined = lookup_join(valid, sources, ["source_key"], "inner", "url")

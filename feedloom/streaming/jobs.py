@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
-from feedloom.functions.urls import url_key
+from feedloom.functions.urls import with_url_key
 from feedloom.operators.health import HEALTH_SCHEMA
 from feedloom.operators.stage import staged
 from feedloom.plans.validate import update_health_table
@@ -88,9 +88,7 @@ def drop_seen_links(articles: DataFrame, out: str, checkpoint: str, retention: s
     An article without a date takes the time it was fetched, so it is not lost to the watermark.
     Weaker than the digest's own duplicate removal, which still runs per date.
     """
-    timed = articles.withColumns(
-        {"event_time": F.coalesce("published_at", "fetched_at"), "link_key": url_key(F.col("url"))}
-    )
+    timed = with_url_key(articles.withColumn("event_time", F.coalesce("published_at", "fetched_at")))
     unique = timed.withWatermark("event_time", retention).dropDuplicatesWithinWatermark(["link_key"])
     _finish(unique.writeStream.outputMode("append").format("parquet").option("path", out), checkpoint)
 
