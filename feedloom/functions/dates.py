@@ -42,6 +42,7 @@ def iso_date(value: Column) -> Column:
     text = F.regexp_replace(F.translate(value, ",", "."), r"^(\d{4})(\d{2})(\d{2})(?=T|$)", "$1-$2-$3")
     text = F.regexp_replace(text, rf"([T ]\d{{2}})(?={_ZONE}?$)", "$1:00")
     text = F.regexp_replace(text, rf"T(\d{{2}})(\d{{2}})(?={_ZONE}?$)", "T$1:$2")
+    text = F.regexp_replace(text, rf"([T ]\d{{2}}:\d{{2}})(?={_ZONE}?$)", "$1:00")
     text = F.regexp_replace(text, rf"T(\d{{2}})(\d{{2}})(\d{{2}})(?=(?:\.\d+)?{_ZONE}?$)", "T$1:$2:$3")
     return F.regexp_replace(text, _ISO, "$1 $2$3").try_cast("timestamp")
 

@@ -10,8 +10,8 @@ _SCHEME = r"[A-Za-z][A-Za-z0-9+.\-]*"
 
 # Schemes whose path may end in ";parameters", and schemes written with "//".
 _SCHEMES_WITH_PARAMS = (
-    "", "ftp", "hdl", "prospero", "http", "https", "imap", "itms-services", "mms", "rtsp", "rtsps",
-    "rtspu", "sftp", "shttp", "sip", "sips", "tel",
+    "", "ftp", "hdl", "prospero", "http", "https", "imap", "mms", "rtsp", "rtsps", "rtspu", "sftp",
+    "shttp", "sip", "sips", "tel",
 )
 _SCHEMES_WITH_HOST = (
     "ftp", "http", "gopher", "nntp", "telnet", "imap", "wais", "file", "mms", "https", "shttp",
