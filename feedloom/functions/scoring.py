@@ -67,14 +67,15 @@ def score_articles(articles: DataFrame, weights: Weights = Weights(), lexicon: L
     lists = [*lexicon.score_terms.values(), *lexicon.label_terms.values(), lexicon.frontier_terms]
     terms = {t.lower(): f"_has{i}" for i, t in enumerate(dict.fromkeys(t.lower() for words in lists for t in words))}
 
-    def has(term: str) -> Column:
-        return F.col(terms[term.lower()])
+    # Flags are combined as SQL text: one call instead of one per term.
+    def flags(words: Iterable[str], form: str, glue: str) -> Column:
+        return F.expr(glue.join(form.format(terms[t.lower()]) for t in words))
 
     def points(component: str) -> Column:
-        return ladder(reduce(add, [has(t).cast("int") for t in lexicon.score_terms[component]]))
+        return ladder(flags(lexicon.score_terms[component], "cast({} as int)", " + "))
 
     def has_any(words: Iterable[str]) -> Column:
-        return reduce(or_, [has(t) for t in words])
+        return flags(words, "{}", " or ")
 
     searched = (
         articles.withColumn("_text", article_text(F.col("title"), F.col("summary"), F.col("source_name"), category))

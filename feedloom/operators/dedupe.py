@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, functions as F
 from feedloom.functions.text import title_key
 from feedloom.functions.urls import with_url_key
 from feedloom.operators.skew import HEAVY_FLOOR, balanced_join, heavy_keys
-from feedloom.operators.stage import staged
+from feedloom.operators.stage import staged, staged_counted
 
 MAX_ROUNDS = 10
 REMAINDER_ROWS = 200_000
@@ -61,11 +61,11 @@ def first_unique(
     narrow = keyed.select(*group, "seq", _hash(F.col("link_key")).alias("_link"), _hash(F.col("title_key")).alias("_title"))
     # Of rows equal in both keys only the first can stay: exact copies fold on the map side.
     start = narrow.groupBy(*group, "_link", "_title").agg(F.min("seq").alias("seq"))
-    open_rows = staged(start, "dedupe-open")
+    open_rows, n_open = staged_counted(start, "dedupe-open")
     by_link, by_title, by_seq = [*group, "_link"], [*group, "_title"], [*group, "seq"]
     kept_parts: list[DataFrame] = []
     rounds = 0
-    while (n_open := open_rows.count()) > 0:
+    while n_open > 0:
         if rounds >= max_rounds and n_open <= remainder_rows:
             schema = keyed.select(*by_seq).schema
             grouped = open_rows.groupBy(*group) if group else open_rows.groupBy(F.lit(0))
@@ -79,7 +79,7 @@ def first_unique(
         for keys in (by_link, by_title):
             heavy = heavy_keys(open_rows, keys, n_open, heavy_floor)
             rest = balanced_join(rest, kept.select(*keys), keys, "left_anti", heavy, "seq")
-        open_rows = staged(rest, "dedupe-open")
+        open_rows, n_open = staged_counted(rest, "dedupe-open")
         rounds += 1
     if not kept_parts:
         return keyed.select(*by_seq).limit(0)

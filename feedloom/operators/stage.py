@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -31,6 +31,13 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def staged_counted(df: DataFrame, label: str) -> tuple[DataFrame, int]:
+    """``staged`` with the number of rows, counted while they are written."""
+    seen = Observation()
+    table = staged(df.observe(seen, F.count(F.lit(1)).alias("n")), label)
+    return table, seen.get["n"]
+
+
 def spread_small(df: DataFrame, key: str) -> DataFrame:
     """Spread a table over all cores when its files give fewer tasks than there are cores.
 

@@ -18,13 +18,13 @@ from feedloom.operators.stage import staged
 from feedloom.operators.status import by_date, failed_sources, section_counts, tally
 from feedloom.settings import RunSettings
 from feedloom.sources.archive import archive_rows, archived_articles
-from feedloom.sources.cache import cached_articles
+from feedloom.sources.cache import cached_articles, rows_in_reach, serve_cache
 
 ARTICLE_COLUMNS = (
     "brief_date", "seq", "title", "url", "summary", "source_key", "source_name", "source_url",
     "category", "quality", "language", "published_at",
 )
-SCORED_COLUMNS = (
+SHORT_COLUMNS = (
     "brief_date", "seq", "title", "url", "summary_short", "stages", "source_name", "category",
     "published_at", "impact", "novelty", "source_quality", "pm_relevance", "actionability",
     "total", "keywords", "rank_total",
@@ -52,8 +52,8 @@ def dates_of(rows: DataFrame) -> DataFrame:
 class DigestInputs:
     """Tables a run reads. All articles carry the ``brief_date`` of the run they belong to.
 
-    ``cache`` carries the date it serves, ``reports`` has one ``report_date`` per digest that
-    exists already, ``sources`` are those read in this run, ``configured`` all enabled ones.
+    ``cache`` rows carry the ``run_date`` that wrote them, ``reports`` has one ``report_date`` per
+    digest that exists already, ``sources`` are those read in this run, ``configured`` all enabled.
     """
 
     dates: DataFrame
@@ -87,6 +87,23 @@ class DigestRun:
         own = self.inputs.candidates.select(*ARTICLE_COLUMNS).unionByName(self.inputs.live.select(*ARTICLE_COLUMNS))
         return recent_articles(on_dates(own, self.dates), self.settings.lookback_days)
 
+    def _short(self, articles: DataFrame) -> DataFrame:
+        """Scored and cut to short rows; every article text is read here, once."""
+        return scored_items(articles, self.settings.weights, self.settings.lexicon)
+
+    def _cached(self, dates: DataFrame) -> DataFrame:
+        """Short rows of candidates and cached articles for the given dates.
+
+        Cached articles are scored before they are copied to the dates they serve.
+        """
+        s, i = self.settings, self.inputs
+        cache = rows_in_reach(i.cache, dates, s.cache_retention_days)
+        short = self._short(cached_articles(cache, i.sources))
+        served = serve_cache(short, cache, dates, s.cache_retention_days)
+        candidates = self._short(on_dates(i.candidates, dates))
+        pool = candidates.select(*SHORT_COLUMNS).unionByName(served.select(*SHORT_COLUMNS))
+        return recent_articles(pool, max(s.lookback_days, s.cache_retention_days))
+
     @cached_property
     def _tiers(self) -> dict[str, tuple[DataFrame, DataFrame]]:
         """Per mode that is needed: (brief_date, has_content) of the dates asked, and the articles."""
@@ -99,11 +116,9 @@ class DigestRun:
             tiers[mode] = staged(marked, "tier"), articles
             return tiers[mode][0].filter(~F.col("has_content")).select("brief_date")
 
-        left = add("none", self.dates, self._fresh)
+        left = add("none", self.dates, self._short(self._fresh).select(*SHORT_COLUMNS))
         if not left.isEmpty():
-            cached = cached_articles(on_dates(i.cache, left), i.sources, s.cache_retention_days)
-            pool = on_dates(i.candidates, left).select(*ARTICLE_COLUMNS).unionByName(cached.select(*ARTICLE_COLUMNS))
-            left = add("feed_cache", left, recent_articles(pool, max(s.lookback_days, s.cache_retention_days)))
+            left = add("feed_cache", left, self._cached(left))
         if not left.isEmpty():
             days = max(s.lookback_days, s.archive_min_days)
             found = archived_articles(i.archive, i.sources, left, days, s.archive_limit, s.lexicon)
@@ -121,26 +136,20 @@ class DigestRun:
 
     @cached_property
     def pool(self) -> DataFrame:
-        """Articles of the first two tiers, before duplicates are removed."""
+        """Short rows of the first two tiers with their keys, before duplicates are removed."""
         own = [articles for mode, (_, articles) in self._tiers.items() if mode != "archive"]
-        return reduce(DataFrame.unionByName, own)
-
-    @cached_property
-    def _scored_pool(self) -> DataFrame:
-        """The pool, scored and cut to short columns: the only step that reads article texts."""
-        short = scored_items(self.pool, self.settings.weights, self.settings.lexicon)
-        return staged(with_keys(short).select(*SCORED_COLUMNS, "link_key", "title_key"), "scored")
+        return staged(with_keys(reduce(DataFrame.unionByName, own)), "pool")
 
     @cached_property
     def scored(self) -> DataFrame:
         """Scored articles of all dates without duplicates; archived ones keep their stored total."""
-        pool = self._scored_pool
-        result = pool.join(first_unique(pool, ["brief_date"]), ["brief_date", "seq"], "left_semi").select(*SCORED_COLUMNS)
+        kept = first_unique(self.pool, ["brief_date"])
+        result = self.pool.join(kept, ["brief_date", "seq"], "left_semi").select(*SHORT_COLUMNS)
         if "archive" in self._tiers:
             old = with_stages(self._tiers["archive"][1], self.settings.lexicon).withColumns(
                 {"summary_short": short_summary(F.col("summary"), F.col("title")), "rank_total": F.lit(0.0)}
             )
-            result = result.unionByName(old.select(*SCORED_COLUMNS))
+            result = result.unionByName(old.select(*SHORT_COLUMNS))
         return staged(result, "scored-unique")
 
     @cached_property
@@ -151,7 +160,7 @@ class DigestRun:
     @cached_property
     def outcome(self) -> DataFrame:
         """Per date: counts, ``fallback_mode``, ``preserved_existing`` and ``carried_date``."""
-        counts = tally({"n_pool": self._scored_pool, "scored_count": self.scored})
+        counts = tally({"n_pool": self.pool, "scored_count": self.scored})
         table = by_date(self.dates, self.date_modes, counts, section_counts(self.items))
         empty = F.col("fallback_mode").isNull()
         weak = (F.col("must_read_count") == 0) & (F.col("ai_watch_count") == 0)

@@ -15,7 +15,7 @@ from feedloom.operators import digest, health, status
 from feedloom.operators.asof import pending_dates, prior_report_dates, published_dates
 from feedloom.operators.dedupe import dedupe_articles, first_unique, with_keys
 from feedloom.operators.segments import add_rank
-from feedloom.operators.stage import fresh_folder, staged
+from feedloom.operators.stage import fresh_folder, spread_small, staged
 from feedloom.plans import adapters as a
 from feedloom.plans.daily import DigestInputs, DigestRun, recent_articles
 from feedloom.plans.validate import updated_health
@@ -74,7 +74,8 @@ def title_normalize(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def html_clean(spark: SparkSession, folder: str) -> DataFrame:
-    return a.table(spark, folder, "pages").select("page_id", clean_text(F.col("html")).alias("text"))
+    pages = spread_small(a.table(spark, folder, "pages"), "page_id")
+    return pages.select("page_id", clean_text(F.col("html")).alias("text"))
 
 
 @query
@@ -91,7 +92,7 @@ def feed_date_parse(spark: SparkSession, folder: str) -> DataFrame:
         F.date_format(at, "MMMM d, yyyy HH:mm:ss 'PDT'"),
     ]
     text = F.get(F.array(*forms), F.pmod("event_id", F.lit(len(forms))).cast("int"))
-    texts = a.table(spark, folder, "events").select("event_id", text.alias("text"))
+    texts = spread_small(a.table(spark, folder, "events"), "event_id").select("event_id", text.alias("text"))
     return d.with_feed_date(texts, "text", "parsed").select("event_id", _moment(F.col("parsed")).alias("parsed"))
 
 
@@ -288,9 +289,9 @@ def _fetched_at() -> Column:
     return F.timestamp_seconds(F.unix_seconds(F.col("brief_date").cast("timestamp")) + 8 * 3600)
 
 
-def _cache_for_dates(spark: SparkSession, folder: str, live: DataFrame, dates: DataFrame) -> DataFrame:
-    runs = c.cache_rows(live.withColumn("run_date", F.col("brief_date")), _fetched_at(), SETTINGS.cache_retention_days, ("run_date",))
-    return c.cache_as_of(runs, dates, SETTINGS.cache_retention_days)
+def _cache_runs(live: DataFrame) -> DataFrame:
+    """Cache rows written by the run of every date."""
+    return c.cache_rows(live.withColumn("run_date", F.col("brief_date")), _fetched_at(), SETTINGS.cache_retention_days, ("run_date",))
 
 
 @query
@@ -310,8 +311,9 @@ def feed_cache_upsert(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def cached_articles(spark: SparkSession, folder: str) -> DataFrame:
     live = _articles(spark, folder)
-    dates = a.run_dates(live)
-    cached = c.cached_articles(_cache_for_dates(spark, folder, live, dates), a.document_sources(spark, folder), SETTINGS.cache_retention_days)
+    runs = _cache_runs(live)
+    articles = c.cached_articles(runs, a.document_sources(spark, folder))
+    cached = c.serve_cache(articles, runs, a.run_dates(live), SETTINGS.cache_retention_days)
     return cached.select(_day(), "source_name", "category", "quality", "url", "title", _moment(F.col("published_at")).alias("published_at"))
 
 
@@ -347,7 +349,7 @@ def _run(spark: SparkSession, folder: str) -> DigestRun:
             candidates=candidates,
             live=live,
             failures=a.document_failures(spark, folder),
-            cache=_cache_for_dates(spark, folder, live, dates),
+            cache=_cache_runs(live),
             archive=staged(_archive(spark, folder), "archive"),
             sources=sources,
             configured=sources,

@@ -9,6 +9,7 @@ from feedloom.functions.scoring import article_text, label_list
 from feedloom.operators.ordering import ARCHIVE, article_seq
 from feedloom.operators.segments import add_rank, top_rows
 from feedloom.operators.skew import lookup_join
+from feedloom.operators.stage import staged
 from feedloom.settings import CHINA_RETAIL, DEFAULT_LEXICON, PRODUCT_SIGNALS, Lexicon
 
 ARCHIVE_SCHEMA = (
@@ -64,7 +65,8 @@ def newest_for_dates(archive: DataFrame, dates: DataFrame, days: int, limit: int
     usable = archive.filter((F.coalesce("url", F.lit("")) != "") & (F.coalesce("title", F.lit("")) != ""))
     day = F.to_date(record_date(F.col("published_at"), "archive date"))
     lines = usable.select("url", "line_no", day.alias("day"))
-    by_day = _newest(lines.withColumn("node", F.coalesce(_node("d", F.col("day")), F.lit("none"))), "node", limit)
+    # At most ``limit`` rows per publication day: small, and the only pass over the archive.
+    by_day = staged(_newest(lines.withColumn("node", F.coalesce(_node("d", F.col("day")), F.lit("none"))), "node", limit), "archive-days")
     dated = by_day.filter("node <> 'none'").withColumn("day", F.substring("node", 2, 10).cast("date"))
     by_month = _newest(dated.withColumn("month", F.trunc("day", "month")), "month", limit)
     by_year = _newest(by_month.withColumn("year", F.trunc("month", "year")), "year", limit)
@@ -77,7 +79,7 @@ def newest_for_dates(archive: DataFrame, dates: DataFrame, days: int, limit: int
     year_end = F.make_date(F.year(cut), F.lit(12), F.lit(31))
     next_month = F.date_add(F.last_day(cut), 1)
     months = F.when(next_month <= year_end, F.sequence(next_month, year_end, F.expr("interval 1 month")))
-    last = archive.agg(F.max(F.year(day)).alias("y")).first()["y"] or 1
+    last = dated.agg(F.max(F.year("day")).alias("y")).first()["y"] or 1
     years = F.when(F.year(cut) < last, F.sequence(F.year(cut) + 1, F.lit(last)))
     cover = F.concat(
         F.array(F.lit("none")),

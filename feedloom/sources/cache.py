@@ -48,37 +48,41 @@ def upsert_cache(
     return kept.unionByName(cache_rows(live, fetched_at, retention_days))
 
 
-def cache_as_of(
-    rows: DataFrame, dates: DataFrame, max_age_days: int = 7, heavy_floor: int = HEAVY_FLOOR
+def cached_articles(cache: DataFrame, sources: DataFrame) -> DataFrame:
+    """Cached articles with the source's *current* attributes; they need a title and a link."""
+    valid = cache.filter((F.col("title") != "") & (F.col("url") != ""))
+    own = ("item_pos", "title", "url", "summary", "published_at", "fetched_at")
+    kept = [c for c in valid.columns if c not in (*_ENTRY, *own)]
+    rows = valid.select(*kept, "source_key", *own).withColumn("summary", F.coalesce("summary", F.lit("")))
+    joined = lookup_join(rows, sources, ["source_key"], "inner", "item_pos")
+    return joined.withColumn("seq", article_seq(CACHE, F.col("source_pos"), F.col("item_pos")))
+
+
+def serve_cache(
+    articles: DataFrame, cache: DataFrame, dates: DataFrame, max_age_days: int = 7, heavy_floor: int = HEAVY_FLOOR
 ) -> DataFrame:
-    """The cache each date sees when runs follow each other: per source the newest entry up to that date.
+    """Cached articles for each date, the way a run on that date would find them.
 
-    ``rows`` are cache rows of many runs, told apart by ``run_date``. An entry can only serve the
-    dates within its age, so only (source, run) pairs are copied to those few dates, and the newest
-    run wins.
+    Cache rows carry the ``run_date`` that wrote them. Runs follow each other, so a date sees the
+    newest entry of each source up to that date, and uses it while it is not past its age. An entry
+    can serve only the few dates within that age, so just (source, run) pairs are copied to dates;
+    ``articles`` may already be scored and cut to short rows.
     """
     serves = F.explode(F.sequence(F.col("run_date"), F.date_add("run_date", max_age_days)))
     newest = (
-        rows.select("source_key", "run_date").distinct().withColumn("brief_date", serves)
-        .join(dates.select("brief_date").distinct(), "brief_date", "left_semi")
+        cache.select("source_key", "run_date").distinct().withColumn("brief_date", serves)
+        .join(F.broadcast(dates.select("brief_date").distinct()), "brief_date", "left_semi")
         .groupBy("brief_date", "source_key")
         .agg(F.max("run_date").alias("run_date"))
     )
     keys = ["source_key", "run_date"]
-    heavy = heavy_keys(rows, keys, floor=heavy_floor)
-    return balanced_join(rows, newest, keys, "inner", heavy, "item_pos").drop("run_date")
+    served = balanced_join(articles, newest, keys, "inner", heavy_keys(articles, keys, floor=heavy_floor), "item_pos")
+    return served.filter(F.col("fetched_at") >= minus_days(day_end(F.col("brief_date")), max_age_days))
 
 
-def cached_articles(cache: DataFrame, sources: DataFrame, max_age_days: int = 7) -> DataFrame:
-    """Articles of fresh cache entries, per date, with the source's *current* attributes.
-
-    ``cache`` carries the ``brief_date`` it serves. Entries without a time or past the age are left
-    out as a whole; articles need a title and a link.
-    """
-    fresh = F.col("fetched_at") >= minus_days(day_end(F.col("brief_date")), max_age_days)
-    usable = cache.filter(fresh & (F.col("title") != "") & (F.col("url") != "")).select(
-        "brief_date", "source_key", "item_pos", "title", "url",
-        F.coalesce("summary", F.lit("")).alias("summary"), "published_at",
-    )
-    joined = lookup_join(usable, sources, ["source_key"], "inner", "item_pos")
-    return joined.withColumn("seq", article_seq(CACHE, F.col("source_pos"), F.col("item_pos"))).drop("item_pos")
+def rows_in_reach(cache: DataFrame, dates: DataFrame, max_age_days: int = 7) -> DataFrame:
+    """Cache rows of the runs that can serve one of the dates at all."""
+    runs = F.explode(F.sequence(F.date_sub("brief_date", max_age_days), F.col("brief_date")))
+    needed = dates.select(runs.alias("run_date")).distinct()
+    # Calendar dates: always few enough to broadcast.
+    return cache.join(F.broadcast(needed), "run_date", "left_semi")

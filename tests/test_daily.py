@@ -103,7 +103,7 @@ def run(spark, articles):
                 candidates=articles(list(candidates)),
                 live=articles(list(live)),
                 failures=spark.createDataFrame(list(failures), "brief_date date, source_key string, source_pos int, source_name string, error string"),
-                cache=spark.createDataFrame(list(cache), f"brief_date date, {CACHE_SCHEMA}"),
+                cache=spark.createDataFrame(list(cache), f"run_date date, {CACHE_SCHEMA}"),
                 archive=spark.createDataFrame(list(archive), ARCHIVE_SCHEMA),
                 sources=known, configured=known.unionByName(known.withColumn("source_key", F.lit("T|t"))),
                 reports=spark.createDataFrame([(d,) for d in reports], "report_date date"),
@@ -138,8 +138,8 @@ def test_fresh_run(run):
     assert "- Failed sources: T" in st.status_text(made.status).first().text
 
 
-def cached(day, title, fetched, published=None):
-    return (day, "S|u", "S", "u", "old", 1, "en", fetched, 1, title, "http://c/1", published, STRONG[1])
+def cached(run_day, title, fetched, published=None):
+    return (run_day, "S|u", "S", "u", "old", 1, "en", fetched, 1, title, "http://c/1", published, STRONG[1])
 
 
 def test_cache_then_archive_then_existing_report(run):
@@ -148,7 +148,7 @@ def test_cache_then_archive_then_existing_report(run):
     made = run(
         days,
         live=[article(days[0], 1, STRONG[0])],
-        cache=[cached(days[1], STRONG[0], datetime(2024, 5, 1)), cached(days[2], STRONG[0], datetime(2024, 4, 1))],
+        cache=[cached(days[0] - timedelta(days=5), STRONG[0], datetime(2024, 4, 26))],
         archive=stored,
     )
     rows = outcome(made)

@@ -127,13 +127,14 @@ def test_cache_upsert_and_read(spark, articles):
     assert [(r.source_key, r.title) for r in emptied.collect()] == [("S|u", None)]
 
     known = spark.createDataFrame([("S|u", 7, "S", "u", "Now", 5, "zh", 2, "p")], SOURCE)
+    dated = cache.withColumn("run_date", F.lit(DAY))
     for days, titles in ((6, ["Old"]), (7, [])):
-        asked = cache.withColumn("brief_date", F.lit(DAY + timedelta(days=days)))
-        got = ca.cached_articles(asked, known).collect()
+        dates = spark.createDataFrame([(DAY + timedelta(days=days),)], "brief_date date")
+        got = ca.serve_cache(ca.cached_articles(dated, known), dated, dates).collect()
         assert [(r.title, r.category, r.quality) for r in got] == [(t, "Now", 5) for t in titles]
 
 
-def test_cache_as_of_takes_the_newest_run(spark, articles):
+def test_a_date_sees_the_newest_run(spark, articles):
     runs = []
     for offset, title in ((0, "first"), (2, "second")):
         day = DAY + timedelta(days=offset)
@@ -141,8 +142,9 @@ def test_cache_as_of_takes_the_newest_run(spark, articles):
         runs.append(ca.cache_rows(rows, F.col("brief_date").cast("timestamp"), run=("run_date",)))
     dates = spark.createDataFrame([(DAY + timedelta(days=n),) for n in range(12)], "brief_date date")
     for floor in (1, 1_000_000):
-        got = ca.cache_as_of(runs[0].unionByName(runs[1]), dates, heavy_floor=floor).collect()
-        assert {(r.brief_date - DAY).days: r.title for r in got} == {n: "first" if n < 2 else "second" for n in range(10)}
+        rows = ca.rows_in_reach(runs[0].unionByName(runs[1]), dates)
+        got = ca.serve_cache(rows, rows, dates, heavy_floor=floor).collect()
+        assert {(r.brief_date - DAY).days: r.title for r in got} == {n: "first" if n < 2 else "second" for n in range(9)}
 
 
 ARCHIVE = ar.ARCHIVE_SCHEMA
