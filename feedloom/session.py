@@ -15,6 +15,8 @@ def build_session(app: str = "feedloom", master: str | None = None, **conf: str)
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
+        # A run compiles a few hundred small classes; the default of 100 would compile them again and again.
+        "spark.sql.codegen.cache.maxEntries": "1000",
         **conf,
     }
     for key, value in settings.items():

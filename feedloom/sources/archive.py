@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from feedloom.functions.dates import iso_text, record_date
@@ -19,8 +20,16 @@ ARCHIVE_SCHEMA = (
 
 
 def read_archive(spark: SparkSession, path: str) -> DataFrame:
-    """Archive rows from JSON lines; empty lines are skipped, a malformed line stops the job."""
-    return spark.read.schema(ARCHIVE_SCHEMA).option("mode", "FAILFAST").json(path)
+    """Archive rows from JSON lines; empty lines are skipped, a malformed line stops the job.
+
+    No rows while there is no archive yet.
+    """
+    try:
+        return spark.read.schema(ARCHIVE_SCHEMA).option("mode", "FAILFAST").json(path)
+    except AnalysisException as missing:
+        if "PATH_NOT_FOUND" not in str(missing):
+            raise
+        return spark.createDataFrame([], ARCHIVE_SCHEMA)
 
 
 def archive_rows(scored: DataFrame, first_line: int = 0) -> DataFrame:
@@ -39,7 +48,8 @@ def archive_rows(scored: DataFrame, first_line: int = 0) -> DataFrame:
 
 def append_archive(rows: DataFrame, path: str) -> None:
     """Append rows as JSON lines, one folder per digest date; nothing is deduplicated."""
-    rows.withColumn("brief_date", F.col("date")).write.mode("append").partitionBy("brief_date").json(path)
+    dated = rows.withColumn("brief_date", F.col("date")).hint("rebalance", "brief_date")
+    dated.write.mode("append").partitionBy("brief_date").json(path)
 
 
 def _node(level: str, day: Column) -> Column:

@@ -74,12 +74,14 @@ def read_feeds(payloads: DataFrame, limit: int = 8) -> DataFrame:
 def feed_articles(feeds: DataFrame, sources: DataFrame) -> DataFrame:
     """Valid articles of parsed feeds, with the attributes of their source and ``seq``.
 
-    The cap was applied before this test, so invalid items use it up.
+    The cap was applied before this test, so invalid items use it up. ``fetched_at`` is kept where
+    payloads have it.
     """
-    items = feeds.select("brief_date", "source_key", "is_rss", F.posexplode("items").alias("item_pos", "item"))
+    times = [c for c in feeds.columns if c == "fetched_at"]
+    items = feeds.select("brief_date", "source_key", *times, "is_rss", F.posexplode("items").alias("item_pos", "item"))
     link = F.col("item.url")
     cleaned = with_feed_date(items.withColumn("_date", F.col("item.date")), "_date", "published_at").select(
-        "brief_date", "source_key", "item_pos",
+        "brief_date", "source_key", *times, "item_pos",
         clean_text(F.col("item.title")).alias("title"),
         F.when(F.col("is_rss"), clean_text(link)).otherwise(link).alias("url"),
         clean_text(F.col("item.summary")).alias("summary"),

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.utils import AnalysisException
 
 _VERSION = "version="
 
@@ -46,8 +46,11 @@ def write_state(df: DataFrame, path: str, version: int | None = None) -> int:
 
 
 def write_dates(df: DataFrame, path: str, form: str = "parquet") -> None:
-    """Replace the given dates of a table partitioned by ``brief_date``, leave all others."""
-    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    """Replace the given dates of a table partitioned by ``brief_date``, leave all others.
+
+    Rebalanced first: few files for a quiet date, several tasks for a crowded one.
+    """
+    writer = df.hint("rebalance", "brief_date").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy("brief_date").format(form).save(path)
 
 
