@@ -48,6 +48,11 @@ def dates_of(rows: DataFrame) -> DataFrame:
     return rows.select("brief_date").distinct()
 
 
+def _keyed(short: DataFrame) -> DataFrame:
+    """Short rows with their duplicate keys, written once: no later step reads a text again."""
+    return staged(with_keys(short), "pool")
+
+
 @dataclass(frozen=True)
 class DigestInputs:
     """Tables a run reads. All articles carry the ``brief_date`` of the run they belong to.
@@ -116,9 +121,9 @@ class DigestRun:
             tiers[mode] = staged(marked, "tier"), articles
             return tiers[mode][0].filter(~F.col("has_content")).select("brief_date")
 
-        left = add("none", self.dates, self._short(self._fresh).select(*SHORT_COLUMNS))
+        left = add("none", self.dates, _keyed(self._short(self._fresh).select(*SHORT_COLUMNS)))
         if not left.isEmpty():
-            left = add("feed_cache", left, self._cached(left))
+            left = add("feed_cache", left, _keyed(self._cached(left)))
         if not left.isEmpty():
             days = max(s.lookback_days, s.archive_min_days)
             found = archived_articles(i.archive, i.sources, left, days, s.archive_limit, s.lexicon)
@@ -138,7 +143,7 @@ class DigestRun:
     def pool(self) -> DataFrame:
         """Short rows of the first two tiers with their keys, before duplicates are removed."""
         own = [articles for mode, (_, articles) in self._tiers.items() if mode != "archive"]
-        return staged(with_keys(reduce(DataFrame.unionByName, own)), "pool")
+        return reduce(DataFrame.unionByName, own)
 
     @cached_property
     def scored(self) -> DataFrame:
