@@ -78,18 +78,20 @@ def feed_articles(feeds: DataFrame, sources: DataFrame) -> DataFrame:
     payloads have it.
     """
     times = [c for c in feeds.columns if c == "fetched_at"]
-    items = feeds.select("brief_date", "source_key", *times, "is_rss", F.posexplode("items").alias("item_pos", "item"))
+    # Sources are joined to whole feeds, before their items are unfolded.
+    named = lookup_join(feeds.filter(F.size("items") > 0), sources, ["source_key"], "inner", "brief_date")
+    own = ["brief_date", *times, *sources.columns]
+    items = named.select(*own, "is_rss", F.posexplode("items").alias("item_pos", "item"))
     link = F.col("item.url")
     cleaned = with_feed_date(items.withColumn("_date", F.col("item.date")), "_date", "published_at").select(
-        "brief_date", "source_key", *times, "item_pos",
+        *own, "item_pos",
         clean_text(F.col("item.title")).alias("title"),
         F.when(F.col("is_rss"), clean_text(link)).otherwise(link).alias("url"),
         clean_text(F.col("item.summary")).alias("summary"),
         "published_at",
     )
     valid = cleaned.filter((F.col("title") != "") & (F.col("url") != ""))
-    joined = lookup_join(valid, sources, ["source_key"], "inner", "url")
-    return joined.withColumn("seq", article_seq(LIVE, F.col("source_pos"), F.col("item_pos"))).drop("item_pos")
+    return valid.withColumn("seq", article_seq(LIVE, F.col("source_pos"), F.col("item_pos"))).drop("item_pos")
 
 
 def feed_failures(feeds: DataFrame, sources: DataFrame) -> DataFrame:

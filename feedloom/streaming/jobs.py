@@ -7,8 +7,9 @@ state version named by its number, so a batch that is repeated after a failure r
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
@@ -88,8 +89,16 @@ def drop_seen_links(articles: DataFrame, out: str, checkpoint: str, retention: s
     An article without a date takes the time it was fetched, so it is not lost to the watermark.
     Weaker than the digest's own duplicate removal, which still runs per date.
     """
+
+    def first_of_each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield batch.sort_values("event_time").drop_duplicates("link_key", keep="last")
+
     timed = with_url_key(articles.withColumn("event_time", F.coalesce("published_at", "fetched_at")))
-    unique = timed.withWatermark("event_time", retention).dropDuplicatesWithinWatermark(["link_key"])
+    # Copies within an Arrow batch go before the shuffle, so a link that is everywhere stays cheap.
+    # The latest copy stays: if any copy is in time, that one is.
+    fewer = timed.mapInPandas(first_of_each, timed.schema)
+    unique = fewer.withWatermark("event_time", retention).dropDuplicatesWithinWatermark(["link_key"])
     _finish(unique.writeStream.outputMode("append").format("parquet").option("path", out), checkpoint)
 
 
