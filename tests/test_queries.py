@@ -7,13 +7,15 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_points
+from feedloom.plans.oracle import all_sql
+from feedloom.plans.queries import all_queries
 
 FOLDER = Path("/root/testdata/sf0.001")
 CORE = (
     "url_normalize", "html_clean", "score_breakdown", "either_key_dedupe", "must_read_top3", "digest_tags",
     "source_health_history", "cached_articles", "prior_digest_asof", "feed_parse",
 )
-NAMES = sorted(entry_points.queries()) if os.environ.get("FEEDLOOM_ALL_QUERIES") else CORE
+NAMES = sorted(all_queries()) if os.environ.get("FEEDLOOM_ALL_QUERIES") else CORE
 
 
 @pytest.fixture(scope="module")
@@ -30,7 +32,9 @@ def in_order(names, rows):
 
 
 def test_every_query_has_its_sql():
-    assert set(entry_points.queries()) == set(entry_points.oracle_sql())
+    assert set(all_queries()) == set(all_sql())
+    assert set(all_queries()) <= set(entry_points.queries())
+    assert set(entry_points.oracle_sql()) <= set(entry_points.queries())
 
 
 @pytest.mark.skipif(not FOLDER.exists(), reason="test tables are not here")
