@@ -7,10 +7,27 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from feedloom.llm import bpe, simhash
-from feedloom.llm.common import read_documents
+from feedloom.llm import bpe, kd_shards, mixing, pii, quality_model, secrets, simhash
+from feedloom.llm.common import read_documents, read_table
 
 BYTE_RANKS = "byte_bpe_50k.tiktoken"
+SHARDS = 16
+
+
+def op1_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in 16 leaves of near equal bytes."""
+    placed = kd_shards.kd_shards(read_documents(spark, sf_dir), SHARDS)
+    return placed.select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
+
+
+def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of every document. A source is an owner, each of its languages a repository."""
+    owner = F.coalesce(F.col("source"), F.lit(""))
+    repository = F.concat_ws("/", owner, F.coalesce(F.col("lang"), F.lit("")))
+    found = secrets.secret_spans(read_documents(spark, sf_dir), owner, repository)
+    return found.select("doc_id", *secrets.span_columns(), "n_live", "n_copied", "max_owners")
 
 
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,6 +37,17 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", digits.alias("fingerprint"), "component_id")
 
 
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the mix takes of every document."""
+    return mixing.taken_words(*mixing.mix_plan(read_documents(spark, sf_dir))).drop("source")
+
+
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text under pseudonyms, with what was found where in the old one."""
+    found = pii.with_pseudonyms(read_documents(spark, sf_dir), found="found")
+    return found.select("doc_id", "text", *pii.counts_and_spans(F.col("found")))
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of the ids and of the decoded bytes of every document."""
     return bpe.encode_documents(
@@ -27,8 +55,29 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Score of every document by a model that learned from the labels outside the held-out fold."""
+    docs = read_documents(spark, sf_dir)
+    model = quality_model.fit(docs, read_table(spark, sf_dir, "labels"))
+    scored = quality_model.with_scores(spark, docs.select("doc_id", "text"), model)
+    return scored.select(
+        "doc_id",
+        quality_model.held_out().alias("held_out"),
+        "score",
+        (F.col("score") >= quality_model.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op3_simhash": op3_simhash, "op7_bpe": op7_bpe}
+    return {
+        "op1_kd_shards": op1_kd_shards,
+        "op2_secrets": op2_secrets,
+        "op3_simhash": op3_simhash,
+        "op4_mixing": op4_mixing,
+        "op6_pii": op6_pii,
+        "op7_bpe": op7_bpe,
+        "op8_quality": op8_quality,
+    }
 
 
 def llm_sql() -> dict[str, str]:
