@@ -194,6 +194,7 @@ def near_duplicates(
     named = members.join(heads, "fp")
     smallest = named.groupBy("root").agg(F.min("first").alias("smallest"))
     linked = named.join(smallest, "root").select("fp", "smallest")
-    classes = heads.join(linked, "fp", "left").select("fp", F.coalesce("smallest", "first").alias("component_id"))
-    # A fingerprint may be that of a third of all rows: the join has no hint, so that its large partitions can be split.
+    classes = staged(heads.join(linked, "fp", "left").select("fp", F.coalesce("smallest", "first").alias("component_id")), "simhash-classes")
+    # A fingerprint may be that of a third of all rows. Both sides are plain tables here and there is no hint, so that
+    # large partitions of this join can be split.
     return rows.join(classes, "fp").select("doc_id", "fp", "component_id")
