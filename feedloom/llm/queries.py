@@ -7,10 +7,11 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from feedloom.llm import bpe, kd_shards, mixing, pii, quality_model, secrets, simhash
+from feedloom.llm import bpe, fertility, kd_shards, licences, mixing, pii, quality_model, secrets, simhash, weighted_sampling
 from feedloom.llm.common import read_documents, read_table
 
 BYTE_RANKS = "byte_bpe_50k.tiktoken"
+PIECE_MODEL = "piece_bpe_32k.model"
 SHARDS = 16
 
 
@@ -42,6 +43,24 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken_words(*mixing.mix_plan(read_documents(spark, sf_dir))).drop("source")
 
 
+def op5_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Places of phrases, labels and score of every document."""
+    found = licences.scan_documents(spark, read_documents(spark, sf_dir))
+    starts, base = F.transform("base", lambda b: b["start"]), F.transform("base", lambda b: b["label"])
+    every = F.concat(base, F.transform("matches", lambda m: m["label"]))
+    joined = lambda labels: F.array_join(F.array_sort(F.array_distinct(labels)), ",")
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size("base").cast("bigint").alias("n_base"),
+        F.array_min(starts).alias("first_word"),
+        F.array_max(starts).alias("last_word"),
+        joined(base).alias("base_labels"),
+        joined(every).alias("labels"),
+        F.coalesce(F.array_max(F.transform("matches", lambda m: m["score"])), F.lit(0.0)).alias("score"),
+    )
+
+
 def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text under pseudonyms, with what was found where in the old one."""
     found = pii.with_pseudonyms(read_documents(spark, sf_dir), found="found")
@@ -68,15 +87,34 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts, measures and verdict of every document."""
+    rows = fertility.measure_documents(
+        spark, read_documents(spark, sf_dir), public_tokenizers.path(BYTE_RANKS), public_tokenizers.PATTERN, public_tokenizers.path(PIECE_MODEL)
+    )
+    return fertility.verdicts(rows).select(
+        *("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"),
+        *("n_tokens", "byte_chars", "piece_chars", "fallback", "entropy", "band_failed"),
+    )
+
+
+def op10_weighted_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and its edited text, and how alike they are."""
+    return weighted_sampling.fingerprints(read_documents(spark, sf_dir))
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_kd_shards": op1_kd_shards,
         "op2_secrets": op2_secrets,
         "op3_simhash": op3_simhash,
         "op4_mixing": op4_mixing,
+        "op5_licences": op5_licences,
         "op6_pii": op6_pii,
         "op7_bpe": op7_bpe,
         "op8_quality": op8_quality,
+        "op9_fertility": op9_fertility,
+        "op10_weighted_sampling": op10_weighted_sampling,
     }
 
 
