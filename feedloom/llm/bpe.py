@@ -27,9 +27,11 @@ import hashlib
 import unicodedata
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 import tiktoken
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import ArrayType, IntegerType
 
 from feedloom.llm.common import map_arrow, text_or_empty
 
@@ -195,35 +197,53 @@ def encode_documents(
     docs: DataFrame,
     rank_path: str,
     pattern: str,
-    id_col: str = "doc_id",
+    keep: tuple[str, ...] = ("doc_id",),
     text_col: str = "text",
     leaf_chars: int = LEAF_CHARS,
     digests: bool = False,
 ) -> DataFrame:
-    """(doc_id, n_tokens, ids, decoded), or with ``digests`` (doc_id, n_tokens, ids_sha256, decoded_sha256)."""
+    """Columns ``keep``, n_tokens, and ids with restored (whether they decode to the text's bytes).
+
+    With ``digests``, ids_sha256 and decoded_sha256 instead: of the decimal ids and of the decoded bytes.
+    """
     ranks = spark.sparkContext.broadcast(read_ranks(rank_path))
+    added = "n_tokens", *(("ids_sha256", "decoded_sha256") if digests else ("ids", "restored"))
 
     def per_batch(batch: pa.RecordBatch) -> pa.RecordBatch:
         codec = TreeCodec(ranks.value, pattern, leaf_chars)
         counts, first, second = [], [], []
-        for at in range(batch.num_rows):
-            ids = codec.encode(batch.column(1)[at].as_py())
+        for text in batch.column(batch.num_columns - 1):
+            text = text.as_py()
+            ids = codec.encode(text)
             decoded = codec.decode(ids)
             counts.append(len(ids))
             if digests:
                 first.append(hashlib.sha256(b" ".join([codec.decimals[x] for x in ids])).hexdigest())
                 second.append(hashlib.sha256(decoded).hexdigest())
             else:
-                first.append(ids)
-                second.append(decoded)
+                first.append(np.array(ids, np.int32))
+                second.append(decoded == text.encode())
         if digests:
-            columns = [pa.array(first, pa.string()), pa.array(second, pa.string())]
-            names = ["ids_sha256", "decoded_sha256"]
+            found = pa.array(first, pa.string())
         else:
-            columns = [pa.array(first, pa.list_(pa.int32())), pa.array(second, pa.binary())]
-            names = ["ids", "decoded"]
-        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64()), *columns], ["doc_id", "n_tokens", *names])
+            ends = np.cumsum([0, *counts], dtype=np.int32)
+            found = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(first)))
+        return pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(counts, pa.int64()), found, pa.array(second)], [*keep, *added])
+
+    kinds = ("long", "string", "string") if digests else ("long", ArrayType(IntegerType()), "boolean")
+    schema = docs.select(*keep).schema
+    for name, kind in zip(added, kinds):
+        schema = schema.add(name, kind)
+    return map_arrow(docs.select(*keep, text_or_empty(text_col).alias("__text")), per_batch, schema)
+
+
+def decode_documents(spark: SparkSession, encoded: DataFrame, rank_path: str, pattern: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
+    """(doc_id, text) from ids; bytes that are no UTF-8 become replacement signs. Null ids are none."""
+    ranks = spark.sparkContext.broadcast(read_ranks(rank_path))
+
+    def per_batch(batch: pa.RecordBatch) -> pa.RecordBatch:
+        codec = TreeCodec(ranks.value, pattern)
+        texts = [codec.decode(x or []).decode("utf-8", "replace") for x in batch.column(1).to_pylist()]
+        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], ["doc_id", "text"])
 
-    rest = "ids_sha256 string, decoded_sha256 string" if digests else "ids array<int>, decoded binary"
-    rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), text_or_empty(text_col).alias("text"))
-    return map_arrow(rows, per_batch, f"doc_id bigint, n_tokens bigint, {rest}")
+    return map_arrow(encoded.select(F.col(id_col).cast("bigint").alias("doc_id"), ids_col), per_batch, "doc_id bigint, text string")

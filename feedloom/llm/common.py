@@ -13,6 +13,7 @@ DOCUMENT_COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 SPACE = r"\x20\x09-\x0D"
 WORD = rf"[^{SPACE}]+"
 PIECE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 23
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,12 +29,17 @@ def text_or_empty(text: str = "text") -> Column:
 
 
 def map_arrow(df: DataFrame, per_batch: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str | StructType) -> DataFrame:
-    """``mapInArrow`` of a function of one batch; None adds nothing."""
+    """``mapInArrow`` of a function of one batch; None adds nothing.
+
+    Batches are cut to some ``SLICE_BYTES``, so that what a function holds at once is bounded by that and its
+    longest row.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows:
-                out = per_batch(batch)
+            rows = max(1, batch.num_rows * SLICE_BYTES // max(1, batch.nbytes))
+            for at in range(0, batch.num_rows, rows):
+                out = per_batch(batch.slice(at, rows))
                 if out is not None:
                     yield out
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
+from corpus_pipeline import run
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from feedloom.llm import bpe, fertility, kd_shards, licences, mixing, pii, quality_model, secrets, simhash, weighted_sampling
@@ -115,6 +116,7 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_quality": op8_quality,
         "op9_fertility": op9_fertility,
         "op10_weighted_sampling": op10_weighted_sampling,
+        "pipeline": run,
     }
 
 

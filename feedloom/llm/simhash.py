@@ -23,7 +23,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Observation, functions as F
+from pyspark.sql import Column, DataFrame, Observation, Window, functions as F
 
 from feedloom.llm.common import map_arrow, pieces, utf8
 from feedloom.operators.stage import staged
@@ -60,14 +60,14 @@ def _bits(shingles: list[bytes]) -> np.ndarray:
 
 
 def with_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = SHINGLE_WORDS) -> DataFrame:
-    """(doc_id, fp) of every row."""
+    """(doc_id, tie, fp) of every row; ``tie`` is a hash of the text."""
 
     def per_batch(batch: pa.RecordBatch) -> pa.RecordBatch:
-        found = [fingerprint(x, shingle_words) for x in utf8(batch.column(1))]
-        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.int64())], ["doc_id", "fp"])
+        found = [fingerprint(x, shingle_words) for x in utf8(batch.column(2))]
+        return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.int64())], ["doc_id", "tie", "fp"])
 
-    rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
-    return map_arrow(rows, per_batch, "doc_id bigint, fp bigint")
+    rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.xxhash64(F.col(text_col)).alias("tie"), F.col(text_col).alias("text"))
+    return map_arrow(rows, per_batch, "doc_id bigint, tie bigint, fp bigint")
 
 
 def _part(value: Column, shift: int, bits: int) -> Column:
@@ -179,6 +179,17 @@ def star_components(links: DataFrame) -> DataFrame:
     return stars.unionByName(stars.select(F.col("root").alias("node"), "root").distinct())
 
 
+def _classes(rows: DataFrame, max_bits: int, bucket_rows: int) -> DataFrame:
+    """(fp, head) of every distinct fingerprint: the first document (missing, doc_id, tie) of its component."""
+    document = F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "tie")
+    heads = staged(rows.groupBy("fp").agg(F.min(document).alias("first")), "simhash-heads")
+    members = star_components(near_links(heads.select("fp"), max_bits, bucket_rows)).withColumnRenamed("node", "fp")
+    named = members.join(heads, "fp")
+    smallest = named.groupBy("root").agg(F.min("first").alias("smallest"))
+    linked = named.join(smallest, "root").select("fp", "smallest")
+    return staged(heads.join(linked, "fp", "left").select("fp", F.coalesce("smallest", "first").alias("head")), "simhash-classes")
+
+
 def near_duplicates(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -189,12 +200,25 @@ def near_duplicates(
 ) -> DataFrame:
     """(doc_id, fp, component_id) of every row; component_id is the smallest id in reach over links."""
     rows = staged(with_fingerprints(docs, id_col, text_col, shingle_words), "simhash-rows")
-    heads = staged(rows.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash-heads")
-    members = star_components(near_links(heads.select("fp"), max_bits, bucket_rows)).withColumnRenamed("node", "fp")
-    named = members.join(heads, "fp")
-    smallest = named.groupBy("root").agg(F.min("first").alias("smallest"))
-    linked = named.join(smallest, "root").select("fp", "smallest")
-    classes = staged(heads.join(linked, "fp", "left").select("fp", F.coalesce("smallest", "first").alias("component_id")), "simhash-classes")
+    classes = _classes(rows, max_bits, bucket_rows).select("fp", F.col("head.doc_id").alias("component_id"))
     # A fingerprint may be that of a third of all rows. Both sides are plain tables here and there is no hint, so that
     # large partitions of this join can be split.
-    return rows.join(classes, "fp").select("doc_id", "fp", "component_id")
+    return rows.select("doc_id", "fp").join(classes, "fp").select("doc_id", "fp", "component_id")
+
+
+def one_of_each(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    shingle_words: int = SHINGLE_WORDS,
+    max_bits: int = MAX_BITS,
+    bucket_rows: int = BUCKET_ROWS,
+) -> DataFrame:
+    """``docs`` with one row of each component: that of the smallest id, and of repeated rows one."""
+    rows = staged(with_fingerprints(docs, id_col, text_col, shingle_words), "simhash-rows")
+    heads = _classes(rows, max_bits, bucket_rows).select(F.struct("head.doc_id").alias("__doc"), F.col("head.tie").alias("__tie")).distinct()
+    # Ids may be null; a struct around them is not, so it joins.
+    keyed = docs.withColumn("__doc", F.struct(F.col(id_col).cast("bigint").alias("doc_id"))).withColumn("__tie", F.xxhash64(F.col(text_col)))
+    copy = F.row_number().over(Window.partitionBy("__doc", "__tie").orderBy(F.lit(1)))
+    kept = keyed.join(heads, ["__doc", "__tie"], "left_semi").withColumn("__copy", copy).filter(F.col("__copy") == 1)
+    return kept.select(*docs.columns)
