@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from feedloom.llm import bpe, fertility, kd_shards, licences, mixing, pii, quality_model, secrets, simhash, weighted_sampling
 from feedloom.llm.common import read_documents, read_table
+from feedloom.llm.sql import llm_sql  # noqa: F401  for the entry points
 
 BYTE_RANKS = "byte_bpe_50k.tiktoken"
 PIECE_MODEL = "piece_bpe_32k.model"
@@ -119,6 +120,3 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "pipeline": run,
     }
 
-
-def llm_sql() -> dict[str, str]:
-    return {}
