@@ -71,7 +71,7 @@ TEMPLATES = (
 )
 KEYS = 5
 SLACK = 2
-MIN_SCORE = 0.6
+MIN_SCORE = 0.5
 
 #: A-Z become a-z, what is no digit, letter or part of a longer UTF-8 sequence becomes a space.
 _WORDS = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
