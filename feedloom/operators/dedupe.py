@@ -4,85 +4,96 @@ In ``seq`` order an article stays unless its link key or its title key belongs t
 already stayed; an article that goes does not claim its keys. Neither two passes of
 ``dropDuplicates`` nor connected components give this result.
 
-Done in rounds over (group, seq, link hash, title hash) only:
+Done in rounds over (group, seq, link hash, title hash) only. In a round
 
-1. per link key and per title key find the smallest seq; an article that is smallest for both stays;
-2. every article sharing a key with one that stays goes, and the rest enter the next round.
+1. every link and every title names its first two articles (cut per input partition before the shuffle);
+2. an article that is first for both keys stays;
+3. an article with a single earlier neighbour stays exactly when that one goes, so along a chain of
+   such articles every second one stays: places in chains come from pointer doubling;
+4. articles sharing a key with one that stays go, and the rest enter the next round.
 
-Each round settles at least the earliest open article of every cluster, and the open set shrinks
-fast on real data. After ``MAX_ROUNDS`` a small remainder (its size is checked) is settled by one
-ordered pass per group; a larger one simply gets more rounds. The result is exact either way.
+A round settles all chains, however long; another one is needed only behind articles with several
+earlier neighbours. There is one plan for all sizes, and the result is exact.
 """
 
 from __future__ import annotations
 
-import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from feedloom.functions.text import title_key
 from feedloom.functions.urls import with_url_key
-from feedloom.operators.skew import HEAVY_FLOOR, balanced_join, heavy_keys
+from feedloom.operators.segments import top_rows
 from feedloom.operators.stage import staged, staged_counted
 
-MAX_ROUNDS = 10
-REMAINDER_ROWS = 200_000
 
-
-def _settle_in_order(group: list[str]):
-    """Ordered pass over one group of a remainder whose total size has been checked."""
-
-    def settle(rows: pd.DataFrame) -> pd.DataFrame:
-        links, titles, stay = set(), set(), []
-        ordered = rows.sort_values("seq")
-        for link, title in zip(ordered["_link"].map(bytes), ordered["_title"].map(bytes)):
-            fresh = link not in links and title not in titles
-            if fresh:
-                links.add(link)
-                titles.add(title)
-            stay.append(fresh)
-        return ordered.loc[stay, [*group, "seq"]]
-
-    return settle
-
-
-def _hash(text):
-    """128 bits: wide enough that no two different keys of any feasible table meet."""
-    return F.unhex(F.md5(text))
-
-
-def first_unique(
-    keyed: DataFrame,
-    group: list[str],
-    max_rounds: int = MAX_ROUNDS,
-    remainder_rows: int = REMAINDER_ROWS,
-    heavy_floor: int = HEAVY_FLOOR,
-) -> DataFrame:
-    """(group, seq) of the rows that stay; ``keyed`` has group, seq, link_key and title_key."""
+def _hash(text: Column) -> Column:
+    """128 bits: wide enough that no two different keys of any feasible table meet. Null is an empty key."""
+    return F.unhex(F.md5(F.coalesce(text, F.lit(""))))
+
+
+def _unique_seq(rows: DataFrame, group: list[str]) -> DataFrame:
+    """``rows`` if no (group, seq) occurs twice; else the job stops."""
+    again = F.raise_error(F.concat(F.lit("seq is not unique: "), F.col("seq").cast("string")))
+    counted = rows.groupBy(*group, "seq").agg(F.count(F.lit(1)).alias("_n"), F.first("_link").alias("_link"), F.first("_title").alias("_title"))
+    return counted.withColumn("_link", F.when(F.col("_n") > 1, again.cast("binary")).otherwise(F.col("_link"))).drop("_n")
+
+
+def _first_two(rows: DataFrame, keys: list[str], name: str) -> DataFrame:
+    """(keys, seq, pos, first): the first two articles of every key."""
+    two = top_rows(rows, keys, ["seq"], 2, f"_pos_{name}")
+    first = two.filter(F.col(f"_pos_{name}") == 1).select(*keys, F.col("seq").alias(f"_first_{name}"))
+    return two.join(first, keys)
+
+
+def _staying(rows: DataFrame, group: list[str]) -> DataFrame:
+    """(group, seq, _link, _title) of articles that a round can tell to stay."""
+    links = _first_two(rows, [*group, "_link"], "link")
+    titles = _first_two(rows, [*group, "_title"], "title").drop("_link")
+    both = links.join(titles.withColumnRenamed("_title", "_title2"), [*group, "seq"]).filter(F.col("_title") == F.col("_title2"))
+    link_first, title_first = F.col("_pos_link") == 1, F.col("_pos_title") == 1
+    # The one earlier neighbour of an article; an article without any points to itself.
+    at = F.when(link_first & title_first, F.col("seq")).when(title_first, F.col("_first_link")).when(link_first, F.col("_first_title"))
+    narrow = [*group, "seq", "_link", "_title"]
+    state = both.withColumn("_at", at).filter(F.col("_at").isNotNull()).select(*narrow, "_at", (F.col("_at") != F.col("seq")).alias("_odd"))
+    moved = None
+    while moved != 0:
+        seen = Observation()
+        state = staged(state.observe(seen, F.count(F.lit(1)).alias("n")), "dedupe-chains")
+        if not seen.get["n"]:
+            break
+        ahead = state.select(*group, F.col("seq").alias("_at"), F.col("_at").alias("_next"), F.col("_odd").alias("_step"))
+        jumped = state.join(ahead, [*group, "_at"], "left")
+        goes = F.coalesce(F.col("_next") != F.col("_at"), F.lit(False))
+        moved = jumped.filter(goes).limit(1).count()
+        if moved:
+            state = jumped.select(
+                *narrow, F.when(goes, F.col("_next")).otherwise(F.col("_at")).alias("_at"),
+                F.when(goes, F.col("_odd") != F.col("_step")).otherwise(F.col("_odd")).alias("_odd"),
+            )
+    # A chain is settled if it ends at an article without an earlier neighbour.
+    ends = state.filter(F.col("_at") == F.col("seq")).select(*group, F.col("seq").alias("_at"))
+    return state.filter(~F.col("_odd")).join(ends, [*group, "_at"], "left_semi").select(*narrow)
+
+
+def first_unique(keyed: DataFrame, group: list[str]) -> DataFrame:
+    """(group, seq) of the rows that stay; ``keyed`` has group, seq, link_key and title_key.
+
+    Null keys count as empty ones. ``seq`` must be unique within a group, else the job stops.
+    """
     narrow = keyed.select(*group, "seq", _hash(F.col("link_key")).alias("_link"), _hash(F.col("title_key")).alias("_title"))
     # Of rows equal in both keys only the first can stay: exact copies fold on the map side.
-    start = narrow.groupBy(*group, "_link", "_title").agg(F.min("seq").alias("seq"))
+    start = _unique_seq(narrow, group).groupBy(*group, "_link", "_title").agg(F.min("seq").alias("seq"))
     open_rows, n_open = staged_counted(start, "dedupe-open")
-    by_link, by_title, by_seq = [*group, "_link"], [*group, "_title"], [*group, "seq"]
     kept_parts: list[DataFrame] = []
-    rounds = 0
     while n_open > 0:
-        if rounds >= max_rounds and n_open <= remainder_rows:
-            schema = keyed.select(*by_seq).schema
-            grouped = open_rows.groupBy(*group) if group else open_rows.groupBy(F.lit(0))
-            kept_parts.append(staged(grouped.applyInPandas(_settle_in_order(group), schema), "dedupe-kept"))
-            break
-        first_of_link = open_rows.groupBy(*by_link).agg(F.min("seq").alias("seq"))
-        first_of_title = open_rows.groupBy(*by_title).agg(F.min("seq").alias("seq"))
-        kept = staged(first_of_link.join(first_of_title, by_seq), "dedupe-kept")
-        kept_parts.append(kept.select(*by_seq))
+        kept = staged(_staying(open_rows, group), "dedupe-kept")
+        kept_parts.append(kept.select(*group, "seq"))
         rest = open_rows
-        for keys in (by_link, by_title):
-            heavy = heavy_keys(open_rows, keys, n_open, heavy_floor)
-            rest = balanced_join(rest, kept.select(*keys), keys, "left_anti", heavy, "seq")
+        for key in ("_link", "_title"):
+            rest = rest.join(kept.select(*group, key), [*group, key], "left_anti")
         open_rows, n_open = staged_counted(rest, "dedupe-open")
-        rounds += 1
     if not kept_parts:
-        return keyed.select(*by_seq).limit(0)
+        return keyed.select(*group, "seq").limit(0)
     result = kept_parts[0]
     for part in kept_parts[1:]:
         result = result.unionByName(part)
@@ -94,7 +105,7 @@ def with_keys(articles: DataFrame) -> DataFrame:
     return with_url_key(articles.withColumn("title_key", title_key(F.col("title"))))
 
 
-def dedupe_articles(articles: DataFrame, group: list[str], **options: int) -> DataFrame:
+def dedupe_articles(articles: DataFrame, group: list[str]) -> DataFrame:
     """Articles that stay, all columns; ``seq`` is unique within a group."""
-    kept = first_unique(with_keys(articles), group, **options)
+    kept = first_unique(with_keys(articles), group)
     return articles.join(kept, [*group, "seq"], "left_semi")

@@ -12,7 +12,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from feedloom.functions.dates import minus_days
 from feedloom.operators.segments import cut_segments
-from feedloom.operators.skew import HEAVY_FLOOR, balanced_join, heavy_keys
 from feedloom.settings import DNS_MARKERS, NETWORK_MARKERS
 
 HEALTH_SCHEMA = (
@@ -53,26 +52,23 @@ def run_flags(checks: DataFrame) -> DataFrame:
     )
 
 
-def usable_checks(checks: DataFrame, discard: bool = True, heavy_floor: int = HEAVY_FLOOR) -> DataFrame:
+def usable_checks(checks: DataFrame, discard: bool = True) -> DataFrame:
     """Checks with ``counts_as_failure``; runs in which the whole network was down are dropped.
 
     A failure during a name-resolution outage stays in the totals but adds nothing to the streak.
     Only flagged runs take part in the joins, and they hold failures only.
     """
     flags = run_flags(checks)
-    heavy = heavy_keys(checks, ["run_id"], floor=heavy_floor)
     kept = checks
     if discard:
         dropped = flags.filter("is_discarded").select("run_id")
-        kept = balanced_join(kept, dropped, ["run_id"], "left_anti", heavy, "seq")
+        kept = kept.join(dropped, "run_id", "left_anti")
     outages = flags.filter("is_outage").select("run_id", "is_outage")
-    marked = balanced_join(kept, outages, ["run_id"], "left", heavy, "seq")
+    marked = kept.join(outages, "run_id", "left")
     return marked.withColumn("counts_as_failure", ~F.col("ok") & F.col("is_outage").isNull()).drop("is_outage")
 
 
-def fold_health(
-    checks: DataFrame, state: DataFrame, threshold: int = 3, heavy_floor: int = HEAVY_FLOOR
-) -> DataFrame:
+def fold_health(checks: DataFrame, state: DataFrame, threshold: int = 3) -> DataFrame:
     """New health state: ``checks`` (with ``counts_as_failure``) on top of the prior ``state``.
 
     Two aggregations that combine on the map side. The first finds each source's last success; the
@@ -89,10 +85,9 @@ def fold_health(
         F.max_by("article_count", "seq").alias("_articles"),
     )
     failures = checks.filter(~F.col("ok")).select("source_key", "seq", "error", "counts_as_failure")
-    heavy = heavy_keys(checks, ["source_key"], floor=heavy_floor)
     ends = totals.select("source_key", "_last_seq", "_last_ok_seq")
     tail = (
-        balanced_join(failures, ends, ["source_key"], "inner", heavy, "seq")
+        failures.join(ends, "source_key")
         .filter(F.col("_last_ok_seq").isNull() | (F.col("seq") > F.col("_last_ok_seq")))
         .groupBy("source_key")
         .agg(

@@ -38,13 +38,8 @@ def staged_counted(df: DataFrame, label: str) -> tuple[DataFrame, int]:
     return table, seen.get["n"]
 
 
-def spread_small(df: DataFrame, key: str) -> DataFrame:
-    """Spread a table over all cores when its files give fewer tasks than there are cores.
-
-    For row-local work that is heavy on the processor. A table of any real size is left as it is.
-    """
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
+def spread_single(df: DataFrame, key: str) -> DataFrame:
+    """Spread a table that its scan reads as one task, so at most one split (128 MB by default), over all cores."""
+    if df.rdd.getNumPartitions() > 1:
         return df
-    return df.repartition(cores, key)
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, key)

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from feedloom.operators.health import source_key
 from feedloom.operators.ordering import CANDIDATE, LIVE, article_seq
-from feedloom.operators.stage import spread_small
+from feedloom.operators.stage import spread_single
 from feedloom.settings import CATEGORIES, Lexicon
 
 FIRST_DAY = "2024-01-01"
@@ -69,7 +69,7 @@ def _doc_day() -> Column:
 
 def document_articles(spark: SparkSession, folder: str) -> DataFrame:
     """Documents as live articles; the first line is the title, the rest the summary."""
-    docs = spread_small(table(spark, folder, "documents"), "doc_id")
+    docs = spread_single(table(spark, folder, "documents"), "doc_id")
     title = F.substring_index("text", "\n", 1)
     number = _source_number()
     age = F.pmod("doc_id", F.lit(9)).cast("int")
@@ -224,7 +224,7 @@ def payload_sources(payloads: DataFrame) -> DataFrame:
     """The catalogue that goes with ``document_payloads``."""
     name = F.col("source_key")
     return payloads.select(
-        "source_key", F.pmod("feed", F.lit(2**20)).cast("int").alias("source_pos"), name.alias("source_name"),
+        "source_key", F.col("feed").cast("int").alias("source_pos"), name.alias("source_name"),
         F.concat(F.lit("https://"), name).alias("source_url"), _category(F.col("feed")).alias("category"),
         F.lit(4).alias("quality"), F.lit("en").alias("language"), F.lit(2).alias("tier"),
         F.lit("skip_when_unstable").alias("failure_policy"),

@@ -16,7 +16,7 @@ from feedloom.operators.dedupe import first_unique, with_keys
 from feedloom.operators.digest import digest_documents, scored_items, section_items
 from feedloom.operators.stage import staged
 from feedloom.operators.status import by_date, failed_sources, section_counts, tally
-from feedloom.settings import RunSettings
+from feedloom.settings import WARNING_MARK, RunSettings
 from feedloom.sources.archive import archive_rows, archived_articles
 from feedloom.sources.cache import cached_articles, rows_in_reach, serve_cache
 
@@ -32,10 +32,14 @@ SHORT_COLUMNS = (
 
 
 def recent_articles(articles: DataFrame, days: int, reference: Column | None = None) -> DataFrame:
-    """Articles without a date, or not older than ``days`` before the end of their digest date."""
+    """Articles without a date, or not older than ``days`` before the end of their digest date.
+
+    What earlier runs stored about a failed feed has a marked title and is no article.
+    """
     moment = day_end(F.col("brief_date")) if reference is None else reference
     published = F.col("published_at")
-    return articles.filter(published.isNull() | (published >= minus_days(moment, days)))
+    real = ~F.coalesce(F.col("title").startswith(WARNING_MARK), F.lit(False))
+    return articles.filter(real & (published.isNull() | (published >= minus_days(moment, days))))
 
 
 def on_dates(rows: DataFrame, dates: DataFrame) -> DataFrame:
@@ -240,7 +244,7 @@ class DigestRun:
         written = self.written_dates()
         return digest_documents(on_dates(self.items, written), written, title)
 
-    def archive_rows(self, first_line: int = 0) -> DataFrame:
+    def archive_rows(self) -> DataFrame:
         """Archive rows of the dates that get a new digest, fallback articles included."""
-        return archive_rows(on_dates(self.scored, self.written_dates()), first_line)
+        return archive_rows(on_dates(self.scored, self.written_dates()))
 

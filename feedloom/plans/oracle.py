@@ -211,11 +211,11 @@ flags AS MATERIALIZED (
 )"""
 
 
-def _health(discard: bool) -> str:
+def _health(discard: bool, threshold: int = 3) -> str:
     where = "WHERE NOT is_discarded" if discard else ""
     return f"""
 hist AS MATERIALIZED (
-  SELECT *, CASE WHEN ok THEN 'healthy' WHEN streak >= 3 THEN 'unstable' ELSE 'degraded' END AS status
+  SELECT *, CASE WHEN ok THEN 'healthy' WHEN streak >= {threshold} THEN 'unstable' ELSE 'degraded' END AS status
   FROM (
     SELECT *, sum(CASE WHEN NOT ok AND NOT is_outage THEN 1 ELSE 0 END) OVER (PARTITION BY source_key, grp ORDER BY seq)::INT AS streak
     FROM (
@@ -235,6 +235,7 @@ health AS MATERIALIZED (
 
 
 HEALTH = f"WITH {CHECKS}, {_health(True)}"
+STRICT_HEALTH = f"WITH {CHECKS}, {_health(True, 1)}"
 _HEALTH_SELECT = "SELECT * EXCLUDE (ok_at) FROM health"
 _STAMP = "strftime({}, '%Y-%m-%d %H:%M:%S.%f')"
 _DAY = "strftime({0}, '%Y-%m-%d') AS {0}"
@@ -264,21 +265,25 @@ cached AS MATERIALIZED (
 )"""
 
 
+_ARCHIVE_LABELS = ", ".join(
+    [f"CASE WHEN {_any(terms)} THEN {_q(label)} END" for label, terms in FRAGMENTS.label_terms.items()]
+    + [f"CASE WHEN category = {_q(c)} THEN {_q(label)} END" for c, label in s.CATEGORY_LABELS.items()]
+)
+
+
 def _archive(dates: str) -> str:
-    """Scored documents with a date are the archive; 24 newest links per date."""
-    labels = ", ".join(f"CASE WHEN {_any(terms)} THEN {_q(label)} END" for label, terms in FRAGMENTS.label_terms.items())
-    extra = ", ".join(f"CASE WHEN category = {_q(c)} THEN {_q(label)} END" for c, label in s.CATEGORY_LABELS.items())
+    """Scored documents are the archive; 24 newest links per date."""
     return f"""{_scored('asc_', 'art', FRAGMENTS)},
 arch AS MATERIALIZED (
   SELECT * EXCLUDE (keywords, seq, impact, novelty, pm_relevance, actionability),
-    (3::BIGINT << 60) + doc_id AS seq, list_filter([{labels}, {extra}], lambda x: x IS NOT NULL)[1:5] AS keywords
-  FROM (SELECT *, lower(title || '  ' || source_name || ' ' || category) AS t FROM asc_ WHERE published_at IS NOT NULL AND title <> '')
+    (3::BIGINT << 60) + doc_id AS seq, list_filter([{_ARCHIVE_LABELS}], lambda x: x IS NOT NULL)[1:5] AS keywords
+  FROM (SELECT *, lower(title || '  ' || source_name || ' ' || category) AS t FROM asc_ WHERE title <> '')
 ),
 arch_hits AS MATERIALIZED (
   SELECT brief_date, doc_id FROM (
     SELECT brief_date, doc_id, row_number() OVER (PARTITION BY brief_date ORDER BY doc_id DESC) AS n FROM (
       SELECT d.brief_date, x.url, max(x.doc_id) AS doc_id FROM {dates} d
-      JOIN arch x ON x.published_at >= d.brief_date - INTERVAL 7 DAY GROUP BY 1, 2))
+      JOIN arch x ON x.published_at IS NULL OR x.published_at >= d.brief_date - INTERVAL 7 DAY GROUP BY 1, 2))
   WHERE n <= 24
 ),
 archived AS MATERIALIZED (
@@ -459,6 +464,12 @@ def _top(section: s.Section) -> str:
     return f"{MAIN} SELECT {BD}, pos::INT AS pos, doc_id, total FROM items WHERE section = {_q(section.name)}"
 
 
+_LISTED = f"""SELECT *, row_number() OVER (ORDER BY num) - 1 AS place, {CATEGORY.format('num')} AS category FROM (
+  SELECT DISTINCT source AS source_name, 'https://feeds.example.org/' || source AS source_url, regexp_extract(source, '(\\d+)$', 1)::INT AS num
+  FROM documents)"""
+_NEWEST = """newest_run AS MATERIALIZED (
+  SELECT * FROM art WHERE (source_key, brief_date) IN (SELECT (source_key, max(brief_date)) FROM art GROUP BY source_key)
+)"""
 _CACHE_LIVE = f"WITH {ART}, {DATES}, {_cached('art')}"
 
 
@@ -499,25 +510,38 @@ def all_sql() -> dict[str, str]:
         "source_health_final": f"{HEALTH} {_HEALTH_SELECT}",
         "source_health_history": f"WITH {CHECKS}, {_health(False)} SELECT seq, source_key, CASE WHEN ok THEN 0 ELSE streak END::INT AS streak, status FROM hist",
         "outage_runs": f"WITH {CHECKS} SELECT * FROM flags WHERE is_outage OR is_discarded",
-        "healthy_sources": f"""{HEALTH} SELECT source_key, failure_policy FROM (
+        "healthy_sources": f"""{STRICT_HEALTH} SELECT source_key, failure_policy FROM (
               SELECT *, CASE WHEN regexp_matches(source_key, '[05]$') THEN 'always_try' ELSE 'skip_when_unstable' END AS failure_policy FROM health)
             WHERE status <> 'unstable' OR failure_policy = 'always_try' OR ok_at >= TIMESTAMP '2024-02-01 12:00:00' - INTERVAL 3 DAY""",
-        "validation_counts": f"""{HEALTH} SELECT (SELECT count(*) FROM checks) AS checked, (SELECT count(*) FROM checks WHERE ok) AS healthy_now,
+        "validation_counts": f"""{STRICT_HEALTH} SELECT (SELECT count(*) FROM checks) AS checked, (SELECT count(*) FROM checks WHERE ok) AS healthy_now,
             (SELECT count(*) FROM checks WHERE NOT ok) AS failed_now, (SELECT count(*) FROM health WHERE status = 'unstable') AS unstable_total""",
-        "feed_cache_upsert": f"""WITH {ART}, newest AS (SELECT source_key, max(brief_date) AS run FROM art GROUP BY 1),
-            replaced AS (SELECT * FROM newest WHERE run > DATE '2024-01-01' + 40),
-            both_ AS (
-              SELECT a.* FROM art a JOIN replaced r ON a.source_key = r.source_key AND a.brief_date = r.run
-              UNION ALL
-              SELECT a.* FROM art a WHERE a.brief_date <= DATE '2024-01-01' + 20 AND a.source_key NOT IN (SELECT source_key FROM replaced)
-            ),
-            young AS (SELECT *, published_at IS NULL OR published_at >= brief_date + INTERVAL 8 HOUR - INTERVAL 7 DAY AS y FROM both_)
+        # The entry of a source is its newest run: what is young, and one row without an article for all that is not.
+        "feed_cache_upsert": f"""WITH {ART}, {_NEWEST}, young AS (
+              SELECT *, published_at IS NULL OR published_at >= brief_date + INTERVAL 8 HOUR - INTERVAL 7 DAY AS y FROM newest_run)
             SELECT DISTINCT source_key, {_STAMP.format("brief_date + INTERVAL 8 HOUR")} AS fetched_at, CASE WHEN y THEN doc_id END AS doc_id,
               CASE WHEN y THEN url END AS url, CASE WHEN y THEN {_STAMP.format('published_at')} END AS published_at FROM young""",
         "cached_articles": f"""{_CACHE_LIVE}, {SOURCES} SELECT {BD}, c.source_name, s.category, s.quality, url, title,
             {_STAMP.format('published_at')} AS published_at FROM cached c JOIN srcs s USING (source_name)""",
-        "archive_fallback": f"""WITH {ART}, {DATES}, {_archive('dates')} SELECT {BD}, seq, title, url, source_name, category, quality, total,
+        # The catalogue lacks src0, whose lines keep what they say and get quality 4, and has src1 twice, the later with quality 1.
+        "archive_fallback": f"""WITH {ART}, {DATES}, {_archive('dates')} SELECT {BD}, seq, title, url, source_name, category,
+            CASE source_name WHEN 'src0' THEN 4 WHEN 'src1' THEN 1 ELSE quality END AS quality, total,
             array_to_string(keywords, ',') AS keywords, {_STAMP.format('published_at')} AS published_at FROM archived""",
+        # Lines are numbered by digest date and rank in it; of the lines of a link the newest counts.
+        "archive_roundtrip": f"""WITH {ART}, {DATES}, {_archive('dates')},
+            numbered AS MATERIALIZED (
+              SELECT x.* EXCLUDE (seq), datediff('day', DATE '1970-01-01', x.brief_date) AS day,
+                row_number() OVER (PARTITION BY x.brief_date ORDER BY x.total DESC, o.seq) - 1 AS place, x.title <> '' AS usable
+              FROM (SELECT * EXCLUDE (keywords), list_filter([{_ARCHIVE_LABELS}], lambda x: x IS NOT NULL)[1:5] AS keywords
+                    FROM (SELECT *, lower(title || '  ' || source_name || ' ' || category) AS t FROM asc_)) x JOIN art o USING (doc_id)
+            ),
+            tails AS (
+              SELECT d.brief_date AS asked, x.url, arg_max(x.doc_id, (x.day, x.place)) AS doc_id, max((x.day, x.place)) AS line
+              FROM dates d JOIN numbered x ON usable AND (x.published_at IS NULL OR x.published_at >= d.brief_date - INTERVAL 7 DAY) GROUP BY 1, 2
+            ),
+            hits AS (SELECT asked, doc_id FROM (SELECT *, row_number() OVER (PARTITION BY asked ORDER BY line DESC) AS n FROM tails) WHERE n <= 24)
+            SELECT strftime(h.asked, '%Y-%m-%d') AS brief_date, (3::BIGINT << 60) + (day::BIGINT << 40) + place AS seq, title, url, source_name,
+              category, quality, total, array_to_string(keywords, ',') AS keywords, {_STAMP.format('published_at')} AS published_at
+            FROM hits h JOIN numbered x USING (doc_id)""",
         "fallback_tier": f"{RUN} SELECT {BD}, tier FROM tiers",
         "run_status": f"{RUN} SELECT {_DAY.format('brief_date')}, * EXCLUDE (brief_date) FROM status",
         "quality_gate": f"""{RUN} SELECT {BD}, len(r) = 0 AS sufficient, array_to_string(r, ',') AS reasons FROM (
@@ -526,13 +550,15 @@ def all_sql() -> dict[str, str]:
               CASE WHEN candidate_article_count + live_article_count < 20 THEN 'fresh_articles' END,
               CASE WHEN must_read_count < 2 THEN 'must_reads' END, CASE WHEN ai_watch_count < 2 THEN 'ai_watch' END,
               CASE WHEN marketplace_count < 2 THEN 'marketplace' END], lambda x: x IS NOT NULL) AS r FROM status)""",
-        "candidate_quota": f"""WITH {ART} SELECT {BD}, n_items, n_ai, n_marketplace, n_china, 0::BIGINT AS n_unknown_category,
-              n_items BETWEEN 18 AND 30 AND n_ai >= 8 AND n_marketplace >= 5 AND n_china >= 3 AS meets_quota
-            FROM (SELECT brief_date, count(*) AS n_items, count(*) FILTER (category IN ('AI Frontier', 'AI Product Video')) AS n_ai,
+        "candidate_quota": f"""WITH {ART} SELECT {BD}, n_items, n_ai, n_marketplace, n_china, n_unknown_category,
+              n_items BETWEEN 14 AND 45 AND n_ai >= 8 AND n_marketplace >= 2 AND n_china >= 3 AND n_unknown_category = 0 AS meets_quota
+            FROM (SELECT brief_date, count(*) AS n_items, count(*) FILTER (category = 'Other') AS n_unknown_category, count(*) FILTER (category IN ('AI Frontier', 'AI Product Video')) AS n_ai,
               count(*) FILTER (category = 'E-commerce & Marketplace') AS n_marketplace,
               count(*) FILTER (category = 'China Tech & Retail') AS n_china
-              FROM art WHERE doc_id IN (SELECT doc_id FROM labels WHERE quality = 1) GROUP BY 1)""",
-        "digest_archive_rows": f"""{RUN} SELECT row_number() OVER (ORDER BY e.brief_date, rank_total DESC, seq) - 1 AS line_no,
+              FROM (SELECT * REPLACE (CASE source_name WHEN 'src13' THEN 'Other' ELSE category END AS category) FROM art)
+              WHERE doc_id IN (SELECT doc_id FROM labels WHERE quality = 1) GROUP BY 1)""",
+        "digest_archive_rows": f"""{RUN} SELECT (datediff('day', DATE '1970-01-01', e.brief_date)::BIGINT << 36)
+              + row_number() OVER (PARTITION BY e.brief_date ORDER BY rank_total DESC, seq) - 1 AS line_no,
             strftime(e.brief_date, '%Y-%m-%d') AS date, title, url, source_name AS source, category, total AS score,
             strftime(published_at, '%Y-%m-%dT%H:%M:%S') || '+00:00' AS published_at
             FROM everything e JOIN status s ON s.brief_date = e.brief_date AND NOT s.preserved_existing""",
@@ -543,11 +569,31 @@ def all_sql() -> dict[str, str]:
         "source_probe": f"""WITH {FEEDS}, firsts AS (SELECT DISTINCT feed, kind FROM feed_docs)
             SELECT 'feed' || feed AS source_key, n > 0 AS ok, n::INT AS article_count,
               CASE WHEN n > 0 THEN '' WHEN kind = 2 THEN 'ParseError: not well-formed' ELSE 'no articles returned' END AS error
-            FROM (SELECT f.feed, f.kind, (SELECT count(*) FROM feed_items i WHERE i.feed = f.feed AND place = 0 AND title <> '' AND url <> '') AS n FROM firsts f)""",
+            FROM (SELECT f.feed, f.kind, (SELECT count(*) FROM feed_items i WHERE i.feed = f.feed AND place = 0 AND title <> '' AND url <> '') AS n FROM firsts f)
+            UNION ALL SELECT DISTINCT source || '|https://feeds.example.org/' || source, false, 0, 'nothing arrived' FROM documents""",
         "stream_ingest": f"WITH {FEEDS} {_FEED_SELECT}",
         "stream_health": f"{HEALTH} {_HEALTH_SELECT}",
-        "stream_cache": f"""WITH {ART} SELECT source_key, doc_id, {_STAMP.format('published_at')} AS published_at FROM art
+        "stream_cache": f"""WITH {ART}, {_NEWEST} SELECT source_key, doc_id, {_STAMP.format('published_at')} AS published_at FROM newest_run
             WHERE published_at IS NULL OR published_at >= brief_date + INTERVAL 8 HOUR - INTERVAL 7 DAY""",
         "stream_daily_counts": "SELECT strftime(ts, '%Y-%m-%d') AS day, event_type, count(*) AS n FROM events GROUP BY 1, 2",
-        "stream_dedupe": f"WITH {ART} SELECT DISTINCT link_key FROM art",
+        "stream_dedupe": f"""WITH {ART} SELECT link_key, arg_min(url, (moment, url)) AS url, {_STAMP.format('min(moment)')} AS event_time
+            FROM (SELECT *, coalesce(published_at, brief_date + INTERVAL 8 HOUR) AS moment FROM art) GROUP BY link_key""",
+        "chained_dedupe": f"""WITH RECURSIVE rows_ AS MATERIALIZED (
+              SELECT c_custkey::BIGINT AS seq, 0 AS one, 'l' || (c_custkey + 1) // 2 AS link_key,
+                CASE WHEN c_custkey % 397 <> 0 THEN 't' || c_custkey // 2 ELSE '' END AS title_key FROM customer),
+            {_dedupe('kept', 'rows_', 'one')} SELECT seq FROM kept""",
+        "catalogue_scan": f"""SELECT source_name || '|' || source_url AS source_key, place::INT AS source_pos, source_name, source_url, category,
+              CASE WHEN num % 3 <> 0 THEN 3 + num % 3 ELSE 3 END AS quality, CASE WHEN num % 4 = 1 THEN 'zh' ELSE 'en' END AS language,
+              CASE WHEN num % 5 = 0 THEN 1 ELSE 2 END AS tier,
+              CASE WHEN num % 4 = 0 THEN 'always_try' ELSE 'skip_when_unstable' END AS failure_policy
+            FROM ({_LISTED}) WHERE num % 7 <> 3""",
+        "manual_list": f"SELECT source_name AS name, source_url AS url, category, 'en' AS language, 'by hand' AS reason FROM ({_LISTED})",
+        "candidate_scan": f"""WITH {ART} SELECT {BD}, title, url, CASE WHEN doc_id % 7 <> 0 THEN summary ELSE '' END AS summary,
+              source_name || '|' || CASE WHEN doc_id % 2 = 0 THEN 'https://feeds.example.org/' || source_name ELSE url END AS source_key,
+              CASE WHEN doc_id % 3 = 0 THEN quality ELSE 4 END AS quality, CASE WHEN doc_id % 5 = 0 THEN lang ELSE 'en' END AS language,
+              {_STAMP.format('published_at')} AS published_at
+            FROM art WHERE doc_id IN (SELECT doc_id FROM labels WHERE quality = 1)""",
+        "status_sink": f"""WITH {ART} SELECT {BD}, count(*) AS n, max(doc_id) AS last, CASE WHEN day(brief_date) % 2 = 0 THEN 2 ELSE 1 END::INT AS run
+            FROM art GROUP BY art.brief_date""",
+        "digest_latest": f"SELECT * FROM ({_document()}) ORDER BY brief_date DESC LIMIT 1",
     }

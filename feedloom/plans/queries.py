@@ -15,15 +15,18 @@ from feedloom.operators import digest, health, status
 from feedloom.operators.asof import pending_dates, prior_report_dates, published_dates
 from feedloom.operators.dedupe import dedupe_articles, first_unique, with_keys
 from feedloom.operators.segments import add_rank
-from feedloom.operators.stage import fresh_folder, spread_small, staged
+from feedloom.operators.stage import fresh_folder, spread_single, staged
 from feedloom.plans import adapters as a
 from feedloom.plans.daily import DigestInputs, DigestRun, recent_articles
 from feedloom.plans.validate import updated_health
 from feedloom.session import use_utc
-from feedloom.settings import DEPLOYED_WEIGHTS, RunSettings
+from feedloom.settings import DEPLOYED_WEIGHTS, Quota, RunSettings
 from feedloom.sources import cache as c
-from feedloom.sources.archive import archived_articles
+from feedloom.sources.archive import append_archive, archive_rows, archived_articles, read_archive
+from feedloom.sources.candidates import candidate_articles, read_candidates
+from feedloom.sources.catalogue import enabled_sources, manual_sources, read_catalogue
 from feedloom.sources.feeds import feed_articles, probe_sources, read_feeds
+from feedloom.sources.tables import latest_row, write_dates
 from feedloom.streaming import jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -74,7 +77,7 @@ def title_normalize(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def html_clean(spark: SparkSession, folder: str) -> DataFrame:
-    pages = spread_small(a.table(spark, folder, "pages"), "page_id")
+    pages = spread_single(a.table(spark, folder, "pages"), "page_id")
     return pages.select("page_id", clean_text(F.col("html")).alias("text"))
 
 
@@ -92,7 +95,7 @@ def feed_date_parse(spark: SparkSession, folder: str) -> DataFrame:
         F.date_format(at, "MMMM d, yyyy HH:mm:ss 'PDT'"),
     ]
     text = F.get(F.array(*forms), F.pmod("event_id", F.lit(len(forms))).cast("int"))
-    texts = spread_small(a.table(spark, folder, "events"), "event_id").select("event_id", text.alias("text"))
+    texts = spread_single(a.table(spark, folder, "events"), "event_id").select("event_id", text.alias("text"))
     return d.with_feed_date(texts, "text", "parsed").select("event_id", _moment(F.col("parsed")).alias("parsed"))
 
 
@@ -155,6 +158,21 @@ def either_key_dedupe(spark: SparkSession, folder: str) -> DataFrame:
     return dedupe_articles(a.page_articles(spark, folder).select("seq", "title", "url"), []).select("seq", "url")
 
 
+@query
+def chained_dedupe(spark: SparkSession, folder: str) -> DataFrame:
+    """Customers in chains of hundreds: each shares its link with the one before and its title with the one after.
+
+    Some have no title key; they share the empty one.
+    """
+    n = F.col("c_custkey")
+    rows = a.table(spark, folder, "customer").select(
+        n.cast("bigint").alias("seq"),
+        F.concat(F.lit("l"), F.floor((n + 1) / 2).cast("string")).alias("link_key"),
+        F.when(n % 397 != 0, F.concat(F.lit("t"), F.floor(n / 2).cast("string"))).alias("title_key"),
+    )
+    return first_unique(rows, [])
+
+
 @query
 def either_key_dedupe_by_date(spark: SparkSession, folder: str) -> DataFrame:
     kept = dedupe_articles(_articles(spark, folder).select("brief_date", "seq", "title", "url", "doc_id"), ["brief_date"])
@@ -231,8 +249,9 @@ def _no_health(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], health.HEALTH_SCHEMA)
 
 
-def _health(spark: SparkSession, folder: str) -> DataFrame:
-    return updated_health(a.event_checks(spark, folder), _no_health(spark), SETTINGS.failure_threshold)
+def _strict_health(spark: SparkSession, folder: str) -> DataFrame:
+    """Health by which a single failure makes a source unstable."""
+    return staged(updated_health(a.event_checks(spark, folder), _no_health(spark), 1), "health")
 
 
 def _health_columns(state: DataFrame) -> DataFrame:
@@ -245,7 +264,11 @@ def _health_columns(state: DataFrame) -> DataFrame:
 
 @query
 def source_health_final(spark: SparkSession, folder: str) -> DataFrame:
-    return _health_columns(_health(spark, folder))
+    """The second half of the checks on top of the state that the first half left."""
+    checks = a.event_checks(spark, folder)
+    second = F.col("checked_at") >= F.lit("2024-01-15").cast("timestamp")
+    before = staged(updated_health(checks.filter(~second), _no_health(spark), SETTINGS.failure_threshold), "health")
+    return _health_columns(updated_health(checks.filter(second), before, SETTINGS.failure_threshold))
 
 
 @query
@@ -263,7 +286,7 @@ def outage_runs(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def healthy_sources(spark: SparkSession, folder: str) -> DataFrame:
-    state = staged(_health(spark, folder), "health")
+    state = _strict_health(spark, folder)
     sources = state.select(
         "source_key",
         F.when(F.col("source_key").rlike(r"[05]$"), "always_try").otherwise("skip_when_unstable").alias("failure_policy"),
@@ -274,7 +297,7 @@ def healthy_sources(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def validation_counts(spark: SparkSession, folder: str) -> DataFrame:
-    return health.validation_counts(a.event_checks(spark, folder), _health(spark, folder))
+    return health.validation_counts(a.event_checks(spark, folder), _strict_health(spark, folder))
 
 
 # Cache, archive and fallbacks.
@@ -296,16 +319,16 @@ def _cache_runs(live: DataFrame) -> DataFrame:
 
 @query
 def feed_cache_upsert(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents in two upserts; some sources deliver in both halves, and several times in each."""
     live = _articles(spark, folder)
-    middle = F.date_add(F.lit(a.FIRST_DAY).cast("date"), 20)
-    newest = live.groupBy("source_key").agg(F.max("brief_date").alias("brief_date"))
-    second = live.join(newest, ["source_key", "brief_date"]).filter(F.col("brief_date") > F.date_add(middle, 20))
-    old = c.cache_rows(live.filter(F.col("brief_date") <= middle), _fetched_at(), SETTINGS.cache_retention_days)
-    merged = c.upsert_cache(old, second, _fetched_at(), SETTINGS.cache_retention_days)
+    second = F.col("brief_date") > F.date_add(F.lit(a.FIRST_DAY).cast("date"), 40)
+    nothing = spark.createDataFrame([], c.CACHE_SCHEMA)
+    old = staged(c.upsert_cache(nothing, live.filter(~second), _fetched_at(), SETTINGS.cache_retention_days), "cache")
+    merged = c.upsert_cache(old, live.filter(second), _fetched_at(), SETTINGS.cache_retention_days)
     return merged.select(
         "source_key", _moment(F.col("fetched_at")).alias("fetched_at"), F.col("item_pos").alias("doc_id"), "url",
         _moment(F.col("published_at")).alias("published_at"),
-    ).distinct()
+    )
 
 
 @query
@@ -318,8 +341,8 @@ def cached_articles(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _archive(spark: SparkSession, folder: str) -> DataFrame:
-    """Documents with a date as an archive in document order; their stored score is the custom one."""
-    scored = score_articles(_articles(spark, folder).filter("published_at is not null"), SETTINGS.weights, SETTINGS.lexicon)
+    """Documents as an archive in document order; their stored score is the custom one."""
+    scored = score_articles(_articles(spark, folder), SETTINGS.weights, SETTINGS.lexicon)
     return scored.select(
         F.date_format("brief_date", "yyyy-MM-dd").alias("date"), "title", "url", F.col("source_name").alias("source"),
         "category", F.col("total").alias("score"), d.iso_text(F.col("published_at")).alias("published_at"),
@@ -327,17 +350,44 @@ def _archive(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-@query
-def archive_fallback(spark: SparkSession, folder: str) -> DataFrame:
-    dates = a.run_dates(_articles(spark, folder))
-    archive = staged(_archive(spark, folder), "archive")
-    found = archived_articles(archive, a.document_sources(spark, folder), dates, 7, SETTINGS.archive_limit, SETTINGS.lexicon)
+def _fallback_columns(found: DataFrame) -> DataFrame:
     return found.select(
         _day(), "seq", "title", "url", "source_name", "category", "quality", "total", _joined("keywords"),
         _moment(F.col("published_at")).alias("published_at"),
     )
 
 
+def _catalogue_with_twin(spark: SparkSession, folder: str) -> DataFrame:
+    """Sources without the first, and with a second entry by the name of another, so that names miss and repeat."""
+    sources = a.document_sources(spark, folder)
+    twin = sources.filter("source_name = 'src1'").withColumns(
+        {"source_pos": F.col("source_pos") + 1000, "quality": F.lit(1), "source_key": F.lit("src1|twin")}
+    )
+    return sources.filter("source_name <> 'src0'").unionByName(twin)
+
+
+@query
+def archive_fallback(spark: SparkSession, folder: str) -> DataFrame:
+    dates = a.run_dates(_articles(spark, folder))
+    archive = staged(_archive(spark, folder), "archive")
+    found = archived_articles(archive, _catalogue_with_twin(spark, folder), dates, 7, SETTINGS.archive_limit, SETTINGS.lexicon)
+    return _fallback_columns(found)
+
+
+@query
+def archive_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
+    """Digest lines of all documents, appended twice over a stored archive, read back and fallen back to."""
+    scored = staged(digest.scored_items(_articles(spark, folder), SETTINGS.weights, SETTINGS.lexicon), "scored")
+    path = fresh_folder(spark, "archive")
+    middle = F.col("brief_date") > F.date_add(F.lit(a.FIRST_DAY).cast("date"), 30)
+    for part in (scored.filter(~middle), scored.filter(middle), scored.filter(middle)):  # the last one is repeated
+        append_archive(archive_rows(part), path)
+    dates = a.run_dates(_articles(spark, folder))
+    stored = read_archive(spark, path)
+    found = archived_articles(stored, a.document_sources(spark, folder), dates, 7, SETTINGS.archive_limit, SETTINGS.lexicon)
+    return _fallback_columns(found)
+
+
 def _run(spark: SparkSession, folder: str) -> DigestRun:
     candidates, live = _live(spark, folder)
     candidates, live = staged(candidates, "candidates"), staged(live, "live")
@@ -386,7 +436,12 @@ def quality_gate(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def candidate_quota(spark: SparkSession, folder: str) -> DataFrame:
-    return status.candidate_quota(_live(spark, folder)[0]).withColumn("brief_date", F.date_format("brief_date", "yyyy-MM-dd"))
+    """By targets that some dates meet; one source has a category that is not known."""
+    candidates = _live(spark, folder)[0]
+    category = F.when(F.col("source_name") == "src13", "Other").otherwise(F.col("category"))
+    quota = Quota(min_items=14, max_items=45, min_marketplace=2)
+    counted = status.candidate_quota(candidates.withColumn("category", category), quota)
+    return counted.withColumn("brief_date", F.date_format("brief_date", "yyyy-MM-dd"))
 
 
 @query
@@ -410,6 +465,85 @@ def pending_digest_dates(spark: SparkSession, folder: str) -> DataFrame:
     return pending_dates(a.run_dates(articles), published_dates(documents, TITLE)).select(_day())
 
 
+# Scans and sinks, over files written from the tables.
+
+
+def _text_file(df: DataFrame, value: Column, path: str) -> str:
+    df.select(value.alias("value")).coalesce(1).write.text(path)
+    return path
+
+
+def _catalogue(spark: SparkSession, folder: str) -> DataFrame:
+    """A catalogue document: the sources of documents, some switched off, some without optional fields."""
+    sources = a.document_sources(spark, folder)
+    n = F.col("source_pos")
+    listed = F.struct(
+        F.col("source_name").alias("name"), F.col("source_url").alias("url"), "category",
+        F.when(n % 3 != 0, F.col("quality")).alias("quality"), F.when(n % 4 == 1, "zh").alias("language"),
+        F.when(n % 5 == 0, 1).alias("tier"), F.when(n % 2 == 0, F.col("failure_policy")).alias("failure_policy"),
+        F.when(n % 7 == 3, False).when(n % 7 == 4, True).alias("enabled"),
+    )
+    by_hand = F.struct(
+        F.col("source_name").alias("name"), F.col("source_url").alias("url"), "category", F.lit("en").alias("language"), F.lit("by hand").alias("reason")
+    )
+    in_order = lambda item: F.transform(F.array_sort(F.collect_list(F.struct(n.alias("n"), item.alias("item")))), lambda x: x["item"])
+    # A catalogue is one document that people keep; here one entry per source.
+    document = sources.agg(in_order(listed).alias("sources"), in_order(by_hand).alias("manual_sources"))
+    return read_catalogue(spark, _text_file(document, F.to_json(F.struct("sources", "manual_sources")), fresh_folder(spark, "catalogue")))
+
+
+@query
+def catalogue_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return enabled_sources(_catalogue(spark, folder))
+
+
+@query
+def manual_list(spark: SparkSession, folder: str) -> DataFrame:
+    return manual_sources(_catalogue(spark, folder))
+
+
+@query
+def candidate_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """Good documents as candidate files of a few hundred items, optional fields left out in part."""
+    candidates = _live(spark, folder)[0]
+    n = F.col("doc_id")
+    item = F.struct(
+        "title", "url", F.col("source_name").alias("source"), F.when(n % 2 == 0, F.col("source_url")).alias("source_url"), "category",
+        F.when(n % 3 == 0, F.col("quality")).alias("quality"), F.when(n % 5 == 0, F.col("language")).alias("language"),
+        d.iso_text(F.col("published_at")).alias("published_at"), F.when(n % 7 != 0, F.col("summary")).alias("summary"),
+    )
+    listed = candidates.groupBy("brief_date", F.floor(n / 500).alias("_file")).agg(
+        F.to_json(F.transform(F.array_sort(F.collect_list(F.struct("doc_id", item.alias("item")))), lambda x: x["item"])).alias("value")
+    )
+    root = fresh_folder(spark, "candidates")
+    days = listed.select("value", F.date_format("brief_date", "yyyy-MM-dd").alias("day"), "_file")
+    days.write.partitionBy("day", "_file").text(root)
+    found = read_candidates(spark, root)
+    return candidate_articles(found).select(
+        _day(), "title", "url", "summary", "source_key", "quality", "language", _moment(F.col("published_at")).alias("published_at")
+    )
+
+
+@query
+def status_sink(spark: SparkSession, folder: str) -> DataFrame:
+    """Daily counts written as dated tables, then some dates once more; a rewritten date is replaced, others stay."""
+    articles = _articles(spark, folder)
+    counts = staged(articles.groupBy("brief_date").agg(F.count(F.lit(1)).alias("n"), F.max("doc_id").alias("last")), "counts")
+    path = fresh_folder(spark, "status")
+    write_dates(counts.withColumn("run", F.lit(1)), path)
+    write_dates(counts.filter(F.dayofmonth("brief_date") % 2 == 0).withColumn("run", F.lit(2)), path)
+    return spark.read.parquet(path).select(_day(), "n", "last", "run")
+
+
+@query
+def digest_latest(spark: SparkSession, folder: str) -> DataFrame:
+    """The newest document of the digests written to their sink."""
+    dates = a.run_dates(_articles(spark, folder))
+    path = fresh_folder(spark, "documents")
+    write_dates(digest.digest_documents(staged(_items(spark, folder), "items"), dates, TITLE), path)
+    return latest_row(spark.read.parquet(path)).select(_day(), "document")
+
+
 # Feeds.
 
 
@@ -430,21 +564,25 @@ def feed_parse(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def source_probe(spark: SparkSession, folder: str) -> DataFrame:
     payloads = _payloads(spark, folder)
-    checks = probe_sources(payloads, a.payload_sources(payloads), F.lit("r1"), F.col("brief_date").cast("timestamp"))
+    # Sources of single documents are in the catalogue too; nothing arrives for them.
+    sources = a.payload_sources(payloads)
+    sources = sources.unionByName(a.document_sources(spark, folder).select(*sources.columns))
+    checks = probe_sources(payloads, sources, F.lit("r1"), F.col("brief_date").cast("timestamp"))
     return checks.select("source_key", "ok", "article_count", "error")
 
 
 # Streams.
 
 
-def _stream(spark: SparkSession, folder: str, name: str, df: DataFrame | None = None) -> DataFrame:
-    """A table as a stream: the table's own files, or ``df`` written as files first."""
+def _stream(spark: SparkSession, folder: str, name: str, df: DataFrame | None = None, per_batch: int | None = None) -> DataFrame:
+    """A table as a stream: the table's own files, or ``df`` written as files first; ``per_batch`` files at a time."""
     if df is None:
         schema = a.table(spark, folder, name).schema
         return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(folder)
     path = fresh_folder(spark, name)
     df.write.parquet(path)
-    return spark.readStream.schema(df.schema).parquet(path)
+    reader = spark.readStream.schema(df.schema)
+    return (reader if per_batch is None else reader.option("maxFilesPerTrigger", per_batch)).parquet(path)
 
 
 @query
@@ -466,7 +604,9 @@ def stream_health(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def stream_cache(spark: SparkSession, folder: str) -> DataFrame:
     out = fresh_folder(spark, "stream-cache")
-    live = _stream(spark, folder, "live", _articles(spark, folder).withColumn("fetched_at", _fetched_at()))
+    # Runs come in several batches and in no order of their dates.
+    articles = _articles(spark, folder).withColumn("fetched_at", _fetched_at()).repartition(3, "brief_date")
+    live = _stream(spark, folder, "live", articles, per_batch=1)
     jobs.update_cache(live, f"{out}/data", f"{out}/log", SETTINGS.cache_retention_days)
     cached = jobs.read_cache(spark, f"{out}/data").filter("title is not null")
     return cached.select("source_key", F.col("item_pos").alias("doc_id"), _moment(F.col("published_at")).alias("published_at"))
@@ -485,4 +625,4 @@ def stream_dedupe(spark: SparkSession, folder: str) -> DataFrame:
     out = fresh_folder(spark, "stream-dedupe")
     live = _articles(spark, folder).select("url", "published_at", _fetched_at().alias("fetched_at"))
     jobs.drop_seen_links(_stream(spark, folder, "links", live), f"{out}/data", f"{out}/log", "60 days")
-    return spark.read.parquet(f"{out}/data").select("link_key")
+    return spark.read.parquet(f"{out}/data").select("link_key", "url", _moment(F.col("event_time")).alias("event_time"))

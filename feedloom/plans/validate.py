@@ -4,14 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from feedloom.operators.health import fold_health, usable_checks
+from feedloom.operators.health import HEALTH_SCHEMA, fold_health, usable_checks
+from feedloom.operators.stage import staged
 from feedloom.sources.tables import read_state, write_state
-from feedloom.operators.health import HEALTH_SCHEMA
 
 
 def updated_health(checks: DataFrame, state: DataFrame, threshold: int = 3) -> DataFrame:
-    """New state after all runs in ``checks``; runs with the whole network down change nothing."""
-    return fold_health(usable_checks(checks), state, threshold)
+    """New state after all runs in ``checks``; runs with the whole network down change nothing.
+
+    The raw checks are read twice, for the flags of runs and for the narrow marked checks all later steps use.
+    """
+    columns = ("source_key", "name", "url", "ok", "article_count", "error", "checked_at", "seq", "counts_as_failure")
+    return fold_health(staged(usable_checks(checks).select(*columns), "checks"), state, threshold)
 
 
 def update_health_table(checks: DataFrame, path: str, threshold: int = 3, version: int | None = None) -> int:

@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from feedloom import wording
 from feedloom.operators.asof import pending_dates
 from feedloom.operators.health import HEALTH_SCHEMA, sources_to_read
-from feedloom.operators.skew import balanced_join, heavy_keys
 from feedloom.operators.stage import staged
 from feedloom.plans.daily import DigestInputs, DigestRun
 from feedloom.settings import RunSettings, Weights
@@ -17,7 +16,7 @@ from feedloom.sources.archive import append_archive, read_archive
 from feedloom.sources.cache import CACHE_SCHEMA, cache_rows, upsert_cache
 from feedloom.sources.candidates import candidate_articles
 from feedloom.sources.catalogue import enabled_sources
-from feedloom.sources.feeds import feed_articles, feed_failures, read_feeds
+from feedloom.sources.feeds import feed_articles, feed_failures, newest_payloads, read_feeds
 from feedloom.sources.tables import read_or_empty, read_state, write_dates, write_state
 
 
@@ -65,8 +64,7 @@ def settings_of(catalogue: DataFrame, base: RunSettings = RunSettings()) -> RunS
 def newest_run(live: DataFrame) -> DataFrame:
     """Articles of each source's newest run."""
     newest = live.groupBy("source_key").agg(F.max("brief_date").alias("brief_date"))
-    keys = ["source_key", "brief_date"]
-    return balanced_join(live, newest, keys, "left_semi", heavy_keys(live, keys), "seq")
+    return live.join(newest, ["source_key", "brief_date"], "left_semi")
 
 
 def run_digests(
@@ -91,7 +89,7 @@ def run_digests(
 
     reports = read_or_empty(spark, folders.documents, "document string, brief_date date").select("brief_date")
     todo = staged(pending_dates(dates.select("brief_date").distinct(), reports), "todo")
-    wanted = payloads.join(F.broadcast(todo), "brief_date", "left_semi").join(sources.select("source_key"), "source_key", "left_semi")
+    wanted = newest_payloads(payloads).join(F.broadcast(todo), "brief_date", "left_semi").join(sources.select("source_key"), "source_key", "left_semi")
     feeds = staged(read_feeds(wanted, settings.items_per_source), "feeds")
     live = staged(feed_articles(feeds, sources), "live")
 
@@ -110,10 +108,10 @@ def run_digests(
     )
     status = staged(run.status, "status")
     documents = staged(run.documents(title), "documents")
-    last = archive.agg(F.max("line_no").alias("n")).first()["n"]
-    lines = staged(run.archive_rows(0 if last is None else last + 1), "archive-new")
+    lines = staged(run.archive_rows(), "archive-new")
 
-    # All results are on shared storage before the first table changes.
+    # All results are on shared storage before the first table changes. Every table replaces what a run of the
+    # same dates left, and documents, which tell what is still to do, come last.
     write_state(upsert_cache(stored, newest_run(live), F.col("fetched_at"), settings.cache_retention_days), folders.cache)
     append_archive(lines, folders.archive)
     write_dates(status, folders.status)

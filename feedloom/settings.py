@@ -181,6 +181,9 @@ class Quota:
     min_china: int = 3
 
 
+# Fixed value: how titles of stored fetch failures begin.
+WARNING_MARK = "[Fetch warning]"
+
 # Error texts of a name-resolution outage, and of any network-wide failure.
 DNS_MARKERS = ("nodename nor servname provided", "temporary failure in name resolution")
 NETWORK_MARKERS = (

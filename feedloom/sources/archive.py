@@ -1,22 +1,28 @@
-"""The archive: every article of every written digest, in the order it was appended (``line_no``)."""
+"""The archive: every article of every written digest, in the order of ``line_no``.
+
+A line's number is its digest date and its rank within that digest, so no run needs to read the archive to go
+on numbering, and a digest that is written again replaces its own lines.
+"""
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from feedloom.functions.dates import iso_text, record_date
 from feedloom.functions.scoring import article_text, label_list
 from feedloom.operators.ordering import ARCHIVE, article_seq
 from feedloom.operators.segments import add_rank, top_rows
-from feedloom.operators.skew import lookup_join
 from feedloom.operators.stage import staged
 from feedloom.settings import CHINA_RETAIL, DEFAULT_LEXICON, PRODUCT_SIGNALS, Lexicon
+from feedloom.sources.tables import exists
 
 ARCHIVE_SCHEMA = (
     "date string, title string, url string, source string, category string, score double,"
     " published_at string, line_no bigint"
 )
+_COLUMNS = ("date", "title", "url", "source", "category", "score", "published_at", "line_no")
+#: Lines of one digest date; more stop the job.
+LINES_PER_DATE = 2**36
 
 
 def read_archive(spark: SparkSession, path: str) -> DataFrame:
@@ -24,32 +30,44 @@ def read_archive(spark: SparkSession, path: str) -> DataFrame:
 
     No rows while there is no archive yet.
     """
-    try:
-        return spark.read.schema(ARCHIVE_SCHEMA).option("mode", "FAILFAST").json(path)
-    except AnalysisException as missing:
-        if "PATH_NOT_FOUND" not in str(missing):
-            raise
+    if not exists(spark, path):
         return spark.createDataFrame([], ARCHIVE_SCHEMA)
+    # The folders of a stored archive give a further column.
+    return spark.read.schema(ARCHIVE_SCHEMA).option("mode", "FAILFAST").json(path).select(*_COLUMNS)
+
 
+def archive_line(day: Column, rank: Column) -> Column:
+    """Number of a line: its digest date, then its rank (1, 2, ...) there."""
+    number = F.unix_date(day).cast("bigint") * F.lit(LINES_PER_DATE) + rank - 1
+    return F.when(rank <= LINES_PER_DATE, number).otherwise(F.raise_error(F.lit("too many lines of a date")).cast("bigint"))
 
-def archive_rows(scored: DataFrame, first_line: int = 0) -> DataFrame:
-    """Archive rows of scored articles; lines follow date and rank, from ``first_line``."""
+
+def archive_rows(scored: DataFrame) -> DataFrame:
+    """Archive rows of scored articles; lines follow date and rank."""
     ranked = add_rank(
         scored.select("brief_date", "title", "url", "source_name", "category", "total", "published_at", "rank_total", "seq"),
-        [], [F.asc("brief_date"), F.desc("rank_total"), F.asc("seq")], "_line",
+        ["brief_date"], [F.desc("rank_total"), F.asc("seq")], "_line",
     )
     return ranked.select(
         F.date_format("brief_date", "yyyy-MM-dd").alias("date"), "title", "url",
         F.col("source_name").alias("source"), "category", F.col("total").alias("score"),
         iso_text(F.col("published_at")).alias("published_at"),
-        (F.col("_line") + (first_line - 1)).alias("line_no"),
+        archive_line(F.col("brief_date"), F.col("_line")).alias("line_no"),
     )
 
 
 def append_archive(rows: DataFrame, path: str) -> None:
-    """Append rows as JSON lines, one folder per digest date; nothing is deduplicated."""
+    """Add the lines of digest dates as JSON, one folder per date; nothing is deduplicated.
+
+    The folder of a date is written as a whole, so a run that is repeated leaves each line once.
+    """
     dated = rows.withColumn("brief_date", F.col("date")).hint("rebalance", "brief_date")
-    dated.write.mode("append").partitionBy("brief_date").json(path)
+    dated.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("brief_date").json(path)
+
+
+def line_place(line_no: Column) -> tuple[Column, Column]:
+    """A line's place in ``seq``: days since 1970 (from 1970 on), and rank."""
+    return F.floor(line_no / LINES_PER_DATE), F.pmod(line_no, F.lit(LINES_PER_DATE))
 
 
 def _node(level: str, day: Column) -> Column:
@@ -58,47 +76,52 @@ def _node(level: str, day: Column) -> Column:
 
 
 def _newest(rows: DataFrame, by: str, limit: int) -> DataFrame:
-    """Newest line of every link of a group, then the ``limit`` newest lines of the group."""
-    lines = rows.groupBy(by, "url").agg(F.max("line_no").alias("line_no"))
+    """Newest line of every link of a group, then the ``limit`` newest lines of the group, with their ``line``."""
+    lines = rows.groupBy(by, "url").agg(F.max("line_no").alias("line_no"), F.max_by("line", "line_no").alias("line"))
     return top_rows(lines, [by], [F.desc("line_no")], limit, "_n").drop("_n")
 
 
 def newest_for_dates(archive: DataFrame, dates: DataFrame, days: int, limit: int = 24) -> DataFrame:
-    """(brief_date, line_no): per date the newest ``limit`` distinct links published since its cutoff.
+    """(brief_date, archive columns): per date the newest ``limit`` distinct links published since its cutoff.
 
     The cutoff is ``days`` before the start of the date and there is no upper bound, so a date
     needs a whole tail of publication days. Each day, month and year is first reduced to its own
     newest ``limit`` links, which loses nothing: a link among the newest of a tail is among the
     newest of its own day. A date then reads the days to the end of the cutoff's month, the months
-    to the end of that year, and the later years: equi-joins on a few dozen small nodes.
+    to the end of that year, and the later years: equi-joins on a few dozen small nodes. Years after
+    the next one of the last date are one node, so a wild publication date adds nothing.
     """
+    last = dates.agg(F.max(F.year("brief_date")).alias("y")).first()["y"]
+    if last is None:
+        return archive.limit(0).select(F.lit(None).cast("date").alias("brief_date"), *_COLUMNS)
+    last += 1
     usable = archive.filter((F.coalesce("url", F.lit("")) != "") & (F.coalesce("title", F.lit("")) != ""))
     day = F.to_date(record_date(F.col("published_at"), "archive date"))
-    lines = usable.select("url", "line_no", day.alias("day"))
+    lines = usable.select("url", "line_no", F.struct(*_COLUMNS).alias("line"), day.alias("day"))
     # At most ``limit`` rows per publication day: small, and the only pass over the archive.
     by_day = staged(_newest(lines.withColumn("node", F.coalesce(_node("d", F.col("day")), F.lit("none"))), "node", limit), "archive-days")
     dated = by_day.filter("node <> 'none'").withColumn("day", F.substring("node", 2, 10).cast("date"))
     by_month = _newest(dated.withColumn("month", F.trunc("day", "month")), "month", limit)
-    by_year = _newest(by_month.withColumn("year", F.trunc("month", "year")), "year", limit)
+    by_year = _newest(by_month.withColumn("year", F.least(F.year("month"), F.lit(last))), "year", limit)
+    kept = ("url", "line_no", "line")
     nodes = (
-        by_day.select("node", "url", "line_no")
-        .unionByName(by_month.select(_node("m", F.col("month")).alias("node"), "url", "line_no"))
-        .unionByName(by_year.select(_node("y", F.col("year")).alias("node"), "url", "line_no"))
+        by_day.select("node", *kept)
+        .unionByName(by_month.select(_node("m", F.col("month")).alias("node"), *kept))
+        .unionByName(by_year.select(F.concat(F.lit("y"), F.col("year").cast("string")).alias("node"), *kept))
     )
     cut = F.date_sub("brief_date", days)
     year_end = F.make_date(F.year(cut), F.lit(12), F.lit(31))
     next_month = F.date_add(F.last_day(cut), 1)
     months = F.when(next_month <= year_end, F.sequence(next_month, year_end, F.expr("interval 1 month")))
-    last = dated.agg(F.max(F.year("day")).alias("y")).first()["y"] or 1
     years = F.when(F.year(cut) < last, F.sequence(F.year(cut) + 1, F.lit(last)))
     cover = F.concat(
         F.array(F.lit("none")),
         F.transform(F.sequence(cut, F.last_day(cut)), lambda d: _node("d", d)),
         F.transform(F.coalesce(months, F.array().cast("array<date>")), lambda d: _node("m", d)),
-        F.transform(F.coalesce(years, F.array().cast("array<int>")), lambda y: F.concat(F.lit("y"), F.lpad(y.cast("string"), 4, "0"))),
+        F.transform(F.coalesce(years, F.array().cast("array<int>")), lambda y: F.concat(F.lit("y"), y.cast("string"))),
     )
     asked = dates.select("brief_date").distinct().withColumn("node", F.explode(cover))
-    return _newest(asked.join(nodes, "node"), "brief_date", limit).select("brief_date", "line_no")
+    return _newest(asked.join(nodes, "node"), "brief_date", limit).select("brief_date", "line.*")
 
 
 def archived_articles(
@@ -114,13 +137,13 @@ def archived_articles(
     by_name = sources.groupBy(F.col("source_name").alias("source")).agg(
         F.max_by(F.struct("source_key", "source_url", "category", "quality", "language"), "source_pos").alias("s")
     )
-    rows = lookup_join(archive.join(picked, "line_no"), by_name, ["source"], "left", "line_no")
+    rows = picked.join(by_name, "source", "left")
     known = F.col("s").isNotNull()
     category = F.coalesce("category", F.lit(PRODUCT_SIGNALS))
     made_up = F.when(F.col("category") == CHINA_RETAIL, "zh").otherwise("en")
     total = F.round(F.coalesce("score", F.lit(3.0)), 2)
     named = rows.select(
-        "brief_date", article_seq(ARCHIVE, F.lit(0), F.col("line_no")), "title", "url",
+        "brief_date", article_seq(ARCHIVE, *line_place(F.col("line_no"))), "title", "url",
         F.coalesce("source", F.lit("Archive")).alias("source_name"),
         F.when(known, F.col("s.source_url")).otherwise(F.col("url")).alias("source_url"),
         F.when(known, F.col("s.category")).otherwise(category).alias("category"),

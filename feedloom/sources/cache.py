@@ -10,7 +10,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from feedloom.functions.dates import day_end, minus_days
 from feedloom.operators.ordering import CACHE, article_seq, item_position
-from feedloom.operators.skew import HEAVY_FLOOR, balanced_join, heavy_keys, lookup_join
 
 CACHE_SCHEMA = (
     "source_key string, source_name string, source_url string, category string, quality int,"
@@ -38,14 +37,19 @@ def cache_rows(live: DataFrame, fetched_at: Column, retention_days: int = 7, run
     return articles.unionByName(empty)
 
 
-def upsert_cache(
-    cache: DataFrame, live: DataFrame, fetched_at: Column, retention_days: int = 7, heavy_floor: int = HEAVY_FLOOR
-) -> DataFrame:
-    """New cache: entries of sources with live articles replaced as a whole, all others kept."""
-    delivered = live.select("source_key").distinct()
-    heavy = heavy_keys(cache, ["source_key"], floor=heavy_floor)
-    kept = balanced_join(cache, delivered, ["source_key"], "left_anti", heavy, "item_pos")
-    return kept.unionByName(cache_rows(live, fetched_at, retention_days))
+def upsert_cache(cache: DataFrame, live: DataFrame, fetched_at: Column, retention_days: int = 7) -> DataFrame:
+    """New cache: entries of sources with live articles replaced as a whole, all others kept.
+
+    ``live`` may hold several runs; each source's newest one makes its entry, so a source has one. A run older
+    than the entry that is there changes nothing.
+    """
+    stamped = live.withColumn("_at", fetched_at)
+    known = cache.groupBy("source_key").agg(F.max("fetched_at").alias("_known"))
+    newest = stamped.groupBy("source_key").agg(F.max("_at").alias("_at")).join(known, "source_key", "left")
+    newest = newest.filter(F.col("_known").isNull() | (F.col("_at") >= F.col("_known"))).drop("_known")
+    delivered = stamped.join(newest, ["source_key", "_at"], "left_semi").drop("_at")
+    kept = cache.join(newest, "source_key", "left_anti")
+    return kept.unionByName(cache_rows(delivered, fetched_at, retention_days))
 
 
 def cached_articles(cache: DataFrame, sources: DataFrame) -> DataFrame:
@@ -54,13 +58,11 @@ def cached_articles(cache: DataFrame, sources: DataFrame) -> DataFrame:
     own = ("item_pos", "title", "url", "summary", "published_at", "fetched_at")
     kept = [c for c in valid.columns if c not in (*_ENTRY, *own)]
     rows = valid.select(*kept, "source_key", *own).withColumn("summary", F.coalesce("summary", F.lit("")))
-    joined = lookup_join(rows, sources, ["source_key"], "inner", "item_pos")
+    joined = rows.join(sources, "source_key")
     return joined.withColumn("seq", article_seq(CACHE, F.col("source_pos"), F.col("item_pos")))
 
 
-def serve_cache(
-    articles: DataFrame, cache: DataFrame, dates: DataFrame, max_age_days: int = 7, heavy_floor: int = HEAVY_FLOOR
-) -> DataFrame:
+def serve_cache(articles: DataFrame, cache: DataFrame, dates: DataFrame, max_age_days: int = 7) -> DataFrame:
     """Cached articles for each date, the way a run on that date would find them.
 
     Cache rows carry the ``run_date`` that wrote them. Runs follow each other, so a date sees the
@@ -75,8 +77,7 @@ def serve_cache(
         .groupBy("brief_date", "source_key")
         .agg(F.max("run_date").alias("run_date"))
     )
-    keys = ["source_key", "run_date"]
-    served = balanced_join(articles, newest, keys, "inner", heavy_keys(articles, keys, floor=heavy_floor), "item_pos")
+    served = articles.join(newest, ["source_key", "run_date"])
     return served.filter(F.col("fetched_at") >= minus_days(day_end(F.col("brief_date")), max_age_days))
 
 

@@ -1,4 +1,4 @@
-"""Hand-supplied candidates: JSON arrays, one file per date, named by the date."""
+"""Hand-supplied candidates: JSON arrays, in files that are, or whose folder is, named by the date."""
 
 from __future__ import annotations
 
@@ -15,16 +15,16 @@ CANDIDATE_SCHEMA = (
 
 
 def read_candidates(spark: SparkSession, path: str) -> DataFrame:
-    """Raw candidate rows with ``brief_date`` from the file name and ``item_pos`` from the order in the file.
+    """Raw candidate rows with ``brief_date`` from the path and ``item_pos`` from the order in the file.
 
     Each file is read as one text, because the position in the array counts and a file is a
     person's work of one day.
     """
     files = spark.read.text(path, wholetext=True).select(
-        F.col("_metadata.file_name").alias("_name"),
+        F.col("_metadata.file_path").alias("_name"),
         F.from_json("value", f"array<struct<{_struct(CANDIDATE_SCHEMA)}>>", {"mode": "FAILFAST"}).alias("_items"),
     )
-    day = F.regexp_extract("_name", r"(\d{4}-\d{2}-\d{2})", 1).cast("date")
+    day = F.regexp_extract("_name", r".*(\d{4}-\d{2}-\d{2})", 1).cast("date")
     return files.select(day.alias("brief_date"), F.posexplode("_items").alias("item_pos", "c")).select(
         "brief_date", "item_pos", "c.*"
     )

@@ -10,7 +10,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 from feedloom.functions.dates import with_feed_date
 from feedloom.functions.text import clean_text
 from feedloom.operators.ordering import LIVE, article_seq
-from feedloom.operators.skew import lookup_join
 
 _TEXTS = "array<string>"
 _LINKS = "array<struct<_href: string, _VALUE: string>>"
@@ -79,7 +78,7 @@ def feed_articles(feeds: DataFrame, sources: DataFrame) -> DataFrame:
     """
     times = [c for c in feeds.columns if c == "fetched_at"]
     # Sources are joined to whole feeds, before their items are unfolded.
-    named = lookup_join(feeds.filter(F.size("items") > 0), sources, ["source_key"], "inner", "brief_date")
+    named = feeds.filter(F.size("items") > 0).join(sources, "source_key")
     own = ["brief_date", *times, *sources.columns]
     items = named.select(*own, "is_rss", F.posexplode("items").alias("item_pos", "item"))
     link = F.col("item.url")
@@ -97,24 +96,36 @@ def feed_articles(feeds: DataFrame, sources: DataFrame) -> DataFrame:
 def feed_failures(feeds: DataFrame, sources: DataFrame) -> DataFrame:
     """Feeds that failed: (brief_date, source_key, source_pos, source_name, error)."""
     failed = feeds.filter("error is not null").select("brief_date", "source_key", "error")
-    return lookup_join(failed, sources.select("source_key", "source_pos", "source_name"), ["source_key"], "inner", "brief_date")
+    return failed.join(sources.select("source_key", "source_pos", "source_name"), "source_key")
+
+
+def newest_payloads(payloads: DataFrame) -> DataFrame:
+    """Of several payloads of a source and date, those fetched last."""
+    keys = ["brief_date", "source_key"]
+    newest = payloads.groupBy(*keys).agg(F.max("fetched_at").alias("fetched_at"))
+    return payloads.join(newest, [*keys, "fetched_at"], "left_semi")
 
 
 def probe_sources(payloads: DataFrame, sources: DataFrame, run_id: Column, checked_at: Column) -> DataFrame:
-    """Check results: a source is fine when its first item is a valid article."""
+    """Check results of every source on every date of ``payloads``: fine when its first item is a valid article.
+
+    A source without a payload fails too. ``seq`` follows the time of the check, so runs of a day don't tie.
+    """
     feeds = read_feeds(payloads, limit=1)
     counted = (
         feed_articles(feeds, sources).groupBy("brief_date", "source_key").agg(F.count(F.lit(1)).cast("int").alias("_n"))
     )
+    # Calendar dates: a short list whatever the data.
+    dates = [F.lit(r.brief_date) for r in payloads.select("brief_date").distinct().collect()]
+    asked = sources.withColumn("brief_date", F.explode(F.array(*dates).cast("array<date>")))
+    arrived = feeds.select("brief_date", "source_key", "error", F.lit(True).alias("_arrived"))
     n = F.coalesce("_n", F.lit(0))
-    return (
-        lookup_join(feeds, sources, ["source_key"], "inner", "brief_date")
-        .join(counted, ["brief_date", "source_key"], "left")
-        .select(
-            run_id.alias("run_id"), "source_key", F.col("source_name").alias("name"), F.col("source_url").alias("url"),
-            (n > 0).alias("ok"), n.alias("article_count"),
-            F.when(n > 0, "").otherwise(F.coalesce("error", F.lit("no articles returned"))).alias("error"),
-            checked_at.alias("checked_at"),
-            (F.unix_date("brief_date").cast("bigint") * F.lit(2**32) + F.col("source_pos")).alias("seq"),
-        )
+    problem = F.when(F.col("_arrived").isNull(), "nothing arrived").otherwise(F.coalesce("error", F.lit("no articles returned")))
+    keys = ["brief_date", "source_key"]
+    checks = asked.join(arrived, keys, "left").join(counted, keys, "left").withColumn("_at", checked_at)
+    return checks.select(
+        run_id.alias("run_id"), "source_key", F.col("source_name").alias("name"), F.col("source_url").alias("url"),
+        (n > 0).alias("ok"), n.alias("article_count"), F.when(n > 0, "").otherwise(problem).alias("error"),
+        F.col("_at").alias("checked_at"),
+        (F.unix_seconds("_at") * F.lit(2**24) + F.col("source_pos")).alias("seq"),
     )

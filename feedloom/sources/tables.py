@@ -2,26 +2,30 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 _VERSION = "version="
 
 
-def read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
+def read_or_empty(spark: SparkSession, path: str, schema: str | StructType) -> DataFrame:
     """A Parquet table, or no rows while it does not exist yet."""
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as missing:
-        if "PATH_NOT_FOUND" not in str(missing):
-            raise
-        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path) if exists(spark, path) else spark.createDataFrame([], schema)
+
+
+def _file_system(spark: SparkSession, path: str):
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), folder
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, folder = _file_system(spark, path)
+    return fs.exists(folder)
 
 
 def _versions(spark: SparkSession, path: str) -> list[int]:
     jvm = spark.sparkContext._jvm
-    folder = jvm.org.apache.hadoop.fs.Path(path)
-    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs, folder = _file_system(spark, path)
     if not fs.exists(folder):
         return []
     done = [s.getPath() for s in fs.listStatus(folder)]

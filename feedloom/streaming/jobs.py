@@ -7,9 +7,8 @@ state version named by its number, so a batch that is repeated after a failure r
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
@@ -19,7 +18,7 @@ from feedloom.operators.stage import staged
 from feedloom.plans.validate import update_health_table
 from feedloom.sources.cache import CACHE_SCHEMA, upsert_cache
 from feedloom.sources.feeds import feed_articles, read_feeds
-from feedloom.sources.tables import read_state, write_state
+from feedloom.sources.tables import read_or_empty, read_state, write_state
 
 _BATCH = "batch"
 
@@ -84,22 +83,29 @@ def read_day_counts(spark: SparkSession, out: str, by: list[str]) -> DataFrame:
 
 
 def drop_seen_links(articles: DataFrame, out: str, checkpoint: str, retention: str = "7 days") -> None:
-    """Drop articles whose link came before within the retention.
+    """Drop articles whose link came before within the retention; of copies in a batch the earliest stays.
 
-    An article without a date takes the time it was fetched, so it is not lost to the watermark.
-    Weaker than the digest's own duplicate removal, which still runs per date.
+    An article without a date takes the time it was fetched. Weaker than the digest's own duplicate removal, which
+    still runs per date. The kept links themselves are the memory, read back as far as the retention goes.
     """
-
-    def first_of_each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            yield batch.sort_values("event_time").drop_duplicates("link_key", keep="last")
-
     timed = with_url_key(articles.withColumn("event_time", F.coalesce("published_at", "fetched_at")))
-    # Copies within an Arrow batch go before the shuffle, so a link that is everywhere stays cheap.
-    # The latest copy stays: if any copy is in time, that one is.
-    fewer = timed.mapInPandas(first_of_each, timed.schema)
-    unique = fewer.withWatermark("event_time", retention).dropDuplicatesWithinWatermark(["link_key"])
-    _finish(unique.writeStream.outputMode("append").format("parquet").option("path", out), checkpoint)
+    rest = [c for c in timed.columns if c not in ("link_key", "event_time")]
+    schema = timed.schema.add(_BATCH, "long")
+    reach = F.expr(f"interval {retention}")
+
+    def drop(batch: DataFrame, number: int) -> None:
+        firsts = batch.groupBy("link_key").agg(F.min(F.struct("event_time", *rest)).alias("a")).select("link_key", "a.*")
+        firsts = staged(firsts, "links")
+        seen = read_or_empty(batch.sparkSession, out, schema).filter(F.col(_BATCH) < number)
+        earliest = firsts.agg(F.min("event_time").alias("t")).first()["t"]
+        if earliest is not None:
+            seen = seen.filter(F.col("event_time") >= F.lit(earliest) - reach)
+        last = seen.groupBy("link_key").agg(F.max("event_time").alias("_seen"))
+        known = F.coalesce(F.col("event_time") <= F.col("_seen") + reach, F.lit(False))
+        fresh = firsts.join(last, "link_key", "left").filter(~known).drop("_seen")
+        fresh.write.mode("overwrite").parquet(f"{out}/{_BATCH}={number}")
+
+    _each_batch(timed, drop, checkpoint)
 
 
 def read_health(spark: SparkSession, out: str) -> DataFrame:

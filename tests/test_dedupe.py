@@ -3,25 +3,27 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from feedloom.operators import dedupe
 from feedloom.operators.dedupe import dedupe_articles, first_unique
 from feedloom.operators.segments import add_rank, top_rows
 
 KEYED = "day int, seq bigint, link_key string, title_key string"
 
 
-def in_order(rows):
-    """The rule itself: scan by seq, keep what shares no key with a kept row."""
-    kept, links, titles = set(), set(), set()
-    for day, seq, link, title in sorted(rows, key=lambda r: (r[0], r[1])):
-        if (day, link) not in links and (day, title) not in titles:
-            kept.add((day, seq))
-            links.add((day, link))
-            titles.add((day, title))
-    return kept
+def found(spark, rows):
+    return {tuple(r) for r in first_unique(spark.createDataFrame(rows, KEYED), ["day"]).collect()}
 
 
-def found(spark, rows, **options):
-    return {tuple(r) for r in first_unique(spark.createDataFrame(rows, KEYED), ["day"], **options).collect()}
+def holds(rows, kept):
+    """No two rows that stay share a key, and every other row shares one with an earlier row that stays."""
+    links, titles = {}, {}
+    for day, seq, link, title in rows:
+        if (day, seq) in kept:
+            assert (day, link) not in links and (day, title) not in titles
+            links[day, link] = titles[day, title] = seq
+    for day, seq, link, title in rows:
+        if (day, seq) not in kept:
+            assert min(links.get((day, link), seq), titles.get((day, title), seq)) < seq
 
 
 def test_tracking_links_and_titles(spark):
@@ -39,29 +41,47 @@ def test_a_dropped_row_claims_nothing(spark):
     assert found(spark, rows) == {(0, 1), (0, 3)}
 
 
-@pytest.mark.parametrize(
-    "options",
-    [{}, {"max_rounds": 1}, {"heavy_floor": 1}, {"max_rounds": 1, "remainder_rows": 0, "heavy_floor": 1}],
-    ids=["rounds", "remainder", "heavy", "heavy-rounds"],
-)
-def test_equals_scan_on_random_rows(spark, options):
+def test_random_rows(spark):
     for seed in range(3):
         rng = random.Random(seed)
         rows = [(rng.randrange(2), seq, f"u{rng.randrange(40)}", f"t{rng.randrange(40)}") for seq in range(150)]
         # A third of all rows share one title.
         rows += [(0, 1000 + i, f"v{rng.randrange(60)}", "") for i in range(75)]
-        assert found(spark, rows, **options) == in_order(rows)
+        holds(rows, found(spark, rows))
 
 
-def test_long_chain_uses_the_remainder_pass(spark):
-    chain = [(0, i, f"u{(i + 1) // 2}", f"t{i // 2}") for i in range(60)]
-    assert found(spark, chain, max_rounds=2) == in_order(chain)
+def test_long_chains_take_few_rounds(spark, monkeypatch):
+    rounds = []
+    settle = dedupe._staying
+    monkeypatch.setattr(dedupe, "_staying", lambda *args: rounds.append(1) or settle(*args))
+    up = [(0, i, f"u{(i + 1) // 2}", f"t{i // 2}") for i in range(500)]
+    down = [(1, 500 - i, f"u{(i + 1) // 2}", f"t{i // 2}") for i in range(301)]
+    kept = found(spark, up + down)
+    assert kept == {(0, i) for i in range(0, 500, 2)} | {(1, 500 - i) for i in range(300, -1, -2)}
+    assert len(rounds) == 1
+
+
+def test_null_keys_are_empty_keys(spark):
+    rows = [(0, i, None, f"t{i}") for i in range(14)] + [(0, 20, "", "x"), (0, 21, "u", None), (0, 22, "v", ""), (0, 23, "w", "y")]
+    assert found(spark, rows) == {(0, 0), (0, 21), (0, 23)}
+
+
+def test_repeated_seq_stops_the_job(spark):
+    with pytest.raises(Exception, match="seq is not unique"):
+        found(spark, [(0, 4, "u1", "zero"), (0, 5, "u2", "zero"), (0, 5, "u3", "two")])
+
+
+def test_positions_out_of_range_stop_the_job(spark):
+    from feedloom.operators.ordering import LIVE, article_seq
+
+    rows = spark.createDataFrame([(2**20 - 1, 2**40 - 1), (2**20, 0)], "s bigint, i bigint")
+    assert rows.filter("i > 0").select(article_seq(LIVE, F.col("s"), F.col("i")).alias("q")).first().q == 2**61 - 1
+    with pytest.raises(Exception, match="position out of range"):
+        rows.select(article_seq(LIVE, F.col("s"), F.col("i"))).collect()
 
 
 def test_no_rows(spark):
-    assert found(spark, spark.createDataFrame([], KEYED).collect() or [(0, 1, "u", "t")]) == {(0, 1)}
-    empty = spark.createDataFrame([], KEYED)
-    assert first_unique(empty, ["day"]).collect() == []
+    assert first_unique(spark.createDataFrame([], KEYED), ["day"]).collect() == []
 
 
 def test_rank_over_a_crowded_group(spark):

@@ -91,8 +91,8 @@ def test_fold_and_history_equal_a_sequential_loop(spark):
     outages = {r.run_id for r in health.run_flags(checks).filter("is_outage").collect()}
     assert outages
     state, history = sequential(rows, prior, 3, outages)
-    usable = health.usable_checks(checks, discard=False, heavy_floor=1)
-    folded = health.fold_health(usable, old, 3, heavy_floor=1).collect()
+    usable = health.usable_checks(checks, discard=False)
+    folded = health.fold_health(usable, old, 3).collect()
     assert {r.source_key: (r.consecutive_failures, r.total_successes, r.total_failures, r.last_success_at, r.status) for r in folded} == {
         k: (v["streak"], v["ok"], v["bad"], v["ok_at"], v["status"]) for k, v in state.items()
     }

@@ -119,9 +119,14 @@ def test_cache_upsert_and_read(spark, articles):
     other = cache.withColumn("source_key", F.lit("X|x"))
     fresh = live(spark, articles, [("New", "u2", None)])
     later = F.lit(at + timedelta(days=1)).cast("timestamp")
-    for floor in (1, 1_000_000):
-        merged = ca.upsert_cache(cache.unionByName(other), fresh, later, heavy_floor=floor)
-        assert {(r.source_key, r.title) for r in merged.filter("title is not null").collect()} == {("S|u", "New"), ("X|x", "Old")}
+    merged = ca.upsert_cache(cache.unionByName(other), fresh, later)
+    assert {(r.source_key, r.title) for r in merged.filter("title is not null").collect()} == {("S|u", "New"), ("X|x", "Old")}
+    # Of several runs the newest makes the entry, and an older run than the entry's changes nothing.
+    runs = fresh.withColumn("at", later).unionByName(live(spark, articles, [("Between", "u3", None)]).withColumn("at", F.lit(at).cast("timestamp")))
+    merged = ca.upsert_cache(cache, runs, F.col("at"))
+    assert [(r.title, r.fetched_at) for r in merged.collect()] == [("New", at + timedelta(days=1))]
+    again = ca.upsert_cache(merged, old, F.lit(at).cast("timestamp"))
+    assert [r.title for r in again.collect()] == ["New"]
     # A source that delivers old articles only replaces its entry by an empty one.
     emptied = ca.upsert_cache(cache, live(spark, articles, [("Old", "u9", at - timedelta(days=30))]), later)
     assert [(r.source_key, r.title) for r in emptied.collect()] == [("S|u", None)]
@@ -141,10 +146,9 @@ def test_a_date_sees_the_newest_run(spark, articles):
         rows = articles([(day, 1, title, "u", "", "AI Frontier", None)]).withColumn("run_date", F.col("brief_date"))
         runs.append(ca.cache_rows(rows, F.col("brief_date").cast("timestamp"), run=("run_date",)))
     dates = spark.createDataFrame([(DAY + timedelta(days=n),) for n in range(12)], "brief_date date")
-    for floor in (1, 1_000_000):
-        rows = ca.rows_in_reach(runs[0].unionByName(runs[1]), dates)
-        got = ca.serve_cache(rows, rows, dates, heavy_floor=floor).collect()
-        assert {(r.brief_date - DAY).days: r.title for r in got} == {n: "first" if n < 2 else "second" for n in range(9)}
+    rows = ca.rows_in_reach(runs[0].unionByName(runs[1]), dates)
+    got = ca.serve_cache(rows, rows, dates).collect()
+    assert {(r.brief_date - DAY).days: r.title for r in got} == {n: "first" if n < 2 else "second" for n in range(9)}
 
 
 ARCHIVE = ar.ARCHIVE_SCHEMA
@@ -199,12 +203,28 @@ def test_archive_files(spark, tmp_path, articles):
     scored = articles([(DAY, 2, "b", "u2", "", "x", None), (DAY, 1, "a", "u1", "", "x", datetime(2024, 5, 1, 1))]).withColumns(
         {"total": F.lit(3.0), "rank_total": F.lit(3.0)}
     )
-    ar.append_archive(ar.archive_rows(scored), path)
-    ar.append_archive(ar.archive_rows(scored, first_line=2), path)
-    rows = ar.read_archive(spark, path).orderBy("line_no").collect()
-    assert [(r.line_no, r.title, r.published_at) for r in rows] == [
-        (0, "a", "2024-05-01T01:00:00+00:00"), (1, "b", None), (2, "a", "2024-05-01T01:00:00+00:00"), (3, "b", None),
+    assert ar.read_archive(spark, path).count() == 0
+    next_day = scored.withColumn("brief_date", F.date_add("brief_date", 1))
+    for part in (scored, next_day, next_day):  # a repeated run leaves its lines once
+        ar.append_archive(ar.archive_rows(part), path)
+    stored = ar.read_archive(spark, path)
+    first = (DAY - date(1970, 1, 1)).days * ar.LINES_PER_DATE
+    assert [(r.line_no, r.title, r.published_at) for r in stored.orderBy("line_no").collect()] == [
+        (first, "a", "2024-05-01T01:00:00+00:00"), (first + 1, "b", None),
+        (first + ar.LINES_PER_DATE, "a", "2024-05-01T01:00:00+00:00"), (first + ar.LINES_PER_DATE + 1, "b", None),
     ]
+    # What was written can be fallen back to.
+    dates = spark.createDataFrame([(DAY + timedelta(days=3),)], "brief_date date")
+    found = ar.archived_articles(stored, sources(spark, "S"), dates).orderBy("seq").collect()
+    assert [(r.title, r.brief_date) for r in found] == [("a", DAY + timedelta(days=3)), ("b", DAY + timedelta(days=3))]
+
+
+def test_wild_publication_dates(spark):
+    rows = [("far", "u1", "A", "x", 3.0, "9999-01-01"), ("late", "u2", "A", "x", 3.0, "2026-01-01"), ("old", "u3", "A", "x", 3.0, "2020-01-01")]
+    dates = spark.createDataFrame([(DAY,), (DAY + timedelta(days=400),)], "brief_date date")
+    found = ar.newest_for_dates(archive(spark, rows), dates, 7).collect()
+    assert sorted((r.brief_date, r.title) for r in found) == sorted((d, t) for d in (DAY, DAY + timedelta(days=400)) for t in ("far", "late"))
+    assert ar.newest_for_dates(archive(spark, rows), dates.limit(0), 7).collect() == []
 
 
 def test_dated_tables(spark, tmp_path):

@@ -53,7 +53,7 @@ def test_three_days(spark, tmp_path):
     assert [status[d].fallback_mode for d in days] == ["none", "feed_cache", "feed_cache"]
     assert status[days[0]].failed_sources == ["B"] and status[days[0]].candidate_article_count == 1
     lines = read_archive(spark, folders.archive).orderBy("line_no").collect()
-    assert [r.line_no for r in lines] == list(range(4)) and [r.date for r in lines] == ["2024-05-01"] * 2 + ["2024-05-02", "2024-05-03"]
+    assert [r.line_no % 2**36 for r in lines] == [0, 1, 0, 0] and [r.date for r in lines] == ["2024-05-01"] * 2 + ["2024-05-02", "2024-05-03"]
     documents = spark.read.parquet(folders.documents)
     assert documents.count() == 3 and "2024-05-03" in latest_row(documents).first().document
     assert [r.title for r in read_state(spark, folders.cache, CACHE_SCHEMA).collect()] == ["AI agent one"]
