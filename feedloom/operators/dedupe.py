@@ -54,22 +54,22 @@ def _staying(rows: DataFrame, group: list[str]) -> DataFrame:
     # The one earlier neighbour of an article; an article without any points to itself.
     at = F.when(link_first & title_first, F.col("seq")).when(title_first, F.col("_first_link")).when(link_first, F.col("_first_title"))
     narrow = [*group, "seq", "_link", "_title"]
-    state = both.withColumn("_at", at).filter(F.col("_at").isNotNull()).select(*narrow, "_at", (F.col("_at") != F.col("seq")).alias("_odd"))
-    moved = None
-    while moved != 0:
-        seen = Observation()
-        state = staged(state.observe(seen, F.count(F.lit(1)).alias("n")), "dedupe-chains")
-        if not seen.get["n"]:
-            break
+    state = both.withColumn("_at", at).filter(F.col("_at").isNotNull())
+    state = staged(state.select(*narrow, "_at", (F.col("_at") != F.col("seq")).alias("_odd")), "dedupe-chains")
+    goes = F.coalesce(F.col("_next") != F.col("_at"), F.lit(False))
+    moved = True
+    while moved:
         ahead = state.select(*group, F.col("seq").alias("_at"), F.col("_at").alias("_next"), F.col("_odd").alias("_step"))
-        jumped = state.join(ahead, [*group, "_at"], "left")
-        goes = F.coalesce(F.col("_next") != F.col("_at"), F.lit(False))
-        moved = jumped.filter(goes).limit(1).count()
-        if moved:
-            state = jumped.select(
+        seen = Observation()
+        jumped = state.join(ahead, [*group, "_at"], "left").observe(seen, F.count_if(goes).alias("n"))
+        state = staged(
+            jumped.select(
                 *narrow, F.when(goes, F.col("_next")).otherwise(F.col("_at")).alias("_at"),
                 F.when(goes, F.col("_odd") != F.col("_step")).otherwise(F.col("_odd")).alias("_odd"),
-            )
+            ),
+            "dedupe-chains",
+        )
+        moved = seen.get["n"] > 0
     # A chain is settled if it ends at an article without an earlier neighbour.
     ends = state.filter(F.col("_at") == F.col("seq")).select(*group, F.col("seq").alias("_at"))
     return state.filter(~F.col("_odd")).join(ends, [*group, "_at"], "left_semi").select(*narrow)

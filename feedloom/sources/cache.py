@@ -32,7 +32,10 @@ def cache_rows(live: DataFrame, fetched_at: Column, retention_days: int = 7, run
     young = F.col("published_at").isNull() | (F.col("published_at") >= edge)
     entry = [*run, *_ENTRY]
     articles = stamped.filter(young).select(*entry, *_ARTICLE)
-    outdated = stamped.filter(~young).select(*entry).distinct()
+    # One row without an article for a run, whatever its articles say of their source.
+    keys = [*run, "source_key", "fetched_at"]
+    others = F.min(F.struct(*[c for c in entry if c not in keys])).alias("_entry")
+    outdated = stamped.filter(~young).groupBy(*keys).agg(others).select(*keys, "_entry.*")
     empty = outdated.select(*entry, *[F.lit(None).cast(kind).alias(name) for name, kind in _ARTICLE.items()])
     return articles.unionByName(empty)
 
