@@ -84,11 +84,6 @@ def day_end(day: Column) -> Column:
     return F.timestamp_micros(F.unix_micros(F.date_add(day, 1).cast("timestamp")) - 1)
 
 
-def day_start(day: Column) -> Column:
-    """First microsecond of a date in UTC."""
-    return day.cast("timestamp")
-
-
 def minus_days(moment: Column, days: int) -> Column:
     return moment - F.make_dt_interval(F.lit(days))
 

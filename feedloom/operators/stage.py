@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
@@ -19,8 +21,29 @@ def shared_folder(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir()
 
 
+_open_scratches: list[list[str]] = []
+
+
 def fresh_folder(spark: SparkSession, label: str) -> str:
-    return f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    if _open_scratches:
+        _open_scratches[-1].append(path)
+    return path
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Folders taken inside are removed at the end: nothing that reads them may be used later."""
+    own: list[str] = []
+    _open_scratches.append(own)
+    try:
+        yield
+    finally:
+        _open_scratches.remove(own)
+        hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+        for path in own:
+            folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(hadoop).delete(folder, True)
 
 
 def staged(df: DataFrame, label: str) -> DataFrame:

@@ -582,6 +582,9 @@ def all_sql() -> dict[str, str]:
               SELECT c_custkey::BIGINT AS seq, 0 AS one, 'l' || (c_custkey + 1) // 2 AS link_key,
                 CASE WHEN c_custkey % 397 <> 0 THEN 't' || c_custkey // 2 ELSE '' END AS title_key FROM customer),
             {_dedupe('kept', 'rows_', 'one')} SELECT seq FROM kept""",
+        "unknown_category_items": f"""WITH {ART} SELECT {BD}, doc_id, 'Other' AS category FROM art
+            WHERE source_name = 'src13' AND doc_id IN (SELECT doc_id FROM labels WHERE quality = 1)""",
+        "local_days": "SELECT strftime(ts + INTERVAL 8 HOUR, '%Y-%m-%d') AS day, event_type, count(*) AS n FROM events GROUP BY 1, 2",
         "catalogue_scan": f"""SELECT source_name || '|' || source_url AS source_key, place::INT AS source_pos, source_name, source_url, category,
               CASE WHEN num % 3 <> 0 THEN 3 + num % 3 ELSE 3 END AS quality, CASE WHEN num % 4 = 1 THEN 'zh' ELSE 'en' END AS language,
               CASE WHEN num % 5 = 0 THEN 1 ELSE 2 END AS tier,

@@ -465,6 +465,21 @@ def pending_digest_dates(spark: SparkSession, folder: str) -> DataFrame:
     return pending_dates(a.run_dates(articles), published_dates(documents, TITLE)).select(_day())
 
 
+@query
+def unknown_category_items(spark: SparkSession, folder: str) -> DataFrame:
+    """Candidates of one source, whose category is not known, among all others."""
+    candidates = _live(spark, folder)[0]
+    category = F.when(F.col("source_name") == "src13", "Other").otherwise(F.col("category"))
+    return status.unknown_categories(candidates.withColumn("category", category)).select(_day(), "doc_id", "category")
+
+
+@query
+def local_days(spark: SparkSession, folder: str) -> DataFrame:
+    """Events by the newsroom's day."""
+    events = a.table(spark, folder, "events").select(d.local_day(F.col("ts").cast("timestamp")).alias("day"), "event_type")
+    return events.groupBy("day", "event_type").agg(F.count(F.lit(1)).alias("n")).select(_day("day"), "event_type", "n")
+
+
 # Scans and sinks, over files written from the tables.
 
 

@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from feedloom import wording
 from feedloom.operators.asof import pending_dates
 from feedloom.operators.health import HEALTH_SCHEMA, sources_to_read
-from feedloom.operators.stage import staged
+from feedloom.operators.stage import scratch, staged
+from feedloom.operators.status import STATUS_SCHEMA
 from feedloom.plans.daily import DigestInputs, DigestRun
 from feedloom.settings import RunSettings, Weights
 from feedloom.sources.archive import append_archive, read_archive
@@ -61,12 +62,6 @@ def settings_of(catalogue: DataFrame, base: RunSettings = RunSettings()) -> RunS
     return replace(base, **found, weights=Weights.from_config(given["weights"]))
 
 
-def newest_run(live: DataFrame) -> DataFrame:
-    """Articles of each source's newest run."""
-    newest = live.groupBy("source_key").agg(F.max("brief_date").alias("brief_date"))
-    return live.join(newest, ["source_key", "brief_date"], "left_semi")
-
-
 def run_digests(
     spark: SparkSession,
     catalogue: DataFrame,
@@ -76,12 +71,22 @@ def run_digests(
     folders: Folders,
     as_of: Column,
     title: str = wording.DEFAULT_TITLE,
-) -> DigestRun:
-    """Run all ``dates`` that have no digest yet, and store the results.
+) -> DataFrame:
+    """Run all ``dates`` that have no digest yet, store the results, and return the stored status of all dates.
 
     ``payloads`` and raw ``candidates`` carry the date they were fetched or written for;
-    ``as_of`` is the time against which source health is judged.
+    ``as_of`` is the time against which source health is judged. Intermediate tables are removed at the end.
+    A run that broke off is simply run again: what it wrote is replaced.
     """
+    with scratch(spark):
+        _run(spark, catalogue, payloads, candidates, dates, folders, as_of, title)
+    return read_or_empty(spark, folders.status, STATUS_SCHEMA)
+
+
+def _run(
+    spark: SparkSession, catalogue: DataFrame, payloads: DataFrame, candidates: DataFrame, dates: DataFrame,
+    folders: Folders, as_of: Column, title: str,
+) -> None:
     settings = settings_of(catalogue)
     configured = enabled_sources(catalogue)
     health = read_state(spark, folders.health, HEALTH_SCHEMA)
@@ -97,7 +102,9 @@ def run_digests(
     history = stored.withColumn("run_date", F.to_date("fetched_at")).unionByName(
         cache_rows(live.withColumn("run_date", F.col("brief_date")), F.col("fetched_at"), settings.cache_retention_days, ("run_date",))
     )
-    archive = read_archive(spark, folders.archive)
+    # Lines that an earlier try left for these dates are about to be replaced.
+    again = todo.select(F.date_format("brief_date", "yyyy-MM-dd").alias("date"))
+    archive = read_archive(spark, folders.archive).join(F.broadcast(again), "date", "left_anti")
     run = DigestRun(
         DigestInputs(
             dates=todo, candidates=candidate_articles(candidates), live=live, failures=feed_failures(feeds, sources),
@@ -112,8 +119,7 @@ def run_digests(
 
     # All results are on shared storage before the first table changes. Every table replaces what a run of the
     # same dates left, and documents, which tell what is still to do, come last.
-    write_state(upsert_cache(stored, newest_run(live), F.col("fetched_at"), settings.cache_retention_days), folders.cache)
+    write_state(upsert_cache(stored, live, F.col("fetched_at"), settings.cache_retention_days), folders.cache)
     append_archive(lines, folders.archive)
     write_dates(status, folders.status)
     write_dates(documents, folders.documents)
-    return run

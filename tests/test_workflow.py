@@ -1,14 +1,17 @@
 import json
 from datetime import date, datetime
+from pathlib import Path
 
+import pytest
 from pyspark.sql import functions as F
 
+from feedloom.plans import workflow
 from feedloom.plans.workflow import Folders, run_digests, settings_of
 from feedloom.sources.archive import read_archive
 from feedloom.sources.cache import CACHE_SCHEMA
 from feedloom.sources.candidates import read_candidates
 from feedloom.sources.catalogue import read_catalogue
-from feedloom.sources.tables import latest_row, read_state
+from feedloom.sources.tables import latest_row, read_state, write_dates
 
 PAYLOAD = "brief_date date, source_key string, fetched_at timestamp, body string, error string"
 
@@ -18,7 +21,16 @@ def rss(title, day):
     return f"<rss><channel>{item}</channel></rss>"
 
 
-def test_three_days(spark, tmp_path):
+def break_off_at(path):
+    def write(df, to, *rest):
+        if to == path:
+            raise RuntimeError("executor room on fire")
+        write_dates(df, to, *rest)
+
+    return write
+
+
+def test_three_days(spark, tmp_path, monkeypatch):
     config = {
         "lookback_days": 5, "limit_per_source": 4, "weights": {"impact": 0.25, "novelty": 0.2, "source_quality": 0.15, "pm_relevance": 0.25, "actionability": 0.15},
         "sources": [{"name": "A", "url": "a", "category": "AI Frontier", "quality": 5}, {"name": "B", "url": "b", "category": "AI Frontier"}],
@@ -47,9 +59,15 @@ def test_three_days(spark, tmp_path):
         dates = spark.createDataFrame([(d,) for d in asked], "brief_date date")
         return run_digests(spark, catalogue, payloads, candidates, dates, folders, F.lit("2024-05-04").cast("timestamp"))
 
+    shared = Path(spark.conf.get("spark.checkpoint.dir"))
+    before = set(shared.iterdir())
     run(days[:1])
-    run(days)  # the first date is done already
-    status = {r.brief_date: r for r in spark.read.parquet(folders.status).collect()}
+    with pytest.raises(RuntimeError), monkeypatch.context() as broken:  # the last table is not written
+        broken.setattr(workflow, "write_dates", break_off_at(folders.documents))
+        run(days)
+    # The first date is done already, the others are done again.
+    status = {r.brief_date: r for r in run(days).collect()}
+    assert set(shared.iterdir()) == before  # nothing is left behind
     assert [status[d].fallback_mode for d in days] == ["none", "feed_cache", "feed_cache"]
     assert status[days[0]].failed_sources == ["B"] and status[days[0]].candidate_article_count == 1
     lines = read_archive(spark, folders.archive).orderBy("line_no").collect()
