@@ -55,24 +55,25 @@ def _staying(rows: DataFrame, group: list[str]) -> DataFrame:
     at = F.when(link_first & title_first, F.col("seq")).when(title_first, F.col("_first_link")).when(link_first, F.col("_first_title"))
     narrow = [*group, "seq", "_link", "_title"]
     state = both.withColumn("_at", at).filter(F.col("_at").isNotNull())
-    state = staged(state.select(*narrow, "_at", (F.col("_at") != F.col("seq")).alias("_odd")), "dedupe-chains")
+    first = F.col("_at") == F.col("seq")
+    state = staged(state.select(*narrow, "_at", (~first).alias("_odd"), first.alias("_ends")), "dedupe-chains")
     goes = F.coalesce(F.col("_next") != F.col("_at"), F.lit(False))
     moved = True
     while moved:
-        ahead = state.select(*group, F.col("seq").alias("_at"), F.col("_at").alias("_next"), F.col("_odd").alias("_step"))
+        ahead = state.select(*group, F.col("seq").alias("_at"), F.col("_at").alias("_next"), F.col("_odd").alias("_step"), "_ends")
         seen = Observation()
-        jumped = state.join(ahead, [*group, "_at"], "left").observe(seen, F.count_if(goes).alias("n"))
+        jumped = state.drop("_ends").join(ahead, [*group, "_at"], "left").observe(seen, F.count_if(goes).alias("n"))
         state = staged(
             jumped.select(
                 *narrow, F.when(goes, F.col("_next")).otherwise(F.col("_at")).alias("_at"),
                 F.when(goes, F.col("_odd") != F.col("_step")).otherwise(F.col("_odd")).alias("_odd"),
+                F.coalesce("_ends", F.lit(False)).alias("_ends"),
             ),
             "dedupe-chains",
         )
         moved = seen.get["n"] > 0
     # A chain is settled if it ends at an article without an earlier neighbour.
-    ends = state.filter(F.col("_at") == F.col("seq")).select(*group, F.col("seq").alias("_at"))
-    return state.filter(~F.col("_odd")).join(ends, [*group, "_at"], "left_semi").select(*narrow)
+    return state.filter(F.col("_ends") & ~F.col("_odd")).select(*narrow)
 
 
 def first_unique(keyed: DataFrame, group: list[str]) -> DataFrame:
@@ -86,7 +87,7 @@ def first_unique(keyed: DataFrame, group: list[str]) -> DataFrame:
     open_rows, n_open = staged_counted(start, "dedupe-open")
     kept_parts: list[DataFrame] = []
     while n_open > 0:
-        kept = staged(_staying(open_rows, group), "dedupe-kept")
+        kept = _staying(open_rows, group)
         kept_parts.append(kept.select(*group, "seq"))
         rest = open_rows
         for key in ("_link", "_title"):
