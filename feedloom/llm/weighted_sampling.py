@@ -32,6 +32,8 @@ from feedloom.operators.stage import staged
 TERMS = 1 << 15
 SAMPLES = 32
 SEED = 1729
+#: Texts are dealt out so that a task has about so many characters, and its weighted terms fit into memory.
+TASK_CHARS = 1 << 22
 
 
 def _uniform(bits: Column) -> Column:
@@ -73,79 +75,85 @@ def signatures(texts: DataFrame, keys: list[str], text_col: str = "text", terms:
 
 
 def as_text(samples: Column, n: int = SAMPLES) -> Column:
-    """Eight hexadecimal digits per sample."""
-    digits = F.transform(samples, lambda s: F.lpad(F.lower(F.hex(F.shiftrightunsigned(F.xxhash64(s), 32))), 8, "0"))
-    return F.coalesce(F.array_join(digits, ""), F.lit("0" * 8 * n))
+    """Four hexadecimal digits per sample; two different samples share them once in 65,536 times."""
+    digits = F.transform(samples, lambda s: F.lpad(F.lower(F.hex(F.shiftrightunsigned(F.xxhash64(s), 48))), 4, "0"))
+    return F.coalesce(F.array_join(digits, ""), F.lit("0" * 4 * n))
 
 
 def likeness(first: Column, second: Column, n: int = SAMPLES) -> Column:
     """Share of equal samples of two fingerprints."""
-    places = F.array(*(F.lit(1 + 8 * j) for j in range(n)))
-    same = F.filter(places, lambda at: F.substring(first, at, F.lit(8)) == F.substring(second, at, F.lit(8)))
+    places = F.array(*(F.lit(1 + 4 * j) for j in range(n)))
+    same = F.filter(places, lambda at: F.substring(first, at, F.lit(4)) == F.substring(second, at, F.lit(4)))
     return F.size(same) / F.lit(float(n))
 
 
-def neighbours(docs: DataFrame) -> DataFrame:
+def neighbours(docs: DataFrame) -> tuple[DataFrame, int]:
     """One row per (doc_id, tie): how many copies, the keys before and after it, and the need of the one before.
 
-    Order is that of doc_id, descending; the last is followed by the first.
+    Order is that of doc_id, descending; the last is followed by the first. Also the number of characters of all.
     """
     narrow = docs.groupBy("doc_id", "tie").agg(F.max("n_chars").alias("n_chars"), F.count(F.lit(1)).alias("copies"))
     ranked = staged(add_rank(narrow, [], [F.col("doc_id").desc_nulls_last(), F.col("tie")], "_pos"), "cws-order")
-    total = ranked.agg(F.max("_pos").alias("_last"))
+    last, chars = ranked.agg(F.max("_pos"), F.sum(F.col("n_chars") * F.col("copies"))).first()
     key = F.struct("doc_id", "tie")
-    placed = ranked.join(F.broadcast(total)).withColumn("_after", F.col("_pos") % F.col("_last") + 1)
+    placed = ranked.withColumn("_after", F.col("_pos") % F.lit(last or 1) + 1)
     ahead = placed.select(F.col("_pos").alias("_after"), key.alias("after"))
     behind = placed.select(F.col("_after").alias("_pos"), key.alias("before"), F.floor(F.col("n_chars") / 2).cast("int").alias("need"))
-    return placed.join(ahead, "_after").join(behind, "_pos").select("doc_id", "tie", "copies", "after", "before", "need")
+    found = placed.join(ahead, "_after").join(behind, "_pos")
+    # A struct is never null, so that rows without an id join too.
+    return found.select(F.struct("doc_id").alias("doc"), "tie", "copies", "after", "before", "need"), chars or 0
 
 
 def edited_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, tie, copy, text, edited, after): ``after`` is the key of the next document."""
-    rows = docs.select(F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("text"))
+    """One row per document and text: (doc, tie, copies, text, edited, edited_copy, after).
+
+    doc is a struct of the id, and ``after`` the key of the next document. Of repeated rows only the last is
+    followed by another document; ``edited_copy`` is the edited text of the others.
+    """
+    rows = docs.select(F.struct(F.col(id_col).alias("doc_id")).alias("doc"), text_or_empty(text_col).alias("text"))
     rows = rows.withColumn("tie", F.xxhash64("text"))
-    order = staged(neighbours(rows.select("doc_id", "tie", F.length("text").alias("n_chars"))), "cws-neighbours")
-    keyed = lambda df: df.withColumn("doc", F.struct("doc_id"))  # noqa: E731  a struct is never null, so null ids join
-    # Texts move here, by document; all that follows stays where they are.
-    dealt = keyed(rows).repartition("doc", "tie")
+    order, chars = neighbours(rows.select("doc.doc_id", "tie", F.length("text").alias("n_chars")))
+    order = staged(order, "cws-neighbours")
+    # Texts move here, once, by document; all that follows reads the same shuffle and stays where it is.
+    tasks = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-chars // TASK_CHARS))
+    dealt = rows.repartition(tasks, "doc", "tie")
     copy = F.row_number().over(Window.partitionBy("doc", "tie").orderBy(F.lit(1)))
-    known = dealt.withColumn("copy", copy).join(keyed(order).drop("doc_id"), ["doc", "tie"])
-    heads = known.filter(F.col("copy") == 1).select(
-        F.struct("before.doc_id").alias("doc"), F.col("before.tie").alias("tie"), F.left("text", F.col("need")).alias("head")
-    )
-    met = known.join(heads, ["doc", "tie"])
+    known = dealt.withColumn("copy", copy).filter(F.col("copy") == 1).drop("copy").join(order, ["doc", "tie"])
+    heads = known.select(F.struct("before.doc_id").alias("doc"), F.col("before.tie").alias("tie"), F.left("text", F.col("need")).alias("head"))
     n = F.length("text")
     half = F.floor(n / 2).cast("int")
-    # Of repeated rows, only the last is followed by another document.
-    last = F.col("copy") == F.col("copies")
-    head = F.when(last, F.col("head")).otherwise(F.left("text", half))
-    edited = F.concat(F.left("text", n - half), head)
-    after = F.when(last, F.col("after")).otherwise(F.struct("doc_id", "tie"))
-    return met.select("doc", "doc_id", "tie", "copy", "text", edited.alias("edited"), after.alias("after"))
+    begins = F.left("text", n - half)
+    again = F.when(F.col("copies") > 1, F.concat(begins, F.left("text", half)))
+    met = known.join(heads, ["doc", "tie"])
+    return met.select("doc", "tie", "copies", "text", F.concat(begins, "head").alias("edited"), again.alias("edited_copy"), "after")
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next) of every row."""
     texts = edited_texts(docs, id_col, text_col)
-    keys = ["doc", "tie", "copy"]
-    facts = [F.length("text").cast("bigint").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"), "after"]
-    # Each text comes with a space and an empty word list of its own, so that texts without words have a row.
-    both = F.array(F.struct(F.lit(0).alias("which"), F.col("text").alias("text")), F.struct(F.lit(1).alias("which"), F.col("edited").alias("text")))
-    versions = texts.select(*keys, F.explode(both).alias("v")).select(*keys, "v.which", "v.text")
+    keys = ["doc", "tie"]
+    kinds = ("text", "edited", "edited_copy")
+    each = F.array(*(F.struct(F.lit(i).alias("which"), F.col(name).alias("text")) for i, name in enumerate(kinds)))
+    versions = texts.select(*keys, F.explode(F.filter(each, lambda v: v["text"].isNotNull())).alias("v")).select(*keys, "v.which", "v.text")
     signed = signatures(versions, [*keys, "which"])
-    pairs = signed.groupBy(*keys).agg(
-        F.max(F.when(F.col("which") == 0, F.col("samples"))).alias("own"), F.max(F.when(F.col("which") == 1, F.col("samples"))).alias("edited")
+    marks = signed.groupBy(*keys).agg(*(F.max(F.when(F.col("which") == i, F.col("samples"))).alias(f"_{name}") for i, name in enumerate(kinds)))
+    facts = texts.select(
+        *keys, "copies", "after", F.length("text").cast("bigint").alias("n_chars"),
+        F.sha2("edited", 256).alias("edited_sha256"), F.sha2("edited_copy", 256).alias("_copy_sha256"),
     )
-    rows = texts.select(*keys, *facts).join(pairs, keys, "left")
-    rows = rows.select(*keys, "n_chars", "edited_sha256", "after", as_text(F.col("own")).alias("fingerprint"), as_text(F.col("edited")).alias("edited_fingerprint"))
-    rows = staged(rows, "cws-rows")
-    first = rows.filter(F.col("copy") == 1).select(F.struct(F.col("doc.doc_id"), F.col("tie")).alias("after"), F.col("fingerprint").alias("_next"))
-    return rows.join(first, "after").select(
+    signs = [as_text(F.col(f"_{name}")).alias(f"_{name}") for name in kinds]
+    found = staged(facts.join(marks, keys, "left").select(*facts.columns, *signs), "cws-rows")
+    following = found.select(F.struct("doc.doc_id", "tie").alias("after"), F.col("_text").alias("_next"))
+    joined = found.join(following, "after").withColumn("copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies"))))
+    last = F.col("copy") == F.col("copies")
+    edited = F.when(last, F.col("_edited")).otherwise(F.col("_edited_copy"))
+    following = F.when(last, F.col("_next")).otherwise(F.col("_text"))
+    return joined.select(
         "doc.doc_id",
         "n_chars",
-        "edited_sha256",
-        "fingerprint",
-        "edited_fingerprint",
-        likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
-        likeness(F.col("fingerprint"), F.col("_next")).alias("near_next"),
+        F.when(last, F.col("edited_sha256")).otherwise(F.col("_copy_sha256")).alias("edited_sha256"),
+        F.col("_text").alias("fingerprint"),
+        edited.alias("edited_fingerprint"),
+        likeness(F.col("_text"), edited).alias("near_edited"),
+        likeness(F.col("_text"), following).alias("near_next"),
     )
