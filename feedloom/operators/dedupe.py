@@ -6,14 +6,18 @@ already stayed; an article that goes does not claim its keys. Neither two passes
 
 Done in rounds over (group, seq, link hash, title hash) only. In a round
 
-1. every link and every title names its first two articles (cut per input partition before the shuffle);
-2. an article that is first for both keys stays;
-3. an article with a single earlier neighbour stays exactly when that one goes, so along a chain of
-   such articles every second one stays: places in chains come from pointer doubling;
-4. articles sharing a key with one that stays go, and the rest enter the next round.
-
-A round settles all chains, however long; another one is needed only behind articles with several
-earlier neighbours. There is one plan for all sizes, and the result is exact.
+1. an article that is first for its link and for its title stays;
+2. articles sharing a key with one that stays go, and the rest enter the next round.
+
+That settles most articles in two rounds, but a chain of articles only link by link. All later rounds
+also settle chains, however long:
+
+3. every link and every title names its first two articles (cut per input partition before the shuffle);
+4. an article with a single earlier neighbour stays exactly when that one goes, so along a chain of
+   such articles every second one stays: places in chains come from pointer doubling.
+
+Further rounds are needed only behind articles with several earlier neighbours. There is one plan for
+all sizes, and the result is exact.
 """
 
 from __future__ import annotations
@@ -26,6 +30,10 @@ from feedloom.operators.segments import top_rows
 from feedloom.operators.stage import staged, staged_counted
 
 
+#: Rounds before chains are looked at.
+PLAIN_ROUNDS = 2
+
+
 def _hash(text: Column) -> Column:
     """128 bits: wide enough that no two different keys of any feasible table meet. Null is an empty key."""
     return F.unhex(F.md5(F.coalesce(text, F.lit(""))))
@@ -45,8 +53,15 @@ def _first_two(rows: DataFrame, keys: list[str], name: str) -> DataFrame:
     return two.join(first, keys)
 
 
+def _first_of_both(rows: DataFrame, group: list[str]) -> DataFrame:
+    """(group, seq, _link, _title) of articles that are the first of their link and of their title."""
+    first_of_link = rows.groupBy(*group, "_link").agg(F.min("seq").alias("seq"))
+    first_of_title = rows.groupBy(*group, "_title").agg(F.min("seq").alias("seq"))
+    return staged(first_of_link.join(first_of_title, [*group, "seq"]), "dedupe-kept")
+
+
 def _staying(rows: DataFrame, group: list[str]) -> DataFrame:
-    """(group, seq, _link, _title) of articles that a round can tell to stay."""
+    """(group, seq, _link, _title) of the first of both keys, and of articles in chains that stay."""
     links = _first_two(rows, [*group, "_link"], "link")
     titles = _first_two(rows, [*group, "_title"], "title").drop("_link")
     both = links.join(titles.withColumnRenamed("_title", "_title2"), [*group, "seq"]).filter(F.col("_title") == F.col("_title2"))
@@ -87,7 +102,7 @@ def first_unique(keyed: DataFrame, group: list[str]) -> DataFrame:
     open_rows, n_open = staged_counted(start, "dedupe-open")
     kept_parts: list[DataFrame] = []
     while n_open > 0:
-        kept = _staying(open_rows, group)
+        kept = (_first_of_both if len(kept_parts) < PLAIN_ROUNDS else _staying)(open_rows, group)
         kept_parts.append(kept.select(*group, "seq"))
         rest = open_rows
         for key in ("_link", "_title"):
