@@ -6,7 +6,7 @@ import random
 import public_tokenizers
 import pytest
 
-from feedloom.llm.bpe import TreeCodec, encode_documents, read_ranks
+from feedloom.llm.bpe import TreeCodec, decode_documents, encode_documents, read_ranks
 from feedloom.llm.queries import BYTE_RANKS, op7_bpe
 
 from .helpers import FOLDER, ODD_ROWS, documents, frame
@@ -48,13 +48,12 @@ def test_query_against_whole_encoding(spark):
 
 
 def test_odd_rows(spark):
-    found = encode_documents(
-        spark, frame(spark, ODD_ROWS, extra=True), public_tokenizers.path(BYTE_RANKS), public_tokenizers.PATTERN, leaf_chars=100
-    ).collect()
-    assert len(found) == len(ODD_ROWS)
+    path, pattern = public_tokenizers.path(BYTE_RANKS), public_tokenizers.PATTERN
+    encoded = encode_documents(spark, frame(spark, ODD_ROWS, extra=True), path, pattern, leaf_chars=100)
+    found = encoded.collect()
+    assert len(found) == len(ODD_ROWS) and all(r.restored and len(r.ids) == r.n_tokens for r in found)
     text = {r[0]: r[1] or "" for r in ODD_ROWS if r[0]}
-    assert all(bytes(r.decoded).decode() == text[r.doc_id] and len(r.ids) == r.n_tokens for r in found if r.doc_id)
-    path = public_tokenizers.path(BYTE_RANKS)
-    assert encode_documents(spark, frame(spark, []), path, public_tokenizers.PATTERN).collect() == []
-    special = encode_documents(spark, frame(spark, [(1, "<|endoftext|>", "en", "a", 1)]), path, public_tokenizers.PATTERN).collect()
-    assert bytes(special[0].decoded) == b"<|endoftext|>" and 50256 not in special[0].ids
+    assert all(r.text == text[r.doc_id] for r in decode_documents(spark, encoded, path, pattern).collect() if r.doc_id)
+    assert encode_documents(spark, frame(spark, []), path, pattern).collect() == []
+    special = encode_documents(spark, frame(spark, [(1, "<|endoftext|>", "en", "a", 1)]), path, pattern)
+    assert decode_documents(spark, special, path, pattern).first().text == "<|endoftext|>" and 50256 not in special.first().ids
