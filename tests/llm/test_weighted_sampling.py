@@ -36,8 +36,8 @@ def test_query_against_brute_force(spark):
 def test_collision_rate_with_weights(spark):
     texts = ["a " * 8 + "b " * 2 + "c", "a " * 4 + "b " * 4 + "d", "x y z"]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
-    rows = [np.array(r.samples) for r in ws.signatures(df, ["doc_id"], samples=1500, terms=256).orderBy("doc_id").collect()]
-    assert abs(np.mean(rows[0] == rows[1]) - jaccard(*texts[:2])) < 0.05 and np.mean(rows[0] == rows[2]) == 0
+    rows = [np.array(r.samples) for r in ws.signatures(df, ["doc_id"], samples=400, terms=256).orderBy("doc_id").collect()]
+    assert abs(np.mean(rows[0] == rows[1]) - jaccard(*texts[:2])) < 0.08 and np.mean(rows[0] == rows[2]) == 0
 
 
 def test_draws_have_their_distributions(spark):
