@@ -1,7 +1,6 @@
 """Document fingerprints by consistent weighted sampling, by DataFrame functions only.
 
-A text is a bag of weighted terms: its words, hashed to one of ``TERMS`` terms, weighted by how often they
-occur. For each of ``SAMPLES`` samples a term has three draws that depend on the term and the sample only:
+A text is a bag of weighted terms: its words, by their 64-bit hash, weighted by how often they occur. For each of ``SAMPLES`` samples a term has three draws that depend on the term and the sample only:
 r and c from Gamma(2, 1), and b uniform. With weight S,
 
     t = floor(ln S / r + b),   ln y = r (t - b),   ln a = ln c - ln y - r,
@@ -11,7 +10,8 @@ is their generalised Jaccard similarity (sum of the smaller weights over sum of
 share of equal samples estimates it. As a depends on term, sample and t only, the smallest value of a names
 its (term, t), and a sample is a minimum: combined on the map side, and exact in any order.
 
-The draws are a table of ``TERMS`` rows with three numbers per sample, below 26 MB, which is broadcast.
+The draws are computed from (seed, sample, term) where a document's term is, after its words are counted, so
+that words share no draws and there is no table of them.
 
 An *edited* text ends like the next document begins. Documents are ordered by distributed ranks of narrow
 rows; texts are shuffled once, by document, and only the beginnings that are needed go on to a neighbour.
@@ -29,7 +29,6 @@ from feedloom.llm.common import SPACE, text_or_empty
 from feedloom.operators.segments import add_rank
 from feedloom.operators.stage import staged
 
-TERMS = 1 << 15
 SAMPLES = 32
 SEED = 1729
 #: Texts are dealt out so that a task has about so many characters, and its weighted terms fit into memory.
@@ -41,36 +40,42 @@ def _uniform(bits: Column) -> Column:
     return (bits + F.lit(0.5)) * F.lit(2.0**-32)
 
 
-def draws(spark: SparkSession, terms: int = TERMS, samples: int = SAMPLES, seed: int = SEED) -> DataFrame:
-    """(term, r, b, k): arrays with an entry per sample; k is ln c + r b - r, so that ln a is k - r t."""
-    hashed = lambda part: F.transform(
-        F.sequence(F.lit(0), F.lit(samples - 1)), lambda j: F.xxhash64(F.lit(seed), F.lit(part), F.col("term"), j)
-    )
+def _draw(term: Column, j: int, seed: int) -> tuple[Column, Column, Column]:
+    """r, b and ln c of a term in sample ``j``."""
+    hashed = lambda part: F.xxhash64(F.lit(seed), F.lit(part), term, F.lit(j))
     low = lambda h: _uniform(h.bitwiseAND(F.lit(0xFFFFFFFF)))
     high = lambda h: _uniform(F.shiftrightunsigned(h, 32))
-    gamma = lambda part: F.transform(hashed(part), lambda h: -F.ln(low(h) * high(h)))
-    rows = spark.range(terms).select(F.col("id").cast("int").alias("term"))
-    rows = rows.select("term", gamma("r").alias("r"), F.transform(hashed("b"), low).alias("b"), gamma("c").alias("c"))
-    return rows.select("term", "r", "b", F.transform("c", lambda c, j: F.ln(c) + F.get("r", j) * F.get("b", j) - F.get("r", j)).alias("k"))
+    r, c = (-F.ln(low(h) * high(h)) for h in map(hashed, ("r", "c")))
+    return r, low(hashed("b")), F.ln(c)
+
+
+def draws(spark: SparkSession, terms: int, samples: int = SAMPLES, seed: int = SEED) -> DataFrame:
+    """(term, r, b, k) of terms below ``terms``: arrays with an entry per sample; k is ln c + r b - r, so that ln a is k - r t."""
+    drawn = [_draw(F.col("id"), j, seed) for j in range(samples)]
+    r, b, c = (F.array(*x).alias(name) for x, name in zip(zip(*drawn), ("r", "b", "c")))
+    rows = spark.range(terms).select(F.col("id").alias("term"), r, b, c)
+    return rows.select("term", "r", "b", F.transform("c", lambda c, j: c + F.get("r", j) * F.get("b", j) - F.get("r", j)).alias("k"))
 
 
-def weighted_terms(texts: DataFrame, keys: list[str], text_col: str = "text", terms: int = TERMS) -> DataFrame:
-    """(keys, term, weight). Where rows are already dealt out by some of ``keys``, this moves nothing."""
+def weighted_terms(texts: DataFrame, keys: list[str], text_col: str = "text", terms: int | None = None) -> DataFrame:
+    """(keys, term, weight). Where rows are already dealt out by some of ``keys``, this moves nothing.
+
+    ``terms`` folds the words into so many terms; by default a term is the whole hash.
+    """
     words = texts.select(*keys, F.explode(F.split(text_col, f"[{SPACE}]+")).alias("_word")).filter(F.col("_word") != "")
-    hashed = words.select(*keys, F.pmod(F.xxhash64("_word"), F.lit(terms)).cast("int").alias("term"))
-    return hashed.groupBy(*keys, "term").agg(F.count(F.lit(1)).alias("weight"))
+    term = F.xxhash64("_word") if terms is None else F.pmod(F.xxhash64("_word"), F.lit(terms).cast("bigint"))
+    return words.select(*keys, term.alias("term")).groupBy(*keys, "term").agg(F.count(F.lit(1)).alias("weight"))
 
 
-def signatures(texts: DataFrame, keys: list[str], text_col: str = "text", terms: int = TERMS, samples: int = SAMPLES, seed: int = SEED) -> DataFrame:
+def signatures(texts: DataFrame, keys: list[str], text_col: str = "text", terms: int | None = None, samples: int = SAMPLES, seed: int = SEED) -> DataFrame:
     """(keys, samples): the smallest ln a of each sample, as array<double>; texts without words have no row."""
     weighted = weighted_terms(texts, keys, text_col, terms).withColumn("_ln", F.ln(F.col("weight").cast("double")))
-    drawn = weighted.join(F.broadcast(draws(texts.sparkSession, terms, samples, seed)), "term")
 
     def smallest(j: int) -> Column:
-        r, b, k = (F.get(name, F.lit(j)) for name in ("r", "b", "k"))
-        return F.min(k - r * F.floor(F.col("_ln") / r + b)).alias(f"s{j}")
+        r, b, c = _draw(F.col("term"), j, seed)
+        return F.min(c + r * (b - 1 - F.floor(F.col("_ln") / r + b))).alias(f"s{j}")
 
-    found = drawn.groupBy(*keys).agg(*(smallest(j) for j in range(samples)))
+    found = weighted.groupBy(*keys).agg(*(smallest(j) for j in range(samples)))
     return found.select(*keys, F.array(*(f"s{j}" for j in range(samples))).alias("samples"))
 
 

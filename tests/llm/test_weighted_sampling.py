@@ -40,6 +40,14 @@ def test_collision_rate_with_weights(spark):
     assert abs(np.mean(rows[0] == rows[1]) - jaccard(*texts[:2])) < 0.08 and np.mean(rows[0] == rows[2]) == 0
 
 
+def test_long_texts_without_a_common_word_are_not_alike(spark):
+    n = 20000
+    texts = [" ".join(f"{name}{i}" for i in range(n)) for name in ("a", "b")] + [" ".join(f"a{i}" for i in range(n // 2, n + n // 2))]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    rows = [np.array(r.samples) for r in ws.signatures(df, ["doc_id"], samples=64).orderBy("doc_id").collect()]
+    assert np.mean(rows[0] == rows[1]) == 0 and abs(np.mean(rows[0] == rows[2]) - 1 / 3) < 0.2
+
+
 def test_draws_have_their_distributions(spark):
     row = ws.draws(spark, 64, 400).select(F.flatten(F.collect_list("r")).alias("r"), F.flatten(F.collect_list("b")).alias("b"), F.flatten(F.collect_list("k")).alias("k")).first()
     r, b = np.array(row.r), np.array(row.b)
