@@ -7,14 +7,16 @@ against a band around the median of its language, or of its script where a text
 come from the whole corpus: exact counts per (group, measure, bin) of a fixed grid, whose quantiles give
 median and spread; a group's table has a bounded number of bins, whatever the number of documents.
 
-The measures of short texts scatter more, and entropy grows with length, so a band belongs to a group *and*
-order of length. Spreads are quartiles, which up to a quarter of bad texts in a group don't move.
+The measures of short texts scatter more, so a band belongs to a group *and* order of length where there are
+enough texts; entropy, which grows with length, is taken as a share of the most a text of its length can have.
+Where a class has fewer than ``MIN_GROUP`` texts, or spreads ``WIDE`` times as far as the next coarser one, that
+one is used: the group over all lengths, then the script, then the corpus, so every text with a token is held
+against a band. Spreads are quartiles, which up to a quarter of bad texts in a group don't move.
 Base rules (word and symbol counts, repeated lines and repeated eight-word windows) come from the same pass
 and are not weakened by the bands: a text that fails them is not kept.
 
 Defined results: a null or empty text has no words, fails the base rules and is not kept; its measures are
-0. Groups of fewer than ``MIN_GROUP`` texts have no band and reject nothing. Texts are tokenised in pieces
-of at most ``PIECE_BYTES``, cut at white space, so memory is bounded. Repeated rows each get a row.
+0. Texts are tokenised in pieces of at most ``PIECE_BYTES``, cut at white space, so memory is bounded. Repeated rows each get a row.
 """
 
 from __future__ import annotations
@@ -42,11 +44,13 @@ BAND = 8.0
 #: Narrower spreads than this share of the median are taken as that, so that uniform groups don't reject.
 LEAST_SPREAD = 0.02
 MIN_GROUP = 50
+#: A class whose spread is more than so many times its parent's is mixed, and its parent's band is used.
+WIDE = 2.0
+#: Entropy is held against bands as if every text had this many tokens.
+ENTROPY_TOKENS = 1024
 GRID = {"byte_chars": 0.02, "piece_chars": 0.02, "fallback": 0.002, "entropy": 0.02}
 #: Which sides of the band reject: low, high or both.
 SIDES = {"byte_chars": "both", "piece_chars": "both", "fallback": "high", "entropy": "low"}
-#: Texts with fewer tokens have no stable entropy and characters per token.
-MIN_TOKENS = 40
 
 _SPACE_BYTES = np.zeros(256, bool)
 _SPACE_BYTES[[9, 10, 11, 12, 13, 32]] = True
@@ -107,13 +111,21 @@ def _piece_model(proto: bytes) -> tuple[sentencepiece.SentencePieceProcessor, np
     return model, np.array([model.is_byte(i) and model.id_to_piece(i) not in blank for i in range(model.get_piece_size())])
 
 
+@lru_cache(maxsize=1 << 16)
+def _script(code: int) -> str:
+    """Script of a letter by its name; empty for other signs."""
+    char = chr(code)
+    return unicodedata.name(char, "OTHER").split(" ")[0] if char.isalpha() else ""
+
+
 def script_of(text: str) -> str:
-    """The commonest script of the first letters of every word's kind: by the names of code points."""
+    """The commonest script of the letters of a text: by the names of code points."""
     counts: dict[str, int] = {}
-    for char in set(text):
-        if char.isalpha():
-            name = unicodedata.name(char, "OTHER").split(" ")[0]
-            counts[name] = counts.get(name, 0) + text.count(char)
+    for at in range(0, len(text), PIECE_BYTES):
+        signs = np.bincount(np.frombuffer(text[at : at + PIECE_BYTES].encode("utf-32-le", "replace"), np.uint32))
+        for code in np.flatnonzero(signs).tolist():
+            if name := _script(code):
+                counts[name] = counts.get(name, 0) + int(signs[code])
     return max(sorted(counts), key=counts.get).lower() if counts else "none"
 
 
@@ -139,7 +151,7 @@ def measures(text: bytes, byte_bpe: tiktoken.Encoding, model, is_byte: np.ndarra
 def measure_documents(
     spark: SparkSession, docs: DataFrame, rank_path: str, pattern: str, piece_path: str, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang"
 ) -> DataFrame:
-    """(doc_id, grouping, base counts, n_tokens, measures) of every row. The vocabularies are below 2 MB."""
+    """(doc_id, grouping, script, base counts, n_tokens, measures) of every row. The vocabularies are below 2 MB."""
     with open(rank_path, "rb") as ranks, open(piece_path, "rb") as proto:
         sent = spark.sparkContext.broadcast((ranks.read(), pattern, proto.read()))
     names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_tokens", "byte_chars", "piece_chars", "fallback", "entropy"]
@@ -149,11 +161,12 @@ def measure_documents(
         byte_bpe, (model, is_byte) = _byte_bpe(ranks, pattern), _piece_model(proto)
         texts = utf8(batch.column(1))
         rows = [(*base_counts(x), *measures(x, byte_bpe, model, is_byte)) for x in texts]
-        groups = [lang or "script:" + script_of(x.decode("utf-8", "replace")) for lang, x in zip(batch.column(2).to_pylist(), texts)]
+        scripts = [script_of(x.decode("utf-8", "replace")) for x in texts]
+        groups = [lang or "script:" + script for lang, script in zip(batch.column(2).to_pylist(), scripts)]
         columns = [pa.array(c, pa.int64() if i < 6 else pa.float64()) for i, c in enumerate(zip(*rows))]
-        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(groups, pa.string()), *columns], ["doc_id", "grouping", *names])
+        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(groups, pa.string()), pa.array(scripts, pa.string()), *columns], ["doc_id", "grouping", "script", *names])
 
-    schema = "doc_id bigint, grouping string, " + ", ".join(f"{n} {'bigint' if i < 6 else 'double'}" for i, n in enumerate(names))
+    schema = "doc_id bigint, grouping string, script string, " + ", ".join(f"{n} {'bigint' if i < 6 else 'double'}" for i, n in enumerate(names))
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"))
     return map_arrow(rows, per_batch, schema)
 
@@ -163,9 +176,15 @@ def length_class() -> Column:
     return F.floor(F.log2(F.greatest(F.col("n_tokens"), F.lit(1)).cast("double"))).cast("int")
 
 
-def _binned(rows: DataFrame) -> DataFrame:
-    """(grouping, measure, class, bin) of every text with enough tokens."""
-    long_enough = rows.filter(F.col("n_tokens") >= MIN_TOKENS)
+def _even_entropy() -> Column:
+    """Entropy as a share of the most that the number of tokens allows, times that of ENTROPY_TOKENS."""
+    most = F.log2(F.col("n_tokens").cast("double"))
+    share = F.when(F.col("n_tokens") < 2, F.lit(1.0)).otherwise(F.col("entropy") / most)
+    return share * float(np.log2(ENTROPY_TOKENS))
+
+
+def _counts(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, measure, class, bin, n) of every text with a token."""
     entries = F.array(
         *(
             F.struct(
@@ -176,55 +195,71 @@ def _binned(rows: DataFrame) -> DataFrame:
             for name, grid in GRID.items()
         )
     )
-    return long_enough.select("grouping", F.inline(entries))
+    binned = rows.filter(F.col("n_tokens") > 0).select(*keys, F.inline(entries))
+    return binned.groupBy(*keys, "measure", "class", "bin").agg(F.count(F.lit(1)).alias("n"))
 
 
-def bands(rows: DataFrame) -> DataFrame:
-    """(grouping, measure, class, low, high): exact quantiles over counts per bin."""
-    counts = _binned(rows).groupBy("grouping", "measure", "class", "bin").agg(F.count(F.lit(1)).alias("n"))
-    group = Window.partitionBy("grouping", "measure", "class")
+def _limits(counts: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, measure, n, low, high) of every group: exact quantiles over counts per bin."""
+    keys = [*keys, "measure"]
+    counts = counts.groupBy(*keys, "bin").agg(F.sum("n").alias("n"))
+    group = Window.partitionBy(*keys)
     upto = F.sum("n").over(group.orderBy("bin").rowsBetween(Window.unboundedPreceding, Window.currentRow))
     placed = counts.withColumn("_upto", upto).withColumn("_all", F.sum("n").over(group))
     quantile = lambda q: F.min(F.when(F.col("_upto") >= F.col("_all") * q, F.col("bin")))
-    found = placed.groupBy("grouping", "measure", "class").agg(
+    found = placed.groupBy(*keys).agg(
         quantile(0.25).alias("q25"), quantile(0.5).alias("q50"), quantile(0.75).alias("q75"), F.max("_all").alias("n")
     )
     grid = F.create_map(*(x for name, step in GRID.items() for x in (F.lit(name), F.lit(step))))[F.col("measure")]
     middle = (F.col("q50") + 0.5) * grid
     least = F.greatest(middle * LEAST_SPREAD, grid)
-    return found.filter(F.col("n") >= MIN_GROUP).select(
-        "grouping",
-        "measure",
-        "class",
+    return found.select(
+        *keys,
+        "n",
         (middle - BAND * F.greatest((F.col("q50") - F.col("q25")) * grid, least)).alias("low"),
         (middle + BAND * F.greatest((F.col("q75") - F.col("q50")) * grid, least)).alias("high"),
     )
 
 
+def bands(rows: DataFrame) -> DataFrame:
+    """(grouping, measure, class, low, high) of the classes with enough texts."""
+    found = _limits(_counts(rows, ["grouping"]), ["grouping", "class"])
+    return found.filter(F.col("n") >= MIN_GROUP).select("grouping", "measure", "class", "low", "high")
+
+
 def verdicts(rows: DataFrame) -> DataFrame:
     """``rows`` with base_failed, band_failed (measures outside their bands) and kept."""
     rows = staged(rows, "fertility-rows")
-    # One row per group and measure, with the bands of all length classes: (class -> low, high).
-    limits = bands(rows).groupBy("grouping").agg(
-        F.map_from_entries(
-            F.collect_list(F.struct(F.concat_ws(":", "measure", F.col("class").cast("string")), F.struct("low", "high")))
-        ).alias("limits")
-    )
-    joined = rows.join(limits, "grouping", "left")
+    # A few rows per group; all levels come from them.
+    counts = staged(_counts(rows.withColumn("entropy", _even_entropy()), ["grouping", "script"]), "fertility-counts")
+
+    def level(name: str, *keys: str, place: Column) -> DataFrame:
+        """One row per key, with its bands: (place -> n, low, high)."""
+        entry = F.struct(place, F.struct("n", "low", "high"))
+        return _limits(counts, [*keys, *(["class"] if name == "_fine" else [])]).groupBy(*keys).agg(F.map_from_entries(F.collect_list(entry)).alias(name))
+
+    fine = level("_fine", "grouping", place=F.concat_ws(":", "measure", F.col("class").cast("string")))
+    joined = rows.join(fine, "grouping", "left")
+    joined = joined.join(level("_group", "grouping", place=F.col("measure")), "grouping", "left")
+    joined = joined.join(level("_scripts", "script", place=F.col("measure")), "script", "left")
+    joined = joined.crossJoin(F.broadcast(level("_corpus", place=F.col("measure"))))
 
     def outside(name: str) -> Column:
         place = F.concat_ws(":", F.lit(name), length_class().cast("string"))
-        band = F.try_element_at("limits", place)
-        low, high = F.col(name) < band["low"], F.col(name) > band["high"]
+        band = F.try_element_at("_corpus", F.lit(name))
+        for finer in (F.try_element_at("_scripts", F.lit(name)), F.try_element_at("_group", F.lit(name)), F.try_element_at("_fine", place)):
+            narrow = finer["high"] - finer["low"] <= (band["high"] - band["low"]) * WIDE
+            band = F.when((finer["n"] >= MIN_GROUP) & narrow, finer).otherwise(band)
+        value = _even_entropy() if name == "entropy" else F.col(name)
+        low, high = value < band["low"], value > band["high"]
         wrong = {"low": low, "high": high, "both": low | high}[SIDES[name]]
         return F.when(F.coalesce(wrong, F.lit(False)), F.lit(name))
 
     failed = F.filter(F.array(*map(outside, GRID)), lambda x: x.isNotNull())
-    enough = F.col("n_tokens") >= MIN_TOKENS
     base = (F.col("n_words") < MIN_WORDS) | (F.col("n_repeat_words") * 100 > F.col("n_words") * MAX_REPEATED)
     return (
         joined.withColumn("base_failed", base)
-        .withColumn("band_failed", F.when(enough, F.array_join(failed, ",")).otherwise(F.lit("")))
+        .withColumn("band_failed", F.when(F.col("n_tokens") > 0, F.array_join(failed, ",")).otherwise(F.lit("")))
         .withColumn("kept", ~F.col("base_failed") & (F.col("band_failed") == ""))
-        .drop("limits")
+        .drop("_fine", "_group", "_scripts", "_corpus")
     )

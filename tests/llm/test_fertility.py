@@ -69,6 +69,21 @@ def test_bands_against_sorting(spark):
         assert r.high == pytest.approx(middle + fertility.BAND * max((q75 - q50) * grid, least))
 
 
+def test_small_and_mixed_classes_are_held_against_a_coarser_band(spark):
+    rng = np.random.default_rng(4)
+    row = lambda i, group, script, n, entropy, chars=4.0: (i, group, script, 50, 0, n, chars + rng.normal(0, 0.1), 4.0, 0.0, entropy * np.log2(n) / 10)
+    rows = [row(i, "en", "latin", 100, 8 + rng.normal(0, 0.1)) for i in range(300)]
+    rows += [row(1000, "en", "latin", 10000, 0.5), row(1001, "en", "latin", 10000, 8.0), row(1002, "en", "latin", 20, 8.0, 40.0)]
+    rows += [row(1003, "is", "latin", 100, 8.0, 40.0), row(1004, "is", "latin", 100, 8.0), row(1005, "am", "ethiopic", 100, 8.0, 40.0)]
+    # Every second text of this class is bad: its own band would take in all of them.
+    rows += [row(2000 + i, "en", "latin", 5000, 8.0 if i % 2 else 1.0) for i in range(60)]
+    columns = "doc_id bigint, grouping string, script string, n_words bigint, n_repeat_words bigint, n_tokens bigint, byte_chars double, piece_chars double, fallback double, entropy double"
+    got = {r.doc_id: r.band_failed for r in fertility.verdicts(spark.createDataFrame([tuple(x.item() if isinstance(x, np.generic) else x for x in r) for r in rows], columns)).collect()}
+    assert len(got) == len(rows)
+    assert [got[i] for i in range(1000, 1006)] == ["entropy", "", "byte_chars", "byte_chars", "", "byte_chars"]
+    assert {got[2000 + i] for i in range(0, 60, 2)} == {"entropy"} and {got[2000 + i] for i in range(1, 60, 2)} == {""}
+
+
 def test_clean_labelled_documents_are_kept(spark):
     folder = FOLDER.replace("0.001", "0.01")
     labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{folder}/labels.parquet").collect()}
