@@ -64,8 +64,8 @@ def _mixed(values: np.ndarray, salt: int, buckets: int) -> np.ndarray:
     return (values >> np.uint64(40)).astype(np.int64) % buckets
 
 
-def _features(block: np.ndarray, ngrams: tuple[int, ...], buckets: int):
-    """Yields (bucket, position of the first byte) of all features in a block of bytes."""
+def _features(block: np.ndarray, ngrams: tuple[int, ...], buckets: int, texts: np.ndarray | None = None):
+    """Yields (bucket, position of the first byte) of all features in a block of bytes; ``texts`` is where each text starts."""
     bytes64 = block.astype(np.uint64) + np.uint64(1)
     for salt, n in enumerate(ngrams, 1):
         if len(block) >= n:
@@ -84,6 +84,9 @@ def _features(block: np.ndarray, ngrams: tuple[int, ...], buckets: int):
         yield _mixed(words, 0, buckets), starts, 0
         # The word pair that says most whatever the words are: a word after itself.
         again = np.flatnonzero(words[1:] == words[:-1]) + 1
+        if texts is not None:  # both words are in the same text
+            text_of = np.searchsorted(texts, starts, "right")
+            again = again[text_of[again] == text_of[again - 1]]
         yield _mixed(np.zeros(len(again), np.uint64), len(ngrams) + 1, buckets), starts[again], 0
 
 
@@ -126,7 +129,7 @@ def bucket_sums(texts: list[bytes], weights: np.ndarray, ngrams: tuple[int, ...]
         block, starts = _joined(held, widest)
         ends = starts + np.fromiter((len(x) for x in held), np.int64, len(held))
         where = slice(first, first + len(held))
-        for bucket, position, n in _features(block, ngrams, len(weights)):
+        for bucket, position, n in _features(block, ngrams, len(weights), starts):
             sums = np.concatenate(([0.0], np.cumsum(weights[bucket])))
             if n:  # n-grams start at every byte
                 low, high = starts, np.maximum(starts, ends - n + 1)

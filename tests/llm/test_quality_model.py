@@ -31,6 +31,15 @@ def plain_features(text):
     return out
 
 
+def test_scores_do_not_depend_on_neighbours():
+    texts = [b"word", b"word", b"", b"word word", b"a word", b"word", b" word b"]
+    weights = np.random.default_rng(5).normal(size=qm.BUCKETS)
+    total, count = qm.bucket_sums(texts, weights, qm.NGRAMS)
+    for at, text in enumerate(texts):
+        alone, n = qm.bucket_sums([text], weights, qm.NGRAMS)
+        assert count[at] == n[0] == len(plain_features(text)) and total[at] == pytest.approx(alone[0])
+
+
 TEXTS = [b"", b"a", b"ab cd ab", b"  one one\ttwo  ", "näive 中文 text text".encode(), b"x" * 40]
 
 
