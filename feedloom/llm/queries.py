@@ -8,7 +8,7 @@ import public_tokenizers
 from corpus_pipeline import run
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from feedloom.llm import bpe, fertility, kd_shards, licences, mixing, pii, quality_model, secrets, simhash, weighted_sampling
+from feedloom.llm import bpe, fertility, kd_shards, licences, mixing, pii, quality_model, secrets, simhash, weighted_sampling, whitening
 from feedloom.llm.common import read_documents, read_table
 from feedloom.llm.sql import llm_sql  # noqa: F401  for the entry points
 
@@ -105,6 +105,11 @@ def op10_weighted_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return weighted_sampling.fingerprints(read_documents(spark, sf_dir))
 
 
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every remaining embedding on the first components of the fit list."""
+    return whitening.whiten(read_table(spark, sf_dir, "embeddings"))
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_kd_shards": op1_kd_shards,
@@ -117,6 +122,7 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_quality": op8_quality,
         "op9_fertility": op9_fertility,
         "op10_weighted_sampling": op10_weighted_sampling,
+        "op13_whitening": op13_whitening,
         "pipeline": run,
     }
 
