@@ -8,7 +8,7 @@ import public_tokenizers
 from corpus_pipeline import run
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from feedloom.llm import bpe, fertility, hard_negatives, kd_shards, licences, mixing, pii, quality_model, secrets, simhash, weighted_sampling, whitening
+from feedloom.llm import bpe, fertility, hard_negatives, kd_shards, licences, minhash_forest, mixing, pii, quality_model, secrets, simhash, weighted_sampling, whitening
 from feedloom.llm.common import read_documents, read_table
 from feedloom.llm.sql import llm_sql  # noqa: F401  for the entry points
 
@@ -105,6 +105,11 @@ def op10_weighted_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return weighted_sampling.fingerprints(read_documents(spark, sf_dir))
 
 
+def op11_minhash_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Set size, component and verdict of every document."""
+    return minhash_forest.near_duplicates(read_documents(spark, sf_dir))
+
+
 def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hard negatives of every hundredth embedding, searched among all."""
     return hard_negatives.hard_negatives(read_table(spark, sf_dir, "embeddings"))
@@ -127,6 +132,7 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_quality": op8_quality,
         "op9_fertility": op9_fertility,
         "op10_weighted_sampling": op10_weighted_sampling,
+        "op11_minhash_forest": op11_minhash_forest,
         "op12_hard_negatives": op12_hard_negatives,
         "op13_whitening": op13_whitening,
         "pipeline": run,

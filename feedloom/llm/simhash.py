@@ -23,9 +23,10 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Observation, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from feedloom.llm.common import map_arrow, pieces, utf8
+from feedloom.llm.components import star_components
 from feedloom.operators.stage import staged
 
 SHINGLE_WORDS = 3
@@ -148,37 +149,6 @@ def near_links(fps: DataFrame, max_bits: int = MAX_BITS, bucket_rows: int = BUCK
     return verified.select(F.least("fp", "other").alias("a"), F.greatest("fp", "other").alias("b")).distinct()
 
 
-def star_components(links: DataFrame) -> DataFrame:
-    """(node, root) of every linked node, from links (a, b) with a < b; root is the smallest node reachable."""
-
-    def stage_edges(edges: DataFrame) -> tuple[DataFrame, tuple]:
-        seen = Observation()
-        mark = F.xxhash64("a", "b")
-        table = staged(edges.observe(seen, F.count(F.lit(1)).alias("n"), F.bit_xor(mark).alias("x"), F.max(mark).alias("m")), "simhash-edges")
-        return table, (seen.get["n"], seen.get["x"], seen.get["m"])
-
-    def star(edges: DataFrame, both: bool) -> DataFrame:
-        """Ties the larger neighbours (both) or all smaller ones to the smallest neighbour of a node."""
-        down = edges.select(F.col("b").alias("u"), F.col("a").alias("v"))
-        pairs = down.unionByName(edges.select(F.col("a").alias("u"), F.col("b").alias("v"))) if both else down
-        least = pairs.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        tied = pairs.join(least, "u")
-        if both:
-            tied = tied.filter(F.col("v") > F.col("u")).select(F.col("m").alias("a"), F.col("v").alias("b"))
-        else:
-            tied = tied.select(F.col("m").alias("a"), F.col("v").alias("b")).unionByName(least.select(F.col("m").alias("a"), F.col("u").alias("b")))
-        return tied.filter(F.col("a") < F.col("b")).distinct()
-
-    edges, mark = stage_edges(links)
-    while mark[0]:
-        edges, now = stage_edges(star(star(edges, True), False))
-        if now == mark:
-            break
-        mark = now
-    stars = edges.select(F.col("b").alias("node"), F.col("a").alias("root"))
-    return stars.unionByName(stars.select(F.col("root").alias("node"), "root").distinct())
-
-
 def _classes(rows: DataFrame, max_bits: int, bucket_rows: int) -> DataFrame:
     """(fp, head) of every distinct fingerprint: the first document (missing, doc_id, tie) of its component."""
     document = F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "tie")

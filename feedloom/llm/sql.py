@@ -108,5 +108,32 @@ FROM texts t LEFT JOIN spans s USING (id) LEFT JOIN verdicts v USING (id)
 """
 
 
+OP12 = """
+WITH kept AS MATERIALIZED (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label::BIGINT + 1) % 10 ELSE label::BIGINT END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+),
+scored AS MATERIALIZED (
+  SELECT a.vec_id AS anchor_id, a.label AS own, b.vec_id, b.label, list_inner_product(a.v, b.v)::BIGINT AS score
+  FROM (SELECT DISTINCT * FROM kept WHERE vec_id % 100 = 0) a, kept b
+),
+positives AS (
+  SELECT *, row_number() OVER (PARTITION BY anchor_id, own ORDER BY score DESC, vec_id) AS place
+  FROM scored WHERE label = own AND vec_id <> anchor_id
+),
+negatives AS (
+  SELECT p.anchor_id, p.own, p.place, p.vec_id AS positive_id, p.score AS positive_score, n.vec_id AS negative_id, n.score AS negative_score,
+         row_number() OVER (PARTITION BY p.anchor_id, p.own, p.place ORDER BY n.score DESC, n.vec_id)::INT AS rank
+  FROM positives p JOIN scored n ON n.anchor_id = p.anchor_id AND n.own = p.own AND n.label <> p.own
+   AND 80 * p.score <= 100 * n.score AND n.score <= p.score
+  WHERE p.place <= 5
+)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM negatives WHERE rank <= 5
+"""
+
+
 def llm_sql() -> dict[str, str]:
-    return {"op2_secrets": OP2, "op4_mixing": OP4}
+    return {"op2_secrets": OP2, "op4_mixing": OP4, "op12_hard_negatives": OP12}

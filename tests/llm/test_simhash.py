@@ -6,6 +6,7 @@ import re
 import xxhash
 
 from feedloom.llm import simhash
+from feedloom.llm.components import star_components
 from feedloom.llm.queries import op3_simhash
 
 from .helpers import FOLDER, ODD_ROWS, documents, frame, rows_of
@@ -70,7 +71,7 @@ def test_crowds_chains_and_small_buckets(spark):
         got = [(r.a, r.b) for r in simhash.near_links(fps, 3, bucket_rows).collect()]
         assert len(got) == len(set(got)) and set(got) == want
     links = spark.createDataFrame(sorted(want), "a bigint, b bigint")
-    roots = {r.node: r.root for r in simhash.star_components(links).collect()}
+    roots = {r.node: r.root for r in star_components(links).collect()}
     assert partition([roots.get(signed(p), signed(p)) for p in prints]) == partition(plain_components(prints))
 
 
