@@ -19,6 +19,9 @@ HEALTH_SCHEMA = (
     " total_successes bigint, total_failures bigint, last_checked_at timestamp,"
     " last_success_at timestamp, last_error string, last_article_count int"
 )
+HISTORY_SCHEMA = "source_key string, seq bigint, checked_at timestamp, status string, last_success_at timestamp"
+#: Parts of a run that are held and released by themselves in a stream, so that a large run is spread.
+RUN_PARTS = 32
 
 
 def source_key(name: Column, url: Column) -> Column:
@@ -33,10 +36,10 @@ def has_marker(error: Column, markers: Sequence[str]) -> Column:
     return hit
 
 
-def run_flags(checks: DataFrame) -> DataFrame:
-    """Per run: counts, ``is_outage`` (name resolution down) and ``is_discarded`` (whole network down)."""
+def run_flags(checks: DataFrame, run: Sequence[str] = ("run_id",)) -> DataFrame:
+    """Per run (told apart by the columns ``run``): counts, ``is_outage`` (name resolution down) and ``is_discarded`` (whole network down)."""
     failed = ~F.col("ok")
-    counts = checks.groupBy("run_id").agg(
+    counts = checks.groupBy(*run).agg(
         F.count(F.lit(1)).alias("checked"),
         F.count_if(F.col("ok")).alias("n_ok"),
         F.count_if(failed).alias("n_failed"),
@@ -46,7 +49,7 @@ def run_flags(checks: DataFrame) -> DataFrame:
     enough = F.col("n_failed") >= F.greatest(F.lit(2), F.floor(F.col("checked") / 2))
     none_ok = F.col("n_ok") == 0
     return counts.select(
-        "run_id", "checked", "n_ok", "n_failed",
+        *run, "checked", "n_ok", "n_failed",
         (none_ok & enough & (F.col("_dns") == F.col("n_failed"))).alias("is_outage"),
         (none_ok & (F.col("n_failed") > 0) & (F.col("_network") == F.col("n_failed"))).alias("is_discarded"),
     )
@@ -68,6 +71,23 @@ def usable_checks(checks: DataFrame, discard: bool = True) -> DataFrame:
     return marked.withColumn("counts_as_failure", ~F.col("ok") & F.col("is_outage").isNull()).drop("is_outage")
 
 
+def closed_runs(checks: DataFrame, lateness: str = "1 hour") -> DataFrame:
+    """Marked checks, as ``usable_checks`` gives them, of a *stream*: held back until their run is whole.
+
+    Checks carry ``run_at``, the time their run started; one without it takes its own time. A run is closed by the
+    watermark: once a run is seen that started more than ``lateness`` later. Until then its checks wait in the state
+    store, whatever number of batches they come in, and its flags are counted. A check that comes after its run
+    was closed is dropped; ``split_late`` puts such rows aside. State holds open runs only.
+    """
+    run = ["run_id", "run_at"]
+    timed = checks.withColumn("run_at", F.coalesce("run_at", "checked_at")).withWatermark("run_at", lateness)
+    # Flags are one row per run and go to every part of it.
+    flags = run_flags(timed, run).filter(~F.col("is_discarded")).select(*run, "is_outage", F.explode(F.sequence(F.lit(0), F.lit(RUN_PARTS - 1))).alias("_part"))
+    dealt = timed.withColumn("_part", F.pmod(F.xxhash64("source_key", "seq"), F.lit(RUN_PARTS)).cast("int"))
+    joined = dealt.join(flags, [*run, "_part"])
+    return joined.withColumn("counts_as_failure", ~F.col("ok") & ~F.col("is_outage")).drop("is_outage", "_part")
+
+
 def fold_health(checks: DataFrame, state: DataFrame, threshold: int = 3) -> DataFrame:
     """New health state: ``checks`` (with ``counts_as_failure``) on top of the prior ``state``.
 
@@ -129,7 +149,8 @@ def fold_health(checks: DataFrame, state: DataFrame, threshold: int = 3) -> Data
 
 
 def health_history(checks: DataFrame, state: DataFrame, threshold: int = 3) -> DataFrame:
-    """``streak`` and ``status`` after every check, on top of the prior ``state``.
+    """``streak`` and ``status`` after every check, on top of the prior ``state``; where checks carry ``checked_at``,
+    also ``last_success_at``.
 
     A source's checks are cut into ordered segments. Inside a segment the streak is a running count
     since the last success; what precedes the first success of a segment also gets the streak that
@@ -143,30 +164,36 @@ def health_history(checks: DataFrame, state: DataFrame, threshold: int = 3) -> D
     local = cut.withColumn("_island", F.sum(F.col("ok").cast("int")).over(so_far)).withColumn(
         "_run", F.sum(counts).over(island)
     )
-    # One row per segment: whether it holds a success, and its failures after the last one.
+    timed = "checked_at" in checks.columns
+    ok_at = F.when(F.col("ok"), F.col("checked_at")) if timed else F.lit(None).cast("timestamp")
+    local = local.withColumn("_ok_at", F.last(ok_at, ignorenulls=True).over(so_far))
+    # One row per segment: whether it holds a success, its failures after the last one, and when that was.
     tails = local.groupBy(*keys).agg(
-        (F.max("_island") > 0).cast("int").alias("_has_ok"), F.max_by("_run", "seq").alias("_tail")
+        (F.max("_island") > 0).cast("int").alias("_has_ok"), F.max_by("_run", "seq").alias("_tail"), F.max_by("_ok_at", "seq").alias("_last_ok")
     )
     by_source = Window.partitionBy("source_key").orderBy("segment")
     reach = by_source.rowsBetween(Window.unboundedPreceding, 0)
     chain = Window.partitionBy("source_key", "_chain").orderBy("segment").rowsBetween(Window.unboundedPreceding, 0)
-    prior = state.select("source_key", F.col("consecutive_failures").alias("_prior"))
+    prior = state.select("source_key", F.col("consecutive_failures").alias("_prior"), F.col("last_success_at").alias("_prior_ok"))
+    so_far_ok = F.last("_last_ok", ignorenulls=True).over(by_source.rowsBetween(Window.unboundedPreceding, -1))
     start = F.coalesce("_prior", F.lit(0))
     handed = (
         tails.join(prior, "source_key", "left")
         .withColumn("_chain", F.sum("_has_ok").over(reach))
         .withColumn("_end", F.sum("_tail").over(chain) + F.when(F.col("_chain") == 0, start).otherwise(0))
-        .select(*keys, F.coalesce(F.lag("_end").over(by_source), start).alias("_handed"))
+        .select(*keys, F.coalesce(F.lag("_end").over(by_source), start).alias("_handed"), F.coalesce(so_far_ok, "_prior_ok").alias("_handed_ok"))
     )
     joined = local.join(handed, keys)
     streak = F.when(F.col("_island") == 0, F.col("_run") + F.col("_handed")).otherwise(F.col("_run"))
+    if timed:
+        joined = joined.withColumn("last_success_at", F.coalesce("_ok_at", "_handed_ok"))
     return (
         joined.withColumn("streak", F.when(F.col("ok"), 0).otherwise(streak).cast("int"))
         .withColumn(
             "status",
             F.when(F.col("ok"), "healthy").when(F.col("streak") >= threshold, "unstable").otherwise("degraded"),
         )
-        .drop("_island", "_run", "_handed", "segment")
+        .drop("_island", "_run", "_handed", "_ok_at", "_handed_ok", "segment")
     )
 
 

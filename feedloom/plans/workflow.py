@@ -18,7 +18,7 @@ from feedloom.sources.cache import CACHE_SCHEMA, cache_rows, upsert_cache
 from feedloom.sources.candidates import candidate_articles
 from feedloom.sources.catalogue import enabled_sources
 from feedloom.sources.feeds import feed_articles, feed_failures, newest_payloads, read_feeds
-from feedloom.sources.tables import read_or_empty, read_state, write_dates, write_state
+from feedloom.sources.tables import read_or_empty, read_state, update_state, write_dates
 
 
 @dataclass(frozen=True)
@@ -119,7 +119,7 @@ def _run(
 
     # All results are on shared storage before the first table changes. Every table replaces what a run of the
     # same dates left, and documents, which tell what is still to do, come last.
-    write_state(upsert_cache(stored, live, F.col("fetched_at"), settings.cache_retention_days), folders.cache)
+    update_state(live, folders.cache, CACHE_SCHEMA, lambda old, new: upsert_cache(old, new, F.col("fetched_at"), settings.cache_retention_days))
     append_archive(lines, folders.archive)
     write_dates(status, folders.status)
     write_dates(documents, folders.documents)

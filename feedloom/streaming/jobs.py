@@ -9,18 +9,19 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from feedloom.functions.urls import with_url_key
-from feedloom.operators.health import HEALTH_SCHEMA
+from feedloom.operators.health import HEALTH_SCHEMA, closed_runs
 from feedloom.operators.stage import staged
-from feedloom.plans.validate import update_health_table
+from feedloom.plans.validate import fold_into_table
 from feedloom.sources.cache import CACHE_SCHEMA, upsert_cache
 from feedloom.sources.feeds import feed_articles, read_feeds
-from feedloom.sources.tables import read_or_empty, read_state, write_state
+from feedloom.sources.tables import read_or_empty, read_state, update_state
 
 _BATCH = "batch"
+_COUNTS = "n bigint, n_accepted bigint, n_late bigint, newest timestamp, batch bigint"
 
 
 def _finish(writer: DataStreamWriter, checkpoint: str) -> None:
@@ -41,23 +42,30 @@ def ingest_feeds(payloads: DataFrame, sources: DataFrame, out: str, checkpoint:
     _each_batch(payloads, parse, checkpoint)
 
 
-def update_health(checks: DataFrame, out: str, checkpoint: str, threshold: int = 3) -> None:
-    """Keep source health current. A run must arrive within one batch, as its flags need all of it."""
+def update_health(
+    checks: DataFrame, out: str, checkpoint: str, threshold: int = 3, lateness: str = "1 hour", history: str | None = None
+) -> None:
+    """Keep source health current, run by run: a run counts once it is whole, see ``closed_runs``.
+
+    Runs are folded in the order they close. A batch rewrites the state of the sources it checked only.
+    """
 
     def fold(batch: DataFrame, number: int) -> None:
-        update_health_table(staged(batch, "checks"), out, threshold, version=number)
+        fold_into_table(batch, out, threshold, number, history)
 
-    _each_batch(checks, fold, checkpoint)
+    _each_batch(closed_runs(checks, lateness), fold, checkpoint)
 
 
 def update_cache(live: DataFrame, out: str, checkpoint: str, retention_days: int = 7) -> None:
-    """Keep the feed cache current; ``live`` carries ``fetched_at``."""
+    """Keep the feed cache current; ``live`` carries ``fetched_at``. A batch rewrites the entries' buckets only."""
+
+    def merge(old: DataFrame, new: DataFrame) -> DataFrame:
+        return upsert_cache(old, new, F.col("fetched_at"), retention_days)
 
-    def merge(batch: DataFrame, number: int) -> None:
-        old = read_state(batch.sparkSession, out, CACHE_SCHEMA, before=number)
-        write_state(upsert_cache(old, staged(batch, "live"), F.col("fetched_at"), retention_days), out, number)
+    def update(batch: DataFrame, number: int) -> None:
+        update_state(staged(batch, "live"), out, CACHE_SCHEMA, merge, number)
 
-    _each_batch(live, merge, checkpoint)
+    _each_batch(live, update, checkpoint)
 
 
 def count_days(events: DataFrame, time: str, by: list[str], out: str, checkpoint: str, lateness: str = "3 days") -> None:
@@ -83,29 +91,51 @@ def read_day_counts(spark: SparkSession, out: str, by: list[str]) -> DataFrame:
 
 
 def drop_seen_links(articles: DataFrame, out: str, checkpoint: str, retention: str = "7 days") -> None:
-    """Drop articles whose link came before within the retention; of copies in a batch the earliest stays.
+    """Drop articles whose link came before within the retention; one of several copies stays, whichever comes first.
 
-    An article without a date takes the time it was fetched. Weaker than the digest's own duplicate removal, which
-    still runs per date. The kept links themselves are the memory, read back as far as the retention goes.
+    The links seen are kept in the state store and leave it when the watermark passes their time and the retention, so
+    state is bounded by the links of that span, and nothing that was written is read again. An article without a date
+    takes the time it was fetched; without that either it can't age, and goes to the folder ``untimed`` beside
+    ``out`` instead. Articles behind the watermark are dropped. Weaker than the digest's own
+    duplicate removal, which still runs per date.
     """
     timed = with_url_key(articles.withColumn("event_time", F.coalesce("published_at", "fetched_at")))
-    rest = [c for c in timed.columns if c not in ("link_key", "event_time")]
-    schema = timed.schema.add(_BATCH, "long")
-    reach = F.expr(f"interval {retention}")
-
-    def drop(batch: DataFrame, number: int) -> None:
-        firsts = batch.groupBy("link_key").agg(F.min(F.struct("event_time", *rest)).alias("a")).select("link_key", "a.*")
-        firsts = staged(firsts, "links")
-        seen = read_or_empty(batch.sparkSession, out, schema).filter(F.col(_BATCH) < number)
-        earliest = firsts.agg(F.min("event_time").alias("t")).first()["t"]
-        if earliest is not None:
-            seen = seen.filter(F.col("event_time") >= F.lit(earliest) - reach)
-        last = seen.groupBy("link_key").agg(F.max("event_time").alias("_seen"))
-        known = F.coalesce(F.col("event_time") <= F.col("_seen") + reach, F.lit(False))
-        fresh = firsts.join(last, "link_key", "left").filter(~known).drop("_seen")
-        fresh.write.mode("overwrite").parquet(f"{out}/{_BATCH}={number}")
-
-    _each_batch(timed, drop, checkpoint)
+    fresh = timed.filter("event_time is not null").withWatermark("event_time", retention).dropDuplicatesWithinWatermark(["link_key"])
+
+    def write(to: str) -> Callable[[DataFrame, int], None]:
+        return lambda batch, number: batch.write.mode("overwrite").parquet(f"{to}/{_BATCH}={number}")
+
+    _each_batch(fresh, write(out), checkpoint)
+    _each_batch(timed.filter("event_time is null"), write(f"{out}-untimed"), f"{checkpoint}-untimed")
+
+
+def split_late(events: DataFrame, time: str, out: str, checkpoint: str, lateness: str = "3 days") -> None:
+    """Part a stream into rows in time and rows too late, so that no row goes missing unseen.
+
+    Late is what a watermark of ``lateness`` would drop: a row older than the newest time of all *earlier* batches less
+    ``lateness``. Rows in time go to ``out/accepted``, late ones and those without a time to ``out/late`` with their
+    ``reason``; ``out/counts`` has a row per batch with the numbers, observed while the rows are written. A
+    batch reads the counts of the last one for its bound, and no rows of earlier batches.
+    """
+
+    def part(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        before = read_or_empty(spark, f"{out}/counts", _COUNTS).filter(F.col(_BATCH) < number).agg(F.max("newest")).first()[0]
+        edge = F.lit(before).cast("timestamp") - F.expr(f"interval {lateness}")
+        at = F.col(time).cast("timestamp")
+        reason = F.when(at.isNull(), "no time").when(at < edge, "late")
+        seen = Observation()
+        counts = [F.count(F.lit(1)).alias("n"), F.count_if(F.col("reason").isNull()).alias("n_accepted"), F.count_if(F.col("reason") == "late").alias("n_late")]
+        # The newest time of all batches so far, so that the last row of counts is all a batch needs.
+        newest = F.greatest(F.max(at), F.lit(before).cast("timestamp")).alias("newest")
+        marked = batch.withColumn("reason", reason).observe(seen, *counts, newest)
+        rows = staged(marked, "events")
+        rows.filter("reason is null").drop("reason").write.mode("overwrite").parquet(f"{out}/accepted/{_BATCH}={number}")
+        rows.filter("reason is not null").write.mode("overwrite").parquet(f"{out}/late/{_BATCH}={number}")
+        ledger = spark.createDataFrame([tuple(seen.get[c] for c in ("n", "n_accepted", "n_late", "newest"))], "n bigint, n_accepted bigint, n_late bigint, newest timestamp")
+        ledger.write.mode("overwrite").parquet(f"{out}/counts/{_BATCH}={number}")
+
+    _each_batch(events, part, checkpoint)
 
 
 def read_health(spark: SparkSession, out: str) -> DataFrame:
