@@ -11,7 +11,8 @@ share of equal samples estimates it. As a depends on term, sample and t only, th
 its (term, t), and a sample is a minimum: combined on the map side, and exact in any order.
 
 The draws are computed from (seed, sample, term) where a document's term is, after its words are counted, so
-that words share no draws and there is no table of them.
+that words share no draws and there is no table of them. A text and its edited text share half of their words: their
+words are counted side by side, and a term is drawn once for both.
 
 An *edited* text ends like the next document begins. Documents are ordered by distributed ranks of narrow
 rows; texts are shuffled once, by document, and only the beginnings that are needed go on to a neighbour.
@@ -49,34 +50,49 @@ def _draw(term: Column, j: int, seed: int) -> tuple[Column, Column, Column]:
     return r, low(hashed("b")), F.ln(c)
 
 
+def with_draws(rows: DataFrame, samples: int = SAMPLES, seed: int = SEED) -> DataFrame:
+    """``rows`` with the draws of their ``term``: arrays r, b and c (the logarithm), an entry per sample."""
+    drawn = [_draw(F.col("term"), j, seed) for j in range(samples)]
+    return rows.select("*", *(F.array(*x).alias(name) for x, name in zip(zip(*drawn), ("r", "b", "c"))))
+
+
 def draws(spark: SparkSession, terms: int, samples: int = SAMPLES, seed: int = SEED) -> DataFrame:
-    """(term, r, b, k) of terms below ``terms``: arrays with an entry per sample; k is ln c + r b - r, so that ln a is k - r t."""
-    drawn = [_draw(F.col("id"), j, seed) for j in range(samples)]
-    r, b, c = (F.array(*x).alias(name) for x, name in zip(zip(*drawn), ("r", "b", "c")))
-    rows = spark.range(terms).select(F.col("id").alias("term"), r, b, c)
+    """(term, r, b, k) of terms below ``terms``; k is ln c + r b - r, so that ln a is k - r t."""
+    rows = with_draws(spark.range(terms).select(F.col("id").alias("term")), samples, seed)
     return rows.select("term", "r", "b", F.transform("c", lambda c, j: c + F.get("r", j) * F.get("b", j) - F.get("r", j)).alias("k"))
 
 
-def weighted_terms(texts: DataFrame, keys: list[str], text_col: str = "text", terms: int | None = None) -> DataFrame:
-    """(keys, term, weight). Where rows are already dealt out by some of ``keys``, this moves nothing.
+def weighted_terms(texts: DataFrame, keys: list[str], text_col: str = "text", terms: int | None = None, versions: int = 1) -> DataFrame:
+    """(keys, term, w0, w1, ...): the weight of a term in each version of a text; ``which`` numbers the version.
 
-    ``terms`` folds the words into so many terms; by default a term is the whole hash.
+    Where rows are already dealt out by some of ``keys``, this moves nothing. ``terms`` folds the words into so many
+    terms; by default a term is the whole hash.
     """
-    words = texts.select(*keys, F.explode(F.split(text_col, f"[{SPACE}]+")).alias("_word")).filter(F.col("_word") != "")
+    which = F.col("which") if versions > 1 else F.lit(0)
+    words = texts.select(*keys, which.alias("which"), F.explode(F.split(text_col, f"[{SPACE}]+")).alias("_word")).filter(F.col("_word") != "")
     term = F.xxhash64("_word") if terms is None else F.pmod(F.xxhash64("_word"), F.lit(terms).cast("bigint"))
-    return words.select(*keys, term.alias("term")).groupBy(*keys, "term").agg(F.count(F.lit(1)).alias("weight"))
+    counts = [F.count_if(F.col("which") == i).alias(f"w{i}") for i in range(versions)]
+    return words.select(*keys, "which", term.alias("term")).groupBy(*keys, "term").agg(*counts)
 
 
-def signatures(texts: DataFrame, keys: list[str], text_col: str = "text", terms: int | None = None, samples: int = SAMPLES, seed: int = SEED) -> DataFrame:
-    """(keys, samples): the smallest ln a of each sample, as array<double>; texts without words have no row."""
-    weighted = weighted_terms(texts, keys, text_col, terms).withColumn("_ln", F.ln(F.col("weight").cast("double")))
+def signatures(
+    texts: DataFrame, keys: list[str], text_col: str = "text", terms: int | None = None, samples: int = SAMPLES, seed: int = SEED, versions: int = 1
+) -> DataFrame:
+    """(keys, which, samples): the smallest ln a of each sample, as array<double>; texts without words have no row.
+
+    A term is drawn once for all versions of a text that hold it.
+    """
+    drawn = with_draws(weighted_terms(texts, keys, text_col, terms, versions), samples, seed)
+    weights = F.array(*(F.struct(F.lit(i).alias("which"), F.col(f"w{i}").alias("w")) for i in range(versions)))
+    held = drawn.select(*keys, "r", "b", "c", F.explode(F.filter(weights, lambda x: x["w"] > 0)).alias("_x"))
+    weighted = held.select(*keys, "r", "b", "c", F.col("_x.which").alias("which"), F.ln(F.col("_x.w").cast("double")).alias("_ln"))
 
     def smallest(j: int) -> Column:
-        r, b, c = _draw(F.col("term"), j, seed)
+        r, b, c = (F.col(name)[j] for name in ("r", "b", "c"))
         return F.min(c + r * (b - 1 - F.floor(F.col("_ln") / r + b))).alias(f"s{j}")
 
-    found = weighted.groupBy(*keys).agg(*(smallest(j) for j in range(samples)))
-    return found.select(*keys, F.array(*(f"s{j}" for j in range(samples))).alias("samples"))
+    found = weighted.groupBy(*keys, "which").agg(*(smallest(j) for j in range(samples)))
+    return found.select(*keys, "which", F.array(*(f"s{j}" for j in range(samples))).alias("samples"))
 
 
 def as_text(samples: Column, n: int = SAMPLES) -> Column:
@@ -140,7 +156,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     kinds = ("text", "edited", "edited_copy")
     each = F.array(*(F.struct(F.lit(i).alias("which"), F.col(name).alias("text")) for i, name in enumerate(kinds)))
     versions = texts.select(*keys, F.explode(F.filter(each, lambda v: v["text"].isNotNull())).alias("v")).select(*keys, "v.which", "v.text")
-    signed = signatures(versions, [*keys, "which"])
+    signed = signatures(versions, keys, versions=len(kinds))
     marks = signed.groupBy(*keys).agg(*(F.max(F.when(F.col("which") == i, F.col("samples"))).alias(f"_{name}") for i, name in enumerate(kinds)))
     facts = texts.select(
         *keys, "copies", "after", F.length("text").cast("bigint").alias("n_chars"),
