@@ -32,6 +32,7 @@ from feedloom.operators.stage import staged
 
 SAMPLES = 32
 SEED = 1729
+SAMPLES_AT_ONCE = 4
 #: Texts are dealt out so that a task has about so many characters, and its weighted terms fit into memory.
 TASK_CHARS = 1 << 22
 
@@ -41,24 +42,24 @@ def _uniform(bits: Column) -> Column:
     return (bits + F.lit(0.5)) * F.lit(2.0**-32)
 
 
-def _draw(term: Column, j: int, seed: int) -> tuple[Column, Column, Column]:
-    """r, b and ln c of a term in sample ``j``."""
-    hashed = lambda part: F.xxhash64(F.lit(seed), F.lit(part), term, F.lit(j))
-    low = lambda h: _uniform(h.bitwiseAND(F.lit(0xFFFFFFFF)))
-    high = lambda h: _uniform(F.shiftrightunsigned(h, 32))
-    r, c = (-F.ln(low(h) * high(h)) for h in map(hashed, ("r", "c")))
-    return r, low(hashed("b")), F.ln(c)
+def _keys(j: int, seed: int) -> list[Column]:
+    """Constants of a sample: a term's hashes are those of the term with these mixed in."""
+    return [F.xxhash64(F.lit(seed), F.lit(j), F.lit(part)) for part in range(3)]
 
 
-def with_draws(rows: DataFrame, samples: int = SAMPLES, seed: int = SEED) -> DataFrame:
-    """``rows`` with the draws of their ``term``: arrays r, b and c (the logarithm), an entry per sample."""
-    drawn = [_draw(F.col("term"), j, seed) for j in range(samples)]
-    return rows.select("*", *(F.array(*x).alias(name) for x, name in zip(zip(*drawn), ("r", "b", "c"))))
+def _draw(term: Column, keys: list[Column]) -> tuple[Column, Column, Column]:
+    """r, b and ln c of a term in the sample of ``keys``."""
+    low = lambda h: _uniform(h.bitwiseAND(F.lit(0xFFFFFFFF)))
+    high = lambda h: _uniform(F.shiftrightunsigned(h, 32))
+    for_r, for_c, for_b = (F.xxhash64(term.bitwiseXOR(key)) for key in keys)
+    return -F.ln(low(for_r) * high(for_r)), low(for_b), F.ln(-F.ln(low(for_c) * high(for_c)))
 
 
 def draws(spark: SparkSession, terms: int, samples: int = SAMPLES, seed: int = SEED) -> DataFrame:
-    """(term, r, b, k) of terms below ``terms``; k is ln c + r b - r, so that ln a is k - r t."""
-    rows = with_draws(spark.range(terms).select(F.col("id").alias("term")), samples, seed)
+    """(term, r, b, k) of terms below ``terms``: arrays with an entry per sample; k is ln c + r b - r, so that ln a is k - r t."""
+    drawn = [_draw(F.col("id"), _keys(j, seed)) for j in range(samples)]
+    r, b, c = (F.array(*x).alias(name) for x, name in zip(zip(*drawn), ("r", "b", "c")))
+    rows = spark.range(terms).select(F.col("id").alias("term"), r, b, c)
     return rows.select("term", "r", "b", F.transform("c", lambda c, j: c + F.get("r", j) * F.get("b", j) - F.get("r", j)).alias("k"))
 
 
@@ -78,21 +79,34 @@ def weighted_terms(texts: DataFrame, keys: list[str], text_col: str = "text", te
 def signatures(
     texts: DataFrame, keys: list[str], text_col: str = "text", terms: int | None = None, samples: int = SAMPLES, seed: int = SEED, versions: int = 1
 ) -> DataFrame:
-    """(keys, which, samples): the smallest ln a of each sample, as array<double>; texts without words have no row.
+    """(keys, samples, samples1, ...): the smallest ln a of each sample per version, as array<double>; no row without words.
 
-    A term is drawn once for all versions of a text that hold it.
+    A term is drawn once for all versions of a text: the draws are the same expression in all of them, and no part of
+    it is conditional, so that Spark computes it once per row. A term that a version lacks has no logarithm of its
+    weight, so its value is null there and is passed over. Rows are multiplied by the groups of ``SAMPLES_AT_ONCE``
+    samples, which keeps the generated code small enough to be compiled.
     """
-    drawn = with_draws(weighted_terms(texts, keys, text_col, terms, versions), samples, seed)
-    weights = F.array(*(F.struct(F.lit(i).alias("which"), F.col(f"w{i}").alias("w")) for i in range(versions)))
-    held = drawn.select(*keys, "r", "b", "c", F.explode(F.filter(weights, lambda x: x["w"] > 0)).alias("_x"))
-    weighted = held.select(*keys, "r", "b", "c", F.col("_x.which").alias("which"), F.ln(F.col("_x.w").cast("double")).alias("_ln"))
+    logs = [F.ln(F.col(f"w{v}").cast("double")).alias(f"_ln{v}") for v in range(versions)]
+    weighted = weighted_terms(texts, keys, text_col, terms, versions).select(*keys, "term", *logs)
+    places = range(SAMPLES_AT_ONCE)
+
+    def constants(at: int) -> Column:
+        each = [key.alias(f"k{i}{part}") for i in places for part, key in enumerate(_keys(at + i, seed))]
+        return F.struct(F.lit(at).alias("_at"), *each)
+
+    groups = F.explode(F.array(*(constants(at) for at in range(0, samples, SAMPLES_AT_ONCE)))).alias("_g")
+    spread = weighted.select("*", groups).select(*weighted.columns, "_g.*")
 
-    def smallest(j: int) -> Column:
-        r, b, c = (F.col(name)[j] for name in ("r", "b", "c"))
-        return F.min(c + r * (b - 1 - F.floor(F.col("_ln") / r + b))).alias(f"s{j}")
+    def smallest(i: int, v: int) -> Column:
+        r, b, c = _draw(F.col("term"), [F.col(f"k{i}{part}") for part in range(3)])
+        return F.min(c + r * (b - 1 - F.floor(F.col(f"_ln{v}") / r + b))).alias(f"s{v}_{i}")
 
-    found = weighted.groupBy(*keys, "which").agg(*(smallest(j) for j in range(samples)))
-    return found.select(*keys, "which", F.array(*(f"s{j}" for j in range(samples))).alias("samples"))
+    found = spread.groupBy(*keys, "_at").agg(*(smallest(i, v) for i in places for v in range(versions)))
+    parts = [F.array_sort(F.collect_list(F.struct("_at", F.array(*(f"s{v}_{i}" for i in places)).alias("s")))) for v in range(versions)]
+    names = ["samples", *(f"samples{v}" for v in range(1, versions))]
+    joined = found.groupBy(*keys).agg(*(part.alias(name) for part, name in zip(parts, names)))
+    signs = [F.flatten(F.transform(name, lambda x: x["s"])) for name in names]
+    return joined.select(*keys, *(F.when(sign[0].isNotNull(), F.slice(sign, 1, samples)).alias(name) for sign, name in zip(signs, names)))
 
 
 def as_text(samples: Column, n: int = SAMPLES) -> Column:
@@ -157,7 +171,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     each = F.array(*(F.struct(F.lit(i).alias("which"), F.col(name).alias("text")) for i, name in enumerate(kinds)))
     versions = texts.select(*keys, F.explode(F.filter(each, lambda v: v["text"].isNotNull())).alias("v")).select(*keys, "v.which", "v.text")
     signed = signatures(versions, keys, versions=len(kinds))
-    marks = signed.groupBy(*keys).agg(*(F.max(F.when(F.col("which") == i, F.col("samples"))).alias(f"_{name}") for i, name in enumerate(kinds)))
+    marks = signed.select(*keys, *(F.col(sign).alias(f"_{name}") for sign, name in zip(("samples", "samples1", "samples2"), kinds)))
     facts = texts.select(
         *keys, "copies", "after", F.length("text").cast("bigint").alias("n_chars"),
         F.sha2("edited", 256).alias("edited_sha256"), F.sha2("edited_copy", 256).alias("_copy_sha256"),
