@@ -7,12 +7,11 @@ their common prefix the likelier they are: each order is a prefix tree laid flat
 
 1. *Longest common prefix*: a class is compared with its next neighbour in every order in which both share at least
    ``LEAST_DEPTH`` minima. Confirmed links give components.
-2. *Depth by region*: then with the next ``REACH`` rows of every order, but only classes that aren't in one
-   component yet. In a thin region that reaches down to the least depth, all rows of the region; in a crowded one
-   the sorted order cuts deeper by itself, as the next rows are those with the longest prefixes.
-3. *Rest*: where a region at the least depth holds more rows than that, pairs were left out. Their classes, and only
-   these, are held against each other exactly: two sets of the wanted similarity share a shingle among the first few of
-   any common order of shingles (here the rarest first). Occurrences of a shingle within one component need no
+2. *Depth by region*: a thin region, of at most ``REACH`` rows more than one, is looked at down to the least depth:
+   all its rows that aren't in one component yet. In a crowded region the first step stays at the depth that the sorted
+   order gives by itself, as the next rows are those with the longest prefixes.
+3. *Rest*: in crowded regions pairs were left out. Their classes, and only these, are held against each other exactly: two sets of the wanted similarity share a shingle among the first few of
+   any common order of shingles (here the rarest first), so early that enough of both is still ahead. Occurrences of a shingle within one component need no
    comparison, so a crowd that is already one component costs nothing, whatever its size.
 
 A pair at 85 % shares no prefix of five in any of 24 orders less than once in a million; the rest step makes nothing
@@ -49,7 +48,7 @@ PERCENT = 85
 ORDERS = 24
 LEAST_DEPTH = 5
 MORE_DEPTH = 5
-REACH = 24
+REACH = 32
 SKETCH = 128
 SEED = 20240611
 #: Of the 2 * SKETCH sketch bits, those that two sets at 85 % share at least, but once in a billion pairs: 0.925 less six times 0.02.
@@ -224,18 +223,13 @@ class _Forest:
         found = self.classes.select(*_FACTS).join(roots.withColumnRenamed("node", "set_id"), "set_id", "left")
         return found.withColumn("root", F.coalesce("root", "set_id"))
 
-    def in_reach(self, orders: DataFrame, facts: DataFrame) -> DataFrame:
-        """Alike pairs at most ``reach`` rows apart in an order, but for those in one component.
-
-        Positions are cut into blocks of ``reach``: a partner stands in the same block or the next.
-        """
-        known = staged(orders.filter("size > 2").select("region", "pos", "set_id").join(facts, "set_id"), "forest-reach")
-        block = F.floor(F.col("pos") / self.reach)
-        x = known.withColumn("block", block).alias("x")
-        y = known.withColumn("block", F.explode(F.array(block, block - 1))).alias("y")
-        ahead = F.col("y.pos") - F.col("x.pos")
-        same = (F.col("x.region") == F.col("y.region")) & (F.col("x.block") == F.col("y.block"))
-        joined = x.join(y, same & ahead.between(1, self.reach) & (F.col("x.root") != F.col("y.root")) & _alike("x", "y"))
+    def in_thin_regions(self, orders: DataFrame, facts: DataFrame) -> DataFrame:
+        """Alike pairs of thin regions, but for those in one component."""
+        thin = orders.filter(F.col("size").between(3, self.reach + 1))
+        known = staged(thin.select("region", "pos", "set_id").join(facts, "set_id"), "forest-reach")
+        x, y = known.alias("x"), known.alias("y")
+        ahead = (F.col("x.region") == F.col("y.region")) & (F.col("x.pos") < F.col("y.pos"))
+        joined = x.join(y, ahead & (F.col("x.root") != F.col("y.root")) & _alike("x", "y"))
         return joined.select(*_pair("x", "y"))
 
     def rest(self, crowded: DataFrame, facts: DataFrame) -> DataFrame:
@@ -249,9 +243,11 @@ class _Forest:
         kept = posted.join(common, "shingle").groupBy("set_id").agg(F.array_sort(F.collect_list(F.struct("df", "shingle"))).alias("post"))
         sized = kept.join(facts, "set_id")
         prefix = F.col("n") - F.ceil(F.col("n") * PERCENT / 100) + 1
-        left_over = F.greatest(F.lit(0), (prefix - (F.col("n") - F.size("post"))).cast("int"))
-        keys = sized.select(F.explode(F.slice("post", F.lit(1), left_over)).alias("p"), "root", *_FACTS).select("p.shingle", "root", *_FACTS)
-        keys = staged(keys, "forest-keys")
+        before = F.col("n") - F.size("post")
+        left_over = F.greatest(F.lit(0), (prefix - before).cast("int"))
+        keys = sized.select(F.posexplode(F.slice("post", F.lit(1), left_over)).alias("_i", "p"), before.alias("_before"), "root", *_FACTS)
+        # ``ahead``: the shingles from this one on; what a pair shares is among them, if this is the first it shares.
+        keys = staged(keys.select("p.shingle", (F.col("n") - F.col("_before") - F.col("_i")).alias("ahead"), "root", *_FACTS), "forest-keys")
         per_root = keys.groupBy("shingle", "root").agg(F.count(F.lit(1)).alias("n"))
         roots = per_root.groupBy("shingle").agg(F.sum("n").alias("n_all"), F.count(F.lit(1)).alias("n_roots"), F.max_by("root", F.struct("n", "root")).alias("main"))
         several = staged(roots.filter("n_roots > 1").select("shingle", "n_all", "main"), "forest-several")
@@ -261,7 +257,9 @@ class _Forest:
         y = open_.withColumn("piece", F.pmod(F.xxhash64("set_id"), pieces_)).alias("y")
         x = open_.filter(F.col("root") != F.col("main")).withColumn("piece", F.explode(F.sequence(F.lit(0).cast("bigint"), pieces_.cast("bigint") - 1))).alias("x")
         same = (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.piece") == F.col("y.piece"))
-        return x.join(y, same & (F.col("x.root") != F.col("y.root")) & _alike("x", "y")).select(*_pair("x", "y"))
+        # A pair of that similarity shares at least 85 of 185 parts of both sizes.
+        enough = (100 + PERCENT) * F.least("x.ahead", "y.ahead") >= PERCENT * (F.col("x.n") + F.col("y.n"))
+        return x.join(y, same & (F.col("x.root") != F.col("y.root")) & enough & _alike("x", "y")).select(*_pair("x", "y"))
 
     def components(self) -> DataFrame:
         """(node, root) of every linked class."""
@@ -269,7 +267,7 @@ class _Forest:
         links = self.confirmed(self.next_neighbours(orders), "next")
         roots = staged(star_components(links), "forest-roots")
         facts = staged(self._facts_with_roots(roots), "forest-facts")
-        wider = self.confirmed(self.in_reach(orders, facts), "reach")
+        wider = self.confirmed(self.in_thin_regions(orders, facts), "reach")
         links = links.unionByName(wider)
         if not wider.isEmpty():
             roots = staged(star_components(links), "forest-roots")

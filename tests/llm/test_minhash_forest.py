@@ -83,7 +83,7 @@ def crowds():
     return rows + [(1000 + i, rows[40][1].upper(), "en", "b", 0) for i in range(80)]
 
 
-@pytest.mark.parametrize("reach", [2, mf.REACH])
+@pytest.mark.parametrize("reach", [2, 24])
 def test_crowded_regions_lose_no_link(spark, reach):
     rows = crowds()
     df = frame(spark, rows).repartition(7)
