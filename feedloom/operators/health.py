@@ -36,8 +36,8 @@ def has_marker(error: Column, markers: Sequence[str]) -> Column:
     return hit
 
 
-def run_flags(checks: DataFrame, run: Sequence[str] = ("run_id",)) -> DataFrame:
-    """Per run (told apart by the columns ``run``): counts, ``is_outage`` (name resolution down) and ``is_discarded`` (whole network down)."""
+def run_flags(checks: DataFrame, run: Sequence[str] = ("run_id",), *more: Column) -> DataFrame:
+    """Per run (told apart by the columns ``run``): ``more`` aggregates, counts, ``is_outage`` (name resolution down) and ``is_discarded`` (whole network down)."""
     failed = ~F.col("ok")
     counts = checks.groupBy(*run).agg(
         F.count(F.lit(1)).alias("checked"),
@@ -45,11 +45,13 @@ def run_flags(checks: DataFrame, run: Sequence[str] = ("run_id",)) -> DataFrame:
         F.count_if(failed).alias("n_failed"),
         F.count_if(failed & has_marker(F.col("error"), DNS_MARKERS)).alias("_dns"),
         F.count_if(failed & has_marker(F.col("error"), NETWORK_MARKERS)).alias("_network"),
+        *more,
     )
+    others = [c for c in counts.columns if c not in (*run, "checked", "n_ok", "n_failed", "_dns", "_network")]
     enough = F.col("n_failed") >= F.greatest(F.lit(2), F.floor(F.col("checked") / 2))
     none_ok = F.col("n_ok") == 0
     return counts.select(
-        *run, "checked", "n_ok", "n_failed",
+        *run, *others, "checked", "n_ok", "n_failed",
         (none_ok & enough & (F.col("_dns") == F.col("n_failed"))).alias("is_outage"),
         (none_ok & (F.col("n_failed") > 0) & (F.col("_network") == F.col("n_failed"))).alias("is_discarded"),
     )
@@ -81,9 +83,11 @@ def closed_runs(checks: DataFrame, lateness: str = "1 hour") -> DataFrame:
     """
     run = ["run_id", "run_at"]
     timed = checks.withColumn("run_at", F.coalesce("run_at", "checked_at")).withWatermark("run_at", lateness)
-    # Flags are one row per run and go to every part of it.
-    flags = run_flags(timed, run).filter(~F.col("is_discarded")).select(*run, "is_outage", F.explode(F.sequence(F.lit(0), F.lit(RUN_PARTS - 1))).alias("_part"))
-    dealt = timed.withColumn("_part", F.pmod(F.xxhash64("source_key", "seq"), F.lit(RUN_PARTS)).cast("int"))
+    part = F.pmod(F.xxhash64("source_key", "seq"), F.lit(RUN_PARTS)).cast("int")
+    dealt = timed.withColumn("_part", part)
+    # Flags are one row per run, and go to every part that the run has.
+    flags = run_flags(dealt, run, F.collect_set("_part").alias("_parts")).filter(~F.col("is_discarded"))
+    flags = flags.select(*run, "is_outage", F.explode("_parts").alias("_part"))
     joined = dealt.join(flags, [*run, "_part"])
     return joined.withColumn("counts_as_failure", ~F.col("ok") & ~F.col("is_outage")).drop("is_outage", "_part")
 

@@ -170,7 +170,7 @@ def event_checks(spark: SparkSession, folder: str) -> DataFrame:
         F.date_format(at, "yyyy-MM-dd HH:mm").alias("run_id"),
         source_key(name, url).alias("source_key"), name.alias("name"), url.alias("url"),
         ok.alias("ok"), F.when(ok, k).otherwise(0).alias("article_count"), error.alias("error"),
-        at.alias("checked_at"), F.col("event_id").alias("seq"),
+        at.alias("checked_at"), F.col("event_id").alias("seq"), F.date_trunc("minute", at).alias("run_at"),
     )
 
 

@@ -576,8 +576,14 @@ def all_sql() -> dict[str, str]:
         "stream_cache": f"""WITH {ART}, {_NEWEST} SELECT source_key, doc_id, {_STAMP.format('published_at')} AS published_at FROM newest_run
             WHERE published_at IS NULL OR published_at >= brief_date + INTERVAL 8 HOUR - INTERVAL 7 DAY""",
         "stream_daily_counts": "SELECT strftime(ts, '%Y-%m-%d') AS day, event_type, count(*) AS n FROM events GROUP BY 1, 2",
-        "stream_dedupe": f"""WITH {ART} SELECT link_key, arg_min(url, (moment, url)) AS url, {_STAMP.format('min(moment)')} AS event_time
+        "stream_dedupe": f"""WITH {ART} SELECT link_key, arg_min(url, doc_id % 3) AS url, {_STAMP.format('arg_min(moment, doc_id % 3)')} AS event_time
             FROM (SELECT *, coalesce(published_at, brief_date + INTERVAL 8 HOUR) AS moment FROM art) GROUP BY link_key""",
+        "stream_late": """WITH ev AS (
+              SELECT event_id, CASE WHEN event_id % 97 <> 0 THEN ts END AS t,
+                CASE WHEN event_id % 10 = 0 THEN 2 ELSE least(2, greatest(0, datediff('day', DATE '2024-01-01', ts::DATE)) // 10) END AS part
+              FROM events),
+            edges AS (SELECT p.part, (SELECT max(t) FROM ev WHERE ev.part < p.part) - INTERVAL 3 DAY AS edge FROM (SELECT DISTINCT part FROM ev) p)
+            SELECT event_id, CASE WHEN t IS NULL THEN 'no time' WHEN t < edge THEN 'late' ELSE 'accepted' END AS fate FROM ev JOIN edges USING (part)""",
         "chained_dedupe": f"""WITH RECURSIVE rows_ AS MATERIALIZED (
               SELECT c_custkey::BIGINT AS seq, 0 AS one, 'l' || (c_custkey + 1) // 2 AS link_key,
                 CASE WHEN c_custkey % 397 <> 0 THEN 't' || c_custkey // 2 ELSE '' END AS title_key FROM customer),

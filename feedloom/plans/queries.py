@@ -608,11 +608,34 @@ def stream_ingest(spark: SparkSession, folder: str) -> DataFrame:
     return _feed_columns(spark.read.parquet(f"{out}/data"))
 
 
+def _parts(spark: SparkSession, df: DataFrame, part: Column, job: Callable[[DataFrame], None], name: str) -> None:
+    """Land the rows of part 0, 1 and 2 one after the other as files of one folder, and run a stream job after each."""
+    landed, path = staged(df.withColumn("_part", part), name), fresh_folder(spark, f"{name}-landed")
+    for number in range(3):
+        rows = landed.filter(F.col("_part") == number).drop("_part")
+        rows.write.mode("append").parquet(path)
+        job(spark.readStream.schema(rows.schema).parquet(path))
+
+
+def _days_since_first(column: str) -> Column:
+    return F.greatest(F.lit(0), F.datediff(F.col(column).cast("date"), F.lit(a.FIRST_DAY).cast("date")))
+
+
 @query
 def stream_health(spark: SparkSession, folder: str) -> DataFrame:
+    """Checks that come over three batches, so that runs are split; a last sign of life closes all runs."""
     out = fresh_folder(spark, "stream-health")
-    checks = _stream(spark, folder, "checks", a.event_checks(spark, folder))
-    jobs.update_health(checks, f"{out}/data", f"{out}/log", SETTINGS.failure_threshold)
+    checks = a.event_checks(spark, folder)
+    span = F.max("run_at") - F.min("run_at")
+    end = checks.agg((F.max("run_at") + span + F.expr("interval 2 days")).alias("run_at"), F.ceil(F.unix_seconds(F.max("run_at")) / 86400 - F.unix_seconds(F.min("run_at")) / 86400 + 1).alias("days")).first()
+    if end["days"] is None:
+        return _health_columns(_no_health(spark))
+    alive = checks.limit(1).withColumns({"run_id": F.lit("alive"), "run_at": F.lit(end["run_at"]), "seq": F.lit(-1).cast("bigint"), "source_key": F.lit("alive")})
+    half = F.floor(_days_since_first("checked_at") / 15)
+    part = F.when(F.col("run_id") == "alive", 2).otherwise(F.least(F.lit(2), half + F.pmod("seq", F.lit(3))))
+    lateness = f"{end['days']} days"
+    job = lambda stream: jobs.update_health(stream, f"{out}/data", f"{out}/log", SETTINGS.failure_threshold, lateness)
+    _parts(spark, checks.unionByName(alive), part, job, "checks")
     return _health_columns(jobs.read_health(spark, f"{out}/data"))
 
 
@@ -637,7 +660,21 @@ def stream_daily_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def stream_dedupe(spark: SparkSession, folder: str) -> DataFrame:
+    """Copies of a link come in different batches; the first batch's stays."""
     out = fresh_folder(spark, "stream-dedupe")
-    live = _articles(spark, folder).select("url", "published_at", _fetched_at().alias("fetched_at"))
-    jobs.drop_seen_links(_stream(spark, folder, "links", live), f"{out}/data", f"{out}/log", "60 days")
+    live = _articles(spark, folder).select("url", "published_at", _fetched_at().alias("fetched_at"), "doc_id")
+    job = lambda stream: jobs.drop_seen_links(stream, f"{out}/data", f"{out}/log", "90 days")
+    _parts(spark, live, F.pmod("doc_id", F.lit(3)), job, "links")
     return spark.read.parquet(f"{out}/data").select("link_key", "url", _moment(F.col("event_time")).alias("event_time"))
+
+
+@query
+def stream_late(spark: SparkSession, folder: str) -> DataFrame:
+    """What becomes of every event: a tenth comes in the last batch whatever its time, some have none."""
+    out = fresh_folder(spark, "stream-late")
+    n = F.col("event_id")
+    events = a.table(spark, folder, "events").select("event_id", F.when(n % 97 != 0, F.col("ts").cast("timestamp")).alias("at"), _days_since_first("ts").alias("_day"))
+    part = F.when(n % 10 == 0, 2).otherwise(F.least(F.lit(2), F.floor(F.col("_day") / 10)))
+    _parts(spark, events, part, lambda stream: jobs.split_late(stream, "at", out, f"{out}-log"), "events")
+    accepted = spark.read.parquet(f"{out}/accepted").select("event_id", F.lit("accepted").alias("fate"))
+    return accepted.unionByName(spark.read.parquet(f"{out}/late").select("event_id", F.col("reason").alias("fate")))

@@ -19,7 +19,20 @@ _FEED = (
     f"struct<channel: array<struct<item: array<struct<{_FIELDS}>>>>,"
     f" entry: array<struct<{_ENTRY}>>, _corrupt_record: string>"
 )
-_ROOT = r"(?s)^(?:\s|\x{FEFF}|<\?.*?\?>|<!--.*?-->|<!DOCTYPE[^>\[]*(?:\[.*?\])?[^>]*>)*<([^\s/>]+)"
+# Groups of open length are possessive: Java runs them as a loop, so no payload is too long for them.
+_ROOT = r"(?s)^(?:\s|\x{FEFF}|<\?.*?\?>|<!--.*?-->|<!DOCTYPE[^>\[]*(?:\[.*?\])?[^>]*>)*+<([^\s/>]+)"
+_TEXT_ELEMENT = "title|description|pubDate|summary|content|published|updated"
+_NAME, _ATTRIBUTES = r"(?:[\w.-]++:)?", r"""(?:[^<>"']++|"[^"]*+"|'[^']*+')*+"""
+#: A text element with its text, up to an element within it; then all up to its own end.
+_NESTED = (
+    rf"(<{_NAME}({_TEXT_ELEMENT})(?=[\s>]){_ATTRIBUTES}(?<!/)>)((?:[^<]++|<!\[CDATA\[(?s:.*?)\]\]>|<!--(?s:.*?)-->|<\?(?s:.*?)\?>)*+)"
+    rf"<(?=\w)(?s:.*?)(</{_NAME}\2\s*+>)"
+)
+
+
+def own_text_only(body: Column) -> Column:
+    """The payload with elements inside texts cut out: a text ends where its first element begins."""
+    return F.regexp_replace(body, _NESTED, "$1$3$4")
 
 
 def _first(texts: Column) -> Column:
@@ -57,7 +70,7 @@ def read_feeds(payloads: DataFrame, limit: int = 8) -> DataFrame:
     """
     root = F.regexp_extract("body", _ROOT, 1)
     options = {"ignoreNamespace": "true", "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}
-    parsed = payloads.withColumns({"is_rss": root.endswith("rss"), "_feed": F.from_xml("body", _FEED, options)})
+    parsed = payloads.withColumns({"is_rss": root.endswith("rss"), "_feed": F.from_xml(own_text_only(F.col("body")), _FEED, options)})
     none = F.array().cast("array<struct<title: string, url: string, summary: string, date: string>>")
     rss = F.transform(F.slice(F.flatten("_feed.channel.item"), 1, limit), _rss_item)
     atom = F.transform(F.slice("_feed.entry", 1, limit), _atom_entry)
@@ -100,10 +113,15 @@ def feed_failures(feeds: DataFrame, sources: DataFrame) -> DataFrame:
 
 
 def newest_payloads(payloads: DataFrame) -> DataFrame:
-    """Of several payloads of a source and date, those fetched last."""
+    """Of several payloads of a source and date, the one fetched last; one without a time is older than all others.
+
+    Of payloads fetched at the same time it is one, always the same.
+    """
     keys = ["brief_date", "source_key"]
-    newest = payloads.groupBy(*keys).agg(F.max("fetched_at").alias("fetched_at"))
-    return payloads.join(newest, [*keys, "fetched_at"], "left_semi")
+    rest = [c for c in payloads.columns if c not in keys]
+    age = F.struct(F.coalesce("fetched_at", F.timestamp_seconds(F.lit(-(2**40)))).alias("at"), F.xxhash64("body", "error").alias("hash"))
+    newest = payloads.groupBy(*keys).agg(F.max_by(F.struct(*rest), age).alias("_row"))
+    return newest.select(*keys, "_row.*").select(*payloads.columns)
 
 
 def probe_sources(payloads: DataFrame, sources: DataFrame, run_id: Column, checked_at: Column) -> DataFrame:
@@ -115,9 +133,9 @@ def probe_sources(payloads: DataFrame, sources: DataFrame, run_id: Column, check
     counted = (
         feed_articles(feeds, sources).groupBy("brief_date", "source_key").agg(F.count(F.lit(1)).cast("int").alias("_n"))
     )
-    # Calendar dates: a short list whatever the data.
-    dates = [F.lit(r.brief_date) for r in payloads.select("brief_date").distinct().collect()]
-    asked = sources.withColumn("brief_date", F.explode(F.array(*dates).cast("array<date>")))
+    # Calendar dates: one row with a short list, whatever the data.
+    dates = payloads.agg(F.collect_set("brief_date").alias("_dates"))
+    asked = sources.crossJoin(F.broadcast(dates)).withColumn("brief_date", F.explode("_dates")).drop("_dates")
     arrived = feeds.select("brief_date", "source_key", "error", F.lit(True).alias("_arrived"))
     n = F.coalesce("_n", F.lit(0))
     problem = F.when(F.col("_arrived").isNull(), "nothing arrived").otherwise(F.coalesce("error", F.lit("no articles returned")))

@@ -95,18 +95,17 @@ def drop_seen_links(articles: DataFrame, out: str, checkpoint: str, retention: s
 
     The links seen are kept in the state store and leave it when the watermark passes their time and the retention, so
     state is bounded by the links of that span, and nothing that was written is read again. An article without a date
-    takes the time it was fetched; without that either it can't age, and goes to the folder ``untimed`` beside
-    ``out`` instead. Articles behind the watermark are dropped. Weaker than the digest's own
-    duplicate removal, which still runs per date.
+    takes the time it was fetched; without that either it would stay in the state for good, so it goes round it and is
+    kept. Articles behind the watermark are dropped. Weaker than the digest's own duplicate removal, which still runs
+    per date.
     """
     timed = with_url_key(articles.withColumn("event_time", F.coalesce("published_at", "fetched_at")))
     fresh = timed.filter("event_time is not null").withWatermark("event_time", retention).dropDuplicatesWithinWatermark(["link_key"])
 
-    def write(to: str) -> Callable[[DataFrame, int], None]:
-        return lambda batch, number: batch.write.mode("overwrite").parquet(f"{to}/{_BATCH}={number}")
+    def write(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{out}/{_BATCH}={number}")
 
-    _each_batch(fresh, write(out), checkpoint)
-    _each_batch(timed.filter("event_time is null"), write(f"{out}-untimed"), f"{checkpoint}-untimed")
+    _each_batch(fresh.unionByName(timed.filter("event_time is null")), write, checkpoint)
 
 
 def split_late(events: DataFrame, time: str, out: str, checkpoint: str, lateness: str = "3 days") -> None:

@@ -235,3 +235,39 @@ def test_dated_tables(spark, tmp_path):
     table = read_or_empty(spark, path, "x int, brief_date date")
     assert {r.x for r in table.collect()} == {2, 3}
     assert latest_row(table).first().x == 2
+
+
+def test_a_text_ends_where_its_first_element_begins(spark):
+    rss = """<rss><channel><title>f <i>g</i></title>
+<item><title>Hello <b>bold</b> rest</title><link>http://a/1</link><description><p>inside</p> after</description></item>
+<item><title>Plain &lt;b&gt;escaped&lt;/b&gt; stays</title><link>http://a/2</link><description>one <![CDATA[<em>two</em>]]> <!-- c --> three<br/>four</description></item>
+<item><title type="a>b"><!-- c -->Quoted <b x="1">z</b></title><link>http://a/3</link><pubDate>Wed, 01 May 2024 10:00:00 GMT<x/></pubDate></item></channel></rss>"""
+    atom = """<feed xmlns="http://www.w3.org/2005/Atom" xmlns:m="m"><entry><m:title>First <m:u>x</m:u></m:title><title>Second</title><link href="http://b/1"/>
+<content type="xhtml">lead <div><p>body</p></div></content></entry><entry><title>E2</title><link href="http://b/2"/><summary><div>s</div></summary><content>c</content></entry></feed>"""
+    rows, failures = parse(spark, {"rss": rss, "atom": atom})
+    assert failures == []
+    assert [(r.title, r.url, r.summary) for r in rows] == [
+        ("Hello", "http://a/1", ""), ("Plain escaped stays", "http://a/2", "one two three"), ("Quoted", "http://a/3", ""),
+        ("First", "http://b/1", "lead"), ("E2", "http://b/2", "c"),
+    ]
+    assert rows[2].published_at == datetime(2024, 5, 1, 10)
+
+
+def test_no_payload_is_too_long_for_the_patterns(spark):
+    item = "<item><title>T</title><link>http://a/1</link></item>"
+    bodies = {
+        "blank": "\n" * 200_000 + f"<rss><channel>{item}</channel></rss>", "comments": "<!--c-->" * 100_000 + f"<rss><channel>{item}</channel></rss>",
+        "data": f"<rss><channel><item><title>{'<![CDATA[a]]>' * 50_000}</title><link>http://a/2</link></item></channel></rss>",
+        "attributes": f"<rss><channel><item><title {' '.join(f'''a{i}='x' ''' for i in range(150))}>U<b>v</b></title><link>http://a/3</link></item></channel></rss>",
+    }
+    rows, failures = parse(spark, bodies)
+    assert {r.source_name for r in rows} == set(bodies) and failures == []
+
+
+def test_newest_payload_of_a_source(spark):
+    at = datetime(2024, 5, 1)
+    rows = [(DAY, "a", None, "old"), (DAY, "a", at, "x"), (DAY, "a", at, "y"), (DAY, "b", None, "only"), (DAY, "c", at, "same"), (DAY, "c", at, "same")]
+    df = spark.createDataFrame([(*r, None) for r in rows], "brief_date date, source_key string, fetched_at timestamp, body string, error string")
+    found = [(r.source_key, r.body) for r in feeds.newest_payloads(df).orderBy("source_key").collect()]
+    assert found[0][1] in ("x", "y") and found[1:] == [("b", "only"), ("c", "same")]
+    assert [(r.source_key, r.body) for r in feeds.newest_payloads(df.repartition(3)).orderBy("source_key").collect()] == found
