@@ -6,6 +6,8 @@ import re
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from feedloom.operators.segments import cut_segments
+
 
 def prior_report_dates(dates: DataFrame, report_dates: DataFrame) -> DataFrame:
     """(brief_date, prior_date): newest report strictly before each date, null when there is none.
@@ -34,6 +36,33 @@ def prior_report_dates(dates: DataFrame, report_dates: DataFrame) -> DataFrame:
     )
 
 
+def latest_known(asked: DataFrame, known: DataFrame, by: list[str], time: str, tie: str, columns: list[str]) -> DataFrame:
+    """``asked`` with the ``columns`` of the newest row of ``known`` of the same ``by`` at or before its ``time``.
+
+    Of rows at the same time the one with the greatest ``tie`` counts; without any the columns are null. Both sides are
+    put in one order and cut into segments, so a key with a very long history spans many tasks; a segment hands its
+    last known row on to the next ones.
+    """
+    marked = known.filter(F.col(time).isNotNull()).select(*by, time, F.col(tie).alias("_tie"), F.struct(*columns).alias("_known"), F.lit(0).alias("_asks"))
+    rest = [c for c in asked.columns if c not in (*by, time)]
+    questions = asked.select(*by, time, F.struct(F.lit(True).alias("_is"), *rest).alias("_question"), F.lit(1).alias("_asks"))
+    both = marked.unionByName(questions, allowMissingColumns=True)
+    # At the same time the known rows come first.
+    order = [time, "_asks", "_tie"]
+    cut = cut_segments(both, by, order)
+    keys = [*by, "segment"]
+    so_far = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    local = cut.withColumn("_found", F.last("_known", ignorenulls=True).over(so_far))
+    ends = cut.filter("_asks = 0").groupBy(*keys).agg(F.max_by("_known", F.struct(time, "_tie")).alias("_end"))
+    every = cut.select(*keys).distinct().join(ends, keys, "left")
+    before = Window.partitionBy(*by).orderBy("segment").rowsBetween(Window.unboundedPreceding, -1)
+    handed = every.select(*keys, F.last("_end", ignorenulls=True).over(before).alias("_handed"))
+    answered = local.filter("_asks = 1").join(handed, keys)
+    found = F.coalesce("_found", "_handed")
+    names = [F.col(f"_question.{c}").alias(c) for c in rest]
+    return answered.select(*by, time, *names, *(found[c].alias(c) for c in columns))
+
+
 def pending_dates(dates: DataFrame, published: DataFrame) -> DataFrame:
     """Dates that no published document covers yet."""
     return dates.join(published.select("brief_date").distinct(), "brief_date", "left_anti")

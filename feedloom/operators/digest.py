@@ -36,7 +36,8 @@ def ranking() -> list[Column]:
     return [direction(name) for direction, name in RANKING]
 
 
-def _fits(section: Section) -> Column:
+def fits(section: Section) -> Column:
+    """Whether an article may stand in a section."""
     enough = F.col("total") >= section.threshold
     return enough if section.categories is None else enough & F.col("category").isin(*section.categories)
 
@@ -47,7 +48,7 @@ def section_items(scored: DataFrame, sections: Sequence[Section] = SECTIONS) ->
     All sections in one shuffle, to which each input partition sends at most ``limit`` rows per
     date and section.
     """
-    numbers = F.array_compact(F.array(*[F.when(_fits(s), F.lit(i)) for i, s in enumerate(sections)]))
+    numbers = F.array_compact(F.array(*[F.when(fits(s), F.lit(i)) for i, s in enumerate(sections)]))
     names = F.array(*[F.lit(s.name) for s in sections])
     limits = {s.limit for s in sections}
     placed = scored.withColumn("section_no", F.explode(numbers))

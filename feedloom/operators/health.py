@@ -11,6 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from feedloom.functions.dates import minus_days
+from feedloom.operators.asof import latest_known
 from feedloom.operators.segments import cut_segments
 from feedloom.settings import DNS_MARKERS, NETWORK_MARKERS
 
@@ -214,6 +215,32 @@ def sources_to_read(
     return sources.join(state, "source_key", "left").filter(keep).drop("_status", "_ok_at")
 
 
+def state_as_history(state: DataFrame) -> DataFrame:
+    """The health state as the history of one check per source, its last."""
+    checked = F.col("last_checked_at").alias("checked_at")
+    return state.select("source_key", F.lit(-1).cast("bigint").alias("seq"), checked, "status", "last_success_at")
+
+
+def skipped_sources(
+    sources: DataFrame, history: DataFrame, dates: DataFrame, as_of: Column, include_unstable: bool = False, grace_days: int = 3
+) -> DataFrame:
+    """(brief_date, source_key): sources that aren't read on a date, by their health at the time ``as_of`` of that date.
+
+    ``as_of`` may use ``brief_date``. A run over many dates so judges each as a run on that date would. Only
+    sources that were ever unstable are looked up.
+    """
+    if include_unstable:
+        return sources.select(F.lit(None).cast("date").alias("brief_date"), "source_key").limit(0)
+    ever = history.filter(F.col("status") == "unstable").select("source_key").distinct()
+    doubtful = sources.filter(F.col("failure_policy") != "always_try").select("source_key").join(ever, "source_key", "left_semi")
+    # One row: the list of calendar dates.
+    listed = dates.agg(F.collect_set("brief_date").alias("_dates"))
+    asked = doubtful.crossJoin(F.broadcast(listed)).select("source_key", F.explode("_dates").alias("brief_date")).withColumn("checked_at", as_of)
+    known = latest_known(asked, history.join(ever, "source_key", "left_semi"), ["source_key"], "checked_at", "seq", ["status", "last_success_at"])
+    recent = F.coalesce(F.col("last_success_at") >= minus_days(F.col("checked_at"), grace_days), F.lit(False))
+    return known.filter((F.col("status") == "unstable") & ~recent).select("brief_date", "source_key")
+
+
 def validation_counts(checks: DataFrame, health: DataFrame) -> DataFrame:
     """One row: checks made, ok, failed, and sources now unstable."""
     made = checks.agg(

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from datetime import date
 from functools import cached_property, reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -13,11 +15,12 @@ from feedloom.functions.phrases import short_summary
 from feedloom.functions.scoring import with_stages
 from feedloom.operators.asof import prior_report_dates
 from feedloom.operators.dedupe import first_unique, with_keys
-from feedloom.operators.digest import digest_documents, scored_items, section_items
+from feedloom.operators.digest import digest_documents, fits, scored_items, section_items
 from feedloom.operators.stage import staged
 from feedloom.operators.status import by_date, failed_sources, section_counts, tally
+from feedloom.plans.backfill import STRONG_SECTIONS, picks_in_order
 from feedloom.settings import WARNING_MARK, RunSettings
-from feedloom.sources.archive import archive_rows, archived_articles
+from feedloom.sources.archive import archive_rows, articles_of_lines, day_tails, newest_of_tails
 from feedloom.sources.cache import cached_articles, rows_in_reach, serve_cache
 
 ARTICLE_COLUMNS = (
@@ -57,12 +60,21 @@ def _keyed(short: DataFrame) -> DataFrame:
     return staged(with_keys(short), "pool")
 
 
+def _with_content(asked: DataFrame, articles: DataFrame) -> DataFrame:
+    """(brief_date, has_content) of the dates asked."""
+    found = dates_of(articles).withColumn("_has", F.lit(True))
+    marked = asked.join(found, "brief_date", "left").select("brief_date", F.col("_has").isNotNull().alias("has_content"))
+    return staged(marked, "tier")
+
+
 @dataclass(frozen=True)
 class DigestInputs:
     """Tables a run reads. All articles carry the ``brief_date`` of the run they belong to.
 
     ``cache`` rows carry the ``run_date`` that wrote them, ``reports`` has one ``report_date`` per
-    digest that exists already, ``sources`` are those read in this run, ``configured`` all enabled.
+    digest that exists already, ``sources`` are those read in this run, ``configured`` all enabled. ``skipped``
+    (brief_date, source_key) are read in the run, but not on that date; ``live`` has none of theirs. ``tails`` stands
+    for ``archive`` where the tails of it are kept.
     """
 
     dates: DataFrame
@@ -70,10 +82,12 @@ class DigestInputs:
     live: DataFrame
     failures: DataFrame
     cache: DataFrame
-    archive: DataFrame
+    archive: DataFrame | None
     sources: DataFrame
     configured: DataFrame
     reports: DataFrame
+    skipped: DataFrame | None = None
+    tails: DataFrame | None = None
 
 
 class DigestRun:
@@ -108,31 +122,59 @@ class DigestRun:
         s, i = self.settings, self.inputs
         cache = rows_in_reach(i.cache, dates, s.cache_retention_days)
         short = self._short(cached_articles(cache, i.sources))
-        served = serve_cache(short, cache, dates, s.cache_retention_days)
+        served = serve_cache(short, cache, dates, s.cache_retention_days, i.skipped)
         candidates = self._short(on_dates(i.candidates, dates))
         pool = candidates.select(*SHORT_COLUMNS).unionByName(served.select(*SHORT_COLUMNS))
         return recent_articles(pool, max(s.lookback_days, s.cache_retention_days))
 
     @cached_property
-    def _tiers(self) -> dict[str, tuple[DataFrame, DataFrame]]:
-        """Per mode that is needed: (brief_date, has_content) of the dates asked, and the articles."""
-        s, i = self.settings, self.inputs
+    def _own_tiers(self) -> tuple[dict[str, tuple[DataFrame, DataFrame]], DataFrame | None]:
+        """Per mode of the first two tiers that is needed: (brief_date, has_content) of the dates asked, and the
+        articles; and the dates that are left for the archive, if any."""
         tiers: dict[str, tuple[DataFrame, DataFrame]] = {}
 
         def add(mode: str, asked: DataFrame, articles: DataFrame) -> DataFrame:
-            found = dates_of(articles).withColumn("_has", F.lit(True))
-            marked = asked.join(found, "brief_date", "left").select("brief_date", F.col("_has").isNotNull().alias("has_content"))
-            tiers[mode] = staged(marked, "tier"), articles
+            tiers[mode] = _with_content(asked, articles), articles
             return tiers[mode][0].filter(~F.col("has_content")).select("brief_date")
 
         left = add("none", self.dates, _keyed(self._short(self._fresh).select(*SHORT_COLUMNS)))
         if not left.isEmpty():
             left = add("feed_cache", left, _keyed(self._cached(left)))
-        if not left.isEmpty():
-            days = max(s.lookback_days, s.archive_min_days)
-            found = archived_articles(i.archive, i.sources, left, days, s.archive_limit, s.lexicon)
-            add("archive", left, staged(found, "archived"))
-        return tiers
+        return tiers, None if left.isEmpty() else left
+
+    @cached_property
+    def _tiers(self) -> dict[str, tuple[DataFrame, DataFrame]]:
+        """The tiers with the archive, whose articles see what earlier dates of this run write."""
+        tiers, left = self._own_tiers
+        if left is None:
+            return tiers
+        articles = staged(articles_of_lines(self._archive_lines(left), self.inputs.sources, self.settings.lexicon, self.inputs.skipped), "archived")
+        return tiers | {"archive": (_with_content(left, articles), articles)}
+
+    def _archive_lines(self, left: DataFrame) -> DataFrame:
+        """The archive lines that the dates ``left`` take."""
+        s, i = self.settings, self.inputs
+        days = max(s.lookback_days, s.archive_min_days)
+        tails = i.tails if i.tails is not None else staged(day_tails(i.archive, s.archive_limit), "archive-days")
+        static = newest_of_tails(tails, left, days, s.archive_limit)
+        bounds = self.dates.agg(F.min("brief_date").alias("first"), F.count(F.lit(1)).alias("n")).first()
+        if bounds["n"] == 1:
+            return static
+        first_writes = bounds["first"] if i.reports.isEmpty() else None
+        lines = archive_rows(on_dates(self.own_scored, self._own_written(first_writes)))
+        own = day_tails(lines, s.archive_limit, ("date",)).select("line.*")
+        return picks_in_order(static, own, left, i.sources, i.skipped, days, s.archive_limit, s.sections, first_writes)
+
+    def _own_written(self, first_writes: date | None) -> DataFrame:
+        """Dates of the first two tiers that write a digest: fresh ones, and cached ones that aren't weak."""
+        tiers, _ = self._own_tiers
+        fresh = tiers["none"][0].filter("has_content").select("brief_date")
+        if "feed_cache" not in tiers:
+            return fresh
+        cached = tiers["feed_cache"][0].filter("has_content").select("brief_date")
+        strong = [fits(s) for s in self.settings.sections if s.name in STRONG_SECTIONS]
+        first = F.lit(False) if first_writes is None else F.col("brief_date") == F.lit(first_writes)
+        return fresh.unionByName(dates_of(on_dates(self.own_scored, cached).filter(reduce(or_, strong, first))))
 
     @cached_property
     def date_modes(self) -> DataFrame:
@@ -146,20 +188,23 @@ class DigestRun:
     @cached_property
     def pool(self) -> DataFrame:
         """Short rows of the first two tiers with their keys, before duplicates are removed."""
-        own = [articles for mode, (_, articles) in self._tiers.items() if mode != "archive"]
-        return reduce(DataFrame.unionByName, own)
+        return reduce(DataFrame.unionByName, [articles for _, articles in self._own_tiers[0].values()])
+
+    @cached_property
+    def own_scored(self) -> DataFrame:
+        """Scored articles of the first two tiers without duplicates."""
+        kept = first_unique(self.pool, ["brief_date"])
+        return staged(self.pool.join(kept, ["brief_date", "seq"], "left_semi").select(*SHORT_COLUMNS), "scored-unique")
 
     @cached_property
     def scored(self) -> DataFrame:
         """Scored articles of all dates without duplicates; archived ones keep their stored total."""
-        kept = first_unique(self.pool, ["brief_date"])
-        result = self.pool.join(kept, ["brief_date", "seq"], "left_semi").select(*SHORT_COLUMNS)
-        if "archive" in self._tiers:
-            old = with_stages(self._tiers["archive"][1], self.settings.lexicon).withColumns(
-                {"summary_short": short_summary(F.col("summary"), F.col("title")), "rank_total": F.lit(0.0)}
-            )
-            result = result.unionByName(old.select(*SHORT_COLUMNS))
-        return staged(result, "scored-unique")
+        if "archive" not in self._tiers:
+            return self.own_scored
+        old = with_stages(self._tiers["archive"][1], self.settings.lexicon).withColumns(
+            {"summary_short": short_summary(F.col("summary"), F.col("title")), "rank_total": F.lit(0.0)}
+        )
+        return self.own_scored.unionByName(old.select(*SHORT_COLUMNS))
 
     @cached_property
     def items(self) -> DataFrame:
@@ -220,14 +265,18 @@ class DigestRun:
             }
         )
         table = by_date(self.outcome, counts, failed_sources(on_dates(i.failures, self.dates)))
+        passed_over = F.lit(0)
+        if i.skipped is not None:
+            table = table.join(i.skipped.groupBy("brief_date").agg(F.count(F.lit(1)).alias("_skipped")), "brief_date", "left")
+            passed_over = F.coalesce("_skipped", F.lit(0))
         shown = F.coalesce("carried_date", "brief_date")
         own = F.when(F.col("n_pool") + F.col("scored_count") > 0, shown).otherwise(F.col("brief_date"))
         return table.select(
             "brief_date",
             F.concat(F.lit("brief_date="), F.date_format(own, "yyyy-MM-dd")).alias("output_path"),
-            F.lit(read).cast("int").alias("source_count"),
+            (F.lit(read) - passed_over).cast("int").alias("source_count"),
             F.lit(configured).cast("int").alias("configured_source_count"),
-            F.lit(configured - read).cast("int").alias("skipped_source_count"),
+            (F.lit(configured - read) + passed_over).cast("int").alias("skipped_source_count"),
             (F.col("live_article_count") + F.col("n_failures")).alias("fetched_article_count"),
             "candidate_article_count",
             F.when(F.col("n_pool") > 0, F.col("n_pool")).otherwise(F.col("scored_count")).alias("candidate_count"),

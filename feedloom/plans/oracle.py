@@ -291,6 +291,61 @@ archived AS MATERIALIZED (
 )"""
 
 
+_STRONG = "(total >= 3.0 OR total >= 2.8 AND category IN ('AI Frontier', 'Product & Startup Signals'))"
+_OWN_FIRST = "(SELECT min(brief_date) FROM dates)"
+
+# Dates in order: those with content add their lines, those without take the newest 24 links and, if these are worth it,
+# add them as lines of their own.
+_WALK = f"""
+static_hits AS MATERIALIZED (SELECT h.brief_date, x.doc_id FROM arch_hits h JOIN arch x USING (doc_id)),
+own_kept AS MATERIALIZED (
+  SELECT ps.* FROM ps JOIN pk ON ps.brief_date = pk.kd AND ps.seq = pk.seq
+),
+own_written AS MATERIALIZED (
+  SELECT DISTINCT brief_date FROM own_kept WHERE brief_date IN (SELECT brief_date FROM fresh) OR {_STRONG} OR brief_date = {_OWN_FIRST}
+),
+own_lines AS MATERIALIZED (
+  SELECT brief_date, doc_id, url, title, published_at, datediff('day', DATE '1970-01-01', brief_date)::BIGINT * 68719476736
+    + row_number() OVER (PARTITION BY brief_date ORDER BY total DESC, seq) - 1 AS line
+  FROM own_kept WHERE brief_date IN (SELECT brief_date FROM own_written)
+),
+entries AS MATERIALIZED (
+  SELECT brief_date, 'own' AS kind, line, url, published_at AS pub, doc_id FROM own_lines WHERE title <> ''
+  UNION ALL
+  SELECT h.brief_date, 'ask', x.doc_id, x.url, x.published_at, x.doc_id FROM static_hits h JOIN arch x USING (doc_id)
+  UNION ALL SELECT brief_date, 'ask', NULL, NULL, NULL, NULL FROM left3
+),
+steps AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY brief_date) AS i, * FROM (
+    SELECT brief_date, min(kind) AS kind, list({{'line': line, 'url': url, 'pub': pub, 'id': doc_id}}) FILTER (line IS NOT NULL) AS given
+    FROM entries GROUP BY brief_date)
+),
+strong_ids AS MATERIALIZED (SELECT list(doc_id) AS ids FROM arch WHERE {_STRONG}),
+walk AS (
+  SELECT 0::BIGINT AS i, NULL::DATE AS brief_date, 'own' AS kind, []::STRUCT(line BIGINT, url VARCHAR, pub TIMESTAMP, id BIGINT)[] AS state,
+    []::STRUCT(line BIGINT, url VARCHAR, pub TIMESTAMP, id BIGINT)[] AS picked
+  UNION ALL
+  SELECT i, brief_date, kind,
+    list_concat(list_filter(state, lambda s: NOT list_contains(list_transform(added, lambda a: a.url), s.url)), added), picked
+  FROM (
+    SELECT i, brief_date, kind, state, picked, CASE WHEN kind = 'own' THEN given
+      WHEN brief_date = {_OWN_FIRST} OR len(list_filter(picked, lambda p: list_contains(ids, p.id))) > 0
+        THEN list_transform(list_sort(picked), lambda p, n: {{'line': datediff('day', DATE '1970-01-01', brief_date)::BIGINT * 68719476736 + n - 1, 'url': p.url, 'pub': p.pub, 'id': p.id}})
+      ELSE [] END AS added
+    FROM (
+      SELECT s.i, s.brief_date, s.kind, w.state, coalesce(s.given, []) AS given, strong_ids.ids,
+        CASE WHEN s.kind = 'own' THEN [] ELSE list_reverse(list_sort(list_concat(
+          list_filter(w.state, lambda x: x.pub IS NULL OR x.pub >= s.brief_date - INTERVAL 7 DAY),
+          list_filter(coalesce(s.given, []), lambda g: NOT list_contains(list_transform(w.state, lambda x: x.url), g.url)))))[1:24] END AS picked
+      FROM walk w JOIN steps s ON s.i = w.i + 1, strong_ids
+    )
+  )
+),
+archived_walk AS MATERIALIZED (
+  SELECT p.brief_date, (3::BIGINT << 60) + ((p.pick.line // 68719476736) << 40) + p.pick.line % 68719476736 AS seq, x.* EXCLUDE (brief_date, seq)
+  FROM (SELECT brief_date, unnest(picked) AS pick FROM walk WHERE kind = 'ask') p JOIN arch x ON x.doc_id = p.pick.id
+)"""
+
 # The whole run: candidates are documents labelled good, all others are live.
 RUN = f"""WITH RECURSIVE {ART}, {DATES}, {SOURCES},
 cands AS MATERIALIZED (
@@ -311,19 +366,20 @@ second AS MATERIALIZED (
 ),
 left3 AS MATERIALIZED (SELECT brief_date FROM left2 WHERE brief_date NOT IN (SELECT brief_date FROM second)),
 {_archive('left3')},
+pool AS MATERIALIZED (SELECT * FROM fresh UNION ALL BY NAME SELECT * FROM second),
+{_scored('ps', 'pool', FRAGMENTS)},
+{_dedupe('pk', 'pool')},
+{_WALK},
 tiers AS MATERIALIZED (
   SELECT brief_date, CASE WHEN brief_date IN (SELECT brief_date FROM fresh) THEN 'none'
     WHEN brief_date IN (SELECT brief_date FROM second) THEN 'feed_cache'
-    WHEN brief_date IN (SELECT brief_date FROM archived) THEN 'archive' ELSE 'empty' END AS tier FROM dates
+    WHEN brief_date IN (SELECT brief_date FROM archived_walk) THEN 'archive' ELSE 'empty' END AS tier FROM dates
 ),
-pool AS MATERIALIZED (SELECT * FROM fresh UNION ALL BY NAME SELECT * FROM second),
-{_scored('ps', 'pool', FRAGMENTS)},
-{_dedupe('pk', 'pool')},
 everything AS MATERIALIZED (
   SELECT ps.brief_date, ps.seq, title, url, source_name, category, published_at, total, total AS rank_total, keywords, doc_id, summary
   FROM ps JOIN pk ON ps.brief_date = pk.kd AND ps.seq = pk.seq
   UNION ALL
-  SELECT brief_date, seq, title, url, source_name, category, published_at, total, 0 AS rank_total, keywords, doc_id, '' FROM archived
+  SELECT brief_date, seq, title, url, source_name, category, published_at, total, 0 AS rank_total, keywords, doc_id, '' FROM archived_walk
 ),
 {_items('everything', 'rank_total DESC, seq')},
 counts AS MATERIALIZED (

@@ -65,13 +65,15 @@ def cached_articles(cache: DataFrame, sources: DataFrame) -> DataFrame:
     return joined.withColumn("seq", article_seq(CACHE, F.col("source_pos"), F.col("item_pos")))
 
 
-def serve_cache(articles: DataFrame, cache: DataFrame, dates: DataFrame, max_age_days: int = 7) -> DataFrame:
+def serve_cache(
+    articles: DataFrame, cache: DataFrame, dates: DataFrame, max_age_days: int = 7, skipped: DataFrame | None = None
+) -> DataFrame:
     """Cached articles for each date, the way a run on that date would find them.
 
     Cache rows carry the ``run_date`` that wrote them. Runs follow each other, so a date sees the
     newest entry of each source up to that date, and uses it while it is not past its age. An entry
     can serve only the few dates within that age, so just (source, run) pairs are copied to dates;
-    ``articles`` may already be scored and cut to short rows.
+    ``articles`` may already be scored and cut to short rows. ``skipped`` sources (brief_date, source_key) serve nothing.
     """
     serves = F.explode(F.sequence(F.col("run_date"), F.date_add("run_date", max_age_days)))
     newest = (
@@ -80,6 +82,8 @@ def serve_cache(articles: DataFrame, cache: DataFrame, dates: DataFrame, max_age
         .groupBy("brief_date", "source_key")
         .agg(F.max("run_date").alias("run_date"))
     )
+    if skipped is not None:
+        newest = newest.join(skipped, ["brief_date", "source_key"], "left_anti")
     served = articles.join(newest, ["source_key", "run_date"])
     return served.filter(F.col("fetched_at") >= minus_days(day_end(F.col("brief_date")), max_age_days))
 
