@@ -7,7 +7,7 @@ outside of it provably stay:
 * An edge of the window is *safe* where the character class changes and no match of the split pattern can
   reach over it: before white space, and between letters, digits and other signs in either order, but for an
   apostrophe followed by a letter. Nothing on one side of such an edge changes tokens on the other.
-* Inside a run of letters or of digits longer than the window, an edge at a token boundary is accepted when
+* Inside a run of one class (letters, digits, white space or other signs) longer than the window, an edge at a token boundary is accepted when
   the two tokens at the edge encode to themselves if they are encoded together. A sequence of tokens is the
   encoding of its bytes if and only if that holds for all its neighbours, so a join that keeps it at both
   edges is exact.
@@ -138,7 +138,7 @@ class TreeCodec:
         """A join with one or both edges inside a run of one class, checked by the tokens at the edges."""
         run = text[max(start, seam - reach) if low is None else seam : min(end, seam + reach) if high is None else seam]
         kinds = {_class(x) for x in run} | {_class(text[seam - 1]), _class(text[seam])}
-        if len(kinds) != 1 or not kinds <= {"L", "N"}:
+        if len(kinds) != 1:
             return None
         half = reach // 2
         near_left = len(text[low:seam].encode()) if low is not None else len(text[seam - half : seam].encode())
@@ -147,6 +147,13 @@ class TreeCodec:
         n_right, got_right = self._cover(right, near_right)
         if (low is not None and got_left != near_left) or (high is not None and got_right != near_right):
             return None
+        # White space before a word is cut before its last sign, and other signs may end in an apostrophe of the next
+        # piece, so both edges and the tokens beyond them must lie within what is known to be the run.
+        if not kinds <= {"L", "N"}:
+            beyond_left = got_left + (len(self.piece(left[len(left) - n_left - 1])) if n_left < len(left) else 0)
+            beyond_right = got_right + (len(self.piece(right[n_right])) if n_right < len(right) else 0)
+            if (low is None and beyond_left >= reach) or (high is None and beyond_right >= reach):
+                return None
         middle = b"".join(map(self.piece, left[len(left) - n_left :] + right[:n_right]))
         if low is None and high is None:
             window = self.encoding._encode_single_piece(middle)

@@ -12,8 +12,11 @@ of one half to the other. Each kind has its pair of moduli:
 * phone: the digits after the country code, cut in two.
 * IP address: two times 16 bits. Social security number: valid area and group, and serial number.
 * date: the day's number from 1900-01-01 to 2099-12-31, as 17 x 4297.
-* e-mail address: letters and digits, but for the top-level domain, are shifted within a-z, A-Z or 0-9 by a
-  keyed hash of the other half of the signs.
+* e-mail address: letters and digits, but for the top-level domain, are shifted within their alphabet (a-z, A-Z, 0-9,
+  accented Latin, Cyrillic, Greek) by a keyed hash of the other half of the signs. Other scripts' letters stay.
+
+The key is an argument: whoever has it can undo the result. Work grows with the length of a text, however many values or
+dots it has.
 
 What fails validation (a card number with a wrong check digit, 31 February) is not personal data here and
 stays. Defined results: null text stays null, empty text empty; repeated rows each get a row; other columns
@@ -22,30 +25,46 @@ stay as they are.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+import secrets
+
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from feedloom.llm.native import joined_spans, spans_where
+from feedloom.llm.native import gaps_and_matches, joined_spans, spans_of_pairs
 
 KINDS = ("email", "ip", "card", "phone", "ssn", "date")
 ROUNDS = 8
-DEFAULT_KEY = "change-this-key"
+#: The session setting that holds the key of ``session_key``.
+KEY_SETTING = "spark.feedloom.pii.key"
 
-_EMAIL = r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[\p{L}\p{N}-]++(?:\.[\p{L}\p{N}-]++)+"
+_EMAIL = r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[\p{L}\p{N}-]++(?:\.[\p{L}\p{N}-]++)++"
 _IP = r"(?<![\p{L}\d.])(?:\d{1,3}\.){3}\d{1,3}(?![\p{L}\d]|\.\d)"
 _DATE = r"(?<![\p{L}\d])(?:(?:19|20)\d\d-\d\d-\d\d|\d\d([./])\d\d\1(?:19|20)\d\d)(?![\p{L}\d])"
 _SSN = r"(?<![\p{L}\d-])\d{3}-\d\d-\d{4}(?![\p{L}\d-])"
 _PHONE = (
-    r"(?<![\p{L}\d+])(?:\+\d{1,3}[ .-]?\(\d{2,4}\)[ .-]?\d{3}[ .-]?\d{4}|\+\d{1,3}(?:[ .-]\d{2,4}){2,4}|\+\d{8,15}|\(\d{3}\) ?\d{3}[ .-]\d{4})"
+    r"(?<![\p{L}\d+])(?:\+\d{1,3}[ .-]?\(\d{2,4}\)[ .-]?\d{3}[ .-]?\d{4}|\+\d{1,3}(?:[ .-](?!(?:19|20)\d\d-\d\d-\d\d|\d\d[./]\d\d[./](?:19|20))\d{2,4}){2,4}"
+    r"|\+\d{8,15}|\(\d{3}\) ?\d{3}[ .-]\d{4}|\d{3}([.-])\d{3}\2\d{4})"
     r"(?![\p{L}\d]|\.\d)"
 )
-_CARD = r"(?<![\p{L}\d])(?:\d{13,19}|\d{4}([ -])\d{4}\2\d{4}\2\d{4}|\d{4}([ -])\d{6}\3\d{5})(?![\p{L}\d])"
+_CARD = r"(?<![\p{L}\d])(?:\d{13,19}|\d{4}([ -])\d{4}\3\d{4}\3\d{4}|\d{4}([ -])\d{6}\4\d{5})(?![\p{L}\d])"
 PATTERN = "|".join((_EMAIL, _IP, _DATE, _SSN, _PHONE, _CARD))
 
+
+def _letters(first: str, last: str, but: str = "") -> str:
+    return "".join(c for c in map(chr, range(ord(first), ord(last) + 1)) if c not in but)
+
+
+#: Letters and digits of e-mail addresses move within their alphabet: Latin, its accented letters, Cyrillic, Greek.
+ALPHABETS = (
+    _letters("a", "z"), _letters("A", "Z"), _letters("0", "9"), _letters("à", "ÿ", "÷"), _letters("À", "Þ", "×"),
+    _letters("а", "я"), _letters("А", "Я"), _letters("α", "ω"), _letters("Α", "Ω", "\u03a2"),
+)
+
 _FIRST_DAY, _DAYS = "1900-01-01", (17, 4297)
 _SSN_AREAS = 898  # 001 to 899 but 666
 _IP_FORM = r"^\d{1,3}(\.\d{1,3}){3}$"
 _SSN_FORM = r"^\d{3}-\d\d-\d{4}$"
 _ISO_FORM = r"^\d{4}-\d\d-\d\d$"
+_PLAIN_PHONE_FORM = r"^\d{3}([.-])\d{3}\1\d{4}$"
 _DMY_FORM = r"^\d\d[./]\d\d[./]\d{4}$"
 
 
@@ -135,6 +154,7 @@ def _kind(match: Column) -> Column:
         .when(match.rlike(_IP_FORM), F.when(proper, F.lit("ip")))
         .when(match.rlike(_SSN_FORM), F.when(ssn, F.lit("ssn")))
         .when(day, F.when(_date_of(match).isNotNull(), F.lit("date")))
+        .when(match.rlike(_PLAIN_PHONE_FORM), F.lit("phone"))
         .when(match.startswith("+") | match.startswith("("), F.when(n.between(8, 15), F.lit("phone")))
         .when(n.between(13, 19), F.when(_luhn_sum(digits) % 10 == 0, F.lit("card")))
     )
@@ -149,8 +169,8 @@ def _new_card(match: Column, key: str, undo: bool) -> Column:
 
 
 def _new_phone(match: Column, key: str, undo: bool) -> Column:
-    """Keeps a country code that a separator ends; of other numbers the first digit."""
-    code = F.when(match.startswith("("), F.lit(0)).otherwise(
+    """Keeps a country code that a separator ends; of other international numbers the first digit; of national ones none."""
+    code = F.when(~match.startswith("+"), F.lit(0)).otherwise(
         F.greatest(F.lit(1), F.length(F.regexp_extract(match, r"^\+(\d{1,3})[ .(-]", 1)))
     )
     digits = _digits(match)
@@ -212,15 +232,12 @@ def _new_email(match: Column, key: str, undo: bool) -> Column:
 
         def one(sign: Column, at: Column) -> Column:
             move = _hash(key, "email", turn * 4096 + at, by)
-            code = F.ascii(sign)
-
-            def within(low: str, size: int) -> Column:
-                step = F.pmod(move, F.lit(size))
-                return F.char((F.pmod(code - ord(low) + (-step if undo else step), F.lit(size)) + ord(low)).cast("bigint"))
-
-            return (
-                F.when(sign.between("a", "z"), within("a", 26)).when(sign.between("A", "Z"), within("A", 26)).when(sign.between("0", "9"), within("0", 10))
-            ).otherwise(sign)
+            new = F
+            for alphabet in ALPHABETS:
+                step = F.pmod(move, F.lit(len(alphabet)))
+                place = F.pmod(F.position(sign, F.lit(alphabet)) - 1 + (-step if undo else step), F.lit(len(alphabet)))
+                new = new.when(F.lit(alphabet).contains(sign), F.substring(F.lit(alphabet), (place + 1).cast("int"), F.lit(1)))
+            return new.otherwise(sign)
 
         return F.transform(half_signs, one)
 
@@ -244,26 +261,28 @@ def _replaced(kind: Column, match: Column, key: str, undo: bool) -> Column:
     return new.otherwise(match)
 
 
-def with_pseudonyms(docs: DataFrame, key: str = DEFAULT_KEY, text_col: str = "text", found: str | None = None, undo: bool = False) -> DataFrame:
-    """``docs`` with the text pseudonymised; ``found`` names a column for array<struct<start, end, match, kind>> of the old text."""
-    text = F.col(text_col)
-    # Whatever matches has a digit or an @, so texts without one need no search.
-    spans = spans_where(F.coalesce(text.rlike("[0-9@]"), F.lit(False)), text, PATTERN)
-    hidden = "__pii_spans"
-    marked = docs.withColumn(
-        hidden, F.filter(F.transform(spans, lambda s: s.withField("kind", _kind(s["match"]))), lambda s: s["kind"].isNotNull())
-    )
+def session_key(spark: SparkSession) -> str:
+    """The key of the session's setting ``KEY_SETTING``; where that is unset, a random one that the session then keeps."""
+    if not spark.conf.get(KEY_SETTING, None):
+        spark.conf.set(KEY_SETTING, secrets.token_hex(32))
+    return spark.conf.get(KEY_SETTING)
 
-    def step(done: Column, s: Column) -> Column:
-        gap = F.substring(text, (done["at"] + 1).cast("int"), (s["start"] - done["at"]).cast("int"))
-        return F.struct(s["end"].alias("at"), F.concat(done["parts"], F.array(gap, _replaced(s["kind"], s["match"], key, undo))).alias("parts"))
 
-    start = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast("array<string>").alias("parts"))
-    rest = lambda done: F.concat(F.array_join(done["parts"], ""), F.substring(text, (done["at"] + 1).cast("int"), F.length(text)))
-    new = F.when(F.size(hidden) > 0, F.aggregate(F.col(hidden), start, step, rest)).otherwise(text)
+def with_pseudonyms(docs: DataFrame, key: str, text_col: str = "text", found: str | None = None, undo: bool = False) -> DataFrame:
+    """``docs`` with the text pseudonymised; ``found`` names a column for array<struct<start, end, match, kind>> of the old text."""
+    text, pairs, tail = F.col(text_col), "__pii_pairs", "__pii_tail"
+    # Whatever matches has a digit or an @, so texts without one need no search.
+    wanted = F.coalesce(text.rlike("[0-9@]"), F.lit(False))
+    gaps, rest = gaps_and_matches(text, PATTERN)
+    kinds = F.transform(gaps, lambda p: F.struct(p["gap"].alias("gap"), p["match"].alias("match"), _kind(p["match"]).alias("kind")))
+    marked = docs.withColumns({pairs: F.when(wanted, kinds), tail: F.when(wanted, rest)})
+    parts = F.transform(pairs, lambda p: F.concat(p["gap"], F.when(p["kind"].isNull(), p["match"]).otherwise(_replaced(p["kind"], p["match"], key, undo))))
+    new = F.when(F.coalesce(F.size(pairs), F.lit(0)) > 0, F.concat(F.array_join(parts, ""), F.coalesce(F.col(tail), F.lit("")))).otherwise(text)
+    empty = "array<struct<start:bigint,end:bigint,match:string,kind:string>>"
+    every = spans_of_pairs(F.coalesce(F.col(pairs), F.array().cast("array<struct<gap:string,match:string,kind:string>>")), empty, "kind")
+    spans = F.filter(every, lambda s: s["kind"].isNotNull())
     out = docs.columns if found is None else [*(c for c in docs.columns if c != found), found]
-    columns = [new.alias(c) if c == text_col else F.col(hidden).alias(c) if c == found else F.col(c) for c in out]
-    return marked.select(*columns)
+    return marked.select(*(new.alias(c) if c == text_col else spans.alias(c) if c == found else F.col(c) for c in out))
 
 
 def counts_and_spans(found: Column) -> list[Column]:

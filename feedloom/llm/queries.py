@@ -30,7 +30,7 @@ def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     owner = F.coalesce(F.col("source"), F.lit(""))
     repository = F.concat_ws("/", owner, F.coalesce(F.col("lang"), F.lit("")))
     found = secrets.secret_spans(read_documents(spark, sf_dir), owner, repository)
-    return found.select("doc_id", *secrets.span_columns(), "n_live", "n_copied", "max_owners")
+    return found.select("doc_id", *secrets.span_columns(), "n_live", "n_copied", "max_owners", "max_repositories")
 
 
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -65,7 +65,7 @@ def op5_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text under pseudonyms, with what was found where in the old one."""
-    found = pii.with_pseudonyms(read_documents(spark, sf_dir), found="found")
+    found = pii.with_pseudonyms(read_documents(spark, sf_dir), pii.session_key(spark), found="found")
     return found.select("doc_id", "text", *pii.counts_and_spans(F.col("found")))
 
 

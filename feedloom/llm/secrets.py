@@ -2,12 +2,13 @@
 
 Candidates are values of assignments, access keys, long hexadecimal runs, and any token of 20 or more signs
 that mixes letters and digits. Each value is hashed; over the whole corpus a hash is counted by distinct
-repositories and distinct owners. A value that many owners have is a copied example; one that a single owner
-has, and that looks random (entropy, letters and digits, no placeholder word), is a live-looking credential
-and adds a span ``live``. The three kinds of plain matches are reported whatever their frequency.
+repositories and distinct owners. A value that several owners or many repositories have is a copied example; one that
+a single owner has in few repositories, and that looks random (entropy of the whole value, letters and digits, no
+placeholder word), is a live-looking credential and adds a span ``live``. The three kinds of plain matches are reported whatever their frequency.
 
 Counting starts with distinct (hash, owner, repository) on the map side, so a value that a third of all
-documents share is a few rows after the first step; the join back has no hint and can be split.
+documents share is a few rows after the first step; the counts are written before they are joined back, so the
+join is one of two plain tables and a hot value can be split.
 
 Defined results: a null text is empty; a null owner or repository counts as one of its own; repeated rows
 each get a row; an empty table gives an empty result; other columns are not read.
@@ -30,12 +31,12 @@ TOKEN = r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]*+[0-9])[A-Za-z0-9+/_=-]{20,}+"
 ASSIGN_VALUE = 8
 PLACEHOLDERS = r"(?i)example|sample|dummy|changeme|your|placeholder|x{6,}|0{8,}|1234567|abcdef"
 MIN_ENTROPY = 2.5
-LIVE_OWNERS = 1
-COPIED_OWNERS = 3
+LIVE_OWNERS, LIVE_REPOSITORIES = 1, 2
+COPIED_OWNERS, COPIED_REPOSITORIES = 2, 3
 
 
 def entropy(value: Column) -> Column:
-    """Bits per sign of a short value."""
+    """Bits per sign of a whole value; its signs are few, so work grows with its length."""
     signs = F.split(value, "")
     n = F.length(value).cast("double")
 
@@ -48,7 +49,7 @@ def entropy(value: Column) -> Column:
 
 def looks_live(value: Column) -> Column:
     mixed = value.rlike("[0-9]") & value.rlike("[A-Za-z]")
-    return mixed & ~value.rlike(PLACEHOLDERS) & (entropy(F.left(value, F.lit(64))) >= MIN_ENTROPY)
+    return mixed & ~value.rlike(PLACEHOLDERS) & (entropy(value) >= MIN_ENTROPY)
 
 
 def _ranked(spans: Column, kind: str) -> Column:
@@ -103,25 +104,27 @@ def ownership(values: DataFrame) -> DataFrame:
 
 
 def secret_spans(docs: DataFrame, owner: Column, repository: Column, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, base, live, n_live, n_copied, max_owners) of every row; base and live are arrays of spans."""
+    """(doc_id, base, live, n_live, n_copied, max_owners, max_repositories) of every row; base and live are arrays of spans."""
     # Written once: the number of a row then holds in all later steps.
     rows = staged(scan(docs, owner, repository, id_col, text_col), "secret-rows")
     values = rows.select("row", "owner", "repository", F.inline("values"))
-    judged = values.join(ownership(values), "hash")
-    live = F.col("live") & (F.col("owners") <= LIVE_OWNERS)
+    judged = values.join(staged(ownership(values), "secret-owners"), "hash")
+    live = F.col("live") & (F.col("owners") <= LIVE_OWNERS) & (F.col("repositories") <= LIVE_REPOSITORIES)
+    copied = (F.col("owners") >= COPIED_OWNERS) | (F.col("repositories") >= COPIED_REPOSITORIES)
     span = F.struct("start", F.lit(KINDS.index("live")).alias("rank"), "end", F.lit("live").alias("kind"))
     verdicts = judged.groupBy("row").agg(
         F.array_sort(F.collect_list(F.when(live, span))).alias("live"),
         F.sum(live.cast("bigint")).alias("n_live"),
-        F.sum((F.col("owners") >= COPIED_OWNERS).cast("bigint")).alias("n_copied"),
+        F.sum(copied.cast("bigint")).alias("n_copied"),
         F.max("owners").alias("max_owners"),
+        F.max("repositories").alias("max_repositories"),
     )
     nothing = F.array().cast("array<struct<start:bigint,rank:int,end:bigint,kind:string>>")
     return rows.join(verdicts, "row", "left").select(
         "doc_id",
         "base",
         F.coalesce("live", nothing).alias("live"),
-        *(F.coalesce(c, F.lit(0).cast("bigint")).alias(c) for c in ("n_live", "n_copied", "max_owners")),
+        *(F.coalesce(c, F.lit(0).cast("bigint")).alias(c) for c in ("n_live", "n_copied", "max_owners", "max_repositories")),
     )
 
 

@@ -73,22 +73,23 @@ tokens AS (
 ),
 candidates AS (SELECT DISTINCT id, stop - length(value) AS start, stop, value FROM (SELECT id, stop, value FROM base UNION ALL SELECT id, stop, value FROM tokens)),
 frequency AS (
-  SELECT value, count(DISTINCT owner) AS owners FROM candidates JOIN texts USING (id) GROUP BY value
+  SELECT value, count(DISTINCT owner) AS owners, count(DISTINCT repository) AS repositories FROM candidates JOIN texts USING (id) GROUP BY value
 ),
 signs AS (
   SELECT value, -sum(n * 1.0 / total * log2(n * 1.0 / total)) AS bits
-  FROM (SELECT value, sign, count(*) AS n, least(length(value), 64) AS total
-        FROM (SELECT value, unnest(string_split(left(value, 64), '')) AS sign FROM frequency) GROUP BY value, sign)
+  FROM (SELECT value, sign, count(*) AS n, length(value) AS total
+        FROM (SELECT value, unnest(string_split(value, '')) AS sign FROM frequency) GROUP BY value, sign)
   GROUP BY value
 ),
 judged AS (
-  SELECT c.id, c.start, c.stop, f.owners,
-         f.owners <= 1 AND s.bits >= 2.5 AND regexp_matches(c.value, '[0-9]') AND regexp_matches(c.value, '[A-Za-z]')
+  SELECT c.id, c.start, c.stop, f.owners, f.repositories, f.owners >= 2 OR f.repositories >= 3 AS copied,
+         f.owners <= 1 AND f.repositories <= 2 AND s.bits >= 2.5 AND regexp_matches(c.value, '[0-9]') AND regexp_matches(c.value, '[A-Za-z]')
          AND NOT regexp_matches(lower(c.value), 'example|sample|dummy|changeme|your|placeholder|x{{6,}}|0{{8,}}|1234567|abcdef') AS live
   FROM candidates c JOIN frequency f USING (value) JOIN signs s USING (value)
 ),
 verdicts AS (
-  SELECT id, count(*) FILTER (WHERE live) AS n_live, count(*) FILTER (WHERE owners >= 3) AS n_copied, max(owners) AS max_owners
+  SELECT id, count(*) FILTER (WHERE live) AS n_live, count(*) FILTER (WHERE copied) AS n_copied, max(owners) AS max_owners,
+         max(repositories) AS max_repositories
   FROM judged GROUP BY id
 ),
 listed AS (
@@ -103,7 +104,8 @@ spans AS (
 )
 SELECT t.doc_id, coalesce(s.n_assign, 0)::BIGINT AS n_assign, coalesce(s.n_access, 0)::BIGINT AS n_access, coalesce(s.n_hex, 0)::BIGINT AS n_hex,
        sha256(coalesce(s.base, '')) AS base_sha256, coalesce(s.spans, '') AS spans, coalesce(v.n_live, 0)::BIGINT AS n_live,
-       coalesce(v.n_copied, 0)::BIGINT AS n_copied, coalesce(v.max_owners, 0)::BIGINT AS max_owners
+       coalesce(v.n_copied, 0)::BIGINT AS n_copied, coalesce(v.max_owners, 0)::BIGINT AS max_owners,
+       coalesce(v.max_repositories, 0)::BIGINT AS max_repositories
 FROM texts t LEFT JOIN spans s USING (id) LEFT JOIN verdicts v USING (id)
 """
 

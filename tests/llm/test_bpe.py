@@ -23,7 +23,7 @@ def texts(rng, n):
         elif kind < 0.7:
             yield "".join(rng.choices("abcdefghinorst", k=rng.randint(0, 300)))
         elif kind < 0.9:
-            yield rng.choice(["a", "ab", " ", "'", "0", "é", "中", "'s", "!", "12"]) * rng.randint(0, 300)
+            yield rng.choice(["a", "ab", " ", "'", "0", "é", "中", "'s", "!", "12", "\n", " \n", "-", "!'"]) * rng.randint(0, 300)
         else:
             yield "".join(chr(rng.choice([rng.randint(1, 0x7F), rng.randint(0x80, 0x3000)])) for _ in range(rng.randint(0, 80)))
 
@@ -37,6 +37,15 @@ def test_joins_equal_whole_encoding(leaf, window, run):
         assert codec.decode(ids) == text.encode()
 
 
+def test_very_long_runs():
+    codec = TreeCodec(RANKS, public_tokenizers.PATTERN)
+    for run in (" ", "\n", "-", "!", "\t ", " \n", "é", "'", "x"):
+        for text in (run * (30_000 // len(run)), "word" + run * (30_000 // len(run)) + "word", "a" + run * 5_001 + "b1" + run * 4_097):
+            assert codec.encode(text) == codec.encoding.encode_ordinary(text), run
+    blanks = codec.encode(" " * 2_000_000)
+    assert codec.decode(blanks) == b" " * 2_000_000
+
+
 def test_query_against_whole_encoding(spark):
     codec = TreeCodec(RANKS, public_tokenizers.PATTERN)
     got = {r.doc_id: r for r in op7_bpe(spark, FOLDER).collect()}
