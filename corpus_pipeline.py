@@ -2,6 +2,12 @@
 
 Every stage takes the documents its predecessor kept and, but for the last, returns their columns. ``run``
 writes each result to the shared folder before the next stage reads it.
+
+Defined results: a null text counts as empty and stays null through the stages that pass texts on; rows that repeat are
+near copies of each other, so one stays; a null id, language or source is a value of its own; columns beyond those of
+documents are passed through by all stages but the last; an empty table gives an empty result, and so does a table
+without usable labels give scores of one half, which pass. The key of the pseudonyms is the session's, see
+``pii.session_key``.
 """
 
 from __future__ import annotations
@@ -38,7 +44,7 @@ def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with pseudonyms for personal data."""
-    return _counted_anew(pii.with_pseudonyms(docs))
+    return _counted_anew(pii.with_pseudonyms(docs, pii.session_key(spark)))
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
