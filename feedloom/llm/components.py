@@ -6,12 +6,16 @@ from pyspark.sql import DataFrame, Observation, functions as F
 
 from feedloom.operators.stage import staged
 
+#: Edges of two 16-byte nodes at most: some 16 MB.
+SMALL_EDGES = 1 << 19
+
 
 def star_components(links: DataFrame) -> DataFrame:
     """(node, root) of every linked node, from links (a, b) with a < b; root is the smallest node reachable.
 
-    Nodes may be of any type that orders. The smallest neighbours are written before they are joined back, so the
-    join is one of two plain tables and a node with very many links can be split.
+    Nodes may be of any type that orders. Up to ``SMALL_EDGES`` edges, counted while they are written, the smallest
+    neighbours are broadcast. Beyond, they are written before they are joined back, so the join is one of two plain tables
+    and a node with very many links can be split.
     """
 
     def stage_edges(edges: DataFrame) -> tuple[DataFrame, tuple]:
@@ -20,11 +24,12 @@ def star_components(links: DataFrame) -> DataFrame:
         table = staged(edges.observe(seen, F.count(F.lit(1)).alias("n"), F.bit_xor(mark).alias("x"), F.max(mark).alias("m")), "star-edges")
         return table, (seen.get["n"], seen.get["x"], seen.get["m"])
 
-    def star(edges: DataFrame, both: bool) -> DataFrame:
+    def star(edges: DataFrame, both: bool, small: bool) -> DataFrame:
         """Ties the larger neighbours (both) or all smaller ones to the smallest neighbour of a node."""
         down = edges.select(F.col("b").alias("u"), F.col("a").alias("v"))
         pairs = down.unionByName(edges.select(F.col("a").alias("u"), F.col("b").alias("v"))) if both else down
-        least = staged(pairs.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "star-least")
+        least = pairs.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        least = F.broadcast(least) if small else staged(least, "star-least")
         tied = pairs.join(least, "u")
         if both:
             tied = tied.filter(F.col("v") > F.col("u")).select(F.col("m").alias("a"), F.col("v").alias("b"))
@@ -34,7 +39,8 @@ def star_components(links: DataFrame) -> DataFrame:
 
     edges, mark = stage_edges(links)
     while mark[0]:
-        edges, now = stage_edges(star(star(edges, True), False))
+        small = mark[0] <= SMALL_EDGES
+        edges, now = stage_edges(star(star(edges, True, small), False, small))
         if now == mark:
             break
         mark = now

@@ -41,7 +41,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from feedloom.llm.common import map_arrow, pieces, utf8
 from feedloom.llm.components import star_components
 from feedloom.operators.segments import add_rank
-from feedloom.operators.stage import staged
+from feedloom.operators.stage import staged, staged_counted
 
 SHINGLE_WORDS = 5
 PERCENT = 85
@@ -55,6 +55,8 @@ SEED = 20240611
 SAME_BITS = round(2 * SKETCH * 0.805)
 #: Occurrences of a shingle compared in one piece of the rest step.
 POST_ROWS = 1024
+#: A side of a join is broadcast up to so many bytes, counted while it is written; beyond, both sides are shuffled.
+BROADCAST_BYTES = 1 << 25
 _LEVEL_BITS = 12
 _CHUNK = 1 << 12
 _WORDS = 2 * SKETCH // 64
@@ -156,6 +158,12 @@ def _pair(left: str, right: str) -> list[Column]:
 _FACTS = ("set_id", "n", *(f"k{i}" for i in range(_WORDS)))
 
 
+def _small_side(df: DataFrame, label: str, row_bytes: int) -> DataFrame:
+    """``df`` written and counted; with a broadcast hint where its rows, of ``row_bytes`` at most, are few enough."""
+    table, n = staged_counted(df, label)
+    return F.broadcast(table) if n * row_bytes <= BROADCAST_BYTES else table
+
+
 class _Forest:
     """Classes of the documents and what the steps share."""
 
@@ -170,20 +178,20 @@ class _Forest:
         single = shingled.select("set_id", "n", "regions", "deeper", "sketch").dropDuplicates(["set_id"])
         self.classes = staged(single.select("set_id", "n", "regions", "deeper", *words), "forest-classes")
 
-    def entries(self) -> tuple[DataFrame, DataFrame]:
+    def entries(self) -> DataFrame:
         """Rows of all orders in regions of two or more: (region, pos, size, set_id); pos counts along the sorted order."""
         both = F.explode(F.arrays_zip("regions", "deeper")).alias("x")
         every = self.classes.select("set_id", both).select(F.col("x.regions").alias("region"), F.col("x.deeper").alias("deeper"), "set_id")
-        sizes = staged(every.groupBy("region").agg(F.count(F.lit(1)).alias("size")).filter(F.col("size") > 1), "forest-regions")
+        sizes = _small_side(every.groupBy("region").agg(F.count(F.lit(1)).alias("size")).filter(F.col("size") > 1), "forest-regions", 32)
         met = every.join(sizes, "region")
         ranked = add_rank(met, ["region"], ["deeper", "set_id"], "pos")
-        return staged(ranked.select("region", "pos", "size", "set_id"), "forest-orders"), sizes
+        return staged(ranked.select("region", "pos", "size", "set_id"), "forest-orders")
 
     def sets_of(self, pairs: DataFrame) -> DataFrame:
         """(set_id, shingles) of the classes in pairs, from the texts of their first documents."""
         asked = pairs.select(F.col("a").alias("set_id")).unionByName(pairs.select(F.col("b").alias("set_id"))).distinct()
         first = self.heads.join(asked, "set_id", "left_semi")
-        wanted = staged(first.select(F.struct("first.doc_id").alias("_doc"), F.col("first.tie").alias("_tie"), "set_id"), "forest-asked")
+        wanted = _small_side(first.select(F.struct("first.doc_id").alias("_doc"), F.col("first.tie").alias("_tie"), "set_id"), "forest-asked", 96)
         keyed = self.docs.select(F.struct(F.col(self.id_col).cast("bigint").alias("doc_id")).alias("_doc"), F.xxhash64(F.col(self.text_col)).alias("_tie"), F.col(self.text_col).alias("_text"))
         texts = keyed.join(wanted, ["_doc", "_tie"]).select("set_id", "_text")
         n_words = self.shingle_words
@@ -234,8 +242,7 @@ class _Forest:
 
     def rest(self, crowded: DataFrame, facts: DataFrame) -> DataFrame:
         """Alike pairs, in different components, among the classes of crowded regions: by shared rare shingles."""
-        asked = crowded.select("set_id").distinct()
-        sets = self.sets_of(asked.select(F.col("set_id").alias("a"), F.col("set_id").alias("b")))
+        sets = self.sets_of(crowded.select(F.col("set_id").alias("a"), F.col("set_id").alias("b")))
         posted = sets.select("set_id", F.explode("shingles").alias("shingle"))
         counts = posted.groupBy("shingle").agg(F.count(F.lit(1)).alias("df"))
         # A shingle of one class joins nothing, and rare ones come first: a prefix is what is left of its length after them.
@@ -262,32 +269,30 @@ class _Forest:
         return x.join(y, same & (F.col("x.root") != F.col("y.root")) & enough & _alike("x", "y")).select(*_pair("x", "y"))
 
     def components(self) -> DataFrame:
-        """(node, root) of every linked class."""
-        orders, sizes = self.entries()
+        """(set_id, root) of every class; classes in one component have one root."""
+        orders = self.entries()
         links = self.confirmed(self.next_neighbours(orders), "next")
-        roots = staged(star_components(links), "forest-roots")
-        facts = staged(self._facts_with_roots(roots), "forest-facts")
-        wider = self.confirmed(self.in_thin_regions(orders, facts), "reach")
-        links = links.unionByName(wider)
-        if not wider.isEmpty():
-            roots = staged(star_components(links), "forest-roots")
-            facts = staged(self._facts_with_roots(roots), "forest-facts")
-        crowded = orders.filter(F.col("size") > self.reach + 1)
+        facts = staged(self._facts_with_roots(star_components(links)), "forest-facts")
+        pairs = self.in_thin_regions(orders, facts)
+        crowded = staged(orders.filter(F.col("size") > self.reach + 1).select("set_id").distinct(), "forest-crowded")
         if not crowded.isEmpty():
-            more = self.confirmed(self.rest(crowded, facts), "rest")
-            if not more.isEmpty():
-                roots = staged(star_components(links.unionByName(more)), "forest-roots")
-        return roots
+            pairs = pairs.unionByName(self.rest(crowded, facts))
+        more = self.confirmed(pairs, "more")
+        # Components so far are one node each: what is left to join are the links between them.
+        roots = facts.select(F.col("set_id"), "root")
+        left, right = (roots.select(F.col("set_id").alias(c), F.col("root").alias(f"{c}_root")) for c in ("a", "b"))
+        between = more.join(left, "a").join(right, "b").select(F.least("a_root", "b_root").alias("a"), F.greatest("a_root", "b_root").alias("b"))
+        merged = star_components(between.filter(F.col("a") < F.col("b")).distinct())
+        final = roots.join(merged.select(F.col("node").alias("root"), F.col("root").alias("_last")), "root", "left")
+        return staged(final.select("set_id", F.coalesce("_last", "root").alias("root")), "forest-roots")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = SHINGLE_WORDS, reach: int = REACH) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of every row; component_id is the smallest id in reach over links."""
     forest = _Forest(docs, id_col, text_col, shingle_words, reach)
-    roots = forest.components().withColumnRenamed("node", "set_id")
-    named = roots.join(forest.heads, "set_id")
-    smallest = named.groupBy("root").agg(F.min("first").alias("smallest"))
-    linked = named.join(smallest, "root").select("set_id", "smallest")
-    heads = staged(forest.heads.join(linked, "set_id", "left").select("set_id", F.coalesce("smallest", "first")["doc_id"].alias("component")), "forest-components")
+    named = staged(forest.components().join(forest.heads, "set_id"), "forest-named")
+    smallest = staged(named.groupBy("root").agg(F.min("first")["doc_id"].alias("component")), "forest-smallest")
+    heads = staged(named.join(smallest, "root").select("set_id", "component"), "forest-components")
     # A class may hold a third of all rows; both sides are plain tables, so that large partitions can be split.
     rows = forest.rows.select("doc_id", "n", "set_id")
     found = rows.filter("n > 0").join(heads, "set_id").select("doc_id", "n", "component")

@@ -5,7 +5,7 @@ import re
 
 import xxhash
 
-from feedloom.llm import simhash
+from feedloom.llm import components, simhash
 from feedloom.llm.components import star_components
 from feedloom.llm.queries import op3_simhash
 
@@ -98,3 +98,15 @@ def test_long_text_in_pieces(monkeypatch):
     whole = simhash.fingerprint(text)
     monkeypatch.setattr(simhash, "pieces", lambda x: [x[:400].rpartition(b" ")[0], x[len(x[:400].rpartition(b" ")[0]) :]])
     assert simhash.fingerprint(text) == whole
+
+
+def test_components_by_broadcast_and_by_tables(spark, monkeypatch):
+    rng = random.Random(9)
+    links = sorted({tuple(sorted(rng.sample(range(300), 2))) for _ in range(180)} | {(0, i) for i in range(301, 400)})
+    df = spark.createDataFrame(links, "a bigint, b bigint")
+    found = {r.node: r.root for r in star_components(df).collect()}
+    for a, b in links:
+        assert found[a] == found[b] <= a
+    assert all(found[r] == r for r in found.values())
+    monkeypatch.setattr(components, "SMALL_EDGES", 0)
+    assert {r.node: r.root for r in star_components(df).collect()} == found
