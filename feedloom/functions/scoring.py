@@ -9,8 +9,11 @@ from operator import add, or_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from feedloom.operators.terms import term_hits
 from feedloom.settings import AI_FRONTIER, CHINA_RETAIL, DEFAULT_LEXICON, MARKETPLACE, Lexicon, Weights
 
+#: Distinct terms that are written out as expressions; generated code must stay below 64 KB.
+WRITTEN_OUT = 400
 COMPONENTS = ("impact", "novelty", "source_quality", "pm_relevance", "actionability")
 
 
@@ -20,6 +23,27 @@ def article_text(title: Column, summary: Column, source_name: Column, category:
     return F.lower(F.concat_ws(" ", *parts))
 
 
+def cents(total: Column) -> Column:
+    """``total`` rounded to two decimals by its exact binary value: 2.675, which is stored as a little less, gives 2.67.
+
+    A double below 2^62 / 2^k times 2^k is a whole number that a bigint holds, as far as its last bit is 2^-k or more; so
+    hundredths and what is left of them are exact decimals. A true tie goes to the even hundredth. Totals of 2^20 and
+    more, which no weights give, are rounded as decimals.
+    """
+
+    def exact(shift: int) -> Column:
+        scaled = (F.abs(total) * F.lit(2.0**shift)).cast("bigint").cast("decimal(20,0)") * F.lit(100).cast("decimal(3,0)")
+        unit = F.lit(2**shift).cast("decimal(20,0)")
+        left = scaled % unit
+        whole = ((scaled - left) / unit).cast("bigint")
+        up = (2 * left > unit) | ((2 * left == unit) & (whole % 2 == 1))
+        return (whole + up.cast("bigint")) / F.lit(100.0)
+
+    size = F.abs(total)
+    rounded = F.when(size < 4, exact(60)).when(size < 1024, exact(50)).when(size < 2**20, exact(40)).otherwise(F.round(size, 2))
+    return F.when(total < 0, -rounded).otherwise(rounded)
+
+
 def any_term(text: Column, terms: Iterable[str]) -> Column:
     return reduce(or_, [text.contains(t.lower()) for t in terms])
 
@@ -57,39 +81,60 @@ def with_stages(articles: DataFrame, lexicon: Lexicon = DEFAULT_LEXICON, name: s
     return spoken.withColumn(name, F.when(F.col(name) == "", "、".join(lexicon.default_stages)).otherwise(F.col(name)))
 
 
+def _with_hits(searched: DataFrame, lexicon: Lexicon) -> DataFrame:
+    """``searched`` with ``_hits``, a map from word lists to how many of their terms the text has; without ``_text``."""
+    lists = {f"score {c}": words for c, words in lexicon.score_terms.items()}
+    lists |= {f"label {label}": words for label, words in lexicon.label_terms.items()} | {"frontier": lexicon.frontier_terms}
+    rows = sorted({(group, word.lower()) for group, words in lists.items() for word in words})
+    keys = [c for c in ("brief_date", "seq") if c in searched.columns]
+    hits = term_hits(searched, searched.sparkSession.createDataFrame(rows, "group string, term string"), keys, "_text")
+    maps = hits.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("group", "hits"))).alias("_hits"))
+    return searched.drop("_text").join(maps, keys, "left")
+
+
 def score_articles(articles: DataFrame, weights: Weights = Weights(), lexicon: Lexicon = DEFAULT_LEXICON) -> DataFrame:
     """Add the five components, ``total`` and ``keywords`` to every article.
 
     Row-local: no shuffle. The text is lower-cased once, each distinct term is searched once however
-    many lists it is in, and the text is not carried on.
+    many lists it is in, and the text is not carried on. A lexicon of more than ``WRITTEN_OUT`` terms is joined instead of
+    written out (see ``term_hits``); articles are then told apart by date and ``seq``.
     """
     text, category = F.col("_text"), F.col("category")
     lists = [*lexicon.score_terms.values(), *lexicon.label_terms.values(), lexicon.frontier_terms]
     terms = {t.lower(): f"_has{i}" for i, t in enumerate(dict.fromkeys(t.lower() for words in lists for t in words))}
 
+    joined = len(terms) > WRITTEN_OUT
+
     # Flags are combined as SQL text: one call instead of one per term.
     def flags(words: Iterable[str], form: str, glue: str) -> Column:
         return F.expr(glue.join(form.format(terms[t.lower()]) for t in words))
 
+    def found(group: str) -> Column:
+        return F.coalesce(F.try_element_at("_hits", F.lit(group)), F.lit(0))
+
     def points(component: str) -> Column:
+        if joined:
+            return ladder(found(f"score {component}"))
         return ladder(flags(lexicon.score_terms[component], "cast({} as int)", " + "))
 
-    def has_any(words: Iterable[str]) -> Column:
+    def has_any(words: Iterable[str], group: str) -> Column:
+        if joined:
+            return found(group) > 0
         return flags(words, "{}", " or ")
 
     searched = (
         articles.withColumn("_text", article_text(F.col("title"), F.col("summary"), F.col("source_name"), category))
         .withColumns(
             {
-                **{flag: text.contains(term) for term, flag in terms.items()},
+                **({} if joined else {flag: text.contains(term) for term, flag in terms.items()}),
                 "_finance": any_word(text, lexicon.finance_words) & ~any_word(text, lexicon.product_words),
             }
         )
-        .drop("_text")
     )
-    labels = {label: has_any(words) for label, words in lexicon.label_terms.items()}
+    searched = _with_hits(searched, lexicon) if joined else searched.drop("_text")
+    labels = {label: has_any(words, f"label {label}") for label, words in lexicon.label_terms.items()}
     frontier, finance = category == AI_FRONTIER, F.col("_finance")
-    raised = category.isin(MARKETPLACE, CHINA_RETAIL) | (frontier & has_any(lexicon.frontier_terms))
+    raised = category.isin(MARKETPLACE, CHINA_RETAIL) | (frontier & has_any(lexicon.frontier_terms, "frontier"))
 
     def bonus(component: str, when: Column) -> Column:
         return F.least(F.lit(5), points(component) + when.cast("int"))
@@ -106,6 +151,8 @@ def score_articles(articles: DataFrame, weights: Weights = Weights(), lexicon: L
             "actionability": malus("actionability", 1),
             "keywords": labels_of(labels, category, lexicon),
         }
-    ).drop("_finance", *terms.values())
+    ).drop("_finance", "_hits", *terms.values())
     total = reduce(add, [F.col(c) * F.lit(getattr(weights, c)) for c in COMPONENTS])
-    return scored.withColumn("total", F.round(total, 2))
+    # Two decimals in every weight give two decimals in every total, and plain rounding is exact for these.
+    plain = all(round(getattr(weights, c) * 100, 9).is_integer() and round(getattr(weights, c), 2) == getattr(weights, c) for c in COMPONENTS)
+    return scored.withColumn("total", F.round(total, 2) if plain else cents(total))

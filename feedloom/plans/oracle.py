@@ -544,6 +544,10 @@ def all_sql() -> dict[str, str]:
         "score_breakdown_custom": _breakdown(FRAGMENTS),
         "keyword_labels": f"""WITH {ART}, {_scored('sc', 'art', FRAGMENTS)}
             SELECT doc_id, (i - 1)::INT AS place, keywords[i] AS label FROM sc, range(1, 6) r(i) WHERE i <= len(keywords)""",
+        "lexicon_hits": """WITH words AS (SELECT DISTINCT lower(p_name || ' ' || p_type || ' ' || p_brand) AS t FROM part),
+            terms AS MATERIALIZED (SELECT DISTINCT n, substr(t, i, n) AS term FROM (SELECT t, n, unnest(range(1, length(t) - n + 2)) AS i FROM words, range(3, 6) r(n)))
+            SELECT doc_id, 'runs of ' || n AS "group", count(*) AS hits FROM (SELECT doc_id, lower(text) AS text FROM documents) d
+            JOIN terms ON contains(d.text, term) GROUP BY doc_id, n""",
         "growth_stage": f"WITH {ART} SELECT doc_id, {STAGES} AS stages FROM (SELECT *, lower(title || ' ' || summary) AS st FROM art)",
         "either_key_dedupe": f"""WITH RECURSIVE pg AS MATERIALIZED (
             SELECT page_id AS seq, url, 0 AS one, {_URL_KEY} AS link_key, trim(regexp_replace(lower(regexp_extract(html, '(?s)<title>(.*?)</title>', 1)),

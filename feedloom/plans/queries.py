@@ -15,6 +15,7 @@ from feedloom.operators import digest, health, status
 from feedloom.operators.asof import pending_dates, prior_report_dates, published_dates
 from feedloom.operators.dedupe import dedupe_articles, first_unique, with_keys
 from feedloom.operators.segments import add_rank
+from feedloom.operators.terms import term_hits
 from feedloom.operators.stage import fresh_folder, spread_single, staged
 from feedloom.plans import adapters as a
 from feedloom.plans.daily import DigestInputs, DigestRun, recent_articles
@@ -148,6 +149,21 @@ def keyword_labels(spark: SparkSession, folder: str) -> DataFrame:
     return scored.select("doc_id", F.posexplode("keywords").alias("place", "label"))
 
 
+def _part_terms(spark: SparkSession, folder: str) -> DataFrame:
+    """Thousands of terms: all runs of three to five signs in the descriptions of parts, grouped by their length."""
+    words = F.lower(F.concat_ws(" ", "p_name", "p_type", "p_brand"))
+    described = a.table(spark, folder, "part").select(words.alias("t")).distinct()
+    runs = described.select(F.explode(F.sequence(F.lit(3), F.lit(5))).alias("n"), "t").select("n", F.explode(F.sequence(F.lit(1), F.length("t") - F.col("n") + 1)).alias("i"), "t")
+    return runs.select(F.concat(F.lit("runs of "), F.col("n").cast("string")).alias("group"), F.substring("t", F.col("i"), F.col("n")).alias("term")).distinct()
+
+
+@query
+def lexicon_hits(spark: SparkSession, folder: str) -> DataFrame:
+    """Terms of a lexicon of thousands in every document."""
+    texts = a.table(spark, folder, "documents").select("doc_id", F.lower("text").alias("text"))
+    return term_hits(texts, staged(_part_terms(spark, folder), "terms"), ["doc_id"]).select("doc_id", "group", "hits")
+
+
 @query
 def growth_stage(spark: SparkSession, folder: str) -> DataFrame:
     return with_stages(_articles(spark, folder), SETTINGS.lexicon).select("doc_id", "stages")

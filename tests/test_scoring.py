@@ -1,9 +1,11 @@
+import random
 from datetime import date
 
 from pyspark.sql import functions as F
 
-from feedloom.functions import phrases
-from feedloom.functions.scoring import score_articles, with_stages
+from feedloom.functions import phrases, scoring
+from feedloom.functions.scoring import cents, score_articles, with_stages
+from feedloom.operators.terms import term_hits
 from feedloom.settings import DEPLOYED_WEIGHTS, Lexicon, Weights
 
 DAY = date(2024, 5, 1)
@@ -83,3 +85,33 @@ def test_item_texts(spark):
     assert [r.p for r in rows] == ["High", "Medium", "Low"] and [r.n for r in rows] == ["4.2", "3.0", "2.65"]
     assert rows[0].notes.startswith("Marketplace：") and rows[1].notes.startswith("RAG：检索")
     assert rows[1].take.startswith("不要只把") and rows[2].take.startswith("商家工作台")
+
+
+def test_totals_are_rounded_by_their_binary_value(spark, articles):
+    values = [2.675, 0.125, 0.375, 2.665, 1.005, 0.015, 1023.995, 1024.005, 0.0, 1e-9, 3.3349999999999995, -2.675] + [i / 200 for i in range(1000)]
+    found = spark.createDataFrame([(v,) for v in values], "v double").select("v", cents(F.col("v")).alias("c")).collect()
+    assert [r.c for r in found] == [round(r.v, 2) for r in found]
+    assert (found[0].c, found[1].c, found[4].c) == (2.67, 0.12, 1.0)
+    weights = Weights(0.335, 0.265, 0.2, 0.1, 0.1)
+    for r in scored(articles, ("Agents automate workflow", "dashboard analytics", "AI Frontier"), ("x", "", "Other"), weights=weights):
+        exact = r.impact * 0.335 + r.novelty * 0.265 + r.source_quality * 0.2 + r.pm_relevance * 0.1 + r.actionability * 0.1
+        assert r.total == round(exact, 2)
+
+
+def test_joined_terms_equal_written_out_ones(spark, articles, monkeypatch):
+    rows = [(f"agent wörkflow {i} seller", "retail media " * i + "x" * (i * 37) + " dashboard", c) for i, c in enumerate(["AI Frontier", "Other", "E-commerce & Marketplace"] * 4)]
+    want = scored(articles, *rows)
+    monkeypatch.setattr(scoring, "WRITTEN_OUT", 0)
+    assert [r.asDict() for r in scored(articles, *rows)] == [r.asDict() for r in want]
+
+
+def test_term_hits_against_plain_search(spark):
+    rng = random.Random(2)
+    texts = ["".join(rng.choices("abcé ", k=rng.choice([0, 3, 50, 700, 3000]))) for _ in range(40)]
+    words = {"".join(rng.choices("abcé ", k=rng.choice([1, 2, 3, 4, 5, 6, 9, 300]))) for _ in range(400)} | {texts[5][200:500], "", texts[7][:1]}
+    terms = [(f"g{len(w) % 3}", w) for w in words] + [("g9", "ab"), ("g9", "ab")]
+    found = term_hits(
+        spark.createDataFrame([*enumerate(texts), (99, None)], "id int, text string"), spark.createDataFrame(terms, "group string, term string"), ["id"]
+    )
+    want = {(i, g): len({w for h, w in terms if h == g and w and w in t}) for i, t in enumerate(texts) for g, _ in terms}
+    assert {(r.id, r.group): r.hits for r in found.collect()} == {k: n for k, n in want.items() if n}
