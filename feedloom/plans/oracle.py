@@ -65,11 +65,10 @@ recent AS MATERIALIZED (
 )"""
 
 
-def _scored(name: str, source: str, lex: s.Lexicon) -> str:
+def _scored(name: str, source: str, lex: s.Lexicon, wt: s.Weights = s.DEPLOYED_WEIGHTS) -> str:
     g = lex.score_terms
     labels = ", ".join(f"CASE WHEN {_any(terms)} THEN {_q(label)} END" for label, terms in lex.label_terms.items())
     extra = ", ".join(f"CASE WHEN category = {_q(c)} THEN {_q(label)} END" for c, label in lex.category_labels.items())
-    wt = s.DEPLOYED_WEIGHTS
     return f"""
 {name}_h AS MATERIALIZED (
   SELECT *, {_hits(g['impact'])} AS hi, {_hits(g['novelty'])} AS hn, {_hits(g['pm_relevance'])} AS hp,
@@ -548,6 +547,14 @@ def all_sql() -> dict[str, str]:
             terms AS MATERIALIZED (SELECT DISTINCT n, substr(t, i, n) AS term FROM (SELECT t, n, unnest(range(1, length(t) - n + 2)) AS i FROM words, range(3, 6) r(n)))
             SELECT doc_id, 'runs of ' || n AS "group", count(*) AS hits FROM (SELECT doc_id, lower(text) AS text FROM documents) d
             JOIN terms ON contains(d.text, term) GROUP BY doc_id, n""",
+        "marked_titles": f"WITH {ART}, {RECENT} SELECT {BD}, doc_id, title FROM recent WHERE doc_id % 13 <> 0",
+        "catalogue_weights": f"""WITH {ART}, {_scored('sc', 'art', FRAGMENTS, s.Weights(0.4, 0.25, 0.2, 0.15, 0.3))} SELECT doc_id, total FROM sc
+            WHERE published_at IS NULL OR published_at >= brief_date + INTERVAL 1 DAY - INTERVAL 1 MICROSECOND - INTERVAL 2 DAY""",
+        "skipped_by_date": f"""{STRICT_HEALTH}, days AS (SELECT DISTINCT checked_at::DATE AS d FROM hist),
+            known AS (SELECT d, source_key, arg_max(status, seq) AS status, max(checked_at) FILTER (ok) AS ok_at FROM days
+              JOIN hist ON checked_at <= d + INTERVAL 12 HOUR GROUP BY 1, 2)
+            SELECT strftime(d, '%Y-%m-%d') AS brief_date, source_key FROM known WHERE status = 'unstable' AND NOT regexp_matches(source_key, '[05]$')
+              AND (ok_at IS NULL OR ok_at < d + INTERVAL 12 HOUR - INTERVAL 3 DAY)""",
         "growth_stage": f"WITH {ART} SELECT doc_id, {STAGES} AS stages FROM (SELECT *, lower(title || ' ' || summary) AS st FROM art)",
         "either_key_dedupe": f"""WITH RECURSIVE pg AS MATERIALIZED (
             SELECT page_id AS seq, url, 0 AS one, {_URL_KEY} AS link_key, trim(regexp_replace(lower(regexp_extract(html, '(?s)<title>(.*?)</title>', 1)),

@@ -15,13 +15,14 @@ from feedloom.operators import digest, health, status
 from feedloom.operators.asof import pending_dates, prior_report_dates, published_dates
 from feedloom.operators.dedupe import dedupe_articles, first_unique, with_keys
 from feedloom.operators.segments import add_rank
-from feedloom.operators.terms import term_hits
 from feedloom.operators.stage import fresh_folder, spread_single, staged
+from feedloom.operators.terms import term_hits
 from feedloom.plans import adapters as a
 from feedloom.plans.daily import DigestInputs, DigestRun, recent_articles
 from feedloom.plans.validate import updated_health
+from feedloom.plans.workflow import settings_of
 from feedloom.session import use_utc
-from feedloom.settings import DEPLOYED_WEIGHTS, Quota, RunSettings
+from feedloom.settings import DEPLOYED_WEIGHTS, WARNING_MARK, Quota, RunSettings
 from feedloom.sources import cache as c
 from feedloom.sources.archive import append_archive, archive_rows, archived_articles, read_archive
 from feedloom.sources.candidates import candidate_articles, read_candidates
@@ -127,6 +128,13 @@ def recent_articles_only(spark: SparkSession, folder: str) -> DataFrame:
     return _recent(spark, folder).select(_day(), "doc_id")
 
 
+@query
+def marked_titles(spark: SparkSession, folder: str) -> DataFrame:
+    """Recent articles, of which some are what an earlier run stored about a feed that failed."""
+    marked = F.when(F.col("doc_id") % 13 == 0, F.concat(F.lit(WARNING_MARK + " "), "title")).otherwise(F.col("title"))
+    return recent_articles(_articles(spark, folder).withColumn("title", marked), SETTINGS.lookback_days).select(_day(), "doc_id", "title")
+
+
 def _breakdown(scored: DataFrame) -> DataFrame:
     return scored.select(
         "doc_id", "impact", "novelty", "source_quality", "pm_relevance", "actionability", "total", _joined("keywords")
@@ -143,6 +151,15 @@ def score_breakdown_custom(spark: SparkSession, folder: str) -> DataFrame:
     return _breakdown(score_articles(_articles(spark, folder), SETTINGS.weights, SETTINGS.lexicon))
 
 
+@query
+def catalogue_weights(spark: SparkSession, folder: str) -> DataFrame:
+    """Scores by the weights of a catalogue that gives two of five."""
+    given = F.create_map(F.lit("impact"), F.lit(0.4), F.lit("actionability"), F.lit(0.3))
+    settings = settings_of(_catalogue(spark, folder, weights=given, lookback_days=F.lit(2)), SETTINGS)
+    recent = recent_articles(_articles(spark, folder), settings.lookback_days)
+    return _breakdown(score_articles(recent, settings.weights, settings.lexicon)).select("doc_id", "total")
+
+
 @query
 def keyword_labels(spark: SparkSession, folder: str) -> DataFrame:
     scored = score_articles(_articles(spark, folder), SETTINGS.weights, SETTINGS.lexicon)
@@ -311,6 +328,19 @@ def healthy_sources(spark: SparkSession, folder: str) -> DataFrame:
     return health.sources_to_read(sources, state, as_of, grace_days=SETTINGS.success_grace_days)
 
 
+@query
+def skipped_by_date(spark: SparkSession, folder: str) -> DataFrame:
+    """Sources that a run of each day at noon would pass over, by the checks up to then."""
+    marked = staged(health.usable_checks(a.event_checks(spark, folder)), "checks")
+    history = health.health_history(marked.select("source_key", "seq", "ok", "counts_as_failure", "checked_at"), _no_health(spark), 1)
+    policy = F.when(F.col("source_key").rlike(r"[05]$"), "always_try").otherwise("skip_when_unstable").alias("failure_policy")
+    sources = marked.select("source_key").distinct().select("source_key", policy)
+    dates = marked.select(F.to_date("checked_at").alias("brief_date")).distinct()
+    noon = F.timestamp_seconds(F.unix_seconds(F.col("brief_date").cast("timestamp")) + 12 * 3600)
+    skipped = health.skipped_sources(sources, staged(history, "history"), dates, noon, grace_days=SETTINGS.success_grace_days)
+    return skipped.select(_day(), "source_key")
+
+
 @query
 def validation_counts(spark: SparkSession, folder: str) -> DataFrame:
     return health.validation_counts(a.event_checks(spark, folder), _strict_health(spark, folder))
@@ -504,8 +534,8 @@ def _text_file(df: DataFrame, value: Column, path: str) -> str:
     return path
 
 
-def _catalogue(spark: SparkSession, folder: str) -> DataFrame:
-    """A catalogue document: the sources of documents, some switched off, some without optional fields."""
+def _catalogue(spark: SparkSession, folder: str, **options: Column) -> DataFrame:
+    """A catalogue document: the sources of documents, some switched off, some without optional fields, and ``options``."""
     sources = a.document_sources(spark, folder)
     n = F.col("source_pos")
     listed = F.struct(
@@ -520,7 +550,7 @@ def _catalogue(spark: SparkSession, folder: str) -> DataFrame:
     in_order = lambda item: F.transform(F.array_sort(F.collect_list(F.struct(n.alias("n"), item.alias("item")))), lambda x: x["item"])
     # A catalogue is one document that people keep; here one entry per source.
     document = sources.agg(in_order(listed).alias("sources"), in_order(by_hand).alias("manual_sources"))
-    return read_catalogue(spark, _text_file(document, F.to_json(F.struct("sources", "manual_sources")), fresh_folder(spark, "catalogue")))
+    return read_catalogue(spark, _text_file(document, F.to_json(F.struct("sources", "manual_sources", *(c.alias(n) for n, c in options.items()))), fresh_folder(spark, "catalogue")))
 
 
 @query
