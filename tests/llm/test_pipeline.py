@@ -40,7 +40,7 @@ def test_stages_against_brute_force(spark):
         addresses = re.findall(r"[\w.]+@[\w.-]+\w", r.text)
         assert not any(a in new[r.doc_id].text for a in addresses)
         assert new[r.doc_id].n_chars == len(new[r.doc_id].text)
-    back = {r.doc_id: r.text for r in pii.with_pseudonyms(private, undo=True).collect()}
+    back = {r.doc_id: r.text for r in pii.with_pseudonyms(private, pii.session_key(spark), undo=True).collect()}
     assert back == {r.doc_id: r.text for r in unique.collect()}
 
     mix = stages[3](spark, private, FOLDER).cache()
