@@ -143,17 +143,19 @@ def cached(run_day, title, fetched, published=None):
 
 
 def test_cache_then_archive_then_existing_report(run):
-    days = [DAY + timedelta(days=i) for i in range(4)]
+    days = [DAY + timedelta(days=i) for i in (0, 1, 2, 20)]
     stored = [("2024-01-01", "agent platform", "http://z/1", "S", "AI Frontier", 3.9, "2024-04-26", 0)]
     made = run(
         days,
-        live=[article(days[0], 1, STRONG[0])],
-        cache=[cached(days[0] - timedelta(days=5), STRONG[0], datetime(2024, 4, 26))],
+        live=[article(days[0], 1, STRONG[0], datetime(2024, 4, 30))],
+        cache=[cached(days[0] - timedelta(days=5), "From the cache", datetime(2024, 4, 26), datetime(2024, 4, 27))],
         archive=stored,
     )
     rows = outcome(made)
     assert [rows[d].fallback_mode for d in days] == ["none", "feed_cache", "archive", "preserved"]
-    assert [r.title for r in made.scored.filter(F.col("brief_date") == days[2]).collect()] == ["agent platform"]
+    # The archive of the third date has what the run wrote for the first two.
+    third = made.scored.filter(F.col("brief_date") == days[2]).orderBy("seq").collect()
+    assert [r.title for r in third] == ["agent platform", STRONG[0], "From the cache"]
     assert rows[days[3]].output_path == f"brief_date={days[3]}" and rows[days[3]].scored_count == 0
     assert {r.brief_date for r in made.documents().collect()} == set(days[:3])
 
