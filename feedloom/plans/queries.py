@@ -655,10 +655,11 @@ def stream_ingest(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _parts(spark: SparkSession, df: DataFrame, part: Column, job: Callable[[DataFrame], None], name: str) -> None:
-    """Land the rows of part 0, 1 and 2 one after the other as files of one folder, and run a stream job after each."""
-    landed, path = staged(df.withColumn("_part", part), name), fresh_folder(spark, f"{name}-landed")
+    """Land the rows of part 0, 1 and 2 of a stored table one after the other as files of one folder, and run a stream
+    job after each."""
+    parted, path = df.withColumn("_part", part), fresh_folder(spark, f"{name}-landed")
     for number in range(3):
-        rows = landed.filter(F.col("_part") == number).drop("_part")
+        rows = parted.filter(F.col("_part") == number).drop("_part")
         rows.write.mode("append").parquet(path)
         job(spark.readStream.schema(rows.schema).parquet(path))
 
@@ -671,7 +672,7 @@ def _days_since_first(column: str) -> Column:
 def stream_health(spark: SparkSession, folder: str) -> DataFrame:
     """Checks that come over three batches, so that runs are split; a last sign of life closes all runs."""
     out = fresh_folder(spark, "stream-health")
-    checks = a.event_checks(spark, folder)
+    checks = staged(a.event_checks(spark, folder), "checks")
     span = F.max("run_at") - F.min("run_at")
     end = checks.agg((F.max("run_at") + span + F.expr("interval 2 days")).alias("run_at"), F.ceil(F.unix_seconds(F.max("run_at")) / 86400 - F.unix_seconds(F.min("run_at")) / 86400 + 1).alias("days")).first()
     if end["days"] is None:
@@ -710,7 +711,7 @@ def stream_dedupe(spark: SparkSession, folder: str) -> DataFrame:
     out = fresh_folder(spark, "stream-dedupe")
     live = _articles(spark, folder).select("url", "published_at", _fetched_at().alias("fetched_at"), "doc_id")
     job = lambda stream: jobs.drop_seen_links(stream, f"{out}/data", f"{out}/log", "90 days")
-    _parts(spark, live, F.pmod("doc_id", F.lit(3)), job, "links")
+    _parts(spark, staged(live, "links"), F.pmod("doc_id", F.lit(3)), job, "links")
     return spark.read.parquet(f"{out}/data").select("link_key", "url", _moment(F.col("event_time")).alias("event_time"))
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from feedloom.operators.health import HEALTH_SCHEMA, HISTORY_SCHEMA, fold_health, health_history, usable_checks
-from feedloom.operators.stage import staged
+from feedloom.operators.stage import staged, staged_counted
 from feedloom.sources.tables import read_or_empty, update_state
 
 _COLUMNS = ("source_key", "name", "url", "ok", "article_count", "error", "checked_at", "seq", "counts_as_failure")
@@ -20,13 +20,15 @@ def updated_health(checks: DataFrame, state: DataFrame, threshold: int = 3) -> D
     return fold_health(staged(usable_checks(checks).select(*_COLUMNS), "checks"), state, threshold)
 
 
-def fold_into_table(marked: DataFrame, path: str, threshold: int = 3, version: int | None = None, history: str | None = None) -> int:
+def fold_into_table(marked: DataFrame, path: str, threshold: int = 3, version: int | None = None, history: str | None = None) -> int | None:
     """Fold marked checks of whole runs into the stored state, and write the history they make below ``history``.
 
     Only the buckets of the sources that were checked are read and written. History is a folder per version, so a
-    repeated version replaces its own.
+    repeated version replaces its own. Without any check there is no new version, and None is returned.
     """
-    marked = staged(marked.select(*_COLUMNS), "checks")
+    marked, n = staged_counted(marked.select(*_COLUMNS), "checks")
+    if n == 0:
+        return None
 
     def merge(old: DataFrame, checks: DataFrame) -> DataFrame:
         # The checks cover a few buckets; the state of these is small and read twice.
@@ -40,7 +42,7 @@ def fold_into_table(marked: DataFrame, path: str, threshold: int = 3, version: i
     return number
 
 
-def update_health_table(checks: DataFrame, path: str, threshold: int = 3, version: int | None = None, history: str | None = None) -> int:
+def update_health_table(checks: DataFrame, path: str, threshold: int = 3, version: int | None = None, history: str | None = None) -> int | None:
     """``fold_into_table`` of raw checks; runs with the whole network down are left out."""
     return fold_into_table(usable_checks(checks), path, threshold, version, history)
 

@@ -14,7 +14,7 @@ from pyspark.sql.streaming import DataStreamWriter
 
 from feedloom.functions.urls import with_url_key
 from feedloom.operators.health import HEALTH_SCHEMA, closed_runs
-from feedloom.operators.stage import staged
+from feedloom.operators.stage import staged, staged_counted
 from feedloom.plans.validate import fold_into_table
 from feedloom.sources.cache import CACHE_SCHEMA, upsert_cache
 from feedloom.sources.feeds import feed_articles, read_feeds
@@ -47,7 +47,8 @@ def update_health(
 ) -> None:
     """Keep source health current, run by run: a run counts once it is whole, see ``closed_runs``.
 
-    Runs are folded in the order they close. A batch rewrites the state of the sources it checked only.
+    Runs are folded in the order they close. A batch rewrites the state of the sources it checked only, and a batch
+    that closes no run writes nothing.
     """
 
     def fold(batch: DataFrame, number: int) -> None:
@@ -63,7 +64,9 @@ def update_cache(live: DataFrame, out: str, checkpoint: str, retention_days: int
         return upsert_cache(old, new, F.col("fetched_at"), retention_days)
 
     def update(batch: DataFrame, number: int) -> None:
-        update_state(staged(batch, "live"), out, CACHE_SCHEMA, merge, number)
+        rows, n = staged_counted(batch, "live")
+        if n > 0:
+            update_state(rows, out, CACHE_SCHEMA, merge, number)
 
     _each_batch(live, update, checkpoint)
 
