@@ -67,14 +67,12 @@ def repeated_words(words: list[bytes], width: int = WINDOW_WORDS) -> int:
     rolled = np.zeros(n, np.uint64)
     for k in range(width):
         rolled = rolled * np.uint64(0x9E3779B97F4A7C15) + hashes[k : k + n]
-    order = np.argsort(rolled, kind="stable")
-    same = rolled[order][1:] == rolled[order][:-1]
+    ranked = np.sort(rolled)
+    same = ranked[1:] == ranked[:-1]
     if not same.any():
         return 0
     # Equal windows have equal hashes; the few that have are compared word by word.
-    suspects = np.zeros(n, bool)
-    suspects[order[1:][same]] = True
-    suspects[order[:-1][same]] = True
+    suspects = np.isin(rolled, ranked[1:][same])
     seen: dict[tuple, list[int]] = {}
     for at in np.flatnonzero(suspects).tolist():
         seen.setdefault(tuple(words[at : at + width]), []).append(at)
@@ -129,23 +127,46 @@ def script_of(text: str) -> str:
     return max(sorted(counts), key=counts.get).lower() if counts else "none"
 
 
-def measures(text: bytes, byte_bpe: tiktoken.Encoding, model, is_byte: np.ndarray) -> tuple[int, float, float, float, float]:
-    """(n_tokens, byte_chars, piece_chars, fallback, entropy)."""
-    n_chars = n_byte = n_piece = n_fallback = 0
-    counts = np.zeros(byte_bpe.n_vocab, np.int64)
+def byte_measures(text: bytes, byte_bpe: tiktoken.Encoding) -> tuple[int, int, float]:
+    """(n_chars, n_tokens, entropy) by the byte vocabulary."""
+    n_chars = n_byte = 0
+    # A table of the whole vocabulary costs more than a short text; texts of several pieces only sum up in one.
+    table = np.zeros(byte_bpe.n_vocab, np.int64) if len(text) > PIECE_BYTES else None
     for piece in pieces(text, PIECE_BYTES):
         part = piece.decode("utf-8", "replace")
         n_chars += len(part)
-        ids = np.array(byte_bpe.encode_ordinary(part), np.int64)
+        ids = np.array(byte_bpe.encode_ordinary(part), np.int32)
         n_byte += len(ids)
-        counts += np.bincount(ids, minlength=len(counts))
-        ids = np.array(model.encode(part), np.int64)
-        n_piece += len(ids)
-        n_fallback += int(is_byte[ids].sum()) if len(ids) else 0
+        tokens, counts = np.unique(ids, return_counts=True)
+        if table is not None:
+            table[tokens] += counts
     if not n_byte:
-        return 0, 0.0, 0.0, 0.0, 0.0
-    share = counts[counts > 0] / n_byte
-    return n_byte, n_chars / n_byte, n_chars / max(1, n_piece), n_fallback / max(1, n_piece), float(-(share * np.log2(share)).sum())
+        return n_chars, 0, 0.0
+    share = (counts if table is None else table[table > 0]) / n_byte
+    return n_chars, n_byte, float(-(share * np.log2(share)).sum())
+
+
+def piece_measures(text: bytes, model, is_byte: np.ndarray) -> tuple[int, int]:
+    """(n_pieces, n_fallback) by the piece model."""
+    n_piece = n_fallback = 0
+    for piece in pieces(text, PIECE_BYTES):
+        ids = np.array(model.encode(piece.decode("utf-8", "replace")), np.int32)
+        n_piece += len(ids)
+        n_fallback += int(np.count_nonzero(is_byte[ids]))
+    return n_piece, n_fallback
+
+
+def measures(texts: list[bytes], byte_bpe: tiktoken.Encoding, model, is_byte: np.ndarray) -> list[tuple[int, float, float, float, float]]:
+    """(n_tokens, byte_chars, piece_chars, fallback, entropy) of every text.
+
+    One vocabulary after the other: by turns, each would push the other's tables out of the processor's cache.
+    """
+    by_bytes = [byte_measures(x, byte_bpe) for x in texts]
+    by_pieces = [piece_measures(x, model, is_byte) for x in texts]
+    return [
+        (n_byte, n_chars / n_byte, n_chars / max(1, n_piece), n_fallback / max(1, n_piece), entropy) if n_byte else (0, 0.0, 0.0, 0.0, 0.0)
+        for (n_chars, n_byte, entropy), (n_piece, n_fallback) in zip(by_bytes, by_pieces)
+    ]
 
 
 def measure_documents(
@@ -160,7 +181,7 @@ def measure_documents(
         ranks, pattern, proto = sent.value
         byte_bpe, (model, is_byte) = _byte_bpe(ranks, pattern), _piece_model(proto)
         texts = utf8(batch.column(1))
-        rows = [(*base_counts(x), *measures(x, byte_bpe, model, is_byte)) for x in texts]
+        rows = [(*base_counts(x), *found) for x, found in zip(texts, measures(texts, byte_bpe, model, is_byte))]
         scripts = [script_of(x.decode("utf-8", "replace")) for x in texts]
         groups = [lang or "script:" + script for lang, script in zip(batch.column(2).to_pylist(), scripts)]
         columns = [pa.array(c, pa.int64() if i < 6 else pa.float64()) for i, c in enumerate(zip(*rows))]

@@ -1,6 +1,7 @@
 """Counts by brute force, measures by the libraries on whole texts, and bands by sorting."""
 
 import re
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -103,3 +104,28 @@ def test_odd_rows(spark):
     assert {r.grouping for r in rows if r.doc_id == 3} == {"script:none"}
     assert fertility.verdicts(fertility.measure_documents(spark, frame(spark, []), *paths)).collect() == []
     assert fertility.script_of("абв abc г") == "cyrillic"
+
+
+def test_short_text_takes_no_table_of_the_vocabulary():
+    with open(public_tokenizers.path(BYTE_RANKS), "rb") as ranks:
+        byte_bpe = fertility._byte_bpe(ranks.read(), public_tokenizers.PATTERN)
+    fertility.byte_measures(b"warm up", byte_bpe)
+    tracemalloc.start()
+    fertility.byte_measures(b"one two three", byte_bpe)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < byte_bpe.n_vocab  # a table of counts has eight bytes a token
+
+
+def test_long_text_sums_up_its_pieces(monkeypatch):
+    with open(public_tokenizers.path(BYTE_RANKS), "rb") as ranks, open(public_tokenizers.path(PIECE_MODEL), "rb") as proto:
+        byte_bpe, (model, is_byte) = fertility._byte_bpe(ranks.read(), public_tokenizers.PATTERN), fertility._piece_model(proto.read())
+    texts = ["one two 中 three one two ".encode() * 40, b"", "café \U0001f600 x\x0by".encode(), b"a b"]
+    whole = fertility.measures(texts, byte_bpe, model, is_byte)
+    monkeypatch.setattr(fertility, "PIECE_BYTES", 64)
+    cut = fertility.measures(texts, byte_bpe, model, is_byte)
+    for text, one, many in zip(texts, whole, cut):
+        ids = byte_bpe.encode_ordinary(text.decode())
+        share = np.array(list(Counter(ids).values())) / max(1, len(ids))
+        assert one[0] == len(ids) and one[4] == pytest.approx(-(share * np.log2(share)).sum() if ids else 0.0)
+        assert many[:2] == pytest.approx(one[:2], rel=0.1) and many[4] == pytest.approx(one[4], rel=0.1)
