@@ -1,4 +1,5 @@
 from datetime import date, datetime, timedelta
+from pathlib import Path
 
 from pyspark.sql import functions as F
 
@@ -150,3 +151,18 @@ def test_state_of_links_stays_bounded(spark, tmp_path):
     assert len(states) >= 20 and max(states) <= 60 and states[-1] <= 60  # 120 rows came in all
     found = [r.link_key for r in spark.read.parquet(f"{tmp_path}/out").collect()]
     assert len(set(found)) == 101 and 2 <= found.count("http://a/again") <= 6
+
+
+def test_cache_stream_lands_without_gathering_dates(spark, tmp_path, monkeypatch):
+    from feedloom.plans import queries
+
+    rows = [(i, f"Title {i}\nText {i}", "en", f"src{i % 5}", 10) for i in range(600)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars int").repartition(8).write.parquet(f"{tmp_path}/documents.parquet")
+    folders = []
+    fresh = queries.fresh_folder
+    monkeypatch.setattr(queries, "fresh_folder", lambda session, label: folders.append((label, fresh(session, label))) or folders[-1][1])
+    cached = queries.all_queries()["stream_cache"](spark, str(tmp_path))
+    assert cached.count() > 0
+    # Three batches, and each came as several files: none was gathered into one task.
+    landed = [path for label, path in folders if label != "stream-cache"]
+    assert len(landed) == 1 and len(list(Path(landed[0]).glob("*.parquet"))) > 3
