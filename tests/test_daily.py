@@ -6,10 +6,11 @@ from pyspark.sql import functions as F
 from feedloom.operators import digest, status as st
 from feedloom.operators.asof import pending_dates, prior_report_dates, published_dates
 from feedloom.operators.digest import cited_items, digest_documents, digest_lines, learning_cards, section_items
+from feedloom.plans import daily
 from feedloom.plans.daily import DigestInputs, DigestRun, recent_articles
 from feedloom.settings import Gate, Quota
 from feedloom.sources.archive import ARCHIVE_SCHEMA
-from feedloom.sources.cache import CACHE_SCHEMA
+from feedloom.sources.cache import CACHE_SCHEMA, serve_cache
 from test_sources import SOURCE
 
 DAY = date(2024, 5, 1)
@@ -160,6 +161,23 @@ def test_cache_then_archive_then_existing_report(run):
     assert {r.brief_date for r in made.documents().collect()} == set(days[:3])
 
 
+def test_keys_are_made_before_cached_articles_are_copied(run, monkeypatch):
+    """A cached article serves up to eight dates; its keys are worked out once."""
+    seen = []
+
+    def serve(short, *rest):
+        seen.append(short.columns)
+        return serve_cache(short, *rest)
+
+    monkeypatch.setattr(daily, "serve_cache", serve)
+    stamp = datetime(2024, 5, 1, 8)
+    cache = [(DAY, "S|u", "S", "u", "x", 1, "en", stamp, i, title, f"http://x/{i}", stamp, STRONG[1]) for i, title in enumerate([STRONG[0], STRONG[0].upper()])]
+    days = [DAY + timedelta(days=i) for i in range(3)]
+    rows = outcome(run(days, cache=cache))
+    assert [(rows[d].fallback_mode, rows[d].candidate_count, rows[d].scored_count) for d in days] == [("feed_cache", 2, 1)] * 3
+    assert [{"link_key", "title_key"} <= set(columns) for columns in seen] == [True]
+
+
 def test_old_candidate_returns_as_cache(run):
     made = run([DAY], candidates=[article(DAY, 1, STRONG[0], published=datetime(2024, 4, 26))])
     assert outcome(made)[DAY].fallback_mode == "feed_cache"

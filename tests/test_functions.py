@@ -124,3 +124,10 @@ def test_clean_text(spark):
 def test_title_key(spark):
     frame = spark.createDataFrame([("AI—Agents: 2.0!  智能体 é",), ("Привет мир",)], "t string")
     assert [r.k for r in frame.select(title_key(F.col("t")).alias("k")).collect()] == ["ai agents 2 0 智能体", ""]
+
+
+def test_title_key_at_the_edges_of_its_signs(spark):
+    signs = "\x00/09:@`az{\x7f\u4dff\u4e00\u9fff\ua000\uffff\U0001f600\U0010ffff"
+    frame = spark.createDataFrame([(sign,) for sign in signs], "t string")
+    kept = [r.t for r in frame.select("t", title_key(F.col("t")).alias("k")).collect() if r.k == r.t]
+    assert kept == list("09az\u4e00\u9fff")

@@ -1,11 +1,14 @@
 import random
 from datetime import date
 
+import pyarrow as pa
+import pytest
 from pyspark.sql import functions as F
 
 from feedloom.functions import phrases, scoring
 from feedloom.functions.scoring import cents, score_articles, with_stages
-from feedloom.operators.terms import term_hits
+from feedloom.operators import terms as term_search
+from feedloom.operators.terms import list_hits, occurring, term_hits
 from feedloom.settings import DEPLOYED_WEIGHTS, Lexicon, Weights
 
 DAY = date(2024, 5, 1)
@@ -105,6 +108,33 @@ def test_joined_terms_equal_written_out_ones(spark, articles, monkeypatch):
     assert [r.asDict() for r in scored(articles, *rows)] == [r.asDict() for r in want]
 
 
+@pytest.mark.parametrize("window", [7, 64, 1 << 20])
+def test_occurring_against_plain_search(monkeypatch, window):
+    monkeypatch.setattr(term_search, "WINDOW", window)
+    rng = random.Random(3)
+    for _ in range(30):
+        texts = ["".join(rng.choices("abé 智", k=rng.choice([0, 1, 3, 30, 200]))).encode() for _ in range(rng.choice([0, 1, 30]))]
+        words = list({"".join(rng.choices("abé 智", k=rng.choice([0, 1, 2, 3, 4, 8]))).encode() for _ in range(30)})
+        found = occurring(pa.array([b"ab", *texts], pa.binary()).slice(1), words)
+        assert found.tolist() == [[w in t for w in words] for t in texts]
+
+
+def test_list_hits(spark):
+    lists = [["ab", "b", "ab", "智"], [], ["", "x y"]]
+    frame = spark.createDataFrame([(0, "ab 智"), (1, ""), (2, "x"), (3, "yx y")], "id int, text string")
+    found = frame.select("id", list_hits(F.col("text"), lists).alias("n")).collect()
+    assert {r.id: r.n for r in found} == {0: [4, 0, 1], 1: [0, 0, 1], 2: [0, 0, 1], 3: [0, 0, 2]}
+
+
+def test_a_longer_lexicon_adds_no_search_of_the_text(articles):
+    """Only the words of the finance rule are searched one by one."""
+    made = articles([(DAY, 0, "t", "u", "s", "Other", None)])
+    lexicon = Lexicon(score_terms={c: tuple(f"{c}{i}" for i in range(90)) for c in ("impact", "novelty", "pm_relevance", "actionability")})
+    plans = [score_articles(made, lexicon=x)._jdf.queryExecution().optimizedPlan().toString() for x in (Lexicon(), lexicon)]
+    words = len(lexicon.finance_words) + len(lexicon.product_words)
+    assert all(0 < plan.count("Contains(") <= words for plan in plans)
+
+
 def test_term_hits_against_plain_search(spark):
     rng = random.Random(2)
     texts = ["".join(rng.choices("abcé ", k=rng.choice([0, 3, 50, 700, 3000]))) for _ in range(40)]
