@@ -28,6 +28,15 @@ def text_or_empty(text: str = "text") -> Column:
     return F.coalesce(F.col(text), F.lit(""))
 
 
+def join_shuffled(left: DataFrame, right: DataFrame, on: str | list[str], how: str = "inner") -> DataFrame:
+    """A join for which both sides are shuffled, whatever size the planner takes them for.
+
+    It sees neither the rows that an explode makes nor those that a packed Parquet file holds, and what it broadcasts for
+    that has to fit the driver. Large partitions of such a join can be split like any other's.
+    """
+    return left.join(right.hint("merge"), on, how)
+
+
 def map_arrow(df: DataFrame, per_batch: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str | StructType) -> DataFrame:
     """``mapInArrow`` of a function of one batch; None adds nothing.
 

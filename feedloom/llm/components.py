@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Observation, functions as F
 
+from feedloom.llm.common import join_shuffled
 from feedloom.operators.stage import staged
 
-#: Edges of two 16-byte nodes at most: some 16 MB.
-SMALL_EDGES = 1 << 19
+#: They have up to twice as many nodes: as hash tables 8 MB of whole numbers, 26 MB of pairs of them.
+SMALL_EDGES = 1 << 16
 
 
 def star_components(links: DataFrame) -> DataFrame:
@@ -29,8 +30,11 @@ def star_components(links: DataFrame) -> DataFrame:
         down = edges.select(F.col("b").alias("u"), F.col("a").alias("v"))
         pairs = down.unionByName(edges.select(F.col("a").alias("u"), F.col("b").alias("v"))) if both else down
         least = pairs.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        least = F.broadcast(least) if small else staged(least, "star-least")
-        tied = pairs.join(least, "u")
+        if small:
+            tied = pairs.join(F.broadcast(least), "u")
+        else:
+            least = staged(least, "star-least")
+            tied = join_shuffled(pairs, least, "u")
         if both:
             tied = tied.filter(F.col("v") > F.col("u")).select(F.col("m").alias("a"), F.col("v").alias("b"))
         else:

@@ -10,6 +10,7 @@ fetch is verified on the complete fingerprints, and the links are joined to comp
 * A lookup first meets the *size* of a table entry. Entries of more than ``BUCKET_ROWS`` fingerprints are
   refined by the same rule on the two halves of the other segment, so that lookup and entry then share 48
   bits; that is exact, drops nothing, and keeps a dense crowd of near copies from pairing all with all.
+* Nothing that grows with the fingerprints is broadcast: lookups are some 34 rows each, unseen by the planner.
 * Components come from alternating large-star and small-star steps over the links.
 
 Defined results: a null or empty text, or one without a word, has fingerprint 0, which links like any
@@ -25,7 +26,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from feedloom.llm.common import map_arrow, pieces, utf8
+from feedloom.llm.common import join_shuffled, map_arrow, pieces, utf8
 from feedloom.llm.components import star_components
 from feedloom.operators.stage import staged
 
@@ -127,9 +128,9 @@ def near_links(fps: DataFrame, max_bits: int = MAX_BITS, bucket_rows: int = BUCK
     own = F.when(F.col("segment") == 0, _part(F.col("fp"), 0, 32)).otherwise(_part(F.col("fp"), 32, 32))
     # Most lookups meet no entry, or only the fingerprint that looks; the rest is small.
     met = staged(
-        _lookups(fps, radius).join(sizes, ["segment", "value"]).filter((F.col("n") > 1) | (F.col("value") != own)), "simhash-met"
+        join_shuffled(_lookups(fps, radius), sizes, ["segment", "value"]).filter((F.col("n") > 1) | (F.col("value") != own)), "simhash-met"
     )
-    light = met.filter(F.col("n") <= bucket_rows).join(entries, ["segment", "value"])
+    light = join_shuffled(met.filter(F.col("n") <= bucket_rows), entries, ["segment", "value"])
     crowded = sizes.filter(F.col("n") > bucket_rows).select("segment", "value")
     dense = met.filter(F.col("n") > bucket_rows)
     fine = ["segment", "value", "half", "part"]
@@ -143,7 +144,8 @@ def near_links(fps: DataFrame, max_bits: int = MAX_BITS, bucket_rows: int = BUCK
         ]
         return rows.select("segment", "value", name, F.explode(F.concat(*choices)).alias("x")).select("segment", "value", name, "x.half", "x.part")
 
-    close = refined(dense, "fp", True).join(refined(entries.join(crowded, ["segment", "value"]), "other", False), fine)
+    inside = join_shuffled(entries, crowded, ["segment", "value"])
+    close = join_shuffled(refined(dense, "fp", True), refined(inside, "other", False), fine)
     pairs = light.select("fp", "other").unionByName(close.select("fp", "other"))
     verified = pairs.filter((F.col("fp") != F.col("other")) & (F.bit_count(F.col("fp").bitwiseXOR(F.col("other"))) <= max_bits))
     return verified.select(F.least("fp", "other").alias("a"), F.greatest("fp", "other").alias("b")).distinct()
@@ -154,7 +156,7 @@ def _classes(rows: DataFrame, max_bits: int, bucket_rows: int) -> DataFrame:
     document = F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "tie")
     heads = staged(rows.groupBy("fp").agg(F.min(document).alias("first")), "simhash-heads")
     members = star_components(near_links(heads.select("fp"), max_bits, bucket_rows)).withColumnRenamed("node", "fp")
-    named = members.join(heads, "fp")
+    named = join_shuffled(members, heads, "fp")
     smallest = named.groupBy("root").agg(F.min("first").alias("smallest"))
     linked = named.join(smallest, "root").select("fp", "smallest")
     return staged(heads.join(linked, "fp", "left").select("fp", F.coalesce("smallest", "first").alias("head")), "simhash-classes")
@@ -171,9 +173,9 @@ def near_duplicates(
     """(doc_id, fp, component_id) of every row; component_id is the smallest id in reach over links."""
     rows = staged(with_fingerprints(docs, id_col, text_col, shingle_words), "simhash-rows")
     classes = _classes(rows, max_bits, bucket_rows).select("fp", F.col("head.doc_id").alias("component_id"))
-    # A fingerprint may be that of a third of all rows. Both sides are plain tables here and there is no hint, so that
-    # large partitions of this join can be split.
-    return rows.select("doc_id", "fp").join(classes, "fp").select("doc_id", "fp", "component_id")
+    # A fingerprint may be that of a third of all rows. Both sides are plain tables here, so that large partitions of
+    # this join can be split.
+    return join_shuffled(rows.select("doc_id", "fp"), classes, "fp").select("doc_id", "fp", "component_id")
 
 
 def one_of_each(

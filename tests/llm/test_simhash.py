@@ -8,6 +8,7 @@ import xxhash
 from feedloom.llm import components, simhash
 from feedloom.llm.components import star_components
 from feedloom.llm.queries import op3_simhash
+from feedloom.operators.stage import staged
 
 from .helpers import FOLDER, ODD_ROWS, documents, frame, rows_of
 
@@ -110,3 +111,43 @@ def test_components_by_broadcast_and_by_tables(spark, monkeypatch):
     assert all(found[r] == r for r in found.values())
     monkeypatch.setattr(components, "SMALL_EDGES", 0)
     assert {r.node: r.root for r in star_components(df).collect()} == found
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def planned(monkeypatch, module):
+    """Plans of what a module stages from now on: [(label, plan)]."""
+    seen = []
+
+    def noted(df, label):
+        seen.append((label, plan(df)))
+        return staged(df, label)
+
+    monkeypatch.setattr(module, "staged", noted)
+    return seen
+
+
+def test_lookups_and_fingerprints_are_not_broadcast(spark, monkeypatch):
+    """The planner takes all these tables for small ones, as it does large ones whose rows come from an explode."""
+    seen = planned(monkeypatch, simhash)
+    rng = random.Random(11)
+    fps = spark.createDataFrame([(signed(rng.getrandbits(64)),) for _ in range(50)], "fp bigint")
+    links = simhash.near_links(fps, 3, 2)
+    found = simhash.near_duplicates(frame(spark, ODD_ROWS))
+    plans = [x for label, x in seen if label == "simhash-met"] + [plan(links), plan(found)]
+    assert len(plans) == 4
+    assert all("SortMergeJoin" in x and "Broadcast" not in x for x in plans)
+
+
+def test_smallest_neighbours_are_broadcast_by_their_number(spark, monkeypatch):
+    rng = random.Random(12)
+    links = spark.createDataFrame(sorted({tuple(sorted(rng.sample(range(90), 2))) for _ in range(60)}), "a bigint, b bigint")
+    seen = planned(monkeypatch, components)
+    want = {r.node: r.root for r in star_components(links).collect()}
+    assert sum("BroadcastHashJoin" in x for _, x in seen) == len(seen) - 1
+    monkeypatch.setattr(components, "SMALL_EDGES", 0)
+    seen.clear()
+    assert {r.node: r.root for r in star_components(links).collect()} == want
+    assert sum("SortMergeJoin" in x for _, x in seen) > 1 and not any("Broadcast" in x for _, x in seen)
