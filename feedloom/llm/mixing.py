@@ -18,7 +18,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from feedloom.llm.common import SPACE, WORD, text_or_empty
+from feedloom.llm.common import SPACE, WORD, join_shuffled, text_or_empty
 from feedloom.operators.segments import cut_segments
 from feedloom.operators.stage import staged, staged_counted
 
@@ -88,8 +88,11 @@ def source_cuts(keyed: DataFrame, targets: DataFrame) -> DataFrame:
         .filter((F.col("_start") <= F.col("_rest")) & (F.col("_rest") < F.col("_start") + F.col("_sum")))
         .select("source", "segment", "_start", "_rest")
     )
+    # One row per source at most, counted: left to itself, the planner takes the documents for the smaller side.
+    crossing, n = staged_counted(crossing, "mix-crossing")
     inside = Window.partitionBy("source", "segment").orderBy("key").rowsBetween(Window.unboundedPreceding, -1)
-    placed = cut.withColumn("source", F.struct("source")).join(crossing, ["source", "segment"])
+    documents, keys = cut.withColumn("source", F.struct("source")), ["source", "segment"]
+    placed = documents.join(F.broadcast(crossing), keys) if n <= BROADCAST_SOURCES else join_shuffled(documents, crossing, keys)
     placed = placed.withColumn("_before", F.col("_start") + F.coalesce(F.sum("size").over(inside), F.lit(0)))
     at = placed.filter((F.col("_before") <= F.col("_rest")) & (F.col("_rest") < F.col("_before") + F.col("size")))
     cuts = at.select("source", F.col("key").alias("cut_key"), (F.col("_rest") - F.col("_before")).alias("part"), F.col("size").alias("whole"))

@@ -192,5 +192,5 @@ def one_of_each(
     # Ids may be null; a struct around them is not, so it joins.
     keyed = docs.withColumn("__doc", F.struct(F.col(id_col).cast("bigint").alias("doc_id"))).withColumn("__tie", F.xxhash64(F.col(text_col)))
     copy = F.row_number().over(Window.partitionBy("__doc", "__tie").orderBy(F.lit(1)))
-    kept = keyed.join(heads, ["__doc", "__tie"], "left_semi").withColumn("__copy", copy).filter(F.col("__copy") == 1)
+    kept = join_shuffled(keyed, heads, ["__doc", "__tie"], "left_semi").withColumn("__copy", copy).filter(F.col("__copy") == 1)
     return kept.select(*docs.columns)

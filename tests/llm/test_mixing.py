@@ -82,3 +82,19 @@ def test_odd_rows(spark):
     mixing.mixed_documents(docs).collect()
     assert mixing.taken_words(*mixing.mix_plan(frame(spark, []))).collect() == []
     assert mixing.mixed_documents(frame(spark, [])).collect() == []
+
+
+def test_documents_are_not_broadcast(spark, monkeypatch):
+    """The segments that hold a cut come to the documents, whichever side the planner takes for the smaller one."""
+    rows = [(i, "word " * (1 + i % 7), "en", f"s{i % 3}" if i % 4 else None, 0) for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+
+    def cuts():
+        found = mixing.mix_plan(docs)[1]
+        return found._jdf.queryExecution().executedPlan().toString(), sorted(map(str, found.collect()))
+
+    plan, want = cuts()
+    assert len(want) == 4 and "Inner, BuildRight" in plan and "Inner, BuildLeft" not in plan
+    monkeypatch.setattr(mixing, "BROADCAST_SOURCES", 0)
+    plan, found = cuts()
+    assert found == want and "SortMergeJoin" in plan and "Inner, Build" not in plan

@@ -141,6 +141,14 @@ def test_lookups_and_fingerprints_are_not_broadcast(spark, monkeypatch):
     assert all("SortMergeJoin" in x and "Broadcast" not in x for x in plans)
 
 
+def test_kept_documents_are_not_broadcast(spark):
+    kept = simhash.one_of_each(frame(spark, ODD_ROWS, extra=True))
+    assert "SortMergeJoin" in plan(kept) and "Broadcast" not in plan(kept)
+    # Null, empty and blank texts are one component, and rows 5 and 6 have copies of nothing but themselves.
+    ids = [r.doc_id for r in kept.collect()]
+    assert len(ids) == len(set(ids)) and {2, 3} & set(ids) == set() and {1, 4, 5, 6, 7} <= set(ids)
+
+
 def test_smallest_neighbours_are_broadcast_by_their_number(spark, monkeypatch):
     rng = random.Random(12)
     links = spark.createDataFrame(sorted({tuple(sorted(rng.sample(range(90), 2))) for _ in range(60)}), "a bigint, b bigint")
